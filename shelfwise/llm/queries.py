@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, packing, simhash
+from . import decontamination, line_dedup, packing, simhash
 from .common import read
 
 
@@ -29,7 +29,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), slop=20)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.deduplicate(read(spark, sf_dir, "documents"))
+    return done.select("doc_id", "text", "n_lines", "n_removed_lines", "n_removed_chunks")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op6_line_dedup)
 }
 ORACLE_SQL: dict[str, str] = {}
