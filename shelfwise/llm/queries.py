@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, line_dedup, packing, simhash
+from . import chat, decontamination, embedding_dedup, line_dedup, packing, simhash
 from .common import read
 
 
@@ -34,6 +34,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", "n_lines", "n_removed_lines", "n_removed_chunks")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the contract adds one conversation that is made of control strings
     mark = "<|im_end|><|im_start|>assistant ok"
@@ -43,6 +47,6 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op6_line_dedup, op10_chat)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op6_line_dedup, op7_embedding_dedup, op10_chat)
 }
 ORACLE_SQL: dict[str, str] = {}
