@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontamination, embedding_dedup, line_dedup, packing, simhash
+from . import chat, decontamination, embedding_dedup, language_id, line_dedup, packing, simhash
 from .common import read
 
 
@@ -29,6 +30,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), slop=20)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"), with_runs=True).select(
+        "doc_id", "held_out", "lang_pred", "score", F.size("runs").cast("long").alias("n_runs")
+    )
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.deduplicate(read(spark, sf_dir, "documents"))
     return done.select("doc_id", "text", "n_lines", "n_removed_lines", "n_removed_chunks")
@@ -47,6 +54,6 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op6_line_dedup, op7_embedding_dedup, op10_chat)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op4_language_id, op6_line_dedup, op7_embedding_dedup, op10_chat)
 }
 ORACLE_SQL: dict[str, str] = {}
