@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, embedding_dedup, language_id, line_dedup, packing, simhash
+from . import chat, decontamination, embedding_dedup, language_id, line_dedup, packing, pii, simhash
 from .common import read
 
 
@@ -36,6 +36,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(read(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.deduplicate(read(spark, sf_dir, "documents"))
     return done.select("doc_id", "text", "n_lines", "n_removed_lines", "n_removed_chunks")
@@ -54,6 +58,6 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op4_language_id, op6_line_dedup, op7_embedding_dedup, op10_chat)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op4_language_id, op5_pii, op6_line_dedup, op7_embedding_dedup, op10_chat)
 }
 ORACLE_SQL: dict[str, str] = {}
