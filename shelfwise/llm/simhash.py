@@ -21,7 +21,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +35,7 @@ SEED = 42
 PAIRED_BUCKET = 48
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-FINGERPRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
+FINGERPRINTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "row_key", "fp")])
 
 
 def _fold(hashes: list[int], counts: list[int]) -> np.ndarray:
@@ -52,14 +52,17 @@ def _fold(hashes: list[int], counts: list[int]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, *, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``(doc_id, fp)`` of whole texts: words between ASCII white space, A-Z in lower case."""
+    """``(doc_id, row_key, fp)`` of whole texts: words between ASCII white space, A-Z in lower case.
+
+    ``row_key`` tells rows apart that share a doc_id or have none.
+    """
 
     def make():
         from xxhash import xxh64_intdigest
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
             fps, hashes, counts = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 w = (text.as_py() or b"").translate(LOWER).split()
                 if len(w) > shingle:
                     got = [xxh64_intdigest(s, seed) for s in map(b" ".join, zip(*(w[i:] for i in range(shingle))))]
@@ -71,13 +74,16 @@ def fingerprints(docs: DataFrame, *, shingle: int = SHINGLE, seed: int = SEED) -
                     fps.append(_fold(hashes, counts))
                     hashes, counts = [], []
             fps.append(_fold(hashes, counts))
-            return {"doc_id": batch.column(0), "fp": np.concatenate(fps)}
+            return {"doc_id": batch.column(0), "row_key": batch.column(1), "fp": np.concatenate(fps)}
 
         return work
 
-    return arrow_rows(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")), make, FINGERPRINTS
-    )
+    texts = docs.select(F.col("doc_id").cast("long"), row_key().alias("row_key"), F.col("text").cast("binary").alias("text"))
+    return arrow_rows(texts, make, FINGERPRINTS)
+
+
+def row_key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
 
 
 def bit_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -194,20 +200,27 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return pairs.unionByName(stars).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row of ``docs``."""
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """Fingerprints with the least fingerprint of their group and its least doc_id."""
     fps = materialise(fingerprints(docs, shingle=shingle), "fingerprints")
     nodes = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least_doc")), "nodes")
     member = connected_components(near_links(nodes, max_bits)).withColumnRenamed("node", "fp")
     grouped = nodes.join(member, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = grouped.groupBy("component").agg(F.min("least_doc").alias("component_id"))
-    named = grouped.join(least, "component").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = grouped.join(least, "component").select("fp", "component", "component_id")
+    return fps.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row of ``docs``."""
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return _grouped(docs, shingle, max_bits).select("doc_id", fingerprint, "component_id")
 
 
-def keep_one_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The documents that carry their group's least doc_id, once each; those without a doc_id
-    stay only if their group has no doc_id at all (then one of each fingerprint)."""
-    keep = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns)
+def keep_one_each(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of ``docs`` for each group: the one with the least doc_id (nulls last), unchanged."""
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+    keep = _grouped(docs, shingle, max_bits).groupBy("component").agg(first.alias("first"))
+    keep = keep.select(F.col("first.row_key").alias("__simhash_key"))
+    kept = docs.withColumn("__simhash_row", row_key()).join(keep, F.col("__simhash_row") == F.col("__simhash_key"), "left_semi")
+    return kept.dropDuplicates(["__simhash_row"]).select(*docs.columns)
