@@ -1,6 +1,432 @@
-"""Registered queries of the catalogue operators, with their SQL."""
+"""Registered queries of the catalogue operators.  Each reads whole tables; their SQL is in ``oracles``."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+import uuid
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .functions import keywords as K
+from .functions import scores as S
+from .functions import text as X
+from .functions.taxonomy import CATEGORIES
+from .operators import aggregates as A
+from .operators import checks as G
+from .operators import ingest as I
+from .operators import json_tree as J
+from .operators import pages as P
+from .operators import ranking as R
+from .oracles import ORACLE_SQL as ORACLE_SQL
+from .plans import collection as C
+from .plans import refresh as RF
+from .sources import catalog as src
+from .sources import sinks
+from .sources.tables import materialise, work_path
+from .streaming import events as ST
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+AT = datetime(2026, 8, 6, 2, 54, 24, 934000)
+
+
+def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.products_from_star(spark, sf_dir)
+
+
+def _keyworded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(K.add_keywords(_products(spark, sf_dir), normalise=False), "keywords")  # the names are plain ASCII
+
+
+@query
+def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = src.scan_latest(*src.latest_tables(_products(spark, sf_dir)))
+    return scanned.drop("group_code", "search_keyword", "image_url", "category_path", "updated_at")
+
+
+@query
+def category_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.category_benchmarks(_products(spark, sf_dir)).drop("rank")
+
+
+@query
+def fine_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.category_benchmarks(_products(spark, sf_dir), by=["provider", "l_partkey"], limit=None).drop("rank")
+
+
+@query
+def scope_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.scope_summary(RF.in_scopes(_products(spark, sf_dir)), ["scope_slug"])
+
+
+@query
+def price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.price_bands(RF.in_scopes(_products(spark, sf_dir)), ["scope_slug"]).drop("band")
+
+
+@query
+def price_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scoped = RF.in_scopes(_products(spark, sf_dir))
+    sliced = A.in_slices(scoped, A.price_slices(scoped, ["scope_slug"]), ["scope_slug"])
+    return A.scope_summary(sliced, ["scope_slug", "range_key", "range_label"]).select("scope_slug", "range_key", "range_label", "product_count", "min_price_krw", "median_price_krw", "max_price_krw")
+
+
+@query
+def keyword_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.keyword_benchmarks(_keyworded(spark, sf_dir)).drop("rank", "latest_collected_at")
+
+
+@query
+def category_keyword_top40(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = A.category_keywords(_keyworded(spark, sf_dir))
+    return best.select("source_category", "keyword", F.col("rank").cast("long").alias("rank"), "cluster_label", "product_count", "median_price_krw", "demand_score", "competition_score", "price_gap_score", "opportunity_score", "interpretation")
+
+
+@query
+def deal_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = R.deal_candidates(_products(spark, sf_dir), [])
+    return found.select(F.col("position").cast("long").alias("position"), "provider", "product_code", "price_krw", *RF.DEAL_COLUMNS)
+
+
+@query
+def deal_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.score_deals(_products(spark, sf_dir), []).select("product_code", "radar_score", "discount_percent", "below_category_median_percent", "reason")
+
+
+@query
+def top_products_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = R.top_products(RF.in_scopes(_products(spark, sf_dir)), ["scope_slug"])
+    return best.select("scope_slug", F.col("position").cast("long").alias("position"), "provider", "product_code", "price_krw")
+
+
+@query
+def seller_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = A.seller_insights(A.category_benchmarks(_products(spark, sf_dir), by=["seller"], limit=None))
+    return found.select("seller", "product_count", "median_price_krw", "low_price_percent", "discounted_percent", "competition_level", "recommended_action")
+
+
+@query
+def price_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = A.nearest_rank(_products(spark, sf_dir), ["l_partkey"], "price_krw", {"median_price_krw": 0.5})
+    return parts.groupBy(S.price_cluster(F.col("median_price_krw")).alias("cluster_label")).agg(F.count("*").alias("n_parts"))
+
+
+@query
+def balanced_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A balanced selection of 1,000 products; the limit is the operator's own."""
+    return R.balanced_limit(_products(spark, sf_dir), F.col("source_category"), [F.asc("product_code")], 1000).select("source_category", "product_code")
+
+
+@query
+def dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = src.read_table(spark, sf_dir, "lineitem").withColumn("code", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    return R.keep_first(lines, "code", [F.asc("l_partkey"), F.asc("l_suppkey")]).select("code", "l_partkey", "l_suppkey")
+
+
+@query
+def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = src.read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
+    return R.latest_version(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"]).drop("l_shipdate")
+
+
+@query
+def shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.shard(_products(spark, sf_dir), "product_code", 8).groupBy("shard_index").agg(F.count("*").alias("row_count"))
+
+
+@query
+def sequence_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = R.sequence_numbers(_products(spark, sf_dir).select("price_krw", "product_code"), [F.col("price_krw"), F.col("product_code")])
+    return numbered.select("product_code", "no")
+
+
+def _mapped(row: dict[str, Column]) -> Column:
+    return F.create_map(*(x for k, v in row.items() for x in (F.lit(k), v.cast("string"))))
+
+
+@query
+def list_detail_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as list rows, their last line as the detail row that is laid over them."""
+    orders = src.read_table(spark, sf_dir, "orders")
+    lists = orders.select("o_orderkey", _mapped({"상품코드": F.col("o_orderkey"), "price": F.round("o_totalprice").cast("bigint"), "name": F.col("o_orderstatus")}).alias("row"))
+    line = src.read_table(spark, sf_dir, "lineitem")
+    detail = line.select(
+        _mapped({"상품코드": F.col("l_orderkey"), "price": F.round("l_extendedprice").cast("bigint"), "flag": F.when(F.col("l_linenumber") > 3, "").otherwise(F.col("l_returnflag"))}).alias("row"),
+        F.struct("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey").alias("seq"),
+    )
+    merged = I.merge_list_detail(lists, detail, "seq")
+    return merged.select("o_orderkey", *(I.value(F.col("row"), k).alias(k) for k in ("price", "name", "flag")))
+
+
+@query
+def detail_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with an order, suppliers' nations: two kinds of details as one row for each key."""
+    a = src.read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), _mapped({"d": F.col("c_nationkey")}).alias("row"))
+    b = src.read_table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 2).alias("key"), _mapped({"f": F.col("s_nationkey")}).alias("row"))
+    return I.merge_details(a, b, "key").select("key", I.value(F.col("row"), "d").alias("d"), I.value(F.col("row"), "f").alias("f"))
+
+
+@query
+def discount_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = I.add_discount_rate(_products(spark, sf_dir), "price_krw", "original_price_krw")
+    return rated.groupBy("discount_rate").agg(F.count("*").alias("row_count"))
+
+
+@query
+def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = src.read_table(spark, sf_dir, "documents").select(F.when(F.col("lang") != "es", F.concat(F.lit(" "), "lang")).alias("source_category"))
+    return A.category_counts(docs)
+
+
+@query
+def nearest_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = src.read_table(spark, sf_dir, "orders").select("o_orderpriority", F.floor("o_totalprice").cast("bigint").alias("v"))
+    return A.nearest_rank(orders, ["o_orderpriority"], "v", {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99})
+
+
+@query
+def set_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products outside a category set that lacks one and has another that no product is in."""
+    products = _products(spark, sf_dir)
+    wanted = products.select(F.col("source_category").alias("category")).distinct().where("category <> 'SMALL'").unionByName(spark.range(1).select(F.lit("NONE").alias("category")))
+    outside = G.membership_violations(products, wanted).agg(F.count("*").alias("n")).select(F.lit("outside").alias("check"), "n")
+    gaps = G.coverage_gaps(products, wanted).agg(F.count("*").alias("n")).select(F.lit("gaps").alias("check"), "n")
+    sides = G.same_set(products.select(F.col("source_category").alias("category")).distinct(), wanted).groupBy(F.col("side").alias("check")).agg(F.count("*").alias("n"))
+    twice = G.duplicates(products, "seller").agg(F.count("*").alias("n")).select(F.lit("twice").alias("check"), "n")
+    return outside.unionByName(gaps).unionByName(sides).unionByName(twice)
+
+
+@query
+def payload_json_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = src.read_table(spark, sf_dir, "events")
+    text = F.when(F.col("event_id") % 7 == 0, F.concat("props", F.lit("}"))).otherwise(F.col("props"))
+    return events.groupBy("event_type").agg(F.count_if(X.valid_json(text)).alias("valid"), F.count_if(~X.valid_json(text)).alias("invalid"))
+
+
+@query
+def page_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = src.read_table(spark, sf_dir, "pages")
+    any_page, b_page, g = (P.gate(F.col("html"), F.col("url"), k) for k in ("", "b", "global"))
+    return pages.select("page_id", any_page["ok"].alias("ok"), any_page["reason"].alias("reason"), b_page["reason"].alias("b_reason"), g["reason"].alias("global_reason"), P.triage(g["reason"]).alias("triage"))
+
+
+@query
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = P.link_table(src.read_table(spark, sf_dir, "pages"))
+    return links.select("page_id", F.col("link_no").cast("long").alias("link_no"), "href", X.absolute_url(F.col("href"), F.col("url")).alias("target"))
+
+
+@query
+def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = P.line_table(src.read_table(spark, sf_dir, "pages"))
+    return lines.select("page_id", F.col("line_no").cast("long").alias("line_no"), "line")
+
+
+@query
+def section_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = src.read_table(spark, sf_dir, "pages").select("page_id", P.lines(F.col("html"), True).alias("lines"))
+    return pages.select("page_id", P.section_text(F.col("lines"), ("that", "dans"), ("with", "pour")).alias("section"))
+
+
+@query
+def page_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail records of all pages by the gate of provider B, which needs no product sign off its item pages."""
+    found = P.detail_records(src.read_table(spark, sf_dir, "pages"), "b")
+    return found.select("page_id", "success", "error", "product_name", "page_title")
+
+
+@query
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = src.read_table(spark, sf_dir, "pages")
+    return pages.select("page_id", P.element_text(F.col("html"), "title").alias("title"), F.size(P.key_values(F.col("html"))).cast("long").alias("n_pairs"), F.size(P.image_candidates(F.col("html"), F.col("url"), F.lit(""))["all"]).cast("long").alias("n_images"))
+
+
+@query
+def search_json_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search responses, one for each order with its lines under ``data``, and the products in them."""
+    line = src.read_table(spark, sf_dir, "lineitem")
+    item = F.struct(F.col("l_partkey").alias("no"), F.concat(F.lit("part "), "l_partkey").alias("name"), F.round("l_extendedprice").cast("bigint").alias("salesPrice"))
+    other = F.struct(F.concat(F.lit("category-"), "l_suppkey").alias("no"), F.lit("group").alias("name"))
+    responses = line.groupBy("l_orderkey").agg(F.collect_list(F.to_json(F.struct(item.alias("p"), other.alias("c")))).alias("x"))
+    responses = responses.select("l_orderkey", F.concat(F.lit('{"data":['), F.array_join("x", ","), F.lit("]}")).alias("body"))
+    found = J.product_rows(responses, "l_orderkey", "body", depth=3)
+    return found.groupBy("l_orderkey").agg(F.count("*").alias("n_products"), F.min(F.col("product_code").cast("bigint")).alias("first_code"))
+
+
+@query
+def event_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = src.read_table(spark, sf_dir, "events")
+    link = F.when(F.col("event_id") % 5 == 0, "  ").otherwise(F.concat(F.lit("/user/"), "user_id"))
+    rows = events.select(F.col("event_id").cast("string").alias("event_uuid"), F.lit("web").alias("source"), link.alias("url"), "event_type", F.col("props").alias("payload"))
+    messages = sinks.event_messages(rows)
+    back = F.from_json("value", T.StructType([T.StructField(c, T.StringType()) for c in rows.columns]))
+    return messages.select("key", back.alias("e")).select("key", F.col("e.event_uuid").alias("event_uuid"), F.col("e.payload").alias("payload"))
+
+
+@query
+def raw_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products as collected rows of texts, through typed payloads to raw history rows."""
+    p = _products(spark, sf_dir)
+    row = _mapped(
+        {
+            "상품코드": F.col("product_code"),
+            "상품명_목록": F.col("product_name"),
+            "국내_상품명": F.when(F.col("order_count") % 2 == 0, F.concat(F.lit(" "), "product_name", F.lit(" x"))).otherwise(""),
+            "목록_판매가_KRW": X.thousands(F.col("price_krw")),
+            "목록_정가_KRW": F.when(F.col("review_count") > 40, "n/a").otherwise(F.col("original_price_krw").cast("string")),
+            "국내_리뷰수": F.col("review_count"),
+            "국내_수집성공": F.when(F.col("order_count") > 3, "True").otherwise("false"),
+            "목록_이미지URL": F.concat_ws("|", F.lit("a.jpg"), F.col("brand"), F.lit("a.jpg")),
+        }
+    )
+    raw = I.raw_rows(I.payload_a(p.select(row.alias("row")), "run", F.timestamp_seconds(F.lit(1785952464))), "collector")
+    return raw.select("product_code", "product_name", "list_price_krw", "list_original_price_krw", "review_count", F.col("korean_collect_success").cast("long").alias("korean_collect_success"), F.size("all_image_urls").cast("long").alias("n_images"), F.get_json_object("payload", "$.provider").alias("provider"))
+
+
+@query
+def collected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two list sources unioned, each code once, balanced over categories, merged with details."""
+    p = _products(spark, sf_dir).withColumn("code", F.substring_index("product_code", "-", 2))
+    row = _mapped({"상품코드": F.col("code"), "수집카테고리": F.col("source_category"), "상품명": F.col("product_name"), "판매가_목록": F.col("original_price_krw")})
+    lists = p.select(row.alias("row"), F.col("product_code").alias("seq"))
+    chosen = C.select_list_rows([lists.where("seq < '2'"), lists.where("seq >= '2'")], total=0, shards=4)
+    detail = p.select(_mapped({"상품코드": F.col("code"), "상세_가격_KRW": F.col("price_krw"), "상세_판매자": F.col("seller")}).alias("row"), F.col("product_code").alias("seq"))
+    raw = C.build_raw_rows(chosen.select("row", "seq", "no", "shard_index"), detail, provider="kurly", run_uuid="run", at=F.timestamp_seconds(F.lit(1785952464)), source="collector")
+    return raw.select("product_code", "source_category", "list_price_krw", "list_original_price_krw", "detail_price_krw", "seller")
+
+
+@query
+def search_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _products(spark, sf_dir).withColumn("text", F.concat_ws("  ", "product_name", "brand"))
+    return A.keyword_search_text(rows, ["source_category"])
+
+
+@query
+def text_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = src.read_table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.size(X.tokens(F.lower("text"))).cast("long").alias("n_tokens"), F.length(X.slug(F.col("text"))).cast("long").alias("slug_chars"))
+
+
+@query
+def prices_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _products(spark, sf_dir)
+    n = F.col("order_count")
+    text = F.when(n == 1, F.concat(F.lit("판매가: "), X.thousands(F.col("price_krw")), F.lit("원"))).when(n == 2, F.concat(F.lit("US$ 12 / ₩"), F.col("price_krw"))).when(n == 3, F.concat(F.lit("from 1,234 to "), X.thousands(F.col("price_krw") + 1000000))).otherwise("sold out")
+    return p.select("product_code", X.price_krw(text).alias("price"))
+
+
+def _standard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products over the ten standard categories, by part."""
+    names = F.array(*(F.lit(c) for c in CATEGORIES))
+    return _products(spark, sf_dir).withColumn("source_category", F.get(names, F.col("l_partkey") % len(CATEGORIES)))
+
+
+@query
+def classified_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _standard(spark, sf_dir).withColumn("source_category", F.when(F.col("order_count") == 1, "기타").otherwise(F.col("source_category")))
+    return RF.classify(raw, normalise=False).groupBy("source_category").agg(F.count("*").alias("product_count"))
+
+
+def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RF.prepare(_standard(spark, sf_dir), normalise=False)
+
+
+@query
+def radar_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and figures read back from the nested payload of every scope."""
+    text = RF.radar(_prepared(spark, sf_dir), "2026-08-06 02:54:24.934").select("scope_slug", F.to_json("payload").alias("j"))
+    j = lambda path: F.get_json_object("j", path)
+    return text.select(
+        "scope_slug",
+        j("$.summary.product_count").cast("long").alias("product_count"),
+        j("$.summary.median_price_krw").cast("long").alias("median_price_krw"),
+        F.json_array_length(j("$.price_bands")).cast("long").alias("n_bands"),
+        F.json_array_length(j("$.categories")).cast("long").alias("n_categories"),
+        F.json_array_length(j("$.products")).cast("long").alias("n_products"),
+        j("$.products[0].product_code").alias("first_product"),
+    )
+
+
+@query
+def keyword_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = RF.keyword_mart(_prepared(spark, sf_dir), 1785952464934, "2026-08-06 02:54:24.934", normalise=False)
+    return mart.select("scope_slug", "keyword", "keyword_key", "product_count", "category_count", "min_price_krw", "median_price_krw", "max_price_krw", "source_product_count", F.json_array_length("categories_json").cast("long").alias("n_categories"), F.json_array_length("products_json").cast("long").alias("n_evidence"))
+
+
+@query
+def refresh_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole refresh into new folders, then what a reader sees through the marker."""
+    base = work_path(spark, "refresh")
+    to = RF.Targets(f"{base}/snapshots", f"{base}/mart", f"{base}/markers")
+    RF.refresh(spark, _standard(spark, sf_dir), to, AT, str(uuid.uuid4()), normalise=False)
+    seen = sinks.read_published(spark, to.snapshots, to.markers)
+    return seen.select("scope_slug", "scope_category", "source_product_count", "source_max_collected_at", X.valid_json(F.col("payload_json")).alias("valid"))
+
+
+@query
+def verification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures that a refresh checks in storage, from tables with a broken payload and a wrong version."""
+    p = RF.in_scopes(_standard(spark, sf_dir))
+    n = p.groupBy("scope_slug").agg(F.count("*").alias("source_product_count"), F.max("collected_at").alias("source_max_collected_at"))
+    rows = n.withColumn("version", F.lit(1785952464934)).withColumn("generated_at", F.lit("2026-08-06 02:54:24.934"))
+    rows = rows.withColumn("version", F.lit(1)).withColumn("generated_at", F.when(F.col("scope_slug") == "all", "1970-01-01 00:00:00.001").otherwise("1970-01-01 00:00:01.000"))
+    snaps = rows.withColumn("payload_json", F.when(F.col("scope_slug") == "all", "{").otherwise("{}"))
+    mart = rows.withColumn("categories_json", F.lit("[]")).withColumn("products_json", F.lit("[]"))
+    out = G.verification(snaps, mart, 1)
+    return out.select("snapshot_rows", F.array_join("snapshot_scopes", ",").alias("snapshot_scopes"), "snapshot_invalid_payloads", "snapshot_source_product_count", "keyword_rows", "keyword_invalid_payloads")
+
+
+def _stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of files."""
+    table = src.read_table(spark, sf_dir, "events")
+    path = work_path(spark, "stream-in")
+    table.repartition(4).write.parquet(path)
+    return ST.read_stream(spark, path, table.schema, files_a_batch=2)
+
+
+@query
+def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches appended once by token; the stream is run twice over the same files."""
+    stream = _stream_source(spark, sf_dir).withColumn("payload", F.to_json(F.struct("event_id", "props")))
+    out = work_path(spark, "stream-out")
+    for k in range(2):
+        ST.publish(stream, ST.append_once(out, "events"), f"{out}-checkpoint{k}").awaitTermination()
+    return spark.read.parquet(out).groupBy("event_type").agg(F.count("*").alias("row_count"))
+
+
+@query
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event twice in the stream, once in the result."""
+    stream = _stream_source(spark, sf_dir)
+    twice = ST.drop_repeats(stream.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))), "event_id", "ts", "40 days")
+    out = work_path(spark, "stream-out")
+    ST.publish(twice, lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"), f"{out}-checkpoint").awaitTermination()
+    return spark.read.parquet(out).groupBy("event_type").agg(F.count("*").alias("row_count"))
+
+
+@query
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = _stream_source(spark, sf_dir).select("user_id", "event_id", "ts", "event_type", "value")
+    out = work_path(spark, "stream-out")
+    done = ST.publish(stream, ST.running_latest(out, ["user_id"], ["ts", "event_id"]), f"{out}-checkpoint")
+    done.awaitTermination()
+    return spark.read.parquet(f"{out}/v{done.lastProgress['batchId']}").select("user_id", "event_id", "event_type", "value")
+
+
+@query
+def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes encoded and decoded again by type, with unreadable payloads as dead letters."""
+    events = src.read_table(spark, sf_dir, "events")
+    text = F.when(F.col("event_id") % 11 == 0, "{broken").otherwise(F.col("props"))
+    rows = events.select(F.col("event_id").cast("string").alias("event_uuid"), F.lit("").alias("url"), "event_type", text.alias("payload"))
+    envelope = T.StructType([T.StructField(c, T.StringType()) for c in rows.columns])
+    decoded = ST.decode(ST.encode(rows), "click", envelope, T.StructType([T.StructField("k", T.LongType())]))
+    keep = decoded.withColumn("ok", F.col("data.k").isNotNull())
+    return keep.groupBy("ok").agg(F.count("*").alias("row_count"), F.sum("data.k").alias("k_sum"))
