@@ -17,7 +17,6 @@ language by name; repeated rows are judged each for itself; other columns are ig
 from __future__ import annotations
 
 import re
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +32,9 @@ FEATURES = 1 << 16
 #: Training sequences, words of each, mean words before a change of language, and gradient steps.
 SEQUENCES, SEQUENCE_WORDS, RUN_WORDS, STEPS = 1600, 60, 12, 60
 #: Words whose emissions a worker remembers; and words in forward-backward at once.
-MEMO_WORDS, GROUP_WORDS = 400_000, 300_000
+MEMO_WORDS, GROUP_WORDS = 250_000, 300_000
+#: Characters of a word that have features.
+MOST_CHARS = 40
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -47,14 +48,34 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Hashed affixes, n-grams and lexicon entry of a word."""
-    w = word[:40]
-    names = {f"^{w[:n]}" for n in (1, 2, 3)} | {f"{w[-n:]}$" for n in (1, 2, 3)}
-    names |= {w[i : i + n] for n in (2, 3) for i in range(len(w) - n + 1)}
-    if word in lexicon:
-        names.add(f"lexicon {lexicon[word]}")
-    return sorted(zlib.crc32(x.encode()) % FEATURES for x in names)
+def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed affixes, n-grams and lexicon entries: feature numbers word by word, and how many each has."""
+    short = [w[:MOST_CHARS] for w in words]
+    n = np.array([len(w) for w in short])
+    codes = np.frombuffer("".join(short).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    width = int(n.max()) + 2
+    c = np.zeros((len(n), width), dtype=np.uint64)
+    place = np.arange(width)
+    c[place[None, :] < n[:, None]] = codes
+
+    def hashed(kind: int, *chars: np.ndarray) -> np.ndarray:
+        h = np.full(np.broadcast_shapes(*(x.shape for x in chars)), kind * 0x9E3779B97F4A7C15 % (1 << 64), dtype=np.uint64)
+        for x in chars:
+            h = (h ^ x) * np.uint64(0x100000001B3)
+            h ^= h >> np.uint64(29)
+        return (h >> np.uint64(7)) % np.uint64(FEATURES)
+
+    two, three = hashed(1, c[:, :-2], c[:, 1:-1]), hashed(2, c[:, :-2], c[:, 1:-1], c[:, 2:])
+    rows = np.arange(len(n))
+    last = [c[rows, np.maximum(n - k, 0)] for k in (1, 2, 3)]
+    ends = [hashed(3, c[:, 0]), hashed(4, c[:, 0], c[:, 1]), hashed(5, c[:, 0], c[:, 1], c[:, 2])]
+    ends += [hashed(6, last[0]), hashed(7, last[0], last[1]), hashed(8, last[0], last[1], last[2])]
+    entry = np.array([lexicon.get(w, -1) for w in words])
+    index = np.column_stack([two, three, *ends, hashed(9, np.maximum(entry, 0).astype(np.uint64))])
+    at = place[: width - 2][None, :]
+    long = np.column_stack([n >= 1, n >= 2, n >= 3])
+    there = np.column_stack([at + 1 < n[:, None], at + 2 < n[:, None], long, long, entry >= 0])
+    return index[there].astype(np.int64), there.sum(axis=1)
 
 
 @dataclass
@@ -67,9 +88,7 @@ class Model:
 
 
 def _emissions(words: list[str], lexicon: dict[str, int], weights: np.ndarray) -> np.ndarray:
-    feats = [word_features(w, lexicon) for w in words]
-    sizes = np.array([len(f) for f in feats])
-    flat = np.array([x for f in feats for x in f], dtype=np.int64)
+    flat, sizes = word_features(words, lexicon)
     return np.add.reduceat(weights[flat], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
 
 
@@ -145,10 +164,9 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     words, labels = _spliced(texts, rng)
     used, inverse = np.unique(words, return_inverse=True)
     names = list(number)
-    feats = [word_features(names[i], lexicon) for i in used]
-    flat = np.array([x for f in feats for x in f], dtype=np.int64)
-    owner = np.repeat(np.arange(len(used)), [len(f) for f in feats])
-    cuts = np.concatenate([[0], np.cumsum([len(f) for f in feats])[:-1]])
+    flat, sizes = word_features([names[i] for i in used], lexicon)
+    owner = np.repeat(np.arange(len(used)), sizes)
+    cuts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     lengths = np.full(SEQUENCES, SEQUENCE_WORDS)
     truth = np.bincount(inverse * k + labels, minlength=len(used) * k).reshape(-1, k).astype(float)
     inner = np.ones(len(labels), dtype=bool)
