@@ -21,6 +21,11 @@ MOST_KEYWORDS = 8
 STOPWORDS = sorted(STOPWORDS_ENGLISH | STOPWORDS_KOREAN)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _table(words: dict[str, str]) -> Column:
     return F.create_map(*(F.lit(x) for pair in words.items() for x in pair))
 
@@ -75,16 +80,19 @@ def stem_korean(words: Column) -> Column:
 def stop_set(category: Column, keyword: Column, brand: Column, normalise: bool = True) -> Column:
     """Words of a product's own category, search keyword and brand, in all their forms."""
     words = tokens(nfkc_lower(F.concat_ws(" ", category, keyword, brand), normalise))
-    return F.filter(F.array_distinct(F.concat(words, stem_english(words), stem_korean(words))), lambda t: t != "")
+    return let(words, lambda w: F.filter(F.array_distinct(F.concat(w, stem_english(w), stem_korean(w))), lambda t: t != ""))
 
 
 def normal_tokens(text: Column, stops: Column, normalise: bool = True) -> Column:
     """Keyword tokens of a text in order, in standard form."""
     free = lambda t: ~t.isin(*STOPWORDS) & ~F.array_contains(stops, t)
     words = F.filter(tokens(nfkc_lower(text, normalise)), lambda t: ~t.rlike("[0-9]") & free(t))
-    latin = F.transform(words, lambda t: t.rlike("^[a-z]+$"))
-    forms = F.arrays_zip(latin.alias("latin"), stem_english(words).alias("english"), stem_korean(words).alias("korean"))
-    form = F.transform(forms, lambda x: F.when(x["latin"], x["english"]).otherwise(x["korean"]))
+
+    def forms(w: Column) -> Column:
+        both = F.zip_with(stem_english(w), stem_korean(w), lambda e, k: F.struct(e.alias("english"), k.alias("korean")))
+        return F.zip_with(w, both, lambda t, x: F.when(t.rlike("^[a-z]+$"), x["english"]).otherwise(x["korean"]))
+
+    form = let(words, forms)
     fits = lambda t: F.length(t).between(2, 24) & ~t.rlike("^[a-z]{1,2}$") & free(t)
     return F.filter(form, fits)
 
@@ -105,12 +113,14 @@ def add_keywords(products, normalise: bool = True, most: int = MOST_KEYWORDS):
     """``products`` with a ``keywords`` column; columns that a table lacks count as empty."""
     col = lambda c: F.coalesce(F.col(c), F.lit("")) if c in products.columns else F.lit("")
     text = F.concat_ws(" ", col("product_name"), col("category_path"), col("search_keyword"))
-    return (
-        products.withColumn("_stops", stop_set(col("source_category"), col("search_keyword"), col("brand"), normalise))
-        .withColumn("_normal", normal_tokens(text, F.col("_stops"), normalise))
-        .withColumn("keywords", keyword_list(F.col("_normal"), most))
-        .drop("_stops", "_normal")
-    )
+    stops = stop_set(col("source_category"), col("search_keyword"), col("brand"), normalise=False)
+    if normalise:  # Python runs over whole columns, so it comes before the expressions and not inside them
+        text, names = F.col("_text"), [c for c in ("source_category", "search_keyword", "brand") if c in products.columns]
+        products = products.withColumn("_text", nfkc_lower(F.concat_ws(" ", col("product_name"), col("category_path"), col("search_keyword"))))
+        products = products.withColumn("_own", nfkc_lower(F.concat_ws(" ", *(F.coalesce(F.col(c), F.lit("")) for c in names))))
+        stops = stop_set(F.col("_own"), F.lit(""), F.lit(""), normalise=False)
+    found = let(stops, lambda s: let(normal_tokens(text, s, normalise=False), lambda n: keyword_list(n, most)))
+    return products.withColumn("keywords", found).drop("_text", "_own")
 
 
 def keyword_key(c: Column, normalise: bool = True) -> Column:
