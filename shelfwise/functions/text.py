@@ -12,6 +12,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space that a trim must also take off at the ends, beside what ``\s`` matches.
 _WIDE = "\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\u0085"
@@ -49,7 +50,7 @@ def slug(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), "[^a-z0-9가-힣_-]+", "-"), "^-+|-+$", "")
 
 
-@F.pandas_udf("string")  # type: ignore[call-overload]
+@F.pandas_udf(T.StringType())  # type: ignore[call-overload]
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 
