@@ -125,14 +125,12 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         .select("high", "low", F.col("first.uid").alias("uid"), F.col("first.chunk").alias("chunk"))
     )
     first = materialise(first, "firsts")
-    again = (
-        chunks.join(first.select("high", "low", F.col("uid").alias("_u"), F.col("chunk").alias("_c")), ["high", "low"])
-        .where((F.col("uid") != F.col("_u")) | (F.col("chunk") != F.col("_c")))
-        .select("uid", "chunk", "high", "low")
-        .distinct()
-    )
+    known = first.select("high", "low", F.col("uid").alias("_u"), F.col("chunk").alias("_c")).join(_first_texts(docs, first), ["high", "low"])
+    known = materialise(known, "repeated")
+    # one join of two plain exchanges, which Spark may split where a chunk is very frequent
     marks = (
-        again.join(_first_texts(docs, first), ["high", "low"])
+        chunks.join(known, ["high", "low"])
+        .where((F.col("uid") != F.col("_u")) | (F.col("chunk") != F.col("_c")))
         .groupBy(F.col("uid").alias("__line_dedup_key"))
         .agg(F.collect_list(F.struct("chunk", "bytes")).alias("__line_dedup_marks"))  # parts of one text
     )
