@@ -40,6 +40,21 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_worker_memo: dict = {}
+
+
+def worker_memo(key: tuple, make: Callable[[], object]) -> object:
+    """A memo that later tasks of the same Python worker use again.
+
+    A worker has one at a time: the memo of another operator is dropped, so memory does not add up
+    over the operators of a session.
+    """
+    if key not in _worker_memo:
+        _worker_memo.clear()
+        _worker_memo[key] = make()
+    return _worker_memo[key]
+
+
 def arrow_rows(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[str, list] | None]], schema: T.StructType
 ) -> DataFrame:

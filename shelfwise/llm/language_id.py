@@ -17,6 +17,7 @@ language by name; repeated rows are judged each for itself; other columns are ig
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows
+from .common import arrow_rows, worker_memo
 
 SAMPLE_PER_LANGUAGE, MOST_LANGUAGES = 150, 64
 FEATURES = 1 << 16
@@ -210,16 +211,16 @@ def predict(docs: DataFrame, model: Model, *, with_runs: bool = False) -> DataFr
     fields = [T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     run = T.StructType([T.StructField("start", T.LongType()), T.StructField("words", T.LongType()), T.StructField("lang", T.StringType())])
     schema = T.StructType([*fields, *([T.StructField("runs", T.ArrayType(run))] if with_runs else [])])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES x MOST_LANGUAGES at most
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model))  # FEATURES x MOST_LANGUAGES at most
 
     def make():
-        m = shared.value
+        name, m = shared.value
         k = len(m.languages)
-        number: dict[str, int] = {}
-        table = np.zeros((0, k), dtype=np.float32)
+        memo = worker_memo(("emissions", name), lambda: [{}, np.zeros((0, k), dtype=np.float32)])
+        number: dict[str, int] = memo[0]
 
         def learn(words: set[str]) -> None:
-            nonlocal table
+            table = memo[1]
             new = []
             for w in sorted(words):
                 if any(map(str.isalpha, w)):
@@ -228,10 +229,9 @@ def predict(docs: DataFrame, model: Model, *, with_runs: bool = False) -> DataFr
                 else:  # superscripts and the like count as word characters but are no letters
                     number[w] = -1
             if new:
-                table = np.concatenate([table, _emissions(new, m.lexicon, m.weights)])
+                memo[1] = np.concatenate([table, _emissions(new, m.lexicon, m.weights)])
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
-            nonlocal table
             n = batch.num_rows
             best, score, runs = ["und"] * n, np.zeros(n), [[] for _ in range(n)]
             ids: list[np.ndarray] = []
@@ -253,7 +253,7 @@ def predict(docs: DataFrame, model: Model, *, with_runs: bool = False) -> DataFr
                     end += 1
                 part = order[begin:end]
                 lengths = sizes[part]
-                post, index, _ = forward_backward(table[np.concatenate([ids[i] for i in part])], lengths, m.moves, m.begin)
+                post, index, _ = forward_backward(memo[1][np.concatenate([ids[i] for i in part])], lengths, m.moves, m.begin)
                 owner = np.repeat(np.arange(len(part)), lengths)[index]
                 mass = np.stack([np.bincount(owner, post[:, j], len(part)) for j in range(k)], axis=1) / lengths[:, None]
                 for i, top, x in zip(part, mass.argmax(axis=1), mass):
@@ -267,7 +267,7 @@ def predict(docs: DataFrame, model: Model, *, with_runs: bool = False) -> DataFr
                 begin = end
             if len(number) > MEMO_WORDS:
                 number.clear()
-                table = table[:0]
+                memo[1] = memo[1][:0].copy()
             return {"doc_id": batch.column(0), "lang_pred": best, "score": score, "runs": runs}
 
         return work

@@ -15,6 +15,7 @@ columns of the input are ignored.
 from __future__ import annotations
 
 import heapq
+import unicodedata
 import zlib
 
 import numpy as np
@@ -23,11 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, materialise, ranked
+from .common import arrow_rows, materialise, ranked, worker_memo
 
 MAX_TOKENS = 4096
 #: Entries of a worker's memo of encoded words; a full memo is emptied, so this only bounds memory.
-MEMO_WORDS = 800_000
+MEMO_WORDS = 400_000
+
+#: Latin letters before this one are lower-cased one by one, alike here and in tokenizers.
+LETTERS_BELOW = "\u0130"
+#: Byte-level alphabets write bytes that do not print as characters from 256 on.
+BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 
 PIECES = T.StructType(
     [
@@ -38,14 +44,13 @@ PIECES = T.StructType(
         T.StructField("doc_tokens", T.LongType()),
     ]
 )
-_encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer that drops white space and never joins across it.
+    """Ids of texts by a byte-level tokenizer in lower case that drops white space.
 
-    For such a tokenizer the ids of a text are those of its white-space separated words in a
-    row, so each distinct word is encoded once and remembered.
+    Such a tokenizer never joins across white space, so the ids of a text are those of its words in
+    a row, and each distinct word is encoded once and remembered.
     """
 
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
@@ -81,33 +86,22 @@ class WordEncoder:
                 memo[w] = memo[s] + memo[w[len(s) :]]
 
     def _encode_words(self, words: list[bytes]) -> None:
-        plain, other = [], []
+        """A word of letters alone goes straight to the model; others through the whole tokenizer."""
+        tokenize, other = self.tokenizer.model.tokenize, []
         for w in words:
-            (plain if w.isascii() and b"<|" not in w else other).append(w)
-        for i in range(0, len(plain), 1000):
-            part = plain[i : i + 1000]
-            starts = np.cumsum([0, *(len(w) + 1 for w in part)])
-            got = self.tokenizer.encode(b" ".join(part).decode("ascii"), add_special_tokens=False)
-            ids = np.array(got.ids, dtype="<u4")
-            at = np.fromiter((a for a, _ in got.offsets), dtype=np.int64, count=len(ids))
-            ends = np.searchsorted(at, starts[1:], side="left")
-            begin = 0
-            for w, end in zip(part, ends):
-                self.memo[w] = ids[begin:end].tobytes()
-                begin = end
+            text = w.decode("utf-8", "replace")
+            if text.isalpha() and max(text) < LETTERS_BELOW:
+                if not text.isascii():
+                    text = unicodedata.normalize("NFC", text).lower().encode().decode("latin-1").translate(BYTE_CHARS)
+                self.memo[w] = np.array([t.id for t in tokenize(text)], dtype="<u4").tobytes()
+            else:
+                other.append((w, text))
         for i in range(0, len(other), 1000):
             part = other[i : i + 1000]
-            for w, got in zip(part, self.tokenizer.encode_batch([x.decode("utf-8", "replace") for x in part], add_special_tokens=False)):
+            for (w, _), got in zip(part, self.tokenizer.encode_batch([t for _, t in part], add_special_tokens=False)):
                 self.memo[w] = np.array(got.ids, dtype="<u4").tobytes()
 
 
-def _encoder(path: str) -> WordEncoder:
-    """Python workers are used again by later tasks, and so are their memos."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
-
-
 def tokenize_pieces(
     docs: DataFrame, tokenizer_path: str, *, max_tokens: int = MAX_TOKENS, closing_id: int = 2, with_ids: bool = False
 ) -> DataFrame:
@@ -116,7 +110,7 @@ def tokenize_pieces(
     close = np.array([closing_id], dtype="<u4").tobytes()
 
     def make():
-        encoder = _encoder(tokenizer_path)
+        encoder = worker_memo(("words", tokenizer_path), lambda: WordEncoder(tokenizer_path))
 
         def work(batch: pa.RecordBatch) -> dict[str, list]:
             out: dict[str, list] = {f: [] for f in schema.names}
