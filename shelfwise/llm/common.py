@@ -72,6 +72,8 @@ def arrow_rows(
             out = work(batch)
             if out is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)
+            del batch, out
+            pa.default_memory_pool().release_unused()  # a worker lives on, and its free memory counts
 
     return df.mapInArrow(run, schema)
 
