@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontamination, language_id, line_dedup, packing, simhash
+from shelfwise.llm import decontamination, language_id, line_dedup, near_texts, packing, simhash
 from shelfwise.llm.common import materialise, read
 from shelfwise.llm.queries import tokenizer_path
 
@@ -48,8 +48,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: one document of each group stays."""
-    return simhash.keep_one_each(docs)
+    """Operator 1 on shingles of five words: one document of each group of Jaccard 0.8 or more stays."""
+    return near_texts.keep_one_each(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

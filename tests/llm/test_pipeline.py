@@ -1,7 +1,12 @@
 """The pipeline on the smallest tables, and registration."""
 
+import random
+
+import pytest
+
 import __spark_entry__
 import corpus_pipeline
+from shelfwise.llm import near_texts
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -30,3 +35,32 @@ def test_stages(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
+
+
+@pytest.mark.parametrize("paired", [0, 32])
+def test_near_copies_against_brute_force(spark, monkeypatch, paired):
+    """Every group of Jaccard 0.8 or more on five words has one document left, in small and large buckets."""
+    monkeypatch.setattr(near_texts, "PAIRED_BUCKET", paired)
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(5000)}"
+    rows = []
+    for size in (6, 30, 60, 300):
+        for _ in range(6):
+            base = [word() for _ in range(size)]
+            for changed in (0, 0, 1, 1, 2, 3, 6):
+                copy = list(base)
+                for at in rng.sample(range(size), changed):
+                    copy[at] = word()
+                rows.append((len(rows), " ".join(copy)))
+    rows += [(None, rows[0][1].upper()), (900, None), (901, " "), (902, "one two"), (903, "One  two")]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for _, t in rows]
+    groups = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                groups = [groups[j] if g == groups[i] else g for g in groups]
+    want = {min((r[0] for r, g in zip(rows, groups) if g == x and r[0] is not None)) for x in set(groups)}
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [r.doc_id for r in corpus_pipeline.near_copies(spark, docs, SMALL).collect()]
+    assert sorted(got) == sorted(want)
+    assert corpus_pipeline.near_copies(spark, docs.limit(0), SMALL).count() == 0
