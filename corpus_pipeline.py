@@ -43,8 +43,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: repeated multi-line chunks are cut out of the texts."""
-    return _with_text(line_dedup.deduplicate(docs).select(*docs.columns))
+    """Operator 6: repeated runs of lines are cut out of the texts."""
+    return _with_text(line_dedup.deduplicate(docs, whole=True).select(*docs.columns))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,10 @@ so chunks find themselves again when lines were put in or taken out before them.
 several lines that occurs anywhere else is kept where it occurs first, by (doc_id, place), and
 removed elsewhere once its bytes were compared with those of the first.
 
+With ``whole`` every window of two lines is a chunk, so no repeated run of lines is missed whatever
+stands around it: windows overlap, a run goes from its first repeated line to its last, and every
+line of it stays at an earlier place.  Windows of white space alone are none.
+
 Defined results: lines end at ``\\n`` alone; a null text stays null and an empty text empty; a text
 whose every chunk goes becomes empty; null doc_ids come first; repeated rows (same doc_id, same
 text) are one occurrence and are treated alike; single-line chunks always stay; an empty table
@@ -58,11 +62,24 @@ def chunks_of(text: bytes) -> Iterator[list[bytes]]:
         yield lines[begin:]
 
 
+def units_of(text: bytes, whole: bool) -> Iterator[tuple[int, list[bytes]]]:
+    """Where each chunk, or with ``whole`` each window of two lines, begins, and its lines."""
+    if whole:
+        lines = text.split(b"\n")
+        for k, pair in enumerate(zip(lines, lines[1:])):
+            yield k, list(pair) if b"".join(pair).strip() else []
+        return
+    begin = 0
+    for lines in chunks_of(text):
+        yield begin, lines
+        begin += len(lines)
+
+
 def _with_uid(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__line_dedup_uid", F.xxhash64(F.col("doc_id").cast("long"), "text"))
 
 
-def chunk_table(docs: DataFrame) -> DataFrame:
+def chunk_table(docs: DataFrame, whole: bool = False) -> DataFrame:
     """A row for every chunk of two lines or more, with a 128-bit hash of its bytes."""
 
     def make():
@@ -71,7 +88,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
         def work(batch: pa.RecordBatch) -> dict[str, list]:
             out: dict[str, list] = {f: [] for f in CHUNKS.names}
             for uid, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(2)), batch.column(2)):
-                for k, lines in enumerate(chunks_of(text.as_py() or b"")):
+                for k, (_, lines) in enumerate(units_of(text.as_py() or b"", whole)):
                     if len(lines) > 1:
                         h = xxh3_128_intdigest(b"\n".join(lines))
                         high, low = h >> 64, h & _MASK
@@ -88,7 +105,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
     return arrow_rows(texts, make, CHUNKS)
 
 
-def _first_texts(docs: DataFrame, first: DataFrame) -> DataFrame:
+def _first_texts(docs: DataFrame, first: DataFrame, whole: bool = False) -> DataFrame:
     """``(high, low, bytes)`` of first occurrences."""
     schema = T.StructType([*CHUNKS.fields[3:], T.StructField("bytes", T.BinaryType())])
 
@@ -96,7 +113,7 @@ def _first_texts(docs: DataFrame, first: DataFrame) -> DataFrame:
         def work(batch: pa.RecordBatch) -> dict[str, list]:
             out: dict[str, list] = {"high": [], "low": [], "bytes": []}
             for text, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
-                runs = list(chunks_of(text.as_py() or b""))
+                runs = [lines for _, lines in units_of(text.as_py() or b"", whole)]
                 for w in wanted:
                     if w["chunk"] < len(runs):
                         out["high"].append(w["high"])
@@ -115,9 +132,12 @@ def _first_texts(docs: DataFrame, first: DataFrame) -> DataFrame:
     return arrow_rows(rows, make, schema).groupBy("high", "low").agg(F.min("bytes").alias("bytes"))
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated chunks taken out of ``text``, and ``n_lines, n_removed_lines, n_removed_chunks``."""
-    chunks = materialise(chunk_table(docs), "chunks")
+def deduplicate(docs: DataFrame, *, whole: bool = False) -> DataFrame:
+    """``docs`` with repeated chunks taken out of ``text``, and ``n_lines, n_removed_lines, n_removed_chunks``.
+
+    With ``whole`` all repeated runs of two lines or more go, and ``n_removed_chunks`` counts the runs.
+    """
+    chunks = materialise(chunk_table(docs, whole), "chunks")
     first = (
         chunks.groupBy("high", "low")
         .agg(F.countDistinct("uid", "chunk").alias("n"), F.min(F.struct("doc_id", "uid", "chunk")).alias("first"))
@@ -125,7 +145,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         .select("high", "low", F.col("first.uid").alias("uid"), F.col("first.chunk").alias("chunk"))
     )
     first = materialise(first, "firsts")
-    known = first.select("high", "low", F.col("uid").alias("_u"), F.col("chunk").alias("_c")).join(_first_texts(docs, first), ["high", "low"])
+    known = first.select("high", "low", F.col("uid").alias("_u"), F.col("chunk").alias("_c")).join(_first_texts(docs, first, whole), ["high", "low"])
     known = materialise(known, "repeated")
     # one join of two plain exchanges, which Spark may split where a chunk is very frequent
     marks = (
@@ -151,14 +171,15 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                 runs.append(0)
                 if text and there:
                     drop = {m["chunk"]: m["bytes"] for m in there}
-                    left: list[bytes] = []
-                    for k, lines in enumerate(chunks_of(text)):
+                    until = 0  # the end of what was dropped last
+                    dropped: set[int] = set()
+                    for k, (begin, lines) in enumerate(units_of(text, whole)):
                         if k in drop and b"\n".join(lines) == drop[k]:
-                            gone[-1] += len(lines)
-                            runs[-1] += 1
-                        else:
-                            left += lines
-                    text = b"\n".join(left)
+                            dropped.update(range(begin, begin + len(lines)))
+                            runs[-1] += not whole or begin > until or not until
+                            until = begin + len(lines)
+                    gone[-1] = len(dropped)
+                    text = b"\n".join(x for k, x in enumerate(text.split(b"\n")) if k not in dropped)
                 texts.append(text)
             return out | {"_text": texts, "_lines": total, "_gone": gone, "_runs": runs}
 

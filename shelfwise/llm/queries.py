@@ -41,7 +41,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.deduplicate(read(spark, sf_dir, "documents"))
+    done = line_dedup.deduplicate(read(spark, sf_dir, "documents"), whole=True)
     return done.select("doc_id", "text", "n_lines", "n_removed_lines", "n_removed_chunks")
 
 

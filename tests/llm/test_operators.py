@@ -301,6 +301,33 @@ def test_line_dedup_against_brute_force(spark):
     assert line_dedup.deduplicate(docs_of(spark, [])).count() == 0
 
 
+def test_whole_line_runs_against_brute_force(spark):
+    """Passages of 2 to 5 lines between different neighbours go wherever they are not first."""
+    rng = random.Random(8)
+    line = lambda: " ".join(f"{rng.choice(WORDS)}{rng.randrange(10**6)}" for _ in range(30))
+    passages = [[line() for _ in range(n)] for n in (2, 2, 3, 3, 4, 5)]
+    rows = []
+    for i in range(40):
+        parts = [[line() for _ in range(rng.randint(1, 3))] for _ in range(3)]
+        rows.append((i, "\n".join(parts[0] + passages[i % 6] + parts[1] + passages[(i + 3) % 6] + parts[2])))
+    rows += [(50, None), (51, ""), (52, "\n\n\n"), (53, "x\n\n\ny"), (54, "same\nsame\nsame"), (55, "\n".join(passages[0][::-1]))]
+    seen, want = set(), {}
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        gone = set()
+        for k, pair in enumerate(zip(lines, lines[1:])):
+            if "".join(pair).strip():
+                gone |= {k, k + 1} if pair in seen else set()
+                seen.add(pair)
+        starts = sum(k in gone and k - 1 not in gone for k in range(len(lines)))
+        want[i] = (None if t is None else "\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone), starts)
+    got = line_dedup.deduplicate(docs_of(spark, rows), whole=True).collect()
+    assert {r.doc_id: (r.text, r.n_removed_lines) for r in got} == {i: w[:2] for i, w in want.items()}
+    assert all(r.n_removed_chunks == want[r.doc_id][2] for r in got if r.doc_id < 50)
+    left = collections.Counter(x for r in got if r.doc_id < 50 for x in r.text.split("\n"))
+    assert all(left[x] == 1 for p in passages for x in p)
+
+
 def test_line_chunks_find_themselves_again():
     rng = random.Random(1)
     lines = [str(rng.random()).encode() for _ in range(200)]
