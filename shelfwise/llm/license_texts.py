@@ -46,20 +46,39 @@ WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
 General Public License for more details. You should have received a copy of the GNU General Public License along
 with this program. If not, see <https://www.gnu.org/licenses/>."""
 
+BSD_3 = BSD_2.replace(
+    "provided with the distribution. THIS",
+    """provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors
+may be used to endorse or promote products derived from this software without specific prior written permission. THIS""",
+)
+
+GPL_2_NOTICE = GPL_NOTICE.replace("version 3", "version 2")
+AGPL_NOTICE = GPL_NOTICE.replace("General", "Affero General")
+LGPL_3_NOTICE = GPL_NOTICE.replace("General", "Lesser General")
+LGPL_2_1_NOTICE = LGPL_3_NOTICE.replace("version 3", "version 2.1")
+
 TEMPLATES: tuple[tuple[str, str], ...] = (
+    ("AGPL-3.0", AGPL_NOTICE),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", APACHE_NOTICE),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("BSD-2-Clause", BSD_2),
     ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-3-Clause", BSD_3),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("GPL-2.0", GPL_2_NOTICE),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", GPL_NOTICE),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("ISC", ISC),
+    ("LGPL-2.1", LGPL_2_1_NOTICE),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", LGPL_3_NOTICE),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", MIT),
     ("MIT", "Released under the MIT License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),

@@ -393,6 +393,14 @@ def test_licenses(spark, texts):
     assert licenses.scan_licenses(docs_of(spark, [])).count() == 0
 
 
+def test_confusable_licenses_are_told_apart():
+    scanner = licenses.Scanner()
+    for name, text in licenses.TEMPLATES:
+        assert [m[0] for m in scanner.scan(text)] == [name]
+    names = {name for name, text in licenses.TEMPLATES if len(text) > 200}
+    assert {"AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0"} <= names
+
+
 def test_url_filter(spark):
     from datetime import datetime as D
 
