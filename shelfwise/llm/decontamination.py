@@ -150,7 +150,8 @@ class _Queries:
         distinct: dict[tuple, list[int]] = {}
         for item, words in windows:
             distinct.setdefault(tuple(words), []).append(item)
-        self.items = [sorted(set(x)) for x in distinct.values()]
+        # words of items without an id count as hit; there is no id to list
+        self.items = [sorted({i for i in x if i is not None}) for x in distinct.values()]
         self.number = {t: i for i, t in enumerate(dict.fromkeys(t for w in distinct for t in w))}
         self.width = max(map(len, distinct), default=1)
         self.terms = np.full((len(distinct), self.width), -1, dtype=np.int64)

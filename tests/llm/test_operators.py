@@ -198,6 +198,13 @@ def test_decontamination_against_brute_force(spark, texts, windows_a_pass):
     assert decontamination.contamination(docs_of(spark, []), bench).count() == 0
 
 
+def test_decontamination_of_items_without_id(spark):
+    docs = docs_of(spark, [(1, "a b c d"), (2, "c d"), (3, "e")])
+    bench = spark.createDataFrame([(None, "a b"), (7, "a b"), (8, "b c"), (None, "c d")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontamination.contamination(docs, bench).collect()}
+    assert got == {1: (4, 2, True), 2: (2, 0, True), 3: (0, 0, False)}
+
+
 def test_language_id(spark):
     rng = random.Random(2)
     stems = {"en": "the and ing tion was her".split(), "de": "der und ung keit sch zu".split(), "es": "los que ción mente rr ñ".split()}
