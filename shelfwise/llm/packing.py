@@ -15,11 +15,11 @@ columns of the input are ignored.
 from __future__ import annotations
 
 import heapq
-import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,13 +27,18 @@ from pyspark.sql import types as T
 from .common import arrow_rows, materialise, ranked, worker_memo
 
 MAX_TOKENS = 4096
-#: Entries of a worker's memo of encoded words; a full memo is emptied, so this only bounds memory.
-MEMO_WORDS = 400_000
-
-#: Latin letters before this one are lower-cased one by one, alike here and in tokenizers.
-LETTERS_BELOW = "\u0130"
-#: Byte-level alphabets write bytes that do not print as characters from 256 on.
-BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+#: Words of these characters alone are cut here as the tokenizer cuts them; all others go through the whole
+#: tokenizer. Each of these letters is one code point in any normal form and has one in lower case.
+_LETTERS = "a-zA-ZÀ-ÖØ-öø-į"
+_PLAIN = f"^[!-~{_LETTERS}]+$"
+# fixed value: the tokenizer's own pattern, over these characters
+_PIECE = f"('(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+)"
+#: Byte-level alphabets write bytes that do not print as characters from 256 on; the space parts pieces here.
+BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)) if b != 32}
+#: A special string begins so; it is matched before anything is lower-cased.
+SPECIAL = "<|"
+#: Bytes of texts, about, whose distinct words are encoded at once; words of a row given to the tokenizer.
+BYTES_AT_ONCE, WORDS_A_ROW = 24_000_000, 200
 
 PIECES = T.StructType(
     [
@@ -50,56 +55,70 @@ class WordEncoder:
     """Ids of texts by a byte-level tokenizer in lower case that drops white space.
 
     Such a tokenizer never joins across white space, so the ids of a text are those of its words in
-    a row, and each distinct word is encoded once and remembered.
+    a row.  Arrow numbers the words of many texts, each distinct one is encoded once, and NumPy puts the
+    ids of the texts together.
     """
 
-    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {}
-        self.memo_words = memo_words
-
-    def encode(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids of a UTF-8 text."""
-        words = text.split() if b"<|" in text else text.lower().split()
-        memo = self.memo
-        try:
-            return b"".join(map(memo.__getitem__, words))
-        except KeyError:
-            self._learn({w for w in words if w not in memo})
-            out = b"".join(map(memo.__getitem__, words))
-            if len(memo) > self.memo_words:
-                memo.clear()
-            return out
-
-    def _learn(self, words: set[bytes]) -> None:
-        memo, stems = self.memo, {}
-        for w in words:
-            stem = w.rstrip(b".,!")
-            # a letter before the marks: they begin a token of their own there
-            stems[w] = stem if stem != w and stem and chr(stem[-1]).isalpha() and stem[-1] < 128 else w
-        missing = {s for s in stems.values() if s not in memo} | {w[len(s) :] for w, s in stems.items() if s != w and w[len(s) :] not in memo}
-        self._encode_words(list(missing))
-        for w, s in stems.items():
-            if s != w:
-                memo[w] = memo[s] + memo[w[len(s) :]]
-
-    def _encode_words(self, words: list[bytes]) -> None:
-        """A word of letters alone goes straight to the model; others through the whole tokenizer."""
-        tokenize, other = self.tokenizer.model.tokenize, []
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            if text.isalpha() and max(text) < LETTERS_BELOW:
-                if not text.isascii():
-                    text = unicodedata.normalize("NFC", text).lower().encode().decode("latin-1").translate(BYTE_CHARS)
-                self.memo[w] = np.array([t.id for t in tokenize(text)], dtype="<u4").tobytes()
-            else:
-                other.append((w, text))
-        for i in range(0, len(other), 1000):
-            part = other[i : i + 1000]
-            for (w, _), got in zip(part, self.tokenizer.encode_batch([t for _, t in part], add_special_tokens=False)):
-                self.memo[w] = np.array(got.ids, dtype="<u4").tobytes()
+        # the same model for pieces that are cut and written in byte characters already
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith(self.tokenizer.model.end_of_word_suffix)]] = True
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (strings without nulls) in a row, and where each text ends among them."""
+        lists = pc.ascii_split_whitespace(texts)
+        counts, words = np.diff(np.asarray(lists.offsets)), lists.flatten()
+        del lists
+        # words with a special string keep their case
+        words = pc.if_else(pc.match_substring(words, SPECIAL), words, pc.ascii_lower(words)).dictionary_encode()
+        flat, begin, size = self._encode_words(words.dictionary)
+        words = np.asarray(words.indices)
+        size, begin = size[words], begin[words]
+        ends = np.cumsum(size)
+        at = np.repeat(begin - (ends - size), size)
+        at += np.arange(len(at))
+        return flat[at], np.concatenate([[0], ends])[np.cumsum(counts)]
+
+    def _encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words, and where those of each begin and how many they are."""
+        plain = pc.and_not(pc.match_substring_regex(words, _PLAIN), pc.match_substring(words, SPECIAL))
+        ascii_ = pc.string_is_ascii(words)
+        flat, begin, size, total = [np.zeros(0, dtype="<u4")], np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), 0
+        for which, encode in ((pc.and_(plain, ascii_), self._plain), (pc.and_not(plain, ascii_), self._plain), (pc.invert(plain), self._other)):
+            which = np.flatnonzero(which.to_numpy(zero_copy_only=False))
+            ids, ends = encode(words.take(pa.array(which)))
+            size[which] = np.diff(ends, prepend=0)
+            begin[which] = total + ends - size[which]
+            flat.append(ids)
+            total += len(ids)
+        return np.concatenate(flat), begin, size
+
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Every piece ends with the one id of it that closes a word."""
+        words = pc.utf8_lower(words)
+        pieces = pc.count_substring_regex(words, _PIECE).to_numpy(zero_copy_only=False)
+        words = pc.replace_substring_regex(words, _PIECE, "\\1 ").cast(pa.large_binary())
+        text, offsets = words.buffers()[2], np.frombuffer(words.buffers()[1], dtype=np.int64)[: len(words) + 1]
+        cuts = [*offsets[:-1:WORDS_A_ROW].tolist(), int(offsets[-1])] if len(words) else [0]
+        rows = [text[a:b].to_pybytes().decode("latin-1") for a, b in zip(cuts, cuts[1:])]
+        rows = [r if r.isascii() else r.translate(BYTE_CHARS) for r in rows]
+        ids = [np.array(e.ids, dtype="<u4") for e in self.bare.encode_batch_fast(rows, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, dtype="<u4"), *ids])
+        ends = np.concatenate([[0], np.flatnonzero(self.closes[ids]) + 1])
+        if len(ends) != pieces.sum() + 1 or ends[-1] != len(ids):
+            raise ValueError("the tokenizer does not close every piece with one id")
+        return ids, ends[np.cumsum(pieces)]
+
+    def _other(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, dtype="<u4"), *found]), np.cumsum([len(x) for x in found], dtype=np.int64)
 
 
 def tokenize_pieces(
@@ -110,27 +129,33 @@ def tokenize_pieces(
     close = np.array([closing_id], dtype="<u4").tobytes()
 
     def make():
-        encoder = worker_memo(("words", tokenizer_path), lambda: WordEncoder(tokenizer_path))
+        encoder = worker_memo(("tokenizer", tokenizer_path), lambda: WordEncoder(tokenizer_path))
 
         def work(batch: pa.RecordBatch) -> dict[str, list]:
             out: dict[str, list] = {f: [] for f in schema.names}
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.encode(text.as_py() or b"") + close
-                n = len(ids) // 4
-                for start in range(0, n, max_tokens):
-                    piece = ids[4 * start : 4 * (start + max_tokens)]
-                    out["doc_id"].append(doc_id)
-                    out["start"].append(start)
-                    out["length"].append(len(piece) // 4)
-                    out["ids_crc32"].append(zlib.crc32(piece))
-                    out["doc_tokens"].append(n)
-                    if with_ids:
-                        out["ids"].append(np.frombuffer(piece, dtype="<i4"))
+            texts = pc.fill_null(batch.column(1), "")
+            size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+            cuts = np.flatnonzero(np.diff(size // BYTES_AT_ONCE)) + 1  # texts of about so many bytes at once
+            for low, high in zip([0, *cuts], [*cuts, len(texts)]):
+                ids, ends = encoder.encode(texts.slice(low, high - low))
+                raw, begin = memoryview(ids.tobytes()), 0
+                for doc_id, end in zip(batch.column(0).slice(low, high - low).to_pylist(), ends.tolist()):
+                    mine, n = b"".join((raw[4 * begin : 4 * end], close)), end - begin + 1
+                    begin = end
+                    for start in range(0, n, max_tokens):
+                        piece = mine[4 * start : 4 * (start + max_tokens)]
+                        out["doc_id"].append(doc_id)
+                        out["start"].append(start)
+                        out["length"].append(len(piece) // 4)
+                        out["ids_crc32"].append(zlib.crc32(piece))
+                        out["doc_tokens"].append(n)
+                        if with_ids:
+                            out["ids"].append(np.frombuffer(piece, dtype="<i4"))
             return out
 
         return work
 
-    return arrow_rows(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")), make, schema)
+    return arrow_rows(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")), make, schema)
 
 
 def packing_patterns(histogram: dict[int, int], max_tokens: int = MAX_TOKENS) -> list[tuple[int, list[tuple[int, int]]]]:

@@ -155,15 +155,23 @@ def test_packing_patterns_hold_every_length():
     assert sum(k * n for k, n in prose.items()) / 4096 / packs > 0.97
 
 
-def test_word_memo_equals_tokenizer():
+def test_word_encoder_equals_tokenizer():
+    """Ids of words put together are those of the tokenizer on the whole text, special strings included."""
+    import pyarrow as pa
     from tokenizers import Tokenizer
 
-    tok, enc = Tokenizer.from_file(tokenizer_path()), packing.WordEncoder(tokenizer_path(), memo_words=20)
+    tok, enc = Tokenizer.from_file(tokenizer_path()), packing.WordEncoder(tokenizer_path())
     rng = random.Random(9)
-    pool = ["Été", "ÀÈß", "ñandú,", "\u00e9t\u00e9.", "Straße", "Ĳssel", "Đa", "ªº", "Don't", "it's,", "a.b!", "!!", "x1y22", "é", "É́", "ﬁ", "<|endoftext|>", "<|ENDOFTEXT|>", "日本", "don't!.", "'s", " ", "ΣΑΣ", "--,", "A,", "🙂."]
-    for _ in range(200):
-        text = rng.choice([" ", "\n", "\t "]).join(rng.choice(pool) for _ in range(rng.randint(0, 12)))
-        assert np.frombuffer(enc.encode(text.encode()), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
+    pool = ["Été", "ÀÈß", "ñandú,", "\u00e9t\u00e9.", "Straße", "Ĳssel", "Đa", "ªº", "Don't", "it's,", "a.b!", "!!", "x1y22", "é", "É́", "ﬁ", "<|endoftext|>", "<|ENDOFTEXT|>", "日本", "don't!.", "'s", " ", "ΣΑΣ", "--,", "A,", "🙂."]
+    pool += ["<|EndOfText|>", "a<|startoftext|>B", "<|", "<<|a|>", "The", "Hello", "</w>", "w</w>x", "''ll", "'S'T", "a\u00a0B", "x\x85Y", "\x1cA", "\x00", "İstanbul", "²³", "µg", "Ⅷ", "_a_B", "éÉ1é'd"]
+    char = lambda: chr(rng.choice([rng.randrange(32, 127), rng.randrange(32, 0x180), rng.randrange(32, 0x3000)]))
+    word = lambda: rng.choice(pool) if rng.random() < 0.7 else "".join(char() for _ in range(rng.randint(1, 6)))
+    for _ in range(250):
+        texts = [rng.choice([" ", "\n", "\t ", "", "  "]).join(word() for _ in range(rng.randint(0, 9))) + rng.choice(["", " "]) for _ in range(4)]
+        ids, ends = enc.encode(pa.array(texts, pa.string()))
+        assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [tok.encode(t, add_special_tokens=False).ids for t in texts], texts
+    for t in ("The <| sign", "Hello World <|x", "A, <|endoftext|>", "<|EndOfText|> Hi"):
+        assert enc.encode(pa.array([t]))[0].tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
 def matches_by_hand(text, items, width=10):
