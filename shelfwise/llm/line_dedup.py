@@ -1,18 +1,21 @@
 """Line dedup on content-defined chunks.
 
-A rolling hash over the hashes of the last few lines of a text decides where a chunk of lines ends,
-so chunks find themselves again when lines were put in or taken out before them.  A chunk of
-several lines that occurs anywhere else is kept where it occurs first, by (doc_id, place), and
-removed elsewhere once its bytes were compared with those of the first.
+A rolling hash over the hashes of the last ``WINDOW`` lines chooses boundaries: a window whose hash is 0
+modulo ``one_in`` ends a chunk.  Chunks find themselves again when lines were put in or taken out before
+them, and neighbours share ``WINDOW - 1`` lines, so that the lines of a boundary are whole in a chunk.
+A chunk of several lines that occurs anywhere else is kept where it occurs first, by (doc_id, place), and
+removed elsewhere once its bytes were compared with those of the first.  A line of over ``LONG_WORDS`` words
+is a passage by itself and counts as a chunk of its own, too.
 
-With ``whole`` every window of two lines is a chunk, so no repeated run of lines is missed whatever
-stands around it: windows overlap, a run goes from its first repeated line to its last, and every
-line of it stays at an earlier place.  Windows of white space alone are none.
+``ONE_IN`` is 1 by default: every window is a boundary, and no repeated run of two lines or more is missed
+whatever stands around it.  A larger one makes fewer and longer chunks, and misses runs without two
+boundaries of their own (README has figures).
 
 Defined results: lines end at ``\\n`` alone; a null text stays null and an empty text empty; a text
-whose every chunk goes becomes empty; null doc_ids come first; repeated rows (same doc_id, same
-text) are one occurrence and are treated alike; single-line chunks always stay; an empty table
-gives no rows; other columns pass through ``deduplicate`` unchanged.
+whose every chunk goes becomes empty; a very long text is read whole, by one task; null doc_ids come
+first; repeated rows (same doc_id, same text) are one occurrence and are treated alike; other single lines and
+chunks of white space alone always stay; an empty table gives no rows.  Other columns pass through
+unchanged; the three counts replace input columns of their names, and with ``counts=False`` there are none.
 """
 
 from __future__ import annotations
@@ -26,10 +29,13 @@ from pyspark.sql import types as T
 
 from .common import arrow_rows, materialise
 
-#: Lines under the rolling hash, one boundary in so many lines, and least and most lines of a chunk.
-WINDOW, ONE_IN, LEAST, MOST = 2, 2, 2, 64
-#: First occurrences that may be broadcast (24 bytes each); more of them are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Lines under the rolling hash, one boundary in so many windows, and most lines of a chunk.
+WINDOW, ONE_IN, MOST = 2, 1, 64
+#: Words of a line beyond which it is a chunk of its own.
+LONG_WORDS = 50
+#: First occurrences may be broadcast up to so many bytes, of so many each; beyond, a shuffle joins them.
+BROADCAST_BYTES, FIRST_BYTES = 8_000_000, 40
+COUNTS = ("n_lines", "n_removed_lines", "n_removed_chunks")
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15  # odd; any such multiplier does
 
@@ -44,8 +50,8 @@ CHUNKS = T.StructType(
 )
 
 
-def chunks_of(text: bytes) -> Iterator[list[bytes]]:
-    """The lines of a text, in content-defined runs."""
+def chunks_of(text: bytes, one_in: int = ONE_IN) -> Iterator[tuple[int, list[bytes]]]:
+    """The first line and the lines of each content-defined chunk of two lines or more."""
     from xxhash import xxh64_intdigest
 
     lines, last, begin, rolling = text.split(b"\n"), [0] * WINDOW, 0, 0
@@ -54,33 +60,31 @@ def chunks_of(text: bytes) -> Iterator[list[bytes]]:
         h = xxh64_intdigest(line)
         rolling = (rolling * _BASE + h - last[k % WINDOW] * drop) & _MASK
         last[k % WINDOW] = h
-        n = k + 1 - begin
-        if n >= MOST or n >= LEAST and (rolling >> 32) % ONE_IN == 0:
-            yield lines[begin : k + 1]
-            begin = k + 1
-    if begin < len(lines):
-        yield lines[begin:]
-
-
-def units_of(text: bytes, whole: bool) -> Iterator[tuple[int, list[bytes]]]:
-    """Where each chunk, or with ``whole`` each window of two lines, begins, and its lines."""
-    if whole:
-        lines = text.split(b"\n")
-        for k, pair in enumerate(zip(lines, lines[1:])):
-            yield k, list(pair) if b"".join(pair).strip() else []
-        return
-    begin = 0
-    for lines in chunks_of(text):
-        yield begin, lines
-        begin += len(lines)
+        if k + 1 >= WINDOW and ((rolling >> 32) % one_in == 0 or k + 1 - begin >= MOST):
+            yield begin, lines[begin : k + 1]
+            begin = k + 2 - WINDOW
+    if begin + 1 < len(lines):
+        yield begin, lines[begin:]
+
+
+def _units(text: bytes | None, one_in: int) -> Iterator[tuple[int, int, bytes]]:
+    """Number (in text order), first line and bytes of the chunks that may be removed."""
+    text = text or b""
+    for begin, lines in chunks_of(text, one_in):
+        whole = b"\n".join(lines)
+        if whole.strip():
+            yield 2 * begin, begin, whole
+    for k, line in enumerate(text.split(b"\n")):
+        if len(line) > 2 * LONG_WORDS and len(line.split()) > LONG_WORDS:
+            yield 2 * k + 1, k, line
 
 
 def _with_uid(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__line_dedup_uid", F.xxhash64(F.col("doc_id").cast("long"), "text"))
 
 
-def chunk_table(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """A row for every chunk of two lines or more, with a 128-bit hash of its bytes."""
+def chunk_table(docs: DataFrame, one_in: int = ONE_IN) -> DataFrame:
+    """A row for every chunk, with a 128-bit hash of its bytes."""
 
     def make():
         from xxhash import xxh3_128_intdigest
@@ -88,15 +92,14 @@ def chunk_table(docs: DataFrame, whole: bool = False) -> DataFrame:
         def work(batch: pa.RecordBatch) -> dict[str, list]:
             out: dict[str, list] = {f: [] for f in CHUNKS.names}
             for uid, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(2)), batch.column(2)):
-                for k, (_, lines) in enumerate(units_of(text.as_py() or b"", whole)):
-                    if len(lines) > 1:
-                        h = xxh3_128_intdigest(b"\n".join(lines))
-                        high, low = h >> 64, h & _MASK
-                        out["uid"].append(uid)
-                        out["doc_id"].append(doc_id)
-                        out["chunk"].append(k)
-                        out["high"].append(high - (1 << 64) if high >> 63 else high)
-                        out["low"].append(low - (1 << 64) if low >> 63 else low)
+                for k, _, whole in _units(text.as_py(), one_in):
+                    h = xxh3_128_intdigest(whole)
+                    high, low = h >> 64, h & _MASK
+                    out["uid"].append(uid)
+                    out["doc_id"].append(doc_id)
+                    out["chunk"].append(k)
+                    out["high"].append(high - (1 << 64) if high >> 63 else high)
+                    out["low"].append(low - (1 << 64) if low >> 63 else low)
             return out
 
         return work
@@ -105,7 +108,7 @@ def chunk_table(docs: DataFrame, whole: bool = False) -> DataFrame:
     return arrow_rows(texts, make, CHUNKS)
 
 
-def _first_texts(docs: DataFrame, first: DataFrame, whole: bool = False) -> DataFrame:
+def _first_texts(docs: DataFrame, first: DataFrame, one_in: int) -> DataFrame:
     """``(high, low, bytes)`` of first occurrences."""
     schema = T.StructType([*CHUNKS.fields[3:], T.StructField("bytes", T.BinaryType())])
 
@@ -113,18 +116,18 @@ def _first_texts(docs: DataFrame, first: DataFrame, whole: bool = False) -> Data
         def work(batch: pa.RecordBatch) -> dict[str, list]:
             out: dict[str, list] = {"high": [], "low": [], "bytes": []}
             for text, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
-                runs = [lines for _, lines in units_of(text.as_py() or b"", whole)]
+                runs = {k: whole for k, _, whole in _units(text.as_py(), one_in)}
                 for w in wanted:
-                    if w["chunk"] < len(runs):
+                    if w["chunk"] in runs:
                         out["high"].append(w["high"])
                         out["low"].append(w["low"])
-                        out["bytes"].append(b"\n".join(runs[w["chunk"]]))
+                        out["bytes"].append(runs[w["chunk"]])
             return out
 
         return work
 
     wanted = first.groupBy("uid").agg(F.collect_list(F.struct("chunk", "high", "low")).alias("wanted"))  # of one text
-    if first.count() <= BROADCAST_ROWS:
+    if first.count() * FIRST_BYTES <= BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
     # equal rows have equal texts; one of them is enough
     texts = _with_uid(docs).select("__line_dedup_uid", "text").join(wanted, F.col("__line_dedup_uid") == F.col("uid"))
@@ -132,64 +135,63 @@ def _first_texts(docs: DataFrame, first: DataFrame, whole: bool = False) -> Data
     return arrow_rows(rows, make, schema).groupBy("high", "low").agg(F.min("bytes").alias("bytes"))
 
 
-def deduplicate(docs: DataFrame, *, whole: bool = False) -> DataFrame:
+def _runs(lines: set[int]) -> int:
+    return sum(k - 1 not in lines for k in lines)
+
+
+def deduplicate(docs: DataFrame, *, one_in: int = ONE_IN, counts: bool = True) -> DataFrame:
     """``docs`` with repeated chunks taken out of ``text``, and ``n_lines, n_removed_lines, n_removed_chunks``.
 
-    With ``whole`` all repeated runs of two lines or more go, and ``n_removed_chunks`` counts the runs.
+    Chunks that overlap or touch are removed as one, and ``n_removed_chunks`` counts those.
     """
-    chunks = materialise(chunk_table(docs, whole), "chunks")
+    chunks = materialise(chunk_table(docs, one_in), "chunks")
+    place = F.struct("doc_id", "uid", "chunk")
     first = (
         chunks.groupBy("high", "low")
-        .agg(F.countDistinct("uid", "chunk").alias("n"), F.min(F.struct("doc_id", "uid", "chunk")).alias("first"))
-        .where("n > 1")
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .where(F.col("first") != F.col("last"))
         .select("high", "low", F.col("first.uid").alias("uid"), F.col("first.chunk").alias("chunk"))
     )
     first = materialise(first, "firsts")
-    known = first.select("high", "low", F.col("uid").alias("_u"), F.col("chunk").alias("_c")).join(_first_texts(docs, first, whole), ["high", "low"])
+    known = first.select("high", "low", F.col("uid").alias("_u"), F.col("chunk").alias("_c")).join(_first_texts(docs, first, one_in), ["high", "low"])
     known = materialise(known, "repeated")
-    # one join of two plain exchanges, which Spark may split where a chunk is very frequent
+    # one join of two plain exchanges, which Spark may split where a chunk is very frequent; equal rows
+    # have the same marks, so a set of them is no larger than the chunks of one text
     marks = (
         chunks.join(known, ["high", "low"])
         .where((F.col("uid") != F.col("_u")) | (F.col("chunk") != F.col("_c")))
         .groupBy(F.col("uid").alias("__line_dedup_key"))
-        .agg(F.collect_list(F.struct("chunk", "bytes")).alias("__line_dedup_marks"))  # parts of one text
+        .agg(F.collect_set(F.struct("chunk", "bytes")).alias("__line_dedup_marks"))
     )
-    extra = [T.StructField("_text", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("_lines", "_gone", "_runs"))]
-    names = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed_lines", "n_removed_chunks")]
+    # columns go through the task by number, so that no name of theirs can clash
+    names = [c for c in docs.columns if c != "text" and not (counts and c in COUNTS)]
     joined = _with_uid(docs).join(marks, F.col("__line_dedup_uid") == F.col("__line_dedup_key"), "left")
-    joined = joined.select(*(docs[c] for c in names), F.col("text").cast("binary").alias("text"), "__line_dedup_marks")
-    schema = T.StructType([*(docs.schema[c] for c in names), *extra])
+    joined = joined.select(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(names)), F.col("text").cast("binary").alias("_text"), "__line_dedup_marks")
+    added = [T.StructField("_text", T.BinaryType()), *(T.StructField(f"_{c}", T.LongType()) for c in COUNTS)]
+    schema = T.StructType([*(T.StructField(f"_{i}", docs.schema[c].dataType) for i, c in enumerate(names)), *added])
 
     def make():
         def work(batch: pa.RecordBatch) -> dict[str, object]:
-            out: dict[str, object] = {c: batch.column(i) for i, c in enumerate(names)}
+            out: dict[str, object] = {f"_{i}": batch.column(i) for i in range(len(names))}
             texts, total, gone, runs = [], [], [], []
             for text, marks_here in zip(batch.column(len(names)), batch.column(len(names) + 1)):
                 text, there = text.as_py(), marks_here.as_py()
                 total.append(text.count(b"\n") + 1 if text else 0)
-                gone.append(0)
-                runs.append(0)
+                dropped: set[int] = set()
                 if text and there:
-                    drop = {m["chunk"]: m["bytes"] for m in there}
-                    until = 0  # the end of what was dropped last
-                    dropped: set[int] = set()
-                    for k, (begin, lines) in enumerate(units_of(text, whole)):
-                        if k in drop and b"\n".join(lines) == drop[k]:
-                            dropped.update(range(begin, begin + len(lines)))
-                            runs[-1] += not whole or begin > until or not until
-                            until = begin + len(lines)
-                    gone[-1] = len(dropped)
+                    first_bytes = {m["chunk"]: m["bytes"] for m in there}
+                    for k, begin, whole in _units(text, one_in):
+                        if first_bytes.get(k) == whole:
+                            dropped.update(range(begin, begin + whole.count(b"\n") + 1))
                     text = b"\n".join(x for k, x in enumerate(text.split(b"\n")) if k not in dropped)
+                gone.append(len(dropped))
+                runs.append(_runs(dropped))
                 texts.append(text)
-            return out | {"_text": texts, "_lines": total, "_gone": gone, "_runs": runs}
+            return out | {"_text": texts} | dict(zip((f"_{c}" for c in COUNTS), (total, gone, runs)))
 
         return work
 
     done = arrow_rows(joined, make, schema)
-    cols = [F.col("_text").cast("string").alias(c) if c == "text" else F.col(c) for c in docs.columns]
-    return done.select(
-        *(c for c, n in zip(cols, docs.columns) if n not in ("n_lines", "n_removed_lines", "n_removed_chunks")),
-        F.col("_lines").alias("n_lines"),
-        F.col("_gone").alias("n_removed_lines"),
-        F.col("_runs").alias("n_removed_chunks"),
-    )
+    place_of = {c: f"_{i}" for i, c in enumerate(names)} | {"text": "_text"}
+    kept = [F.col(place_of[c]).cast("string").alias(c) if c == "text" else F.col(place_of[c]).alias(c) for c in docs.columns if c in place_of]
+    return done.select(*kept, *(F.col(f"_{c}").alias(c) for c in COUNTS if counts))

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.llm import chat, decontamination, embedding_dedup, language_id, licenses, line_dedup, packing, pii, simhash, templates, url_filter
 from shelfwise.llm.components import connected_components
@@ -287,68 +288,88 @@ def test_pii_base_spans_against_patterns(spark, texts):
     assert pii.find_pii(docs_of(spark, [(1, None)])).first().spans == ""
 
 
-def test_line_dedup_against_brute_force(spark):
+def lines_gone(rows, units):
+    """Per distinct row, in order, the lines of units that occurred before."""
+    seen, gone = set(), {}
+    for row in rows:
+        lines, gone[row] = (row[1] or "").split("\n"), set()
+        for begin, end in units(lines):
+            part = tuple(lines[begin:end])
+            if "".join(part).strip():
+                gone[row] |= set(range(begin, end)) if part in seen else set()
+                seen.add(part)
+    return gone
+
+
+def without(text, gone):
+    return None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
+
+
+@pytest.mark.parametrize("one_in", [1, 3])
+def test_line_dedup_against_brute_force(spark, one_in):
     rng = random.Random(6)
-    line = lambda: " ".join(rng.choice(WORDS) for _ in range(5))
-    passage = [line() for _ in range(12)]
+    line = lambda n=5: " ".join(rng.choice(WORDS) for _ in range(n))
+    passage, long = [line() for _ in range(12)], line(51)
     rows = []
     for i in range(60):
-        own = [line() for _ in range(rng.randint(0, 9))]
+        own = [line() for _ in range(rng.randint(0, 9))] + ([long] if i % 7 == 1 else [])
         at = rng.randint(0, len(own))
         rows.append((i, "\n".join(own[:at] + (passage if i % 3 == 0 else []) + own[at:])))
-    rows += [(60, None), (61, ""), (62, "\n\n\n\n"), (63, rows[3][1]), (None, rows[6][1]), (5, rows[5][1])]
-    got = line_dedup.deduplicate(docs_of(spark, rows))
-    assert got.columns[:9] == docs_of(spark, []).columns
-    seen, want = set(), collections.defaultdict(list)
-    for i, t in sorted(dict.fromkeys(rows), key=lambda r: (r[0] is not None, r[0])):
-        left = []
-        for c in line_dedup.chunks_of((t or "").encode()):
-            k = b"\n".join(c)
-            if len(c) == 1 or k not in seen:
-                left += c
-            if len(c) > 1:
-                seen.add(k)
-        want[i].append(None if t is None else b"\n".join(left).decode())
-    for r in got.collect():
-        assert r.text in want[r.doc_id]
-        assert r.uid == "u" and r.chunk == 1
-    assert sum(r.n_removed_lines for r in got.collect()) > 100
+    rows += [(60, None), (61, ""), (62, "\n\n\n\n"), (63, rows[3][1]), (None, rows[6][1]), (5, rows[5][1]), (64, f"{line(50)}\nx"), (64, " ".join(long.split()[:50]))]
+    table = docs_of(spark, rows).selectExpr("*", "77 as n_lines", "'t' as _text", "3 as _runs", "4 as `a.b`", "5 as high")
+
+    def units(lines):
+        found = [(begin, begin + len(c)) for begin, c in line_dedup.chunks_of("\n".join(lines).encode(), one_in)]
+        return found + [(k, k + 1) for k, x in enumerate(lines) if len(x.split()) > 50]
+
+    gone = lines_gone(sorted(dict.fromkeys(rows), key=lambda r: (r[0] is not None, r[0])), units)
+    want = collections.Counter((i, without(t, gone[i, t]), len(gone[i, t])) for i, t in rows)
+    got = line_dedup.deduplicate(table, one_in=one_in)
+    found = got.collect()
+    assert collections.Counter((r.doc_id, r.text, r.n_removed_lines) for r in found) == want
+    assert got.columns == [c for c in table.columns if c != "n_lines"] + ["n_lines", "n_removed_lines", "n_removed_chunks"]
+    assert all((r.uid, r.chunk, r._text, r._runs, r["a.b"], r.high) == ("u", 1, "t", 3, 4, 5) for r in found)
+    plain = line_dedup.deduplicate(table, one_in=one_in, counts=False)
+    assert plain.columns == table.columns and {r.n_lines for r in plain.collect()} == {77}
+    assert sum(r.n_removed_lines for r in found) > 100 and all(long in r.text for r in found if r.doc_id == 1)
     assert line_dedup.deduplicate(docs_of(spark, [])).count() == 0
 
 
-def test_whole_line_runs_against_brute_force(spark):
-    """Passages of 2 to 5 lines between different neighbours go wherever they are not first."""
+def test_repeated_line_runs_are_all_found(spark):
+    """Passages of 2 to 5 lines between different neighbours, and long lines alone, go wherever they are not first."""
     rng = random.Random(8)
-    line = lambda: " ".join(f"{rng.choice(WORDS)}{rng.randrange(10**6)}" for _ in range(30))
-    passages = [[line() for _ in range(n)] for n in (2, 2, 3, 3, 4, 5)]
+    line = lambda n=30: " ".join(f"{rng.choice(WORDS)}{rng.randrange(10**6)}" for _ in range(n))
+    passages = [[line() for _ in range(n)] for n in (2, 2, 3, 3, 4, 5)] + [[line(51)]]
     rows = []
     for i in range(40):
         parts = [[line() for _ in range(rng.randint(1, 3))] for _ in range(3)]
-        rows.append((i, "\n".join(parts[0] + passages[i % 6] + parts[1] + passages[(i + 3) % 6] + parts[2])))
+        rows.append((i, "\n".join(parts[0] + passages[i % 7] + parts[1] + passages[(i + 3) % 7] + parts[2])))
     rows += [(50, None), (51, ""), (52, "\n\n\n"), (53, "x\n\n\ny"), (54, "same\nsame\nsame"), (55, "\n".join(passages[0][::-1]))]
-    seen, want = set(), {}
-    for i, t in rows:
-        lines = (t or "").split("\n")
-        gone = set()
-        for k, pair in enumerate(zip(lines, lines[1:])):
-            if "".join(pair).strip():
-                gone |= {k, k + 1} if pair in seen else set()
-                seen.add(pair)
-        starts = sum(k in gone and k - 1 not in gone for k in range(len(lines)))
-        want[i] = (None if t is None else "\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone), starts)
-    got = line_dedup.deduplicate(docs_of(spark, rows), whole=True).collect()
-    assert {r.doc_id: (r.text, r.n_removed_lines) for r in got} == {i: w[:2] for i, w in want.items()}
-    assert all(r.n_removed_chunks == want[r.doc_id][2] for r in got if r.doc_id < 50)
+    gone = lines_gone(rows, lambda lines: [(k, k + 2) for k in range(len(lines) - 1)] + [(k, k + 1) for k, x in enumerate(lines) if len(x.split()) > 50])
+    got = line_dedup.deduplicate(docs_of(spark, rows)).collect()
+    assert {(r.doc_id, r.text, r.n_removed_lines) for r in got} == {(i, without(t, gone[i, t]), len(gone[i, t])) for i, t in rows}
+    by = {r[0]: gone[r] for r in rows}
+    assert all(r.n_removed_chunks == sum(k - 1 not in by[r.doc_id] for k in by[r.doc_id]) for r in got)
     left = collections.Counter(x for r in got if r.doc_id < 50 for x in r.text.split("\n"))
     assert all(left[x] == 1 for p in passages for x in p)
 
 
+def test_many_equal_rows_cost_no_more_than_others(spark):
+    """Equal rows are one occurrence; their marks do not grow with their number."""
+    text = "\n".join(f"line {k} of the text" for k in range(12))
+    rows = spark.range(20_000).selectExpr("7L as doc_id", "if(id % 2 = 0, 'a\nb', NULL) as other").withColumn("text", F.lit(text))
+    rows = rows.unionByName(spark.createDataFrame([(9, None, text), (1, None, "line 3 of the text\nline 4 of the text")], "doc_id long, other string, text string"))
+    got = line_dedup.deduplicate(rows).groupBy("doc_id", "text", "n_removed_lines").count().collect()
+    short = without(text, {3, 4})
+    assert {tuple(r) for r in got} == {(7, short, 2, 20_000), (9, "", 12, 1), (1, "line 3 of the text\nline 4 of the text", 0, 1)}
+
+
 def test_line_chunks_find_themselves_again():
     rng = random.Random(1)
     lines = [str(rng.random()).encode() for _ in range(200)]
-    a = [b"\n".join(c) for c in line_dedup.chunks_of(b"\n".join(lines))]
-    b = [b"\n".join(c) for c in line_dedup.chunks_of(b"\n".join([b"new", *lines]))]
-    assert len(set(a) & set(b)) > 0.9 * len(a) and b"\n".join(a) == b"\n".join(lines)
+    a = [b"\n".join(c) for _, c in line_dedup.chunks_of(b"\n".join(lines), 3)]
+    b = [b"\n".join(c) for _, c in line_dedup.chunks_of(b"\n".join([b"new", *lines]), 3)]
+    assert len(set(a) & set(b)) > 0.9 * len(a) and len(a) < 100
 
 
 def test_embeddings_against_brute_force(spark):
