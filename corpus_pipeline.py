@@ -1,7 +1,13 @@
 """A training corpus from raw documents: five operators in a row.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last return the
-columns of ``documents``.
+columns of ``documents``, and pass columns that are not theirs through.
+
+Defined results of every stage: an empty table gives an empty one.  Language: a null text, or one without
+a letter, has no language and goes.  Lines: null and empty texts stay as they are; a text whose every line is
+a repeat becomes empty; ``n_chars`` is counted anew.  Near copies: of rows that are equal, or whose texts have
+no word, one stays, that of the least doc_id (nulls last).  Leaks: null and empty texts stay; equal rows stay
+or go together.  Packing: a null text is empty.  Very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -9,13 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontamination, language_id, line_dedup, near_texts, packing, simhash
-from shelfwise.llm.common import materialise, read
+from shelfwise.llm import decontamination, language_id, line_dedup, near_texts, packing
+from shelfwise.llm.common import materialise, read, row_key
 from shelfwise.llm.queries import tokenizer_path
 
-#: A text needs a letter; one without is no language, and nothing else is rejected.
-REJECTED = "und"
-
+#: Least share of a text's words that its language must hold; with less there is no language of the text.
+MAJORITY = 0.5
 
 def _with_text(docs: DataFrame) -> DataFrame:
     """Characters counted anew after a stage that changes texts."""
@@ -24,38 +29,34 @@ def _with_text(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Texts under a key of the whole row, so that rows with equal or no doc_ids are told apart."""
-    return docs.select(simhash.row_key().alias("doc_id"), "text")
-
-
-def _without(docs: DataFrame, bad: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose key is a doc_id of ``bad``."""
-    bad = bad.select(F.col("doc_id").alias("__bad_key")).distinct()
-    return docs.join(bad, simhash.row_key() == F.col("__bad_key"), "left_anti")
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: documents in no language go."""
+    """Operator 4: documents go in which no language holds ``MAJORITY`` of the words, by the posteriors of
+    the random field, and so do those without a letter (``und``, score 0).
+
+    A table without one labelled text has no languages to learn, and all its documents stay.
+    """
     model = language_id.train(language_id.training_sample(docs))
-    found = language_id.predict(_keyed(docs), model).where(F.col("lang_pred") == REJECTED)
-    return _without(docs, materialise(found, "rejected")) if model.languages else docs
+    if not model.languages:
+        return docs
+    return language_id.predict(docs, model, with_row=True).where(F.col("score") >= MAJORITY).select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: repeated runs of lines are cut out of the texts."""
-    return _with_text(line_dedup.deduplicate(docs, whole=True).select(*docs.columns))
+    """Operator 6: repeated runs of lines are cut out of the texts; every document stays."""
+    return _with_text(line_dedup.deduplicate(docs, counts=False))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1 on shingles of five words: one document of each group of Jaccard 0.8 or more stays."""
+    """Operator 1 on shingles of five words, completed to every pair of Jaccard 0.8 or more: one document
+    of each group stays."""
     return near_texts.keep_one_each(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: documents that hold a window of a benchmark item go."""
-    found = decontamination.contamination(_keyed(docs), read(spark, sf_dir, "benchmark")).where("contaminated")
-    return _without(docs, materialise(found, "leaks"))
+    keyed = docs.select(row_key().alias("__leak"), "text")
+    found = decontamination.contamination(keyed, read(spark, sf_dir, "benchmark"), ids=("__leak",)).where("contaminated")
+    return docs.join(materialise(found.select("__leak").distinct(), "leaks"), row_key() == F.col("__leak"), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

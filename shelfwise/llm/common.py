@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,14 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key() -> Column:
+    """128 bits of a document row (doc_id and text), to tell rows with equal or no doc_ids apart."""
+    row = (F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return F.struct(F.xxhash64(*row).alias("a"), F.xxhash64(F.lit(1), *row).alias("b"))
+
+
+ROW_KEY = T.StructType([T.StructField(c, T.LongType(), False) for c in "ab"])
+
 _worker_memo: dict = {}
 
 

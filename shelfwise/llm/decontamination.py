@@ -3,20 +3,21 @@
 The index is sharded by document, as search engines shard theirs: each task turns its documents
 into segments, and a segment is one stored row with its terms, the ends of their posting lists and
 the lists themselves (ascending word positions; documents stand apart by a gap, so that no phrase
-crosses from one to the next).  Test items become windows.  In a segment, a window starts from the
+crosses from one to the next).  All terms are stored, and an index serves any benchmark.  Test items become
+windows, which meet the index in blocks of about ``WINDOWS_A_BLOCK``.  In a segment, a window starts from the
 posting list of its rarest term there, and the offset-adjusted lists of its other terms are
-intersected, rarest first.  What is left are exact phrases.  Proximity matches need all terms of
-a window within a given distance of its rarest one, in any order.
+intersected, rarest first, for about ``PAIRS_AT_ONCE`` starts at a time.  What is left are exact phrases.
+Proximity matches need all terms of a window within a given distance of its rarest one, in any order.
 
-Defined results: null or empty text has no words and no hits; an item without words has no
-window; copies of an item match together; repeated rows and doc_ids are judged row by row; empty
-tables give no rows, or rows without hits; other columns are ignored.
+Defined results: null or empty text has no words and no hits; a very long text is one segment; an item
+without words has no window, and the words of an item without id count as hit while no id is listed; copies
+of an item match together; repeated rows and doc_ids are judged row by row; empty tables give no rows, or
+rows without hits; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
-from itertools import repeat
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,36 +30,40 @@ from .common import arrow_rows, materialise
 WINDOW = 10
 #: Words of a segment (a document is never split, so a very long one makes a longer segment).
 SEGMENT_WORDS = 1_000_000
-#: Windows that are sent to all tasks at once; a larger benchmark takes several passes over the index.
-WINDOWS_A_PASS = 400_000
+#: Windows of a block that meets all segments, about, and candidate starts that a segment holds at once.
+WINDOWS_A_BLOCK, PAIRS_AT_ONCE = 400_000, 2_000_000
 
 #: A-Z become a-z; ASCII that is no letter or digit becomes a space; other bytes stay.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 
-SEGMENTS = T.StructType(
-    [
-        T.StructField("segment", T.StringType()),
-        T.StructField("doc_ids", T.ArrayType(T.LongType())),
-        T.StructField("n_words", T.ArrayType(T.LongType())),
-        T.StructField("terms", T.ArrayType(T.BinaryType())),
-        T.StructField("ends", T.ArrayType(T.IntegerType())),
-        T.StructField("postings", T.BinaryType()),
-    ]
-)
 WINDOWS = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("words", T.ArrayType(T.BinaryType()))])
-HITS = T.StructType(
-    [
-        T.StructField("segment", T.StringType()),
-        T.StructField("row", T.IntegerType()),
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("n_words", T.LongType()),
-        T.StructField("hit_spans", T.ArrayType(T.LongType())),
-        T.StructField("items", T.ArrayType(T.LongType())),
-        T.StructField("near_items", T.ArrayType(T.LongType())),
-    ]
-)
+
+
+def _segments(doc: T.DataType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("segment", T.StringType()),
+            T.StructField("docs", T.ArrayType(doc)),
+            T.StructField("n_words", T.ArrayType(T.LongType())),
+            T.StructField("terms", T.ArrayType(T.BinaryType())),
+            T.StructField("ends", T.ArrayType(T.IntegerType())),
+            T.StructField("postings", T.BinaryType()),
+        ]
+    )
+
+
+def _hits(doc: T.DataType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("segment", T.StringType()),
+            T.StructField("row", T.IntegerType()),
+            T.StructField("doc", doc),
+            T.StructField("n_words", T.LongType()),
+            *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("hit_spans", "items", "near_items")),
+        ]
+    )
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -86,83 +91,73 @@ def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     )
 
 
-def build_index(docs: DataFrame, vocabulary=None, *, gap: int = WINDOW, segment_words: int = SEGMENT_WORDS) -> DataFrame:
-    """Segments of the positional index of ``docs``.
-
-    ``vocabulary`` (a broadcast set of terms) leaves the lists of other terms out; positions and
-    word counts are those of the whole text either way.
-    """
+def build_index(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), *, gap: int = WINDOW, segment_words: int = SEGMENT_WORDS) -> DataFrame:
+    """Segments of the positional index of the texts of ``docs``; ``ids`` are kept for every document."""
 
     def make():
         from pyspark import TaskContext
 
-        known = {w: i for i, w in enumerate(vocabulary.value)} if vocabulary is not None else None
         task, made = TaskContext.get().partitionId(), 0
 
-        def segment(doc_ids: list, counts: list, ids: list, terms: list) -> dict:
+        def segment(rows: list, counts: list, term: list, terms: list) -> dict:
             nonlocal made
-            starts = np.concatenate([[0], np.cumsum(np.array(counts, dtype=np.int64) + gap)])
-            at = np.concatenate([np.arange(s, s + n) for s, n in zip(starts, counts)] or [np.zeros(0, np.int64)])
-            term = np.concatenate(ids or [np.zeros(0, np.int64)])
-            at, term = at[term >= 0], term[term >= 0]
+            starts = np.cumsum(np.array([0, *counts], dtype=np.int64) + gap) - gap
+            term = np.concatenate(term)
+            at = np.arange(len(term)) + np.repeat(starts[:-1] - np.cumsum([0, *counts[:-1]]), counts)
             order = np.argsort(term, kind="stable")
-            used, first = np.unique(term[order], return_index=True)
             made += 1
             return {
                 "segment": f"{task}-{made}",
-                "doc_ids": doc_ids,
+                "docs": rows,
                 "n_words": counts,
-                "terms": [terms[t] for t in used],
-                "ends": np.append(first[1:], len(term)).astype(np.int32) if len(used) else [],
+                "terms": terms,
+                "ends": np.cumsum(np.bincount(term, minlength=len(terms))).astype(np.int32),
                 "postings": at[order].astype("<i4").tobytes(),
             }
 
         def work(batch: pa.RecordBatch) -> dict[str, list]:
-            rows, doc_ids, counts, ids, total = [], [], [], [], 0
-            own: dict[bytes, int] = {} if known is None else known
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            out: list[dict] = []
+            rows, counts, term, total = [], [], [], 0
+            number: dict[bytes, int] = {}
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 w = words_of(text.as_py() or b"")
-                if known is None:
-                    got = (own.setdefault(x, len(own)) for x in w)
-                else:
-                    got = map(known.get, w, repeat(-1))
-                doc_ids.append(doc_id)
+                rows.append(doc)
                 counts.append(len(w))
-                ids.append(np.fromiter(got, dtype=np.int64, count=len(w)))
+                try:
+                    term.append(np.fromiter(map(number.__getitem__, w), dtype=np.int32, count=len(w)))
+                except KeyError:
+                    term.append(np.fromiter((number.setdefault(x, len(number)) for x in w), dtype=np.int32, count=len(w)))
                 total += len(w)
                 if total >= segment_words:
-                    rows.append(segment(doc_ids, counts, ids, list(own)))
-                    doc_ids, counts, ids, total = [], [], [], 0
-                    own = {} if known is None else known
-            if doc_ids:
-                rows.append(segment(doc_ids, counts, ids, list(own)))
-            return {f: [r[f] for r in rows] for f in SEGMENTS.names}
+                    out.append(segment(rows, counts, term, list(number)))
+                    rows, counts, term, total, number = [], [], [], 0, {}
+            if rows:
+                out.append(segment(rows, counts, term, list(number)))
+            return {f: [r[f] for r in out] for f in schema.names}
 
         return work
 
-    return arrow_rows(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")), make, SEGMENTS)
+    texts = docs.select(F.struct(*ids).alias("doc"), F.col("text").cast("binary").alias("text"))
+    schema = _segments(texts.schema["doc"].dataType)
+    return arrow_rows(texts, make, schema)
 
 
 class _Queries:
-    """Windows as term numbers, padded with -1."""
-
-    def __init__(self, windows: list[tuple[int, list[bytes]]]):
-        distinct: dict[tuple, list[int]] = {}
-        for item, words in windows:
-            distinct.setdefault(tuple(words), []).append(item)
-        # words of items without an id count as hit; there is no id to list
-        self.items = [sorted({i for i in x if i is not None}) for x in distinct.values()]
-        self.number = {t: i for i, t in enumerate(dict.fromkeys(t for w in distinct for t in w))}
-        self.width = max(map(len, distinct), default=1)
-        self.terms = np.full((len(distinct), self.width), -1, dtype=np.int64)
-        for k, w in enumerate(distinct):
+    """Distinct windows as term numbers, padded with -1, and the ids of their items (none for items without id)."""
+
+    def __init__(self, windows: list[tuple[list[int], list[bytes]]]):
+        self.items = [sorted(items) for items, _ in windows]
+        self.number = {t: i for i, t in enumerate(dict.fromkeys(t for _, w in windows for t in w))}
+        self.width = max((len(w) for _, w in windows), default=1)
+        self.terms = np.full((len(windows), self.width), -1, dtype=np.int64)
+        for k, (_, w) in enumerate(windows):
             self.terms[k, : len(w)] = [self.number[t] for t in w]
         self.length = (self.terms >= 0).sum(axis=1)
 
 
 def _matches(q: _Queries, terms: list[bytes], ends: np.ndarray, postings: np.ndarray, slop: int | None):
     """(window, position) of phrases, and of proximity matches if ``slop`` is given."""
-    nothing = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    nothing = np.zeros(0, np.int64)
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     local = np.fromiter((q.number.get(t, -1) for t in terms), dtype=np.int64, count=len(terms))
     row = np.full(len(q.number) + 1, -1, dtype=np.int64)  # of a query term in this segment; the last is the padding
@@ -171,46 +166,66 @@ def _matches(q: _Queries, terms: list[bytes], ends: np.ndarray, postings: np.nda
     inside = q.terms >= 0
     whole = np.flatnonzero(((rows >= 0) | ~inside).all(axis=1) & (q.length > 0))
     if not len(whole):
-        return nothing, nothing
+        return (nothing, nothing), (nothing, nothing)
     count = (ends - starts).astype(np.int64)
     often = np.where(inside[whole], count[rows[whole]], np.iinfo(np.int64).max)
     by_rarity = np.argsort(often, axis=1, kind="stable")
-    rarest = by_rarity[:, 0]
-    anchor = rows[whole, rarest]
-    n = count[anchor]
-    window = np.repeat(np.arange(len(whole)), n)
-    at = postings[np.repeat(starts[anchor] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())].astype(np.int64)
+    anchor = rows[whole, by_rarity[:, 0]]
     span = int(postings.max()) + 2 * q.width + 2 + (slop or 0)
-    key = np.repeat(np.arange(len(ends)), count) * span + postings  # ascending: lists in order, positions in order
+    used = np.unique(rows[whole][inside[whole]])  # ascending: lists in order, positions in order
+    key = np.concatenate([t * span + postings[starts[t] : ends[t]].astype(np.int64) for t in used])
 
     def has(term_row: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         found = np.searchsorted(key, term_row * span + np.maximum(low, 0), side="left")
         return (found < len(key)) & (key[np.minimum(found, len(key) - 1)] <= term_row * span + high) & (high >= 0)
 
-    w, p = window, at - rarest[window]  # p: where the window would start
-    near_w, near_p = window, at
-    for k in range(1, q.width):
-        other = by_rarity[w, k]
-        real = inside[whole[w], other]
-        keep = ~real | has(np.where(real, rows[whole[w], other], 0), p + other, p + other)
-        w, p = w[keep], p[keep]
+    exact, near = [], []
+    block = np.cumsum(count[anchor]) // PAIRS_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(whole)]
+    for first, end in zip(cuts, cuts[1:]):
+        n = count[anchor[first:end]]
+        window = np.repeat(np.arange(first, end), n)
+        at = postings[np.repeat(starts[anchor[first:end]] - (np.cumsum(n) - n), n) + np.arange(n.sum())].astype(np.int64)
+        w, p = window, at - by_rarity[window, 0]  # p: where the window would start
+        near_w, near_p = window, at
+        for k in range(1, q.width):
+            other = by_rarity[w, k]
+            real = inside[whole[w], other]
+            keep = ~real | has(np.where(real, rows[whole[w], other], 0), p + other, p + other)
+            w, p = w[keep], p[keep]
+            if slop is not None:
+                other = by_rarity[near_w, k]
+                real = inside[whole[near_w], other]
+                keep = ~real | has(np.where(real, rows[whole[near_w], other], 0), near_p - slop, near_p + slop)
+                near_w, near_p = near_w[keep], near_p[keep]
+        exact.append((whole[w], p))
         if slop is not None:
-            other = by_rarity[near_w, k]
-            real = inside[whole[near_w], other]
-            keep = ~real | has(np.where(real, rows[whole[near_w], other], 0), near_p - slop, near_p + slop)
-            near_w, near_p = near_w[keep], near_p[keep]
-    return (whole[w], p), ((whole[near_w], near_p) if slop is not None else nothing)
+            near.append((whole[near_w], near_p))
+    return tuple(tuple(np.concatenate([nothing, *(x[i] for x in found)]) for i in (0, 1)) for found in (exact, near))
+
+
+def _union(spans: list[tuple[int, int]]) -> list[int]:
+    """Half-open intervals, sorted, as start, end, start, end, ... of their union."""
+    out: list[int] = []
+    for s, e in spans:
+        if out and s <= out[-1]:
+            out[-1] = max(out[-1], e)
+        else:
+            out += [s, e]
+    return out
 
 
 def _probe(index: DataFrame, queries, gap: int, slop: int | None) -> DataFrame:
+    schema = _hits(index.schema["docs"].dataType.elementType)
+
     def make():
         q = queries.value
 
         def work(batch: pa.RecordBatch) -> dict[str, list]:
-            out: dict[str, list] = {f: [] for f in HITS.names}
+            out: dict[str, list] = {f: [] for f in schema.names}
             for r in batch.to_pylist():
                 counts = np.array(r["n_words"], dtype=np.int64)
-                starts = np.concatenate([[0], np.cumsum(counts + gap)])[:-1]
+                starts = np.cumsum(counts + gap) - counts - gap
                 (w, p), (nw, np_) = _matches(q, r["terms"], np.array(r["ends"], dtype=np.int64), np.frombuffer(r["postings"], "<i4"), slop)
                 order = np.argsort(p, kind="stable")
                 w, p = w[order], p[order]
@@ -219,74 +234,64 @@ def _probe(index: DataFrame, queries, gap: int, slop: int | None) -> DataFrame:
                 cuts = np.searchsorted(doc, np.arange(len(counts) + 1))
                 order = np.argsort(near_doc, kind="stable")
                 nw, near_cuts = nw[order], np.searchsorted(near_doc[order], np.arange(len(counts) + 1))
-                for k, doc_id in enumerate(r["doc_ids"]):
+                for k, doc_row in enumerate(r["docs"]):
                     a, b = cuts[k], cuts[k + 1]
-                    spans: list[int] = []
-                    for s, e in zip((p[a:b] - starts[k]).tolist(), (p[a:b] - starts[k] + q.length[w[a:b]]).tolist()):
-                        if spans and s <= spans[-1]:
-                            spans[-1] = max(spans[-1], e)
-                        else:
-                            spans += [s, e]
                     out["segment"].append(r["segment"])
                     out["row"].append(k)
-                    out["doc_id"].append(doc_id)
+                    out["doc"].append(doc_row)
                     out["n_words"].append(r["n_words"][k])
-                    out["hit_spans"].append(spans)
+                    out["hit_spans"].append(_union(list(zip((p[a:b] - starts[k]).tolist(), (p[a:b] - starts[k] + q.length[w[a:b]]).tolist()))))
                     out["items"].append(sorted({i for x in set(w[a:b].tolist()) for i in q.items[x]}))
                     out["near_items"].append(sorted({i for x in set(nw[near_cuts[k] : near_cuts[k + 1]].tolist()) for i in q.items[x]}))
             return out
 
         return work
 
-    return arrow_rows(index, make, HITS)
+    return arrow_rows(index, make, schema)
 
 
-@F.udf(T.ArrayType(T.LongType()))
-def _merge_spans(spans):
-    """Union of the half-open intervals of several passes."""
-    out: list[int] = []
-    for s, e in sorted((x[i], x[i + 1]) for x in spans for i in range(0, len(x), 2)):
-        if out and s <= out[-1]:
-            out[-1] = max(out[-1], e)
-        else:
-            out += [s, e]
-    return out
+def _merged(parts: DataFrame) -> DataFrame:
+    """One row for each document row, from one of each block of windows."""
+    columns = ("hit_spans", "items", "near_items")
+    grouped = parts.groupBy("segment", "row").agg(F.first("doc").alias("doc"), F.first("n_words").alias("n_words"), *(F.collect_list(c).alias(c) for c in columns))
+
+    def make():
+        def work(batch: pa.RecordBatch) -> dict[str, object]:
+            out: dict[str, object] = {c: batch.column(i) for i, c in enumerate(("segment", "row", "doc", "n_words"))}
+            spans, *items = (batch.column(i).to_pylist() for i in (4, 5, 6))
+            out["hit_spans"] = [_union(sorted((x[i], x[i + 1]) for x in every for i in range(0, len(x), 2))) for every in spans]
+            return out | {c: [sorted({i for x in every for i in x}) for every in found] for c, found in zip(columns[1:], items)}
+
+        return work
+
+    return arrow_rows(grouped, make, _hits(parts.schema["doc"].dataType))
 
 
 def find_matches(
-    docs: DataFrame, benchmark: DataFrame, *, width: int = WINDOW, slop: int | None = None, windows_a_pass: int = WINDOWS_A_PASS
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    ids: tuple[str, ...] = ("doc_id",),
+    width: int = WINDOW,
+    slop: int | None = None,
+    windows_a_block: int = WINDOWS_A_BLOCK,
 ) -> DataFrame:
-    """Per document row: ``hit_spans`` (word intervals start, end, start, end, ...) and ``items`` of
-    exact phrases, and ``near_items`` whose terms all lie within ``slop`` words of the rarest."""
-    spark = docs.sparkSession
+    """Per document row its ``ids`` in the struct ``doc``, ``hit_spans`` (word intervals start, end, start,
+    end, ...) and ``items`` of exact phrases, and ``near_items`` whose terms all lie within ``slop`` words of
+    the rarest."""
+    spark, gap = docs.sparkSession, width + (slop or 0)
     windows = materialise(benchmark_windows(benchmark, width), "windows")
-    passes = max(1, -(-windows.count() // windows_a_pass))
-    parts, index = [], None
-    for k in range(passes):
-        mine = windows if passes == 1 else windows.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)
-        queries = _Queries([(r["item_id"], [bytes(w) for w in r["words"]]) for r in mine.toLocalIterator()])
-        if passes == 1:
-            index = materialise(build_index(docs, spark.sparkContext.broadcast(list(queries.number)), gap=width + (slop or 0)), "index")
-        elif index is None:
-            index = materialise(build_index(docs, gap=width + (slop or 0)), "index")
-        parts.append(_probe(index, spark.sparkContext.broadcast(queries), width + (slop or 0), slop))
-    if passes == 1:
-        return parts[0]
-    every = parts[0]
-    for x in parts[1:]:
-        every = every.unionByName(x)
-    # one row of each pass for a document row
-    merged = every.groupBy("segment", "row").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("n_words").alias("n_words"),
-        _merge_spans(F.collect_list("hit_spans")).alias("hit_spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("near_items")))).alias("near_items"),
-    )
-    return merged
+    index = materialise(build_index(docs, ids, gap=gap), "index")
+    blocks = max(1, -(-windows.count() // windows_a_block))
+    parts = []
+    for k in range(blocks):  # by the words, so that a long or repeated item is spread over the blocks
+        mine = windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k).groupBy("words").agg(F.collect_set("item_id").alias("items"))
+        queries = _Queries([(r["items"], [bytes(w) for w in r["words"]]) for r in mine.toLocalIterator()])
+        parts.append(_probe(index, spark.sparkContext.broadcast(queries), gap, slop))
+    return parts[0] if blocks == 1 else _merged(reduce(DataFrame.unionByName, parts))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, *, ids: tuple[str, ...] = ("doc_id",), **options) -> DataFrame:
     """The digest per document: counts of hit words and items, and whether any word is hit."""
     n_hit = F.aggregate(
         F.sequence(F.lit(0), F.size("hit_spans") - 2, F.lit(2)),
@@ -295,10 +300,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     )
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
     return (
-        find_matches(docs, benchmark, **options)
+        find_matches(docs, benchmark, ids=ids, **options)
         .withColumn("n_hit", F.when(F.size("hit_spans") > 0, n_hit).otherwise(F.lit(0)).cast("long"))
         .select(
-            "doc_id",
+            "doc.*",
             "n_words",
             "n_hit",
             F.size("items").cast("long").alias("n_items"),

@@ -5,13 +5,16 @@ learned transitions say how likely a text changes it from one word to the next.
 gives each word its posterior, so code-switched text gets a label for each run of words; a text's
 language is the one with most posterior mass over all its words, and that share is its score.
 
-Training: ``SAMPLE_PER_LANGUAGE`` labelled texts of each of the ``MOST_LANGUAGES`` most frequent
-languages (bounded, by hash of doc_id), spliced into sequences that change language, go to the
-driver; a few hundred kilobytes of weights come back.  Prediction runs over all words of all texts.
+Training: at most ``SAMPLE_PER_LANGUAGE`` labelled texts of every language, chosen by hash and of at most
+``SAMPLE_CHARS`` characters together (and one text more), go to the driver, spliced into sequences that
+change language; a few hundred kilobytes of weights a language come back.  Languages, words and characters
+of words have no cap.  Prediction runs over all words of all texts.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and so is every text if
-no label was learned; a null doc_id counts as empty text in the held-out rule; ties go to the first
-language by name; repeated rows are judged each for itself; other columns are ignored.
+no label was learned (none given, or an empty table, which gives no rows); a very long text, or a word
+without end, is read whole by one task; a null doc_id counts as empty text in the held-out rule; ties go
+to the first language by name; repeated rows are judged each for itself; other columns are ignored
+(``with_row`` hands them on in a struct, where no name can clash).
 """
 
 from __future__ import annotations
@@ -23,19 +26,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import arrow_rows, worker_memo
 
-SAMPLE_PER_LANGUAGE, MOST_LANGUAGES = 150, 64
+SAMPLE_PER_LANGUAGE, SAMPLE_CHARS = 150, 2_000_000
 FEATURES = 1 << 16
-#: Training sequences, words of each, mean words before a change of language, and gradient steps.
-SEQUENCES, SEQUENCE_WORDS, RUN_WORDS, STEPS = 1600, 60, 12, 60
-#: Words whose emissions a worker remembers; and words in forward-backward at once.
-MEMO_WORDS, GROUP_WORDS = 250_000, 300_000
-#: Characters of a word that have features.
-MOST_CHARS = 40
+#: Training sequences a language, words of each, mean words before a change of language, and gradient steps.
+SEQUENCES, SEQUENCE_WORDS, RUN_WORDS, STEPS = 400, 60, 12, 60
+#: Numbers (words times languages) that a worker remembers, and that forward-backward holds at once.
+MEMO_CELLS, GROUP_CELLS = 1_000_000, 1_200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -49,34 +51,44 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _hashed(kind: int, *chars: np.ndarray) -> np.ndarray:
+    h = np.full(len(chars[0]), kind * 0x9E3779B97F4A7C15 % (1 << 64), dtype=np.uint64)
+    for x in chars:
+        h = (h ^ x) * np.uint64(0x100000001B3)
+        h ^= h >> np.uint64(29)
+    return ((h >> np.uint64(7)) % np.uint64(FEATURES)).astype(np.int64)
+
+
 def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed affixes, n-grams and lexicon entries: feature numbers word by word, and how many each has."""
-    short = [w[:MOST_CHARS] for w in words]
-    n = np.array([len(w) for w in short])
-    codes = np.frombuffer("".join(short).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
-    width = int(n.max()) + 2
-    c = np.zeros((len(n), width), dtype=np.uint64)
-    place = np.arange(width)
-    c[place[None, :] < n[:, None]] = codes
-
-    def hashed(kind: int, *chars: np.ndarray) -> np.ndarray:
-        h = np.full(np.broadcast_shapes(*(x.shape for x in chars)), kind * 0x9E3779B97F4A7C15 % (1 << 64), dtype=np.uint64)
-        for x in chars:
-            h = (h ^ x) * np.uint64(0x100000001B3)
-            h ^= h >> np.uint64(29)
-        return (h >> np.uint64(7)) % np.uint64(FEATURES)
-
-    two, three = hashed(1, c[:, :-2], c[:, 1:-1]), hashed(2, c[:, :-2], c[:, 1:-1], c[:, 2:])
-    rows = np.arange(len(n))
-    last = [c[rows, np.maximum(n - k, 0)] for k in (1, 2, 3)]
-    ends = [hashed(3, c[:, 0]), hashed(4, c[:, 0], c[:, 1]), hashed(5, c[:, 0], c[:, 1], c[:, 2])]
-    ends += [hashed(6, last[0]), hashed(7, last[0], last[1]), hashed(8, last[0], last[1], last[2])]
-    entry = np.array([lexicon.get(w, -1) for w in words])
-    index = np.column_stack([two, three, *ends, hashed(9, np.maximum(entry, 0).astype(np.uint64))])
-    at = place[: width - 2][None, :]
-    long = np.column_stack([n >= 1, n >= 2, n >= 3])
-    there = np.column_stack([at + 1 < n[:, None], at + 2 < n[:, None], long, long, entry >= 0])
-    return index[there].astype(np.int64), there.sum(axis=1)
+    """Hashed affixes, n-grams and lexicon entries: feature numbers word by word, and how many each has.
+
+    A word of n characters has n - 1 bigrams, n - 2 trigrams, up to three prefixes and as many suffixes.
+    """
+    c = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    entry = np.fromiter((lexicon.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+    two, three, affixes = np.maximum(n - 1, 0), np.maximum(n - 2, 0), np.minimum(n, 3)
+    sizes = two + three + 2 * affixes + (entry >= 0)
+    slot = np.cumsum(sizes) - sizes  # where the features of each word begin
+    first = np.cumsum(n) - n  # where its characters begin
+    out = np.empty(int(sizes.sum()), dtype=np.int64)
+
+    def put(kind: int, word: np.ndarray, at: np.ndarray, *chars: np.ndarray) -> None:
+        out[slot[word] + at] = _hashed(kind, *chars)
+
+    owner = np.repeat(np.arange(len(n)), n)
+    place = np.arange(len(c)) - first[owner]
+    for kind, width, before in ((1, 2, 0 * n), (2, 3, two)):
+        at = np.flatnonzero(place + width <= n[owner])
+        put(kind, owner[at], before[owner[at]] + place[at], *(c[at + k] for k in range(width)))
+    for k in (1, 2, 3):
+        word = np.flatnonzero(n >= k)
+        base = (two + three)[word] + k - 1
+        put(2 + k, word, base, *(c[first[word] + i] for i in range(k)))
+        put(5 + k, word, base + affixes[word], *(c[first[word] + n[word] - 1 - i] for i in range(k)))
+    word = np.flatnonzero(entry >= 0)
+    put(9, word, sizes[word] - 1, entry[word].astype(np.uint64))
+    return out, sizes
 
 
 @dataclass
@@ -89,8 +101,10 @@ class Model:
 
 
 def _emissions(words: list[str], lexicon: dict[str, int], weights: np.ndarray) -> np.ndarray:
+    """Summed weights of the features of each word, language by language."""
     flat, sizes = word_features(words, lexicon)
-    return np.add.reduceat(weights[flat], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
+    begin = np.cumsum(sizes) - sizes
+    return np.stack([np.add.reduceat(w[flat], begin) for w in np.ascontiguousarray(weights.T)], axis=1)
 
 
 def forward_backward(emit: np.ndarray, lengths: np.ndarray, moves: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,10 +141,10 @@ def forward_backward(emit: np.ndarray, lengths: np.ndarray, moves: np.ndarray, b
     return post, index, both
 
 
-def _spliced(texts: list[tuple[list[int], int]], rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers and labels of SEQUENCES sequences, half of them changing language."""
+def _spliced(texts: list[tuple[list[int], int]], sequences: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers and labels of ``sequences`` sequences, half of them changing language."""
     words, labels = [], []
-    for k in range(SEQUENCES):
+    for k in range(sequences):
         left = SEQUENCE_WORDS
         while left:
             ids, label = texts[int(rng.integers(len(texts)))]
@@ -162,13 +176,14 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     lexicon = {w: int(counts[i].argmax()) for w, i in number.items() if sure[i]}
     rng = np.random.default_rng(seed)
     texts.sort(key=lambda t: (t[1], len(t[0])))
-    words, labels = _spliced(texts, rng)
+    sequences = SEQUENCES * max(k, 4)
+    words, labels = _spliced(texts, sequences, rng)
     used, inverse = np.unique(words, return_inverse=True)
     names = list(number)
     flat, sizes = word_features([names[i] for i in used], lexicon)
     owner = np.repeat(np.arange(len(used)), sizes)
     cuts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    lengths = np.full(SEQUENCES, SEQUENCE_WORDS)
+    lengths = np.full(sequences, SEQUENCE_WORDS)
     truth = np.bincount(inverse * k + labels, minlength=len(used) * k).reshape(-1, k).astype(float)
     inner = np.ones(len(labels), dtype=bool)
     inner[SEQUENCE_WORDS - 1 :: SEQUENCE_WORDS] = False
@@ -176,7 +191,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     weights, moves, begin = np.zeros((FEATURES, k)), np.zeros((k, k)), np.zeros(k)
     speed = [np.zeros_like(weights), np.zeros_like(moves)]
     for _ in range(STEPS):
-        emit = np.add.reduceat(weights[flat], cuts, axis=0)[inverse]
+        emit = np.stack([np.add.reduceat(w[flat], cuts) for w in np.ascontiguousarray(weights.T)], axis=1)[inverse]
         post, index, both = forward_backward(emit, lengths, moves, begin)
         expected = np.stack([np.bincount(inverse[index], post[:, j], len(used)) for j in range(k)], axis=1)
         gap = (truth - expected)[owner]
@@ -188,30 +203,30 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     return Model(languages, weights.astype(np.float32), moves, begin, lexicon)
 
 
-def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES) -> list[tuple[str, str]]:
-    """A bounded sample of labelled rows that are not held out, alike at every table size."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
-    if not counts:
-        return []
-    unit = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(1)), F.lit(1 << 40))
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], int((1 << 40) * min(1.0, 1.3 * per_language / r["count"])))))
-    rows = known.where(unit < share[F.col("lang")]).select("lang", "text", unit.alias("u")).orderBy("u").limit(2 * per_language * len(counts)).collect()
-    left = {r["lang"]: per_language for r in counts}
-    out = []
-    for r in rows:
-        if left[r["lang"]] > 0:
-            left[r["lang"]] -= 1
-            out.append((r["text"], r["lang"]))
-    return out
-
-
-def predict(docs: DataFrame, model: Model, *, with_runs: bool = False) -> DataFrame:
-    """``doc_id, lang_pred, score`` and, if asked for, ``runs``: (first word, words, language)."""
+def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
+    """A bounded sample of labelled rows that are not held out, alike at every table size.
+
+    Equal texts of a language are one, so copies do not crowd others out.
+    """
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select(F.col("lang").cast("string"), F.col("text").cast("string"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("_rows"))
+    unit = F.xxhash64("text")  # uniform over all 64 bits
+    share = F.lit(1.3 * per_language * 2.0**64) / F.col("_rows") - F.lit(2.0**63)
+    some = known.join(counts, "lang").where(unit < share).groupBy("lang", unit.alias("_unit")).agg(F.min("text").alias("text"))
+    order = W.partitionBy("lang").orderBy("_unit")
+    some = some.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language)
+    before = F.sum(F.length("text")).over(order.rowsBetween(W.unboundedPreceding, -1))
+    rows = some.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < chars).select("text", "lang", "_rank")
+    return [(r["text"], r["lang"]) for r in sorted(rows.collect(), key=lambda r: (r["lang"], r["_rank"]))]
+
+
+def predict(docs: DataFrame, model: Model, *, with_runs: bool = False, with_row: bool = False) -> DataFrame:
+    """``doc_id, lang_pred, score`` and, if asked for, ``runs``, (first word, words, language), and the input ``row``."""
     fields = [T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     run = T.StructType([T.StructField("start", T.LongType()), T.StructField("words", T.LongType()), T.StructField("lang", T.StringType())])
-    schema = T.StructType([*fields, *([T.StructField("runs", T.ArrayType(run))] if with_runs else [])])
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model))  # FEATURES x MOST_LANGUAGES at most
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *([F.struct(*(f"`{c}`" for c in docs.columns)).alias("row")] if with_row else []))
+    schema = T.StructType([*fields, *([T.StructField("runs", T.ArrayType(run))] if with_runs else []), *(texts.schema[2:])])
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model))  # FEATURES numbers a language
 
     def make():
         name, m = shared.value
@@ -248,7 +263,7 @@ def predict(docs: DataFrame, model: Model, *, with_runs: bool = False) -> DataFr
             begin = 0
             while begin < len(order):
                 end, total = begin, 0
-                while end < len(order) and (end == begin or total + sizes[order[end]] <= GROUP_WORDS):
+                while end < len(order) and (end == begin or (total + sizes[order[end]]) * k <= GROUP_CELLS):
                     total += sizes[order[end]]
                     end += 1
                 part = order[begin:end]
@@ -265,14 +280,14 @@ def predict(docs: DataFrame, model: Model, *, with_runs: bool = False) -> DataFr
                         cut = np.concatenate([[0], np.flatnonzero(np.diff(label[s:e])) + 1, [e - s]])
                         runs[i] = [{"start": int(a), "words": int(b - a), "lang": m.languages[label[s + a]]} for a, b in zip(cut, cut[1:])]
                 begin = end
-            if len(number) > MEMO_WORDS:
+            if len(number) * k > MEMO_CELLS:
                 number.clear()
                 memo[1] = memo[1][:0].copy()
-            return {"doc_id": batch.column(0), "lang_pred": best, "score": score, "runs": runs}
+            return {"doc_id": batch.column(0), "lang_pred": best, "score": score, "runs": runs} | ({"row": batch.column(2)} if with_row else {})
 
         return work
 
-    return arrow_rows(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, schema)
+    return arrow_rows(texts, make, schema)
 
 
 def identify(docs: DataFrame, **options) -> DataFrame:

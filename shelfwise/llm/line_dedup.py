@@ -33,8 +33,9 @@ from .common import arrow_rows, materialise
 WINDOW, ONE_IN, MOST = 2, 1, 64
 #: Words of a line beyond which it is a chunk of its own.
 LONG_WORDS = 50
-#: First occurrences may be broadcast up to so many bytes, of so many each; beyond, a shuffle joins them.
-BROADCAST_BYTES, FIRST_BYTES = 8_000_000, 40
+#: Keys of texts with first occurrences are broadcast up to so many bytes, of so many each, so that other texts
+#: are not shuffled; beyond, they are.
+BROADCAST_BYTES, KEY_BYTES = 32_000_000, 16
 COUNTS = ("n_lines", "n_removed_lines", "n_removed_chunks")
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15  # odd; any such multiplier does
@@ -127,10 +128,12 @@ def _first_texts(docs: DataFrame, first: DataFrame, one_in: int) -> DataFrame:
         return work
 
     wanted = first.groupBy("uid").agg(F.collect_list(F.struct("chunk", "high", "low")).alias("wanted"))  # of one text
-    if first.count() * FIRST_BYTES <= BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
+    wanted = materialise(wanted, "wanted")
+    texts = _with_uid(docs).select("__line_dedup_uid", "text")
+    if wanted.count() * KEY_BYTES <= BROADCAST_BYTES:
+        texts = texts.join(F.broadcast(wanted.select("uid")), F.col("__line_dedup_uid") == F.col("uid"), "left_semi")
     # equal rows have equal texts; one of them is enough
-    texts = _with_uid(docs).select("__line_dedup_uid", "text").join(wanted, F.col("__line_dedup_uid") == F.col("uid"))
+    texts = texts.join(wanted, F.col("__line_dedup_uid") == F.col("uid"))
     rows = texts.select(F.col("text").cast("binary").alias("text"), "wanted")
     return arrow_rows(rows, make, schema).groupBy("high", "low").agg(F.min("bytes").alias("bytes"))
 

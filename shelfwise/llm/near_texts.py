@@ -1,17 +1,20 @@
 """Near copies of texts: every pair whose sets of word shingles have a Jaccard of ``SIMILAR`` or more.
 
-A bit distance of 64-bit fingerprints cannot bound a Jaccard, so candidates come from a prefix
-filter, which loses none.  Shingles have one order everywhere, frequent ones last.  Two sets of
+Operator 1 goes first: fingerprints of the texts' shingle sets link within ``MAX_BITS`` bits, and links are
+verified on the shingles themselves.  A bit distance cannot bound a Jaccard, though: at 0.8 about ten of 64
+bits differ, where partitions of the bits are too narrow to leave few candidates.  So the rest comes from a
+prefix filter, which loses no pair.  Shingles have one order everywhere, frequent ones last.  Two sets of
 Jaccard t or more share a shingle among the first n - ceil(t * n) + 1 of each, so texts that share
-none are never compared.  Which shingles count as frequent is found from a sample of the texts: the
+none are never compared.  Which shingles count as frequent is counted over all texts, batch by batch: the
 order only decides how many candidates there are, never which pairs are found.  Candidates are
 verified on the bytes of their shingles.  Texts with equal sets are one node from the start.  In a
 bucket of few nodes all pairs are candidates; in one of many (near copies gather there) nodes are
 first compared with one leader a round, and then only pairs that are not connected yet.
 
 Defined results: words stand between ASCII white space, A-Z count as lower case; a text of fewer
-words than a shingle is one shingle; texts without a word (null, empty, white space) are one group;
-of a group the row with the least doc_id stays (nulls last); an empty table gives no rows.
+words than a shingle is one shingle; texts without a word (null, empty, white space) are one group; a very
+long text is read whole, by one task; of a group the row with the least doc_id stays (nulls last), and of
+rows that are equal in doc_id and text one; other columns pass through; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,24 +27,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, materialise
+from .common import ROW_KEY, arrow_rows, materialise, row_key
 from .components import connected_components
-from .simhash import LOWER, row_key
+from .simhash import LOWER, MAX_BITS, fold
+from .simhash import near_links as fingerprint_links
 
 #: Words of a shingle, and the least Jaccard as a fraction.
 SHINGLE, SIMILAR = 5, (4, 5)
-#: Texts of the sample for the order, and how many of them make a shingle frequent.
-SAMPLE, FREQUENT = 5_000, 4
+#: Texts of a batch that make a shingle frequent, and shingles that are put last (the most frequent ones).
+FREQUENT, PUT_LAST = 8, 100_000
 #: Nodes of a bucket up to which all pairs are candidates, and rounds of leaders in larger ones.
 PAIRED_BUCKET, ROUNDS = 32, 3
 
 PREFIXES = T.StructType(
     [
-        *(T.StructField(c, T.LongType()) for c in ("doc_id", "row_key", "node", "n")),
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("row_key", ROW_KEY, False),
+        T.StructField("node", T.BinaryType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("fp", T.LongType()),
         T.StructField("prefix", T.ArrayType(T.LongType())),
     ]
 )
-LINKS = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b")])
+LINKS = T.StructType([T.StructField(c, T.BinaryType()) for c in ("a", "b")])
 
 
 def shingles(text: bytes | None, size: int = SHINGLE) -> list[bytes]:
@@ -60,43 +68,43 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def frequent(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
-    """Hashes of shingles that many texts of a sample have, sorted."""
+    """Hashes of shingles that many texts of some batch have, by their number over all texts, sorted."""
 
     def make():
-        def work(batch: pa.RecordBatch) -> dict[str, object]:
-            found = [_hashes(t.as_py(), shingle).view(np.int64) for t in batch.column(0)]
-            return {"token": np.concatenate(found)} if found else None
+        def work(batch: pa.RecordBatch) -> dict[str, object] | None:
+            found = [_hashes(t.as_py(), shingle) for t in batch.column(0).unique()]
+            if not found:
+                return None
+            token, n = np.unique(np.concatenate(found), return_counts=True)
+            return {"token": token[n >= FREQUENT].view(np.int64), "n": n[n >= FREQUENT]}
 
         return work
 
-    total = docs.count()
-    one_in = max(1, total // SAMPLE)
-    some = _texts(docs).where(F.pmod("row_key", F.lit(one_in)) == 0).select("text").distinct()
-    tokens = arrow_rows(some, make, T.StructType([T.StructField("token", T.LongType())]))
-    many = tokens.groupBy("token").count().where(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "token").limit(100_000)
+    tokens = arrow_rows(_texts(docs).select("text"), make, T.StructType([T.StructField(c, T.LongType()) for c in ("token", "n")]))
+    many = tokens.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(PUT_LAST)
     return np.sort(np.array([r.token for r in many.collect()], dtype=np.int64).view(np.uint64))
 
 
 def prefixes(docs: DataFrame, last: np.ndarray, *, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """For every row the key and size of its set of shingles and the set's prefix; ``last`` come last."""
+    """For every row the key, size and fingerprint of its set of shingles and the set's prefix; ``last`` come last."""
 
     def make():
-        from xxhash import xxh64_intdigest
+        from xxhash import xxh3_128_digest
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
-            nodes, sizes, firsts = [], [], []
+            nodes, sizes, firsts, fps = [], [], [], [np.zeros(0, dtype=np.int64)]
             for text in batch.column(2):
                 own = _hashes(text.as_py(), shingle)
                 n = len(own)
-                nodes.append(xxh64_intdigest(own.tobytes()))
+                nodes.append(xxh3_128_digest(own.tobytes()))
                 sizes.append(n)
+                fps.append(fold(own, [n]))
                 most = n + (-similar[0] * n) // similar[1] + 1 if n else 0  # n - ceil(t * n) + 1
                 late = last[np.searchsorted(last[:-1], own)] == own if len(last) else np.zeros(n, dtype=bool)
                 firsts.append(np.concatenate([own[~late], own[late]])[:most].view(np.int64))
             lengths = np.cumsum([0, *map(len, firsts)])
             prefix = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(firsts) if firsts else [], pa.int64()))
-            node = np.array(nodes, dtype=np.uint64).view(np.int64)
-            return {"doc_id": batch.column(0), "row_key": batch.column(1), "node": node, "n": sizes, "prefix": prefix}
+            return {"doc_id": batch.column(0), "row_key": batch.column(1), "node": nodes, "n": sizes, "fp": np.concatenate(fps), "prefix": prefix}
 
         return work
 
@@ -126,13 +134,21 @@ def verified(pairs: DataFrame, texts: DataFrame, *, shingle: int = SHINGLE, simi
 def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """Links ``(a, b)`` between nodes of ``rows`` that keep every group of similar texts together."""
     t, how = similar[0] / similar[1], {"shingle": shingle, "similar": similar}
+    # operator 1: nodes with near fingerprints, and one link from each to another node of the same fingerprint
+    marks = materialise(rows.groupBy("fp", "node").agg(F.first("n").alias("n")), "marks")
+    heads = materialise(marks.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    near_heads = fingerprint_links(heads, MAX_BITS)
+    ends = (heads.select(F.col("fp").alias(c), F.col("head").alias(f"node_{c}")) for c in "ab")
+    near_heads = near_heads.join(next(ends), "a").join(next(ends), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    same = marks.join(heads, "fp").where(F.col("node") != F.col("head")).select(F.col("node").alias("a"), F.col("head").alias("b"))
+    sketched = materialise(near_heads.unionByName(same).distinct(), "sketched")
     tokens = rows.select(F.explode("prefix").alias("token"), "node", "n")
     shared = tokens.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     shared = shared.where("least < most").select("token")
     members = materialise(tokens.join(shared, "token").distinct(), "members")
     sizes = members.groupBy("token").agg(F.count("*").alias("size"))
     members = materialise(members.join(sizes, "token"), "members")
-    wanted = members.select("node").distinct()
+    wanted = members.select("node").unionByName(sketched.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
     first = rows.groupBy("node").agg(F.min("row_key").alias("row_key")).join(wanted, "node", "left_semi")
     texts = _texts(docs).select("row_key", "text").join(first, "row_key").dropDuplicates(["node"]).select("node", "text")
     texts = materialise(texts, "candidates")
@@ -145,8 +161,8 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
         return x.join(y, "token").where(fits)
 
     few = members.where(F.col("size") <= PAIRED_BUCKET).select("token", "node", "n")
-    pairs = near(few, few).where("x_node < y_node").select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
-    links = materialise(verified(pairs, texts, **how), "similar")
+    pairs = near(few, few).where("x_node < y_node").select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
+    links = materialise(verified(sketched.unionByName(pairs).distinct(), texts, **how), "similar")
     many = members.where(F.col("size") > PAIRED_BUCKET).select("token", "node", "n")
     if many.isEmpty():
         return links

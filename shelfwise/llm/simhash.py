@@ -5,23 +5,29 @@ correlation into m partitions with thresholds t_1..t_m, each -1 (not probed) or
 (t_i + 1) sum to max_bits + 1: a linked pair then agrees up to t_i bits in at least one probed
 partition.  Widths and thresholds come from a dynamic program over estimated probes and
 candidates, from one- and two-bit counts over all distinct fingerprints.  Equal fingerprints are
-one node from the start.  In a bucket of few nodes the candidate pairs are verified one by one.
-In a bucket of many (near copies gather there) pairs would grow with the square, so its nodes are
-verified exactly by their one-bit neighbours: two fingerprints are within 2 bits if and only if
-they share one, and all that share one are linked to the least of them.
-
-Defined results: null or empty text, or white space alone, has fingerprint zero; a null doc_id gets
-its group's component; a group of null doc_ids alone has a null component; repeated rows share
-a group; an empty table gives no rows; other columns are ignored.
+one node from the start.
+
+The nodes of a bucket are verified by the cheaper of two exact ways, which find the same groups.  Candidate
+pairs cost half the bucket's nodes for each node.  Where near copies crowd, that would grow with the square,
+and the second level of the plan takes over: one partition of all bits with threshold ``max_bits``, probed
+from both sides with half of the changed bits each, which costs a fixed number of probes a node.  Two
+fingerprints are within r + q bits if and only if one's r-bit probes meet the other's q-bit probes; all
+that meet in a probe are linked to the least of it.
+
+Defined results: null or empty text, or white space alone, has fingerprint zero; a very long text is
+read whole, by one task; a null doc_id gets its group's component; a group of null doc_ids alone has a
+null component; repeated rows share a group; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,14 +37,12 @@ from .components import connected_components
 SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
-#: Nodes of a bucket up to which candidate pairs are made; larger buckets take the linear way.
-PAIRED_BUCKET = 48
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-FINGERPRINTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "row_key", "fp")])
+FINGERPRINTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "fp")])
 
 
-def _fold(hashes: list[int], counts: list[int]) -> np.ndarray:
+def fold(hashes: list[int], counts: list[int]) -> np.ndarray:
     """A fingerprint of each run of hashes: a bit is set if it is in over half of them."""
     n = np.array(counts, dtype=np.int64)
     out = np.zeros((len(n), 64), dtype=np.uint8)
@@ -52,17 +56,14 @@ def _fold(hashes: list[int], counts: list[int]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, *, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``(doc_id, row_key, fp)`` of whole texts: words between ASCII white space, A-Z in lower case.
-
-    ``row_key`` tells rows apart that share a doc_id or have none.
-    """
+    """``(doc_id, fp)`` of whole texts: words between ASCII white space, A-Z in lower case."""
 
     def make():
         from xxhash import xxh64_intdigest
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
             fps, hashes, counts = [], [], []
-            for text in batch.column(2):
+            for text in batch.column(1):
                 w = (text.as_py() or b"").translate(LOWER).split()
                 if len(w) > shingle:
                     got = [xxh64_intdigest(s, seed) for s in map(b" ".join, zip(*(w[i:] for i in range(shingle))))]
@@ -71,19 +72,14 @@ def fingerprints(docs: DataFrame, *, shingle: int = SHINGLE, seed: int = SEED) -
                 hashes += got
                 counts.append(len(got))
                 if len(hashes) > 100_000:
-                    fps.append(_fold(hashes, counts))
+                    fps.append(fold(hashes, counts))
                     hashes, counts = [], []
-            fps.append(_fold(hashes, counts))
-            return {"doc_id": batch.column(0), "row_key": batch.column(1), "fp": np.concatenate(fps)}
+            fps.append(fold(hashes, counts))
+            return {"doc_id": batch.column(0), "fp": np.concatenate(fps)}
 
         return work
 
-    texts = docs.select(F.col("doc_id").cast("long"), row_key().alias("row_key"), F.col("text").cast("binary").alias("text"))
-    return arrow_rows(texts, make, FINGERPRINTS)
-
-
-def row_key() -> Column:
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+    return arrow_rows(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")), make, FINGERPRINTS)
 
 
 def bit_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -138,7 +134,7 @@ def plan_partitions(total: int, counts: np.ndarray, max_bits: int = MAX_BITS) ->
             own = corr[np.ix_(part, part)]
             effective = len(part) ** 2 / (own**2).sum()
             chance = _within(agree[part], effective, max_bits)
-            probes = np.cumsum([1, len(part), len(part) * (len(part) - 1) / 2])[: max_bits + 1]
+            probes = np.cumsum([float(comb(len(part), t)) for t in range(max_bits + 1)])
             cost.append([0.0, *(probes + total * chance)])  # of thresholds -1, 0, 1, ...
         # least[s]: the cheapest way for the partitions so far to have (t + 1) sum to s
         least: list[tuple[float, list[int]]] = [(0.0, [])] + [(np.inf, [])] * (max_bits + 1)
@@ -165,10 +161,13 @@ def _keys(part: list[int], flips: int):
     return F.array(*(key.bitwiseXOR(F.lit(_signed(c))) for c in changes))
 
 
+def _probes(bits: int) -> list[int]:
+    """Changes of up to so many of all 64 bits."""
+    return [_signed(sum(1 << b for b in c)) for k in range(bits + 1) for c in combinations(range(64), k)]
+
+
 def near_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Links ``(a, b)`` between fingerprints that keep every group within ``max_bits`` together."""
-    if max_bits > 2:
-        raise ValueError("large buckets are verified by one-bit neighbours, which reach 2 bits")
+    """Links ``(a, b)``, each within ``max_bits``, that keep every group within ``max_bits`` together."""
     plan = plan_partitions(*bit_counts(nodes), max_bits)
 
     def probes(flips: bool) -> DataFrame:
@@ -182,45 +181,29 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     sizes = probes(wide).groupBy("part", "key").agg(F.count("*").alias("size")).where("size > 1")
     asked = materialise(probes(wide).join(sizes, ["part", "key"]), "buckets")
     stored = asked if not wide else probes(False).join(sizes, ["part", "key"])
-    few = F.col("size") <= PAIRED_BUCKET
-    x = asked.where(few).select("part", "key", F.col("fp").alias("a"))
-    y = stored.where(few).select("part", "key", F.col("fp").alias("b"))
+    less, more = _probes(max_bits // 2), _probes(max_bits - max_bits // 2)
+    crowded = F.col("size") > 2 * len(more)  # half of the nodes as pairs cost more than the probes
+    x = asked.where(~crowded).select("part", "key", F.col("fp").alias("a"))
+    y = stored.where(~crowded).select("part", "key", F.col("fp").alias("b"))
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     pairs = x.join(y, ["part", "key"]).where((F.col("a") < F.col("b")) & (apart <= max_bits)).select("a", "b")
-    # buckets of many: one-bit neighbours (at max_bits 1 and 0 a pair must still be verified)
-    many = asked.where(~few).select("fp").distinct()
-    flips = [0, *(_signed(1 << b) for b in range(64))] if max_bits == 2 else [0]
-    around = many.select("fp", F.explode(F.array(*(F.col("fp").bitwiseXOR(F.lit(f)) for f in flips))).alias("mid"))
-    if max_bits == 1:
-        found = around.select("fp").join(many.select(F.explode(F.array(*(F.col("fp").bitwiseXOR(F.lit(_signed(1 << b))) for b in range(64)))).alias("fp"), F.col("fp").alias("b")), "fp")
-        stars = found.select(F.col("fp").alias("a"), "b")
-    else:
-        least = around.groupBy("mid").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-        stars = around.join(least, "mid").where(F.col("fp") != F.col("b")).select(F.col("fp").alias("a"), "b")
+
+    def around(changes: list[int]) -> DataFrame:
+        return crowd.select("fp", F.explode(F.array(*(F.col("fp").bitwiseXOR(F.lit(c)) for c in changes))).alias("mid"))
+
+    crowd = materialise(asked.where(crowded).select("fp").distinct(), "crowd")
+    least = around(less).groupBy("mid").agg(F.min("fp").alias("b"))
+    stars = around(more).join(least, "mid").where(F.col("fp") != F.col("b")).select(F.col("fp").alias("a"), "b")
     return pairs.unionByName(stars).distinct()
 
 
-def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
-    """Fingerprints with the least fingerprint of their group and its least doc_id."""
+def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row of ``docs``."""
     fps = materialise(fingerprints(docs, shingle=shingle), "fingerprints")
     nodes = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least_doc")), "nodes")
     member = connected_components(near_links(nodes, max_bits)).withColumnRenamed("node", "fp")
     grouped = nodes.join(member, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = grouped.groupBy("component").agg(F.min("least_doc").alias("component_id"))
-    named = grouped.join(least, "component").select("fp", "component", "component_id")
-    return fps.join(named, "fp")
-
-
-def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row of ``docs``."""
+    named = grouped.join(least, "component").select("fp", "component_id")
     fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return _grouped(docs, shingle, max_bits).select("doc_id", fingerprint, "component_id")
-
-
-def keep_one_each(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of ``docs`` for each group: the one with the least doc_id (nulls last), unchanged."""
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
-    keep = _grouped(docs, shingle, max_bits).groupBy("component").agg(first.alias("first"))
-    keep = keep.select(F.col("first.row_key").alias("__simhash_key"))
-    kept = docs.withColumn("__simhash_row", row_key()).join(keep, F.col("__simhash_row") == F.col("__simhash_key"), "left_semi")
-    return kept.dropDuplicates(["__simhash_row"]).select(*docs.columns)
+    return fps.join(named, "fp").select("doc_id", fingerprint, "component_id")

@@ -69,9 +69,9 @@ def test_simhash_against_brute_force(spark, texts):
     assert simhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("crowd", [10, 200])
-def test_simhash_links_in_small_and_large_buckets(spark, crowd):
-    """Chains of two changed bits, and a crowd of them, against all pairs."""
+@pytest.mark.parametrize(("crowd", "max_bits"), [(10, 2), (400, 2), (400, 1), (10, 3)])
+def test_simhash_links_in_small_and_large_buckets(spark, crowd, max_bits):
+    """Chains of changed bits, and a crowd of them, against all pairs."""
     rng = random.Random(crowd)
     fps = {rng.getrandbits(64) for _ in range(300)}
     base = rng.getrandbits(64)
@@ -81,7 +81,9 @@ def test_simhash_links_in_small_and_large_buckets(spark, crowd):
         fps.add(f ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)))
     fps = sorted(fps)
     nodes = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
-    got = {r.node: r.component for r in connected_components(simhash.near_links(nodes)).collect()}
+    links = simhash.near_links(nodes, max_bits)
+    assert all(((r.a ^ r.b) & (1 << 64) - 1).bit_count() <= max_bits for r in links.collect())
+    got = {r.node: r.component for r in connected_components(links).collect()}
     parent = {f: f for f in fps}
 
     def find(x):
@@ -91,7 +93,7 @@ def test_simhash_links_in_small_and_large_buckets(spark, crowd):
 
     for a in fps:
         for b in fps:
-            if (a ^ b).bit_count() <= 2:
+            if (a ^ b).bit_count() <= max_bits:
                 parent[find(a)] = find(b)
     signed = lambda f: f - (1 << 64) if f >> 63 else f
     groups = collections.defaultdict(set)
@@ -110,12 +112,6 @@ def test_simhash_plan_is_a_pigeonhole():
         assert len({b for part, _ in plan for b in part}) == sum(len(part) for part, _ in plan)
 
 
-def test_keep_one_each(spark):
-    rows = docs_of(spark, [(3, "a b c d"), (1, "a b c d"), (3, "x y z w q"), (None, "a b c d"), (None, "only here now"), (1, "a b c d")])
-    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one_each(rows).collect()), key=str)
-    assert kept == sorted([(1, "a b c d"), (3, "x y z w q"), (None, "only here now")], key=str)
-
-
 def test_packing_round_trip(spark, texts):
     from tokenizers import Tokenizer
 
@@ -189,14 +185,15 @@ def matches_by_hand(text, items, width=10):
     return len(w), len(hit), sorted(found)
 
 
-@pytest.mark.parametrize("windows_a_pass", [10_000, 4])
-def test_decontamination_against_brute_force(spark, texts, windows_a_pass):
+@pytest.mark.parametrize(("block", "pairs"), [(10_000, 10**6), (4, 10**6), (10_000, 1)])
+def test_decontamination_against_brute_force(spark, texts, block, pairs, monkeypatch):
+    monkeypatch.setattr(decontamination, "PAIRS_AT_ONCE", pairs)
     rng = random.Random(1)
     items = [(1, " ".join(rng.choice(WORDS) for _ in range(14))), (2, "Stone, river"), (3, None), (4, "  "), (5, "Stone river!"), (6, "NEVER")]
     long = [(100, f"x {items[0][1]} y"), (101, items[0][1][:-20]), (102, "stone-river stone river")]
     docs = docs_of(spark, texts[:44] + texts[46:] + long)
     bench = spark.createDataFrame([(*x, "e") for x in items], "item_id long, text string, doc_id string")
-    rows = decontamination.contamination(docs, bench, slop=5, windows_a_pass=windows_a_pass).collect()
+    rows = decontamination.contamination(docs, bench, slop=5, windows_a_block=block).collect()
     want = collections.Counter()
     for i, t in texts[:44] + texts[46:] + long:
         n, h, found = matches_by_hand(t, items)
@@ -372,7 +369,10 @@ def test_line_chunks_find_themselves_again():
     assert len(set(a) & set(b)) > 0.9 * len(a) and len(a) < 100
 
 
-def test_embeddings_against_brute_force(spark):
+@pytest.mark.parametrize(("tile", "band"), [(2048, 16384), (8, 16), (8, 8)])
+def test_embeddings_against_brute_force(spark, monkeypatch, tile, band):
+    monkeypatch.setattr(embedding_dedup, "TILE", tile)
+    monkeypatch.setattr(embedding_dedup, "BAND", band)
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 16))
     x = np.concatenate([base, base[:10] + 0.08 * rng.normal(size=(10, 16)), np.repeat(base[:1], 30, axis=0) + 0.02 * rng.normal(size=(30, 16)), base[:3], base[3:5] * 7]).astype(np.float32)
@@ -401,7 +401,7 @@ def test_embedding_bounds_lose_nothing():
     x = np.concatenate([x, x[:50] + 0.2 * rng.normal(size=(50, 40))])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     axes = np.linalg.eigh(x.T @ x)[1][:, ::-1]
-    r, c = embedding_dedup.links_between(x, x, axes, 0.8, True)
+    r, c = embedding_dedup.links_between(x, x, x @ axes, x @ axes, 0.8, True)
     want = {(i, j) for i, j in zip(*np.nonzero(np.triu(x @ x.T >= 0.8, 1)))}
     assert set(zip(r.tolist(), c.tolist())) == {(int(i), int(j)) for i, j in want}
 
