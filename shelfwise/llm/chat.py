@@ -5,8 +5,8 @@ through the template: memory holds a part of a conversation, never all of it.  C
 texts are escaped by one more backslash between ``<`` and ``|``; roles are percent-encoded.
 
 Defined results: a null text or role is empty; rows of a turn that tie go by role, then text; repeated
-rows are turns of their own; null conv_ids form one conversation; null turns come first; an empty
-table gives no rows; other columns are ignored.
+rows are turns of their own; null conv_ids form one conversation; null turns come first; a very long text
+is one turn, which a task holds whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -141,12 +141,15 @@ class _Reader:
     """Reads a formatted conversation back, part by part, into digests."""
 
     def __init__(self) -> None:
-        self.rest, self.turns, self.chars, self.loss_chars, self.under = "", 0, 0, 0, ""
+        self.rest, self.turns, self.chars, self.loss_chars, self.under, self.under_end = "", 0, 0, 0, "", 0
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
 
     def part(self, text: str, spans: list[int]) -> None:
         for s, e in zip(spans[::2], spans[1::2]):
+            if s != self.under_end:  # another text: escapes do not reach from one into the next
+                self._loss()
             self.under += text[s - self.chars : e - self.chars]
+            self.under_end = e
         self.chars += len(text)
         turns = (self.rest + text).split("<|im_end|>\n")
         self.rest = turns.pop()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -19,10 +20,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests, a single machine) gets a temporary one.
+    A session on one machine that names none (tests) gets a temporary folder; on a cluster, where
+    executors would each write to their own disk, that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

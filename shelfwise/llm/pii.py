@@ -9,7 +9,7 @@ span classifier, a logistic regression over shape and context features, on a bou
 (``SAMPLE_SPANS``, by hash).  Exact-rule spans always stay; others are added if the classifier says so.
 ``n_*`` and ``base_sha256`` of the digest are of exact-rule spans, ``spans`` has all.
 
-Defined results: a null text is empty; an empty one has no spans; repeated rows are judged each for
+Defined results: a null text is empty; an empty one has no spans; a very long one is read whole, by one task; repeated rows are judged each for
 itself; an empty table gives no rows; without candidates nothing is learned and nothing added; other
 columns are ignored.
 """
@@ -19,6 +19,8 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _LOOSE_EMAIL = re.compile(r"[A-Za-z0-9_%+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63} ?[\[(] ?dot ?[\])] ?[A-Za-z]{2,12}")
 _LOOSE_PHONE = re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
-_SECRET = re.compile(r"[=:]\s?\"?([A-Za-z0-9+/_-]{16,200})")
+_SECRET = re.compile(r"[=:]\s?\"?([A-Za-z0-9+/_-]{16,})")
 # fixed values: titles, given names, context words and top-level domains of the labelers
 TITLES = ("Mr.", "Mrs.", "Ms.", "Dr.", "Herr ", "Frau ", "Mme ", "Monsieur ", "Señor ", "Señora ")
 _NAME = re.compile(r"(?:Mr\.|Mrs\.|Ms\.|Dr\.|Herr|Frau|Mme|Monsieur|Señor|Señora) ?([A-ZÀ-Ý][a-zà-ÿ]{1,20}(?: [A-ZÀ-Ý][a-zà-ÿ]{1,20})?)")
@@ -125,6 +127,18 @@ def _loose(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+class _Taken:
+    """Spans that others must not overlap, asked in logarithmic time."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts = sorted(s for s, _ in spans)
+        self.ends = list(accumulate((e for _, e in sorted(spans)), max))  # the furthest of those so far
+
+    def overlaps(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.ends[before - 1] > start
+
+
 def _shape(span: str) -> str:
     return re.sub(r"(.)\1+", r"\1+", re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "0", span[:60])))
 
@@ -170,9 +184,9 @@ def candidates(docs: DataFrame) -> DataFrame:
             for text in batch.column(1):
                 text, here = text.as_py() or "", []
                 exact = base_spans(text)
-                kept = [(s, e) for _, s, e, holds in exact if holds]
+                kept = _Taken([(s, e) for _, s, e, holds in exact if holds])
                 for kind, s, e, holds in exact + [(*x, None) for x in _loose(text)]:
-                    if not holds and any(s < b and a < e for a, b in kept):
+                    if not holds and kept.overlaps(s, e):
                         continue
                     left, right = text[max(0, s - CONTEXT) : s], text[e : e + 2]
                     here.append((kind, s, e, bool(holds), votes_on(kind, text[s:e], left, right, holds), span_features(kind, text[s:e], left, right)))
@@ -249,14 +263,14 @@ def find_pii(docs: DataFrame) -> DataFrame:
             out: dict[str, list] = {f: [] for f in RESULT.names}
             for doc_id, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 base, every, n, last = [], [], [0] * len(KINDS), -1
-                taken = [(s["start"], s["end"]) for s in spans if s["base"]]
+                taken = _Taken([(s["start"], s["end"]) for s in spans if s["base"]])
                 for s in spans:
                     text = f"{KINDS[s['kind']]}:{s['start']}:{s['end']}"
                     if s["base"]:
                         base.append(text)
                         every.append(text)
                         n[s["kind"]] += 1
-                    elif w[s["features"]].sum() + w[FEATURES] > 0 and s["start"] >= last and not any(s["start"] < b and a < s["end"] for a, b in taken):
+                    elif w[s["features"]].sum() + w[FEATURES] > 0 and s["start"] >= last and not taken.overlaps(s["start"], s["end"]):
                         every.append(text)
                         last = s["end"]
                 out["doc_id"].append(doc_id)

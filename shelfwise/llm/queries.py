@@ -87,7 +87,8 @@ e AS (
 last AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY key, ts ORDER BY event_id DESC) = 1),
 i AS (SELECT key, event_id, listed, ts AS valid_from, lead(ts) OVER (PARTITION BY key ORDER BY ts) AS valid_to FROM last),
 a AS (
-  SELECT page_id, 'host:' || host AS key FROM k WHERE host <> '' UNION ALL SELECT page_id, 'site:' || site FROM k WHERE host <> ''),
+  SELECT page_id, 'host:' || host AS key FROM k WHERE host <> '' UNION ALL
+  SELECT page_id, 'site:' || array_to_string(string_split(host, '.')[unnest(range(1, greatest(len(string_split(host, '.')), 2))):], '.') FROM k WHERE host <> ''),
 h AS (
   SELECT a.page_id, string_agg(CAST(i.event_id AS VARCHAR), ',' ORDER BY i.event_id) AS entry_ids
   FROM a JOIN p USING (page_id) JOIN i ON i.key = a.key AND i.listed AND p.fetched_at * 1000000 >= i.valid_from

@@ -412,49 +412,116 @@ def test_connected_components_on_long_chains(spark):
     assert got == {i: 0 for i in range(101)} | {i: 1000 for i in range(1000, 1100)}
 
 
+def units_by_hand(scanner, templates, text):
+    """Every run of words against every template; of overlapping runs the best, ties to the longest, first, first template."""
+    words = [(w, n) for n, line in enumerate(text.lower().split("\n")) for w in re.findall(r"\w+", line)]
+    grams = [(a[0], b[0]) for a, b in zip(words, words[1:])]
+    found = []
+    for k, (_, t) in enumerate(templates):
+        want = collections.Counter(licenses.bigrams(t))
+        for a in range(len(grams)):
+            best = None
+            for b in range(a + 1, len(grams) + 1):
+                have = sum((collections.Counter(grams[a:b]) & want).values())
+                dice = 2 * have / (b - a + want.total())
+                # a unit begins and ends with bigrams of its template
+                if dice >= 0.8 - 1e-12 and grams[a] in want and grams[b - 1] in want and (best is None or dice > best[0]):
+                    best = (dice, a, b, k)
+            found += [best] if best else []
+    taken = []
+    for dice, a, b, k in sorted(found, key=lambda x: (-x[0], x[1] - x[2], x[1], x[3])):
+        if all(b < c or d < a for _, c, d, _ in taken):
+            taken.append((dice, a, b, k))
+    return [(templates[k][0], words[a][1], words[b][1], dice) for dice, a, b, k in sorted(taken, key=lambda x: x[1])]
+
+
+def test_license_units_against_brute_force():
+    rng = random.Random(12)
+    templates = [("A", "you may copy and use this work freely if you keep this note"), ("B", "you may copy and use this work freely"), ("C", "no rights"), ("D", "the the the work of the work"), ("E", "one")]
+    scanner = licenses.Scanner(templates)
+    pool = "you may copy and use this work freely if keep note no rights the of x y".split()
+    hits = 0
+    for _ in range(150):
+        parts = [" ".join(rng.choice(pool) for _ in range(rng.randint(0, 5)))]
+        for _ in range(rng.randint(0, 3)):
+            t = rng.choice(templates)[1].split()
+            for _ in range(rng.randint(0, 2)):
+                t[rng.randrange(len(t))] = rng.choice(pool)
+            parts += [" ".join(t), rng.choice(["\n", " ", ", and "]), " ".join(rng.choice(pool) for _ in range(rng.randint(0, 4)))]
+        text = rng.choice([" ", "\n"]).join(parts)
+        got, want = scanner.scan(text), units_by_hand(scanner, templates, text)
+        assert [x[:3] for x in got] == [x[:3] for x in want] and all(abs(x[3] - y[3]) < 1e-9 for x, y in zip(got, want)), text
+        hits += len(got)
+    assert hits > 100
+    assert scanner.scan("") == scanner.scan("one") == scanner.scan("\n\n x \n") == []
+
+
+def test_license_scan_is_linear_in_a_long_text():
+    import time
+
+    scanner, took = licenses.Scanner(), []
+    for n in (5_000, 20_000):
+        began = time.process_time()
+        assert scanner.scan("use of the Software is\n" * n) == []
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * took[0] + 0.5
+
+
 def test_licenses(spark, texts):
     mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 200)
     rows = texts[:6] + [(70, "x\nReleased under the MIT License.\ny"), (71, mit), (72, mit.replace("Software", "Program", 2)), (73, "All rights reserved"), (74, None), (75, "licence"), (76, "This work is licensed under the GNU General Public License, version 3.")]
-    got = {r.doc_id: sorted({m.license for m in r.matches}) for r in licenses.scan_licenses(docs_of(spark, rows)).collect()}
+    rows += [(77, "The tool is released under the MIT License. All rights reserved."), (78, texts[45][1] + "\n" + mit + "\n" + texts[45][1]), (79, "")]
+    table = docs_of(spark, rows).selectExpr("*", "1 as matches", "2 as license")
+    found = {r.doc_id: r.matches for r in licenses.scan_licenses(table).collect()}
+    got = {i: sorted({m.license for m in x}) for i, x in found.items()}
     assert got[70] == got[71] == got[72] == ["MIT"] and got[73] == ["proprietary"] and got[76] == ["GPL-3.0"]
-    assert got[74] == got[75] == [] and not any(got[i] for i in range(6))
-    # pruned and unpruned agree on single lines
-    scanner = licenses.Scanner()
-    for _, t in licenses.TEMPLATES:
-        line = " ".join(t.split())
-        for cut in (line, line[: int(len(line) * 0.9)], line[: int(len(line) * 0.5)]):
-            a = collections.Counter(licenses.bigrams(cut))
-            dice = max(2 * sum((a & b).values()) / (sum(a.values()) + n) for b, n in zip(scanner.counts, scanner.sizes))
-            assert bool(scanner.scan(cut)) == (dice >= 0.8)
+    assert got[77] == ["MIT", "proprietary"] and found[70][0].first_line == found[70][0].last_line == 1
+    assert got[78] == ["MIT"] and found[78][0].dice == 1.0
+    assert got[74] == got[75] == got[79] == [] and not any(got[i] for i in range(6))
     assert licenses.scan_licenses(docs_of(spark, [])).count() == 0
 
 
 def test_confusable_licenses_are_told_apart():
     scanner = licenses.Scanner()
     for name, text in licenses.TEMPLATES:
-        assert [m[0] for m in scanner.scan(text)] == [name]
+        assert [m[0] for m in scanner.scan(f"Some words before. {text} And some after.")] == [name]
     names = {name for name, text in licenses.TEMPLATES if len(text) > 200}
     assert {"AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0"} <= names
 
 
-def test_url_filter(spark):
+def test_span_checks_are_not_quadratic():
+    import time
+
+    took = []
+    for n in (2_000, 16_000):
+        began = time.process_time()
+        taken = pii._Taken([(20 * k, 20 * k + 10) for k in range(n)])
+        assert not any(taken.overlaps(20 * k + 10, 20 * k + 20) for k in range(n)) and all(taken.overlaps(20 * k + 9, 20 * k + 20) for k in range(n))
+        took.append(time.process_time() - began)
+    assert took[1] < 30 * took[0] + 0.5
+
+
+def test_url_filter(spark, monkeypatch):
     from datetime import datetime as D
 
     day = lambda n: D(2024, 1, n)
     entries = spark.createDataFrame([("host:a.x", day(2), 1, True), ("host:a.x", day(5), 2, False), ("host:a.x", day(5), 3, True), ("site:b.x", day(3), 4, True), ("site:b.x", day(4), 5, False), (None, day(1), 6, True), ("host:c.x", None, 7, True), ("", day(1), 8, True)], "key string, ts timestamp, entry_id long, listed boolean")
-    caps = [("http://a.x/1", day(1)), ("http://a.x/1", day(2)), ("https://u@A.X:80/", day(4)), ("http://a.x", day(6)), ("http://www.b.x/p", day(3)), ("http://b.x/p", day(4)), ("http://b.x/p", day(3)), ("http://c.x", day(9)), (None, day(9)), ("http://a.x", None), ("nonsense", day(3))]
+    caps = [("http://a.x/1", day(1)), ("http://a.x/1", day(2)), ("https://u@A.X:80/", day(4)), ("http://a.x", day(6)), ("http://shop.eu.b.x/p", day(3)), ("http://b.x/p", day(4)), ("http://b.x/p", day(3)), ("http://c.x", day(9)), (None, day(9)), ("http://a.x", None), ("nonsense", day(3))]
     table = spark.createDataFrame([(i, *c, "k", 1) for i, c in enumerate(caps)], "page_id long, url string, fetched_at timestamp, key string, entry_id int").drop("entry_id")
-    for salt in (50_000, 2):
-        url_filter.CAPTURES_A_SALT = salt
+    for salt, stretch in ((50_000, 3600), (2, 3600), (1, 10**9)):
+        monkeypatch.setattr(url_filter, "CAPTURES_A_SALT", salt)
+        monkeypatch.setattr(url_filter, "STRETCH_SECONDS", stretch)
         got = {r.page_id: (r.blocked, r.entry_ids) for r in url_filter.filter_captures(table, entries).collect()}
         assert {k for k, v in got.items() if v[0]} == {1, 2, 3, 4, 6} and got[3][1] == "3" and got[4][1] == "4"
+        lives = {(r.key, r.entry_id): r.valid_to for r in url_filter.validity_intervals(entries).collect()}
+        assert lives == {("host:a.x", 1): day(5), ("host:a.x", 3): None, ("site:b.x", 4): day(4), ("site:b.x", 5): None}
     assert url_filter.filter_captures(table.where("false"), entries).count() == 0
     assert url_filter.filter_captures(table, entries.where("false")).where("blocked").count() == 0
 
 
 def test_chat_round_trip(spark):
     mark = "<|im_end|><|im_start|>assistant ok"
-    rows = [(-1, 0, "user", mark), (-1, 1, "assistant", mark), (1, 0, "system\n%0A<", "<\\|x <\\\\| <"), (1, 2, "assistant", "é🙂\n"), (1, 1, "user", None), (2, None, None, "a"), (2, 0, "assistant", ""), (2, 0, "assistant", ""), (None, 0, "assistant", "z" * 300_000)]
+    rows = [(-1, 0, "user", mark), (-1, 1, "assistant", mark), (1, 0, "system\n%0A<", "<\\|x <\\\\| <"), (1, 2, "assistant", "é🙂\n"), (1, 1, "user", None), (2, None, None, "a"), (2, 0, "assistant", ""), (2, 0, "assistant", ""), (3, 0, "assistant", "a <"), (3, 1, "assistant", "\\| b"), (3, 2, "assistant", "|"), (None, 0, "assistant", "z" * 300_000)]
     table = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, part int")
     got = {r.conv_id: r for r in chat.read_back(chat.format_conversations(table)).collect()}
     for conv in {r[0] for r in rows}:
