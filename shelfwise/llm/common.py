@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import platform
 import re
 import tempfile
 import uuid
@@ -53,6 +55,7 @@ def row_key() -> Column:
 ROW_KEY = T.StructType([T.StructField(c, T.LongType(), False) for c in "ab"])
 
 _worker_memo: dict = {}
+_libc = ctypes.CDLL("libc.so.6") if platform.libc_ver()[0] == "glibc" else None
 
 
 def worker_memo(key: tuple, make: Callable[[], object]) -> object:
@@ -67,6 +70,13 @@ def worker_memo(key: tuple, make: Callable[[], object]) -> object:
     return _worker_memo[key]
 
 
+def _give_back() -> None:
+    """Free memory of Arrow and of the C library goes back to the system: a worker lives on, and it counts."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def arrow_rows(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[str, list] | None]], schema: T.StructType
 ) -> DataFrame:
@@ -85,7 +95,7 @@ def arrow_rows(
             if out is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)
             del batch, out
-            pa.default_memory_pool().release_unused()  # a worker lives on, and its free memory counts
+            _give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -30,9 +30,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, worker_memo
+from .common import arrow_rows, materialise, worker_memo
 
 SAMPLE_PER_LANGUAGE, SAMPLE_CHARS = 150, 2_000_000
+#: Labels whose counts are broadcast; more of them are joined by a shuffle.
+LABELS_BROADCAST = 10_000
 FEATURES = 1 << 16
 #: Training sequences a language, words of each, mean words before a change of language, and gradient steps.
 SEQUENCES, SEQUENCE_WORDS, RUN_WORDS, STEPS = 400, 60, 12, 60
@@ -209,7 +211,9 @@ def training_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, ch
     Equal texts of a language are one, so copies do not crowd others out.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select(F.col("lang").cast("string"), F.col("text").cast("string"))
-    counts = known.groupBy("lang").agg(F.count("*").alias("_rows"))
+    counts = materialise(known.groupBy("lang").agg(F.count("*").alias("_rows")), "labels")
+    if counts.count() <= LABELS_BROADCAST:  # a row for each label
+        counts = F.broadcast(counts)
     unit = F.xxhash64("text")  # uniform over all 64 bits
     share = F.lit(1.3 * per_language * 2.0**64) / F.col("_rows") - F.lit(2.0**63)
     some = known.join(counts, "lang").where(unit < share).groupBy("lang", unit.alias("_unit")).agg(F.min("text").alias("text"))
@@ -224,8 +228,9 @@ def predict(docs: DataFrame, model: Model, *, with_runs: bool = False, with_row:
     """``doc_id, lang_pred, score`` and, if asked for, ``runs``, (first word, words, language), and the input ``row``."""
     fields = [T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     run = T.StructType([T.StructField("start", T.LongType()), T.StructField("words", T.LongType()), T.StructField("lang", T.StringType())])
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *([F.struct(*(f"`{c}`" for c in docs.columns)).alias("row")] if with_row else []))
-    schema = T.StructType([*fields, *([T.StructField("runs", T.ArrayType(run))] if with_runs else []), *(texts.schema[2:])])
+    row = F.struct(*(f"`{c}`" for c in docs.columns)).alias("row")
+    texts = docs.select(F.col("doc_id").cast("long"), row if with_row else F.col("text").cast("string"))
+    schema = T.StructType([*fields, *([T.StructField("runs", T.ArrayType(run))] if with_runs else []), *(texts.schema[1:] if with_row else [])])
     shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, model))  # FEATURES numbers a language
 
     def make():
@@ -250,7 +255,8 @@ def predict(docs: DataFrame, model: Model, *, with_runs: bool = False, with_row:
             n = batch.num_rows
             best, score, runs = ["und"] * n, np.zeros(n), [[] for _ in range(n)]
             ids: list[np.ndarray] = []
-            for text in batch.column(1):
+            column = batch.column(1)
+            for text in column.field("text") if with_row else column:
                 w = words_of(text.as_py() or "") if k else []
                 try:
                     got = np.fromiter(map(number.__getitem__, w), dtype=np.int32, count=len(w))
@@ -283,7 +289,7 @@ def predict(docs: DataFrame, model: Model, *, with_runs: bool = False, with_row:
             if len(number) * k > MEMO_CELLS:
                 number.clear()
                 memo[1] = memo[1][:0].copy()
-            return {"doc_id": batch.column(0), "lang_pred": best, "score": score, "runs": runs} | ({"row": batch.column(2)} if with_row else {})
+            return {"doc_id": batch.column(0), "lang_pred": best, "score": score, "runs": runs} | ({"row": column} if with_row else {})
 
         return work
 

@@ -6,7 +6,8 @@ bits differ, where partitions of the bits are too narrow to leave few candidates
 prefix filter, which loses no pair.  Shingles have one order everywhere, frequent ones last.  Two sets of
 Jaccard t or more share a shingle among the first n - ceil(t * n) + 1 of each, so texts that share
 none are never compared.  Which shingles count as frequent is counted over all texts, batch by batch: the
-order only decides how many candidates there are, never which pairs are found.  Candidates are
+order only decides how many candidates there are, never which pairs are found.  With l more places the two
+beginnings share l + 1 shingles, which thins candidates out before their texts are read; what is left is
 verified on the bytes of their shingles.  Texts with equal sets are one node from the start.  In a
 bucket of few nodes all pairs are candidates; in one of many (near copies gather there) nodes are
 first compared with one leader a round, and then only pairs that are not connected yet.
@@ -36,6 +37,8 @@ from .simhash import near_links as fingerprint_links
 SHINGLE, SIMILAR = 5, (4, 5)
 #: Texts of a batch that make a shingle frequent, and shingles that are put last (the most frequent ones).
 FREQUENT, PUT_LAST = 8, 100_000
+#: One place more in the longer beginning for so many shingles.
+MORE = 10
 #: Nodes of a bucket up to which all pairs are candidates, and rounds of leaders in larger ones.
 PAIRED_BUCKET, ROUNDS = 32, 3
 
@@ -46,6 +49,7 @@ PREFIXES = T.StructType(
         T.StructField("node", T.BinaryType()),
         T.StructField("n", T.LongType()),
         T.StructField("fp", T.LongType()),
+        T.StructField("begin", T.LongType()),
         T.StructField("prefix", T.ArrayType(T.LongType())),
     ]
 )
@@ -86,13 +90,16 @@ def frequent(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, last: np.ndarray, *, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """For every row the key, size and fingerprint of its set of shingles and the set's prefix; ``last`` come last."""
+    """For every row the key, size and fingerprint of its set of shingles and the set's prefix; ``last`` come last.
+
+    The first ``begin`` shingles of the prefix are shared by one at least, all of it by ``n // MORE`` more.
+    """
 
     def make():
         from xxhash import xxh3_128_digest
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
-            nodes, sizes, firsts, fps = [], [], [], [np.zeros(0, dtype=np.int64)]
+            nodes, sizes, begins, firsts, fps = [], [], [], [], [np.zeros(0, dtype=np.int64)]
             for text in batch.column(2):
                 own = _hashes(text.as_py(), shingle)
                 n = len(own)
@@ -101,10 +108,11 @@ def prefixes(docs: DataFrame, last: np.ndarray, *, shingle: int = SHINGLE, simil
                 fps.append(fold(own, [n]))
                 most = n + (-similar[0] * n) // similar[1] + 1 if n else 0  # n - ceil(t * n) + 1
                 late = last[np.searchsorted(last[:-1], own)] == own if len(last) else np.zeros(n, dtype=bool)
-                firsts.append(np.concatenate([own[~late], own[late]])[:most].view(np.int64))
+                begins.append(most)
+                firsts.append(np.concatenate([own[~late], own[late]])[: most + n // MORE].view(np.int64))
             lengths = np.cumsum([0, *map(len, firsts)])
             prefix = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(firsts) if firsts else [], pa.int64()))
-            return {"doc_id": batch.column(0), "row_key": batch.column(1), "node": nodes, "n": sizes, "fp": np.concatenate(fps), "prefix": prefix}
+            return {"doc_id": batch.column(0), "row_key": batch.column(1), "node": nodes, "n": sizes, "fp": np.concatenate(fps), "begin": begins, "prefix": prefix}
 
         return work
 
@@ -135,23 +143,32 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
     """Links ``(a, b)`` between nodes of ``rows`` that keep every group of similar texts together."""
     t, how = similar[0] / similar[1], {"shingle": shingle, "similar": similar}
     # operator 1: nodes with near fingerprints, and one link from each to another node of the same fingerprint
-    marks = materialise(rows.groupBy("fp", "node").agg(F.first("n").alias("n")), "marks")
+    marks = materialise(rows.select("fp", "node").distinct(), "marks")
     heads = materialise(marks.groupBy("fp").agg(F.min("node").alias("head")), "heads")
     near_heads = fingerprint_links(heads, MAX_BITS)
     ends = (heads.select(F.col("fp").alias(c), F.col("head").alias(f"node_{c}")) for c in "ab")
     near_heads = near_heads.join(next(ends), "a").join(next(ends), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     same = marks.join(heads, "fp").where(F.col("node") != F.col("head")).select(F.col("node").alias("a"), F.col("head").alias("b"))
     sketched = materialise(near_heads.unionByName(same).distinct(), "sketched")
-    tokens = rows.select(F.explode("prefix").alias("token"), "node", "n")
+    nodes = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("begin").alias("begin"), F.first("prefix").alias("prefix"))
+    nodes = materialise(nodes, "nodes")
+    tokens = nodes.select(F.explode(F.slice("prefix", F.lit(1), F.col("begin").cast("int"))).alias("token"), "node", "n")
     shared = tokens.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     shared = shared.where("least < most").select("token")
     members = materialise(tokens.join(shared, "token").distinct(), "members")
     sizes = members.groupBy("token").agg(F.count("*").alias("size"))
     members = materialise(members.join(sizes, "token"), "members")
-    wanted = members.select("node").unionByName(sketched.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
-    first = rows.groupBy("node").agg(F.min("row_key").alias("row_key")).join(wanted, "node", "left_semi")
-    texts = _texts(docs).select("row_key", "text").join(first, "row_key").dropDuplicates(["node"]).select("node", "text")
-    texts = materialise(texts, "candidates")
+    first = rows.groupBy("node").agg(F.min("row_key").alias("row_key"))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        """Similar ones of candidate pairs: by their beginnings first, then by the texts of those that are left."""
+        x, y = (nodes.select(F.col("node").alias(c), *(F.col(f).alias(f"{f}_{c}") for f in ("n", "prefix"))) for c in "ab")
+        shared = F.size(F.array_intersect("prefix_a", "prefix_b"))
+        fits = (F.least("n_a", "n_b") >= t * F.greatest("n_a", "n_b") - 1e-6) & (shared > F.floor(F.least("n_a", "n_b") / MORE))
+        left = materialise(pairs.distinct().join(x, "a").join(y, "b").where(fits).select("a", "b"), "plausible")
+        wanted = left.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(first, "node")
+        texts = _texts(docs).select("row_key", "text").join(wanted, "row_key").dropDuplicates(["node"]).select("node", "text")
+        return verified(left, materialise(texts, "candidates"), **how)
 
     def near(x: DataFrame, y: DataFrame) -> DataFrame:
         """Pairs of one bucket whose sizes allow the similarity."""
@@ -162,7 +179,7 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
 
     few = members.where(F.col("size") <= PAIRED_BUCKET).select("token", "node", "n")
     pairs = near(few, few).where("x_node < y_node").select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
-    links = materialise(verified(sketched.unionByName(pairs).distinct(), texts, **how), "similar")
+    links = materialise(checked(sketched.unionByName(pairs)), "similar")
     many = members.where(F.col("size") > PAIRED_BUCKET).select("token", "node", "n")
     if many.isEmpty():
         return links
@@ -181,7 +198,7 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
         else:  # what is still apart
             each = open_.select("token", "node", "n", "component")
             pairs = near(each, each).where("x_component < y_component").select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
-        links = materialise(links.unionByName(verified(pairs.distinct(), texts, **how)), "similar")
+        links = materialise(links.unionByName(checked(pairs)), "similar")
     return links
 
 
@@ -194,4 +211,4 @@ def keep_one_each(docs: DataFrame, *, shingle: int = SHINGLE, similar: tuple[int
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
     keep = grouped.groupBy("component").agg(first.alias("first")).select(F.col("first.row_key").alias("__near_key"))
     kept = docs.withColumn("__near_row", row_key()).join(keep, F.col("__near_row") == F.col("__near_key"), "left_semi")
-    return kept.dropDuplicates(["__near_row"]).select(*docs.columns)
+    return kept.dropDuplicates(["__near_row"]).drop("__near_row")

@@ -38,7 +38,7 @@ BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if not
 #: A special string begins so; it is matched before anything is lower-cased.
 SPECIAL = "<|"
 #: Bytes of texts, about, whose distinct words are encoded at once; words of a row given to the tokenizer.
-BYTES_AT_ONCE, WORDS_A_ROW = 12_000_000, 200
+BYTES_AT_ONCE, WORDS_A_ROW = 6_000_000, 200
 
 PIECES = T.StructType(
     [

@@ -239,6 +239,29 @@ def test_language_id(spark):
     assert language_id.identify(docs_of(spark, [])).count() == 0
 
 
+def test_language_sample_is_ranked_in_each_language(spark):
+    """Copies, null ids and very frequent languages push nobody out; the sample is bounded in rows and characters."""
+    rows = [(None, f"text {i % 40} a", "aa") for i in range(400)] + [(4, f"word {i} b", "bb") for i in range(30)] + [(8, "c " * 5000 + str(i), "cc") for i in range(5)] + [(9, "x", None), (10, None, "dd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = collections.Counter(lang for _, lang in language_id.training_sample(docs, per_language=20, chars=25_000))
+    assert 10 < got["bb"] <= 20 and 0 < got["aa"] <= 20 and got["cc"] == 3 and set(got) == {"aa", "bb", "cc"}
+
+
+def test_every_language_and_every_character_counts(monkeypatch):
+    monkeypatch.setattr(language_id, "SEQUENCES", 2)
+    monkeypatch.setattr(language_id, "STEPS", 5)
+    names = [f"l{i:02d}" for i in range(70)]
+    rows = [(" ".join(f"{a}{b}{n[1:]}" .translate(str.maketrans("0123456789", "abcdefghij")) for b in "xyz"), n) for n in names for a in "uvw"]
+    model = language_id.train(rows)
+    assert model.languages == names
+    word = "a" * 100
+    flat, sizes = language_id.word_features([word, word + "b", "c", word[:-1] + "b"], {"c": 1})
+    assert sizes.tolist() == [99 + 98 + 6, 100 + 99 + 6, 0 + 0 + 2 + 1, 99 + 98 + 6]
+    parts = np.split(flat, np.cumsum(sizes)[:-1])
+    assert set(parts[0]) != set(parts[1]) and set(parts[1]) == set(parts[3])
+    assert (flat >= 0).all() and (flat < language_id.FEATURES).all()
+
+
 def test_forward_backward_against_enumeration():
     import itertools
 
