@@ -6,8 +6,7 @@ bits differ, where partitions of the bits are too narrow to leave few candidates
 prefix filter, which loses no pair.  Shingles have one order everywhere, frequent ones last.  Two sets of
 Jaccard t or more share a shingle among the first n - ceil(t * n) + 1 of each, so texts that share
 none are never compared.  Which shingles count as frequent is counted over all texts, batch by batch: the
-order only decides how many candidates there are, never which pairs are found.  With l more places the two
-beginnings share l + 1 shingles, which thins candidates out before their texts are read; what is left is
+order only decides how many candidates there are, never which pairs are found.  Candidates are
 verified on the bytes of their shingles.  Texts with equal sets are one node from the start.  In a
 bucket of few nodes all pairs are candidates; in one of many (near copies gather there) nodes are
 first compared with one leader a round, and then only pairs that are not connected yet.
@@ -36,9 +35,9 @@ from .simhash import near_links as fingerprint_links
 #: Words of a shingle, and the least Jaccard as a fraction.
 SHINGLE, SIMILAR = 5, (4, 5)
 #: Texts of a batch that make a shingle frequent, and shingles that are put last (the most frequent ones).
-FREQUENT, PUT_LAST = 8, 100_000
-#: One place more in the longer beginning for so many shingles.
-MORE = 10
+FREQUENT, PUT_LAST = 4, 100_000
+#: Nodes of candidates are broadcast up to so many bytes, so that other texts are not shuffled.
+BROADCAST_BYTES, NODE_BYTES = 32_000_000, 40
 #: Nodes of a bucket up to which all pairs are candidates, and rounds of leaders in larger ones.
 PAIRED_BUCKET, ROUNDS = 32, 3
 
@@ -46,14 +45,14 @@ PREFIXES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
         T.StructField("row_key", ROW_KEY, False),
-        T.StructField("node", T.BinaryType()),
+        T.StructField("node", T.LongType()),
+        T.StructField("key", T.BinaryType()),
         T.StructField("n", T.LongType()),
         T.StructField("fp", T.LongType()),
-        T.StructField("begin", T.LongType()),
         T.StructField("prefix", T.ArrayType(T.LongType())),
     ]
 )
-LINKS = T.StructType([T.StructField(c, T.BinaryType()) for c in ("a", "b")])
+LINKS = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b")])
 
 
 def shingles(text: bytes | None, size: int = SHINGLE) -> list[bytes]:
@@ -90,29 +89,27 @@ def frequent(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, last: np.ndarray, *, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """For every row the key, size and fingerprint of its set of shingles and the set's prefix; ``last`` come last.
-
-    The first ``begin`` shingles of the prefix are shared by one at least, all of it by ``n // MORE`` more.
-    """
+    """For every row the 128-bit key, size and fingerprint of its set of shingles and the set's prefix, in which
+    ``last`` come last; ``node`` is half of the key."""
 
     def make():
         from xxhash import xxh3_128_digest
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
-            nodes, sizes, begins, firsts, fps = [], [], [], [], [np.zeros(0, dtype=np.int64)]
+            keys, sizes, firsts, fps = [], [], [], [np.zeros(0, dtype=np.int64)]
             for text in batch.column(2):
                 own = _hashes(text.as_py(), shingle)
                 n = len(own)
-                nodes.append(xxh3_128_digest(own.tobytes()))
+                keys.append(xxh3_128_digest(own.tobytes()))
                 sizes.append(n)
                 fps.append(fold(own, [n]))
                 most = n + (-similar[0] * n) // similar[1] + 1 if n else 0  # n - ceil(t * n) + 1
                 late = last[np.searchsorted(last[:-1], own)] == own if len(last) else np.zeros(n, dtype=bool)
-                begins.append(most)
-                firsts.append(np.concatenate([own[~late], own[late]])[: most + n // MORE].view(np.int64))
+                firsts.append(np.concatenate([own[~late], own[late]])[:most].view(np.int64))
             lengths = np.cumsum([0, *map(len, firsts)])
             prefix = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(firsts) if firsts else [], pa.int64()))
-            return {"doc_id": batch.column(0), "row_key": batch.column(1), "node": nodes, "n": sizes, "fp": np.concatenate(fps), "begin": begins, "prefix": prefix}
+            node = np.frombuffer(b"".join(keys), dtype="<i8")[::2]
+            return {"doc_id": batch.column(0), "row_key": batch.column(1), "node": node, "key": keys, "n": sizes, "fp": np.concatenate(fps), "prefix": prefix}
 
         return work
 
@@ -150,9 +147,7 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
     near_heads = near_heads.join(next(ends), "a").join(next(ends), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     same = marks.join(heads, "fp").where(F.col("node") != F.col("head")).select(F.col("node").alias("a"), F.col("head").alias("b"))
     sketched = materialise(near_heads.unionByName(same).distinct(), "sketched")
-    nodes = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("begin").alias("begin"), F.first("prefix").alias("prefix"))
-    nodes = materialise(nodes, "nodes")
-    tokens = nodes.select(F.explode(F.slice("prefix", F.lit(1), F.col("begin").cast("int"))).alias("token"), "node", "n")
+    tokens = rows.select(F.explode("prefix").alias("token"), "node", "n")
     shared = tokens.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     shared = shared.where("least < most").select("token")
     members = materialise(tokens.join(shared, "token").distinct(), "members")
@@ -161,13 +156,14 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
     first = rows.groupBy("node").agg(F.min("row_key").alias("row_key"))
 
     def checked(pairs: DataFrame) -> DataFrame:
-        """Similar ones of candidate pairs: by their beginnings first, then by the texts of those that are left."""
-        x, y = (nodes.select(F.col("node").alias(c), *(F.col(f).alias(f"{f}_{c}") for f in ("n", "prefix"))) for c in "ab")
-        shared = F.size(F.array_intersect("prefix_a", "prefix_b"))
-        fits = (F.least("n_a", "n_b") >= t * F.greatest("n_a", "n_b") - 1e-6) & (shared > F.floor(F.least("n_a", "n_b") / MORE))
-        left = materialise(pairs.distinct().join(x, "a").join(y, "b").where(fits).select("a", "b"), "plausible")
+        """Similar ones of candidate pairs."""
+        left = materialise(pairs.distinct(), "pairs")
         wanted = left.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(first, "node")
-        texts = _texts(docs).select("row_key", "text").join(wanted, "row_key").dropDuplicates(["node"]).select("node", "text")
+        wanted = materialise(wanted, "wanted")
+        texts = _texts(docs).select("row_key", "text")
+        if wanted.count() * NODE_BYTES <= BROADCAST_BYTES:
+            texts = texts.join(F.broadcast(wanted.select("row_key")), "row_key", "left_semi")
+        texts = texts.join(wanted, "row_key").dropDuplicates(["node"]).select("node", "text")
         return verified(left, materialise(texts, "candidates"), **how)
 
     def near(x: DataFrame, y: DataFrame) -> DataFrame:
@@ -206,9 +202,13 @@ def keep_one_each(docs: DataFrame, *, shingle: int = SHINGLE, similar: tuple[int
     """One row of ``docs`` for each group of similar texts: the one with the least doc_id (nulls last), unchanged."""
     rows = materialise(prefixes(docs, frequent(docs, shingle), shingle=shingle, similar=similar), "prefixes")
     member = connected_components(near_links(docs, rows, shingle=shingle, similar=similar))
-    keyed = rows.select("doc_id", "row_key", "node")
+    keyed = rows.select("doc_id", "row_key", "node", "key")
     grouped = keyed.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
-    keep = grouped.groupBy("component").agg(first.alias("first")).select(F.col("first.row_key").alias("__near_key"))
+    order = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+    keep = grouped.groupBy("component").agg(order.alias("first")).select(F.col("first.row_key").alias("__near_key"))
+    # sets of different keys that share a node by chance were not compared: one row of each stays
+    mixed = keyed.groupBy("node").agg(F.min("key").alias("one"), F.max("key").alias("other")).where("one <> other").select("node")
+    strays = keyed.join(mixed, "node", "left_semi").groupBy("key").agg(order.alias("first")).select(F.col("first.row_key").alias("__near_key"))
+    keep = keep.unionByName(strays).distinct()
     kept = docs.withColumn("__near_row", row_key()).join(keep, F.col("__near_row") == F.col("__near_key"), "left_semi")
     return kept.dropDuplicates(["__near_row"]).drop("__near_row")
