@@ -70,7 +70,7 @@ def worker_memo(key: tuple, make: Callable[[], object]) -> object:
     return _worker_memo[key]
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Free memory of Arrow and of the C library goes back to the system: a worker lives on, and it counts."""
     pa.default_memory_pool().release_unused()
     if _libc is not None:
@@ -95,7 +95,7 @@ def arrow_rows(
             if out is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)
             del batch, out
-            _give_back()
+            give_back()
 
     return df.mapInArrow(run, schema)
 

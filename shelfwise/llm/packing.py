@@ -15,6 +15,7 @@ columns of the input are ignored.
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, materialise, ranked, worker_memo
+from .common import arrow_rows, give_back, materialise, ranked, worker_memo
 
 MAX_TOKENS = 4096
 #: Words of these characters alone are cut here as the tokenizer cuts them; all others go through the whole
@@ -37,8 +38,9 @@ _PIECE = f"('(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+)"
 BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)) if b != 32}
 #: A special string begins so; it is matched before anything is lower-cased.
 SPECIAL = "<|"
-#: Bytes of texts, about, whose distinct words are encoded at once; words of a row given to the tokenizer.
-BYTES_AT_ONCE, WORDS_A_ROW = 6_000_000, 200
+#: Bytes of texts, about, whose distinct words are encoded at once; words of a row given to the tokenizer, and rows
+#: of a call, whose tokens it holds as objects.
+BYTES_AT_ONCE, WORDS_A_ROW, ROWS_A_CALL = 4_000_000, 200, 50
 
 PIECES = T.StructType(
     [
@@ -62,6 +64,7 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks run side by side already; its threads would each keep memory
         self.tokenizer = Tokenizer.from_file(path)
         # the same model for pieces that are cut and written in byte characters already
         self.bare = Tokenizer.from_file(path)
@@ -109,8 +112,10 @@ class WordEncoder:
         cuts = [*offsets[:-1:WORDS_A_ROW].tolist(), int(offsets[-1])] if len(words) else [0]
         rows = [text[a:b].to_pybytes().decode("latin-1") for a, b in zip(cuts, cuts[1:])]
         rows = [r if r.isascii() else r.translate(BYTE_CHARS) for r in rows]
-        ids = [np.array(e.ids, dtype="<u4") for e in self.bare.encode_batch_fast(rows, add_special_tokens=False)]
-        ids = np.concatenate([np.zeros(0, dtype="<u4"), *ids])
+        ids = [np.zeros(0, dtype="<u4")]
+        for i in range(0, len(rows), ROWS_A_CALL):
+            ids += [np.array(e.ids, dtype="<u4") for e in self.bare.encode_batch_fast(rows[i : i + ROWS_A_CALL], add_special_tokens=False)]
+        ids = np.concatenate(ids)
         ends = np.concatenate([[0], np.flatnonzero(self.closes[ids]) + 1])
         if len(ends) != pieces.sum() + 1 or ends[-1] != len(ids):
             raise ValueError("the tokenizer does not close every piece with one id")
@@ -151,6 +156,8 @@ def tokenize_pieces(
                         out["doc_tokens"].append(n)
                         if with_ids:
                             out["ids"].append(np.frombuffer(piece, dtype="<i4"))
+                del ids, raw
+                give_back()
             return out
 
         return work
