@@ -15,17 +15,12 @@ from .lexicons import (
     STOPWORDS_ENGLISH,
     STOPWORDS_KOREAN,
 )
-from .text import nfkc_lower, tokens
+from .text import let, nfkc_lower, tokens
 
 MOST_KEYWORDS = 8
 STOPWORDS = sorted(STOPWORDS_ENGLISH | STOPWORDS_KOREAN)
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _table(words: dict[str, str]) -> Column:
     return F.create_map(*(F.lit(x) for pair in words.items() for x in pair))
 
@@ -109,8 +104,11 @@ def keyword_list(normal: Column, most: int = MOST_KEYWORDS) -> Column:
     return F.slice(F.array_distinct(F.concat(pairs(normal), normal)), 1, most)
 
 
-def add_keywords(products, normalise: bool = True, most: int = MOST_KEYWORDS):
-    """``products`` with a ``keywords`` column; columns that a table lacks count as empty."""
+#: Columns that the keywords of a product come from.
+SOURCES = ("product_name", "category_path", "search_keyword", "source_category", "brand")
+
+
+def _with_keywords(products, normalise: bool, most: int):
     col = lambda c: F.coalesce(F.col(c), F.lit("")) if c in products.columns else F.lit("")
     text = F.concat_ws(" ", col("product_name"), col("category_path"), col("search_keyword"))
     stops = stop_set(col("source_category"), col("search_keyword"), col("brand"), normalise=False)
@@ -123,6 +121,22 @@ def add_keywords(products, normalise: bool = True, most: int = MOST_KEYWORDS):
     return products.withColumn("keywords", found).drop("_text", "_own")
 
 
+def add_keywords(products, normalise: bool = True, most: int = MOST_KEYWORDS, repeated: bool = False):
+    """``products`` with a ``keywords`` column; columns that a table lacks count as empty.
+
+    ``repeated`` says that many products share names and categories: the keywords of each distinct case
+    are made once and joined back by a hash of the case, beside the case itself.
+    """
+    if not repeated:
+        return _with_keywords(products, normalise, most)
+    names = [c for c in SOURCES if c in products.columns]
+    case = F.xxhash64(*names)
+    cases = _with_keywords(products.select(*names).distinct(), normalise, most)
+    cases = cases.select(case.alias("_case"), F.struct(*names).alias("_names"), "keywords")
+    same = F.col("_names").eqNullSafe(F.struct(*names))
+    return products.withColumn("_hash", case).join(cases, (F.col("_hash") == F.col("_case")) & same).drop("_hash", "_case", "_names")
+
+
 def keyword_key(c: Column, normalise: bool = True) -> Column:
     """Tokens joined by a space; the lower-case text itself if it has none."""
     lower = nfkc_lower(c, normalise)

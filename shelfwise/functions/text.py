@@ -7,6 +7,7 @@ Every function takes and returns a ``Column`` and stays inside Spark's expressio
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
@@ -19,6 +20,11 @@ _WIDE = "\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\u0085
 _TRIM = f"^[\\s{_WIDE}]+|[\\s{_WIDE}]+$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def quoted(words: list[str] | tuple[str, ...]) -> str:
     """A regular expression that matches any of ``words`` literally."""
     return "|".join("\\Q" + w + "\\E" for w in words)
@@ -95,54 +101,118 @@ def first_group(c: Column, patterns: list[str]) -> Column:
     return F.coalesce(*found, F.lit(""))
 
 
+_S = "[\\t\\n\\f\\r ]*"
 #: Where a price in won may stand, in order of trust.
 PRICE_PATTERNS = [
-    "(?:판매가|할인가|최종가)\\s*[:：]?\\s*₩?\\s*([0-9][0-9,]*)\\s*원?",
-    "₩\\s*([0-9][0-9,]*)",
-    "KRW\\s*([0-9][0-9,]*)",
-    "([0-9][0-9,]*)\\s*원",
+    f"[￦₩]{_S}([0-9,]+)",
+    f"KRW{_S}([0-9,]+)",
+    f"([0-9,]+){_S}원",
+    f"\\({_S}[￦₩]{_S}([0-9,]+){_S}\\)",
+    f"판매가{_S}([0-9,]+)",
+    f"쿠폰적용가{_S}([0-9,]+)",
 ]
 LEAST_PRICE = 100
 
 
+def _grouped(c: Column) -> Column:
+    """Digits without their commas as a number; null if there are none."""
+    return F.replace(c, F.lit(","), F.lit("")).try_cast("bigint")
+
+
 def price_krw(c: Column, patterns: list[str] | None = None) -> Column:
-    """The first price of at least 100 by pattern, else the largest number grouped by commas."""
+    """The first price of at least 100 by pattern, whatever its case, else the largest number grouped by commas."""
+    c = clean_text(c)
     tries = []
     for p in patterns or PRICE_PATTERNS:
-        value = F.replace(F.regexp_extract(c, p, 1), F.lit(","), F.lit("")).try_cast("bigint")
+        value = _grouped(F.regexp_extract(c, f"(?i){p}", 1))
         tries.append(F.when(value >= LEAST_PRICE, value))
     grouped = F.regexp_extract_all(c, F.lit("([0-9]{1,3}(?:,[0-9]{3})+)"), F.lit(1))
-    largest = F.array_max(F.transform(grouped, lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("bigint")))
-    return F.coalesce(*tries, F.when(largest >= LEAST_PRICE, largest))
+    largest = F.array_max(F.transform(grouped, _grouped))
+    return F.coalesce(*tries, F.when(largest > 0, largest))
 
 
 def price_usd(c: Column) -> Column:
-    return F.replace(F.regexp_extract(c, "(?:US)?\\$\\s*([0-9][0-9,]*(?:\\.[0-9]+)?)", 1), F.lit(","), F.lit("")).try_cast("double")
+    return F.replace(F.regexp_extract(clean_text(c), f"\\${_S}([0-9,]+(?:\\.[0-9]+)?)", 1), F.lit(","), F.lit("")).try_cast("double")
 
 
 def first_number(c: Column) -> Column:
-    return F.replace(F.regexp_extract(c, "([0-9][0-9,]*)", 1), F.lit(","), F.lit("")).try_cast("bigint")
+    """The first run of digits, with commas only where they group thousands."""
+    return _grouped(F.regexp_extract(clean_text(c), "([0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)", 1))
 
 
-#: Where a product code stands in a link or script, in order.
-CODE_PATTERNS = ["(?i)goodscode=([0-9]+)", "(?i)goods_code=([0-9]+)", "(?i)itemno=([0-9]+)", "(?i)/item/([0-9]+)", "/goods/([0-9]+)", "/products?/([0-9]+)"]
+#: Where a product code stands in a link or script, in order; and in a path of provider B.
+CODE_PATTERNS = ["(?i)goodscode=([0-9]+)", "(?i)goodsno=([0-9]+)", "(?i)itemno=([0-9]+)", f"(?i)item{_S}no\\.{_S}:{_S}([0-9]+)", "/([0-9]{8,})"]
+PATH_PATTERN = "/goods/([0-9]+)"
 
 
 def product_code(c: Column) -> Column:
     return first_group(c, CODE_PATTERNS)
 
 
+def path_code(c: Column) -> Column:
+    return first_group(c, [PATH_PATTERN])
+
+
+def platform_of(url: Column) -> Column:
+    """``korean`` or ``global`` by the host of provider A, else ``list``."""
+    lower = F.lower(url)
+    return F.when(lower.contains("item.gmarket.co.kr"), "korean").when(lower.contains("global.gmarket.co.kr"), "global").otherwise("list")
+
+
+def url_decoded(c: Column) -> Column:
+    """Percent signs and pluses decoded; a text that is no valid encoding stays."""
+    return F.coalesce(F.try_url_decode(c), c)
+
+
 def absolute_url(c: Column, base: Column) -> Column:
-    """Unescaped, with a scheme, and resolved against the host of ``base`` if it is a path."""
-    u = F.replace(unescape_entities(clean_text(c)), F.lit("\\/"), F.lit("/"))
+    """Unescaped, decoded, with a scheme, and resolved against the host of ``base`` if it is a path."""
     root = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)", 1)
-    return (
+    resolved = lambda u: (
         F.when(u == "", F.lit(""))
         .when(u.startswith("//"), F.concat(F.lit("https:"), u))
         .when(u.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), u)
         .when(u.startswith("/"), F.concat(root, u))
         .otherwise(F.concat(root, F.lit("/"), u))
     )
+    plain = F.replace(unescape_entities(clean_text(c)), F.lit("\\/"), F.lit("/"))
+    return let(plain, lambda p: let(url_decoded(p), resolved))
+
+
+#: Item pages of provider A, and where links to its pages stand in scripts and attributes.
+DOMESTIC_ITEM, GLOBAL_ITEM = "https://item.gmarket.co.kr/Item?goodscode=", "https://global.gmarket.co.kr/item?goodscode="
+GLOBAL_LINKS = [
+    "(?i)SearchListPage\\.viewUrl\\(\\s*'([^']+)'",
+    "(?i)SearchListPage\\.viewUrl\\(\\s*\"([^\"]+)\"",
+    "(?i)'(https?://global\\.gmarket\\.co\\.kr/[^']+)'",
+    "(?i)\"(https?://global\\.gmarket\\.co\\.kr/[^\"]+)\"",
+    "(?i)(https?://global\\.gmarket\\.co\\.kr/[^\\s'\")]+)",
+]
+DOMESTIC_LINKS = ["(?i)(https?://item\\.gmarket\\.co\\.kr/[^\\s'\")]+)", "(?i)(https?://www\\.gmarket\\.co\\.kr/[^\\s'\")]+)"]
+
+
+def url_triple(raw: Column, code: Column | None = None) -> Column:
+    """``struct(code, domestic, foreign)`` from attributes and scripts of a link; ``code`` if none is in them."""
+    item = lambda url, prefix, found: F.when((url == "") & (found != ""), F.concat(F.lit(prefix), found)).otherwise(url)
+    secure = lambda url, host: F.replace(url, F.lit(f"http://{host}"), F.lit(f"https://{host}"))
+
+    def links(text: Column) -> Column:
+        foreign = absolute_url(first_group(text, GLOBAL_LINKS), F.lit("https://global.gmarket.co.kr"))
+        domestic = absolute_url(first_group(text, DOMESTIC_LINKS), F.lit("https://www.gmarket.co.kr"))
+        return F.struct(text.alias("text"), foreign.alias("foreign"), domestic.alias("domestic"))
+
+    def coded(x: Column) -> Column:
+        found = F.coalesce(*(F.nullif(product_code(x[c]), F.lit("")) for c in ("text", "foreign", "domestic")), code if code is not None else F.lit(""), F.lit(""))
+        return F.struct(found.alias("code"), x["domestic"].alias("domestic"), x["foreign"].alias("foreign"))
+
+    def whole(x: Column) -> Column:
+        return F.struct(
+            x["code"].alias("code"),
+            secure(item(x["domestic"], DOMESTIC_ITEM, x["code"]), "item.gmarket.co.kr").alias("domestic"),
+            secure(item(x["foreign"], GLOBAL_ITEM, x["code"]), "global.gmarket.co.kr").alias("foreign"),
+        )
+
+    plain = F.replace(unescape_entities(raw), F.lit("\\/"), F.lit("/"))
+    return let(plain, lambda p: let(url_decoded(p), lambda t: let(links(t), lambda x: let(coded(x), whole))))
 
 
 def piped_union(*cols: Column) -> Column:

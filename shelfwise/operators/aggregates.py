@@ -30,12 +30,9 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, ranks: dict[str, fl
 
 
 def basic_stats() -> list[Column]:
-    """Counts, sums and bounds that every benchmark has."""
-    named = lambda c: F.count_distinct(F.when(F.col(c) != "", F.col(c)))
+    """Counts, sums and bounds that every benchmark has, beside distinct values."""
     return [
         F.count("*").alias("product_count"),
-        named("seller").alias("seller_count"),
-        named("brand").alias("brand_count"),
         F.sum("review_count").alias("review_sum"),
         F.sum("order_count").alias("order_sum"),
         F.min("price_krw").alias("min_price_krw"),
@@ -46,12 +43,27 @@ def basic_stats() -> list[Column]:
     ]
 
 
-def benchmarks(products: DataFrame, keys: list[str], extra: list[Column] | None = None) -> DataFrame:
+def distinct_counts(rows: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
+    """How many values, empty ones aside, each of ``columns`` has in a group.
+
+    The values of a row become rows (column, value) that partial aggregates thin out before the
+    shuffle, so a group that holds every row sends its distinct values once a task and not its rows.
+    """
+    pairs = F.explode(F.array(*(F.struct(F.lit(name).alias("_what"), F.col(c).cast("string").alias("_value")) for c, name in columns.items())))
+    values = rows.select(*keys, pairs.alias("_p")).select(*keys, "_p.*").where("_value <> ''").distinct()
+    counted = values.groupBy(*keys, "_what").agg(F.count("*").alias("_n"))
+    return counted.groupBy(*keys).agg(*(F.coalesce(F.max(F.when(F.col("_what") == name, F.col("_n"))), F.lit(0)).alias(name) for name in columns.values()))
+
+
+def benchmarks(products: DataFrame, keys: list[str], distinct: dict[str, str] | None = None) -> DataFrame:
     """Statistics, quartiles, and the scores that all benchmarks share, by ``keys``."""
-    stats = products.groupBy(*keys).agg(*basic_stats(), *(extra or []))
+    columns = {"seller": "seller_count", "brand": "brand_count"} | (distinct or {})
+    stats = products.groupBy(*keys).agg(*basic_stats())
     n = F.col("product_count")
     return (
-        stats.join(nearest_rank(products, keys, "price_krw", QUARTILES), keys)
+        stats.join(distinct_counts(products, keys, columns), keys, "left")
+        .fillna(0, list(columns.values()))
+        .join(nearest_rank(products, keys, "price_krw", QUARTILES), keys)
         .withColumn("iqr_price_krw", F.col("p75_price_krw") - F.col("p25_price_krw"))
         .withColumn("discounted_percent", S.percent(F.col("discounted_count"), n))
         .withColumn("low_price_percent", S.percent(F.col("low_price_count"), n))
@@ -82,7 +94,7 @@ def keyword_benchmarks(products: DataFrame, scope: list[str] | None = None, limi
     """Benchmarks of each keyword of ``keywords``, ranked by reaction."""
     scope = scope or []
     exploded = products.withColumn("keyword", F.explode("keywords"))
-    out = benchmarks(exploded, [*scope, "keyword"], [F.count_distinct("source_category").alias("category_count")])
+    out = benchmarks(exploded, [*scope, "keyword"], {"source_category": "category_count"})
     dem, comp, cats = F.col("demand_score"), F.col("competition_score"), F.col("category_count")
     out = (
         out.withColumn("saturation_score", S.keyword_saturation(dem, comp, cats))

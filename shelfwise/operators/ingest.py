@@ -5,6 +5,7 @@ A collected row is a ``map<string,string>`` with a missing value as an empty tex
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions.text import clean_text, first_non_empty, fnv1a_32, parse_float, parse_uint, piped_union, time_text, uuid_v7
+from ..sources.tables import materialise
 from .ranking import latest_version
 
 # Fixed values: (payload column, kind, keys of the collected row in order of preference).
@@ -208,6 +210,17 @@ def add_discount_rate(rows: DataFrame, price: str, original: str, name: str = "d
     return rows.withColumn(name, S.discount_rate(F.col(price), F.col(original)))
 
 
+def retry_failed(rows: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], key: str, ok: str = "success") -> DataFrame:
+    """Results of ``attempt(rows, 1)``; rows that failed get one more, ``attempt(rows, 2)``, whose result stands.
+
+    The first results are written once, so that what failed is the same for both parts.
+    """
+    first = materialise(attempt(rows, 1), "attempt")
+    failed = first.where(~F.coalesce(F.col(ok), F.lit(False))).select(key).distinct()
+    again = attempt(rows.join(failed, key, "left_semi"), 2)
+    return first.join(failed, key, "left_anti").unionByName(again)
+
+
 def shard(rows: DataFrame, code: str, count: int, index: int | None = None) -> DataFrame:
     """Rows with their shard by FNV-1a of the code; of one shard alone if ``index`` is given."""
     out = rows.withColumn("shard_count", F.lit(count)).withColumn("shard_index", (fnv1a_32(F.col(code).cast("string")) % count).cast("int"))

@@ -1,7 +1,7 @@
 """Search responses: objects at any depth of a JSON text, found level by level.
 
-``variant_explode`` opens one level at a time; levels are unioned, so a response spreads over rows
-instead of a recursive function in one of them.
+``variant_explode`` opens one level at a time, down to the deepest; every level is written once and
+read by the next, so a response spreads over rows instead of a recursive function in one of them.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import materialise
+
 # Keys of product objects, in order of preference.
 NUMBER_KEYS = ("no", "productNo", "goodsNo", "goodsId", "productId", "contentNo")
 NAME_KEYS = ("name", "productName", "goodsName", "title", "displayName")
@@ -19,23 +21,21 @@ IMAGE_KEYS = ("thumbnail_image_url", "thumbnailImageUrl", "thumbnailUrl", "image
 SIGNAL_KEYS = (*PRICE_KEYS, *IMAGE_KEYS, "isSoldOut", "soldOut", "deliveryTypeNames", "deliveryTypes", "discountRate")
 CATEGORY_NAME_KEYS = ("name", "title", "label", "displayName", "categoryName", "groupName", "mainCategoryName", "subCategoryName")
 CATEGORY_BAD_WORDS = ("전체", "홈", "Home", "Market", "마켓", "컬리", "Kurly", "더보기", "추천", "베스트", "이벤트", "기획전")
-DEPTH = 6
 
 
-def json_objects(responses: DataFrame, id_col: str, json_col: str, depth: int = DEPTH) -> DataFrame:
-    """``id, level, place, object`` of all JSON objects down to ``depth``; broken texts give none."""
-    level = responses.select(id_col, F.lit("").alias("place"), F.try_parse_json(json_col).alias("v")).where("v is not null")
-    found = []
-    for k in range(depth + 1):
-        found.append(level.where(F.schema_of_variant("v").startswith("OBJECT")).select(id_col, F.lit(k).alias("level"), "place", F.to_json("v").alias("object")))
-        if k < depth:
-            nested = level.where(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)"))
-            nested.createOrReplaceTempView("_shelfwise_level")
-            level = responses.sparkSession.sql(
-                f"select l.`{id_col}`, concat(l.place, '/', lpad(cast(t.pos as string), 6, '0')) as place, t.value as v "
-                "from _shelfwise_level l, lateral variant_explode(l.v) t"
-            )
-    return reduce(DataFrame.unionByName, found)
+def json_objects(responses: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """``id, level, place, object`` of all JSON objects at any depth; broken texts give none."""
+    tvf, found, depth = responses.sparkSession.tvf, [], 0
+    level = responses.select(id_col, F.lit("").alias("place"), F.to_json(F.try_parse_json(json_col)).alias("value")).where("value is not null")
+    while True:
+        level = materialise(level.where(F.col("value").rlike("^[{\\[]")), "json-level")
+        if found and level.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        found.append(level.where(F.col("value").startswith("{")).select(id_col, F.lit(depth).alias("level"), "place", F.col("value").alias("object")))
+        opened = level.select(id_col, "place", F.parse_json("value").alias("v"))
+        inner = opened.lateralJoin(tvf.variant_explode(F.col("v").outer()))
+        level = inner.select(id_col, F.concat("place", F.lit("/"), F.lpad(F.col("pos").cast("string"), 6, "0")).alias("place"), F.to_json("value").alias("value"))
+        depth += 1
 
 
 def text_of(j: Column) -> Column:
@@ -54,10 +54,10 @@ def digits_of(c: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(F.replace(c, F.lit(","), F.lit("")), "^([0-9]+)", 1), "^0+(?=[0-9])", "")
 
 
-def product_rows(responses: DataFrame, id_col: str, json_col: str, item_url: str = "/goods/", depth: int = DEPTH) -> DataFrame:
+def product_rows(responses: DataFrame, id_col: str, json_col: str, item_url: str = "/goods/") -> DataFrame:
     """One row for each product object (numeric id, a name, a signal key): the first of each id."""
     o = F.col("object")
-    objects = json_objects(responses, id_col, json_col, depth).withColumn("product_code", first_key(o, NUMBER_KEYS)).withColumn("product_name", first_key(o, NAME_KEYS))
+    objects = json_objects(responses, id_col, json_col).withColumn("product_code", first_key(o, NUMBER_KEYS)).withColumn("product_name", first_key(o, NAME_KEYS))
     signs = F.arrays_overlap(F.json_object_keys(o), F.array(*(F.lit(k) for k in SIGNAL_KEYS)))
     objects = objects.where(F.col("product_code").rlike("^[0-9]+$") & (F.col("product_name") != "") & signs)
     one = objects.groupBy(id_col, "product_code").agg(F.min_by(F.struct("product_name", "object"), "place").alias("r"))

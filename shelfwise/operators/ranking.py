@@ -85,6 +85,16 @@ def seeded_sample(rows: DataFrame, seed: int, key: str, n: int) -> DataFrame:
     return rows.orderBy(*seeded_order(seed, key)).limit(n)
 
 
+def first_rows(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows of an order."""
+    return rows.orderBy(*order).limit(n)
+
+
+def provider_counts(top: DataFrame, scope: list[str] | None = None) -> DataFrame:
+    """How many rows each provider has in a ranking."""
+    return top.groupBy(*(scope or []), "provider").agg(F.count("*").alias("row_count"))
+
+
 def keep_first(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """The first row of every non-blank key, by ``order``."""
     w = W.partitionBy(key).orderBy(*order)

@@ -156,7 +156,7 @@ u AS (SELECT *, order_count AS orders FROM a UNION ALL SELECT *, 0 FROM b)
 SELECT provider, product_code, product_name, source_category, link AS product_url, price AS price_krw, original_price_krw,
   CASE WHEN review_count % 2 = 0 THEN brand ELSE '' END AS brand, seller, CASE WHEN review_count > 5 THEN review_count ELSE 0 END AS review_count,
   CAST(orders AS BIGINT) AS order_count, collected_at FROM u WHERE price > 0""",
-    "category_benchmarks": f"WITH {PRODUCTS}, {bench('source_category', 'products')}, {CATEGORY_SCORED} SELECT * FROM final ORDER BY low_price_count DESC, discounted_count DESC, product_count DESC, source_category LIMIT 40",
+    "category_benchmarks": f"WITH {PRODUCTS}, {bench('source_category', 'products')}, {CATEGORY_SCORED} SELECT *, row_number() OVER (ORDER BY low_price_count DESC, discounted_count DESC, product_count DESC, source_category) AS rank FROM final QUALIFY rank <= 40",
     "fine_benchmarks": f"WITH {PRODUCTS}, {bench('provider, l_partkey', 'products')}, {CATEGORY_SCORED} SELECT * FROM final",
     "scope_summary": f"WITH {PRODUCTS}, {scoped('products')} SELECT scope_slug, {SUMMARY} FROM scoped GROUP BY scope_slug",
     "price_bands": f"""WITH {PRODUCTS}, {scoped('products')},
@@ -177,8 +177,9 @@ FROM scoped JOIN slices USING (scope_slug) WHERE price_krw BETWEEN low AND high
     "keyword_benchmarks": f"""WITH {KEYWORDED}, {bench('keyword', 'exploded', ', count(DISTINCT source_category) AS category_count')},
 scored AS (SELECT *, {clamp('competition_score * 0.65 - demand_score * 0.25 + ln(1.0 + category_count) * 8')} AS saturation_score,
   {clamp('demand_score * 0.50 + (100 - competition_score) * 0.30 + ln(1.0 + category_count) * 5')} AS opportunity_score FROM bench)
-SELECT * EXCLUDE (latest_collected_at), {ladder(['opportunity_score >= 70', 'saturation_score >= 70'], S.KEYWORD_TEXTS)} AS interpretation
-FROM scored ORDER BY review_sum + 3 * order_sum DESC, product_count DESC, keyword LIMIT 240""",
+SELECT * EXCLUDE (latest_collected_at), {ladder(['opportunity_score >= 70', 'saturation_score >= 70'], S.KEYWORD_TEXTS)} AS interpretation,
+  row_number() OVER (ORDER BY review_sum + 3 * order_sum DESC, product_count DESC, keyword) AS rank
+FROM scored QUALIFY rank <= 240""",
     "category_keyword_top40": f"""WITH {KEYWORDED}, {bench('source_category, keyword', 'exploded')},
 gaps AS (SELECT *, {ladder(['median_price_krw <= 0', 'median_price_krw < 10000', 'median_price_krw < 30000', 'median_price_krw < 70000', 'median_price_krw < 150000'], S.CLUSTER_TEXTS)} AS cluster_label,
   {clamp('(1 - least(CASE WHEN median_price_krw > 0 THEN iqr_price_krw / CAST(median_price_krw AS DOUBLE) ELSE 0 END, 1)) * 35 + (100 - competition_score) * 0.35 + demand_score * 0.30')} AS price_gap_score FROM bench),
@@ -258,7 +259,37 @@ SELECT f.code AS product_code, f.source_category, f.original_price_krw AS list_p
     "search_text": f"""WITH {PRODUCTS}, r AS (SELECT source_category, product_name || ' ' || brand AS t, row_number() OVER (PARTITION BY source_category ORDER BY provider, product_code) AS n FROM products)
 SELECT source_category, substring(lower(string_agg(t, ' ' ORDER BY n)), 1, 12000) AS search_text FROM r WHERE n <= 160 GROUP BY 1""",
     "text_tokens": f"SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(lower(text), '[^0-9a-zA-Z가-힣]+'), lambda x: x <> '')) AS BIGINT) AS n_tokens, length({slug('text')}) AS slug_chars FROM documents",
-    "prices_from_text": f"WITH {PRODUCTS} SELECT product_code, CASE WHEN order_count = 1 THEN price_krw WHEN order_count = 2 THEN price_krw WHEN order_count = 3 THEN price_krw + 1000000 END AS price FROM products",
+    "prices_from_text": f"WITH {PRODUCTS} SELECT product_code, CASE WHEN order_count IN (1, 2, 4, 5, 6) THEN price_krw WHEN order_count = 3 THEN price_krw + 1000000 END AS price FROM products",
+    "numbers_from_text": f"""WITH {PRODUCTS} SELECT product_code, price_krw + CASE WHEN order_count > 3 THEN 0.5::DOUBLE ELSE 0 END AS usd, CAST(12 AS BIGINT) AS ungrouped, price_krw AS grouped,
+  price_krw + 0.25::DOUBLE AS decimal, CASE WHEN order_count <= 3 THEN CAST(l_partkey AS VARCHAR) WHEN order_count = 4 THEN CAST(l_partkey + 10000000 AS VARCHAR) ELSE '' END AS code,
+  CASE WHEN order_count > 4 THEN 'korean' WHEN order_count > 2 THEN 'global' ELSE 'list' END AS platform FROM products""",
+    "link_addresses": f"""WITH {PRODUCTS}, c AS (SELECT product_code, order_count AS n, CASE WHEN order_count <= 5 THEN CAST(l_partkey AS VARCHAR) ELSE '' END AS code FROM products)
+SELECT product_code, code, CASE WHEN code <> '' THEN 'https://item.gmarket.co.kr/Item?goodscode=' || code ELSE '' END AS domestic,
+  CASE WHEN n = 1 THEN 'https://global.gmarket.co.kr/item?goodscode=' || code || '&a=1' WHEN code <> '' THEN 'https://global.gmarket.co.kr/item?goodscode=' || code ELSE '' END AS foreign_url FROM c""",
+    "list_products": """WITH f AS (SELECT l_orderkey, l_partkey, CAST(round(l_extendedprice) AS BIGINT) AS price FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber, CAST(round(l_extendedprice) AS BIGINT)) = 1)
+SELECT l_orderkey AS page_id, CAST(l_partkey AS VARCHAR) AS product_code, 'Part ' || l_partkey AS product_name, 'https://item.gmarket.co.kr/Item?goodscode=' || l_partkey AS product_url,
+  'https://global.gmarket.co.kr/item?goodscode=' || l_partkey AS global_url, 'https://shop.example/i/' || l_partkey || '.jpg' AS image_url, price AS price_krw, price + 1000 AS original_price_krw FROM f""",
+    "korean_details": """WITH t AS (SELECT p_partkey, p_name, p_brand, p_partkey % 5 AS n FROM part),
+g AS (SELECT *, CASE n WHEN 0 THEN 'korean_product_signal_missing' WHEN 1 THEN 'blocked_or_error_page: Access Denied' ELSE '' END AS error FROM t)
+SELECT p_partkey AS page_id, CAST(p_partkey AS VARCHAR) AS product_code, error = '' AS success, error, CASE WHEN error = '' THEN p_name || ' set' END AS product_name,
+  CASE WHEN error = '' THEN p_brand END AS origin, CASE WHEN error = '' THEN 'M' || p_partkey END AS model, CASE WHEN error = '' THEN p_partkey * 10 + 1000 END AS price_krw,
+  CASE WHEN error = '' THEN n END AS review_count, CASE WHEN error = '' THEN '상품상세정보' || chr(10) || 'about ' || p_partkey END AS description_text FROM g""",
+    "global_details": """SELECT p_partkey AS page_id, true AS success, p_name AS product_name, p_brand AS seller, '' AS shipping_fee, '3 kg' AS weight, p_partkey % 5 + 0.5::DOUBLE AS price_usd,
+  p_partkey * 10 + 1000 AS price_krw, 'Item 1 red 5 left | Item 2 blue Review 12 of 3 Order 7' AS options, CAST(12 AS BIGINT) AS review_count, CAST(7 AS BIGINT) AS order_count FROM part""",
+    "korean_keywords": f"""WITH {PRODUCTS}, k AS (SELECT unnest(CASE WHEN l_partkey % 4 IN (0, 2) THEN ['appl 사과', 'appl', '사과'] WHEN l_partkey % 4 = 1 THEN ['강아지'] ELSE [] END) AS keyword FROM products)
+SELECT keyword, count(*) AS row_count FROM k GROUP BY 1""",
+    "capped_rows": f"WITH {PRODUCTS} SELECT source_category, product_code FROM products QUALIFY row_number() OVER (PARTITION BY source_category ORDER BY price_krw DESC, product_code) <= 5",
+    "first_deals": f"WITH {PRODUCTS}, {scoped('products')}, {interleave('scoped', 'scope_slug', EVIDENCE, 24)} SELECT scope_slug, provider, count(*) AS row_count FROM taken GROUP BY ALL",
+    "ndjson_scan": "SELECT event_type, count(*) AS row_count, max(event_id) AS last_id FROM events GROUP BY 1",
+    "tabular_scan": "SELECT CAST(o_orderkey AS VARCHAR) AS product_code, 'a,\"b\" ' || o_orderstatus AS product_name, CAST(CAST(round(o_totalprice) AS BIGINT) AS VARCHAR) AS price, '' AS brand FROM orders WHERE o_orderkey % 3 <> 0",
+    "report_bundle": f"""WITH {PRODUCTS} SELECT 'rows' AS fact, CAST(count(*) AS VARCHAR) AS value FROM products UNION ALL SELECT 'codes', CAST(count(DISTINCT product_code) AS VARCHAR) FROM products
+UNION ALL SELECT 'dearest', CAST(max(price_krw) AS VARCHAR) FROM products UNION ALL SELECT 'category ' || source_category, CAST(count(*) AS VARCHAR) FROM products GROUP BY source_category
+UNION ALL SELECT 'sheet rows', CAST(count(*) AS VARCHAR) FROM products UNION ALL SELECT 'last names', max(brand || '|' || seller) FROM products""",
+    "raw_history": f"""WITH {PRODUCTS}, n AS (SELECT provider, product_code, CAST(max(CASE WHEN order_count >= 2 THEN 2 ELSE 1 END) AS BIGINT) AS version, max(price_krw) AS price FROM products GROUP BY ALL)
+SELECT provider, version, count(*) AS row_count, CAST(sum(price + version) AS BIGINT) AS price_sum FROM n GROUP BY ALL""",
+    "retried_rows": "SELECT CAST(CASE WHEN event_id % 11 = 0 THEN 2 ELSE 1 END AS BIGINT) AS attempt, event_id % 33 <> 0 AS success, count(*) AS row_count FROM events GROUP BY ALL",
+    "stream_enriched": "SELECT o_orderstatus, count(*) AS row_count FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY 1",
     "classified_products": f"WITH {STANDARD} SELECT source_category, count(*) AS product_count FROM standard WHERE order_count <> 1 GROUP BY 1",
     "radar_payload": f"""WITH {STANDARD}, {scoped('standard')}, {interleave('scoped', 'scope_slug', EVIDENCE, 24)},
 n AS (SELECT scope_slug, count(*) AS n_products, max(product_code) FILTER (position = 1) AS first_product FROM taken GROUP BY 1)

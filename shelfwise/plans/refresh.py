@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keywords as K
@@ -47,11 +47,14 @@ def decorate(products: DataFrame, out_path: str = "/out/") -> DataFrame:
     )
 
 
-def classify(rows: DataFrame, normalise: bool = True) -> DataFrame:
-    """Rows with their standard category; those without one are dropped."""
+def classify(rows: DataFrame, normalise: bool = True, dropped: Observation | None = None) -> DataFrame:
+    """Rows with their standard category; those without one are dropped, and counted in ``dropped``."""
     col = lambda c: F.col(c) if c in rows.columns else F.lit("")
     category = normalise_category(F.col("source_category"), col("category_path"), col("search_keyword"), F.col("product_name"), normalise)
-    return rows.withColumn("source_category", category).where("source_category <> ''")
+    rows = rows.withColumn("source_category", category)
+    if dropped is not None:
+        rows = rows.observe(dropped, F.count("*").alias("rows"), F.count_if(F.col("source_category") == "").alias("dropped"))
+    return rows.where("source_category <> ''")
 
 
 def prepare(rows: DataFrame, normalise: bool = True) -> DataFrame:

@@ -42,7 +42,7 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _keyworded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialise(K.add_keywords(_products(spark, sf_dir), normalise=False), "keywords")  # the names are plain ASCII
+    return materialise(K.add_keywords(_products(spark, sf_dir), normalise=False, repeated=True), "keywords")  # the names are plain ASCII
 
 
 @query
@@ -53,7 +53,7 @@ def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def category_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.category_benchmarks(_products(spark, sf_dir)).drop("rank")
+    return A.category_benchmarks(_products(spark, sf_dir)).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query
@@ -80,7 +80,7 @@ def price_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def keyword_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.keyword_benchmarks(_keyworded(spark, sf_dir)).drop("rank", "latest_collected_at")
+    return A.keyword_benchmarks(_keyworded(spark, sf_dir)).drop("latest_collected_at").withColumn("rank", F.col("rank").cast("long"))
 
 
 @query
@@ -256,7 +256,7 @@ def search_json_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = F.struct(F.concat(F.lit("category-"), "l_suppkey").alias("no"), F.lit("group").alias("name"))
     responses = line.groupBy("l_orderkey").agg(F.collect_list(F.to_json(F.struct(item.alias("p"), other.alias("c")))).alias("x"))
     responses = responses.select("l_orderkey", F.concat(F.lit('{"data":['), F.array_join("x", ","), F.lit("]}")).alias("body"))
-    found = J.product_rows(responses, "l_orderkey", "body", depth=3)
+    found = J.product_rows(responses, "l_orderkey", "body")
     return found.groupBy("l_orderkey").agg(F.count("*").alias("n_products"), F.min(F.col("product_code").cast("bigint")).alias("first_code"))
 
 
@@ -318,10 +318,166 @@ def text_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prices_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _products(spark, sf_dir)
     n = F.col("order_count")
-    text = F.when(n == 1, F.concat(F.lit("판매가: "), X.thousands(F.col("price_krw")), F.lit("원"))).when(n == 2, F.concat(F.lit("US$ 12 / ₩"), F.col("price_krw"))).when(n == 3, F.concat(F.lit("from 1,234 to "), X.thousands(F.col("price_krw") + 1000000))).otherwise("sold out")
+    text = F.when(n == 1, F.concat(F.lit("쿠폰적용가 99 판매가 "), X.thousands(F.col("price_krw")), F.lit(" 원 krw 77"))).when(n == 2, F.concat(F.lit("US$ 12 / ₩"), F.col("price_krw"))).when(n == 3, F.concat(F.lit("from 1,234 to "), X.thousands(F.col("price_krw") + 1000000)))
+    text = text.when(n == 4, F.concat(F.lit("krw "), F.col("price_krw"), F.lit(" (￦ 5)"))).when(n == 5, F.concat(F.lit("판매가 1,000 ￦"), X.thousands(F.col("price_krw")))).when(n == 6, F.concat(F.lit("쿠폰적용가"), F.col("price_krw"))).otherwise("sold out")
     return p.select("product_code", X.price_krw(text).alias("price"))
 
 
+@query
+def numbers_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dollar prices, first numbers, plain decimals and product codes of texts."""
+    p = _products(spark, sf_dir)
+    n, price = F.col("order_count"), F.col("price_krw")
+    dollars = F.concat(F.lit("now US $ "), X.thousands(price), F.when(n > 3, ".5").otherwise(""), F.lit(" only"))
+    link = F.when(n == 1, F.concat(F.lit("x?GoodsCode="), "l_partkey")).when(n == 2, F.concat(F.lit("itemNo="), "l_partkey")).when(n == 3, F.concat(F.lit("Item No. : "), "l_partkey")).when(n == 4, F.concat(F.lit("/p/"), F.col("l_partkey") + 10000000)).otherwise("/p/1234567")
+    return p.select(
+        "product_code",
+        X.price_usd(dollars).alias("usd"),
+        X.first_number(F.concat(F.lit("of 12,34 and "), price)).alias("ungrouped"),
+        X.first_number(F.concat(F.lit("about "), X.thousands(price), F.lit(" pieces"))).alias("grouped"),
+        X.parse_float(F.concat(X.thousands(price), F.lit(".25"))).alias("decimal"),
+        X.product_code(link).alias("code"),
+        X.platform_of(F.when(n > 4, "https://Item.gmarket.co.kr/x").when(n > 2, X.GLOBAL_ITEM).otherwise("/")).alias("platform"),
+    )
+
+
+@query
+def link_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and item pages of products from attributes and scripts of their links."""
+    p = _products(spark, sf_dir)
+    n, code = F.col("order_count"), F.col("l_partkey").cast("string")
+    raw = (
+        F.when(n == 1, F.concat(F.lit("javascript:SearchListPage.viewUrl('\\/item?goodscode="), code, F.lit("&amp;a=1')")))
+        .when(n == 2, F.concat(F.lit("x http://item.gmarket.co.kr/Item?goodscode="), code, F.lit(" y")))
+        .when(n == 3, F.concat(F.lit("go('http://global.gmarket.co.kr/item?goodscode="), code, F.lit("')")))
+        .when(n == 4, F.concat(F.lit("%2Fn%3FgoodsNo%3D"), code))
+        .otherwise("nothing")
+    )
+    found = X.url_triple(raw, F.when(n == 5, code).otherwise(""))
+    return p.select("product_code", found["code"].alias("code"), found["domestic"].alias("domestic"), found["foreign"].alias("foreign_url"))
+
+
+@query
+def list_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List pages, one of each order, with a card of two links for each line, and the products in them."""
+    line = src.read_table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", F.round("l_extendedprice").cast("bigint").alias("price")).alias("x"))
+
+    def card(x: Column) -> Column:
+        link = F.concat(F.lit('<a class="image" href="/n?goodscode='), x["l_partkey"].cast("string"), F.lit('"><img alt="'), F.when(x["l_linenumber"] % 2 == 0, "Cart").otherwise(""), F.lit('" src="/i/'), x["l_partkey"].cast("string"), F.lit('.jpg"></a>'))
+        name = F.concat(F.lit("<a href='/n?goodscode="), x["l_partkey"].cast("string"), F.lit("'> Part <b>"), x["l_partkey"].cast("string"), F.lit("</b></a>"))
+        price = F.concat(F.lit('<s class="o-price">'), X.thousands(x["price"] + 1000), F.lit('원</s><strong class="s-price">'), X.thousands(x["price"]), F.lit("원</strong>"))
+        return F.concat(F.lit("<div>"), link, name, price, F.lit("</div>"))
+
+    pages = line.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), card), "").alias("body"))  # of one order
+    pages = pages.select(F.col("l_orderkey").alias("page_id"), F.lit("https://shop.example/list").alias("url"), F.concat(F.lit('<a href="/about">About</a>'), "body").alias("html"))
+    return P.list_rows(pages).drop("link_no")
+
+
+def _item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for every part, without what tells its kind."""
+    part = src.read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    return part.withColumn("page_id", F.col("p_partkey")).withColumn("n", F.col("p_partkey") % 5).withColumn("price", F.col("p_partkey") * 10 + 1000)
+
+
+@query
+def korean_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of provider A: every fifth shows no sign of a product where the second gate looks."""
+    p = _item_pages(spark, sf_dir)
+    title = F.when(F.col("n") == 1, "Access Denied").otherwise(F.col("p_name"))
+    meta = F.when(F.col("n") == 0, "").otherwise(F.concat(F.lit('<meta property="og:title" content="'), "p_name", F.lit(' set">')))
+    table = F.concat(F.lit("<table><tr><th>원산지</th><td>"), "p_brand", F.lit("</td></tr><tr><th>모델명</th><td>M"), "p_partkey", F.lit("</td></tr></table>"))
+    text = F.concat(F.lit("<div>판매가 "), X.thousands(F.col("price")), F.lit("원</div><div>상품평 "), F.col("n"), F.lit("</div><h2>상품상세정보</h2><p>about "), "p_partkey", F.lit("</p><p>Quantity</p><h2>배송</h2><p>free</p>"))
+    html = F.concat(F.lit("<html><head><title>"), title, F.lit("</title>"), meta, F.lit("</head><body><p>"), F.repeat(F.lit("xy "), 400), F.lit("</p>"), table, text, F.lit("</body></html>"))
+    found = P.detail_records(p.select("page_id", F.concat(F.lit("https://item.gmarket.co.kr/Item?goodscode="), "p_partkey").alias("url"), html.alias("html")), "korean")
+    return found.select("page_id", "product_code", "success", "error", "product_name", "origin", "model", "price_krw", "review_count", "description_text")
+
+
+@query
+def global_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of provider A abroad: labels with values on the next lines, prices and options."""
+    p = _item_pages(spark, sf_dir)
+    rows = ["Item No. : 1", "Seller", "open", F.col("p_brand"), "Shipping fee", "Item Weight", "3 kg", F.concat(F.lit("$ "), F.col("n"), F.lit(".5 (₩"), X.thousands(F.col("price")), F.lit(")")), "Item 1 red", "Quantity", "5 left", "Item 2 blue", "Confirm", F.col("p_name"), "Review 12 of 3", "Order 7"]
+    body = F.concat(*(F.concat(F.lit("<p>"), r if isinstance(r, Column) else F.lit(r), F.lit("</p>")) for r in rows))
+    html = F.concat(F.lit("<html><head><title>t</title></head><body><h1>"), "p_name", F.lit("</h1>"), body, F.lit("<p>"), F.repeat(F.lit("xy "), 300), F.lit("</p></body></html>"))
+    found = P.detail_records(p.select("page_id", F.lit("https://global.gmarket.co.kr/item").alias("url"), html.alias("html")), "global")
+    return found.select("page_id", "success", "product_name", "seller", "shipping_fee", "weight", "price_usd", "price_krw", "options", "review_count", "order_count")
+
+
+@query
+def korean_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords of Korean, mixed and full-width names: normal form, endings and particles."""
+    names = F.array(*(F.lit(x) for x in ("무료배송 Fresh Apples 국산 사과를 500g", "강아지사료 전용", "ＡＰＰＬＥＳ 사과를", "")))
+    p = _products(spark, sf_dir).withColumn("product_name", F.get(names, F.col("l_partkey") % 4)).withColumn("source_category", F.lit("식품")).withColumn("brand", F.lit("brand"))
+    found = K.add_keywords(p, repeated=True).select(F.explode("keywords").alias("keyword"))
+    return found.groupBy("keyword").agg(F.count("*").alias("row_count"))
+
+
+@query
+def capped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most five products of a category; the cap is the operator's own."""
+    return R.capped_per_group(_products(spark, sf_dir), "source_category", [F.desc("price_krw"), F.asc("product_code")], 5).select("source_category", "product_code")
+
+
+@query
+def first_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Providers among the evidence of each scope."""
+    return R.provider_counts(R.top_products(RF.in_scopes(_products(spark, sf_dir)), ["scope_slug"]), ["scope_slug"])
+
+
+@query
+def ndjson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as lines of JSON and scanned with a declared schema."""
+    events, path = src.read_table(spark, sf_dir, "events").select("event_id", "event_type", "value"), work_path(spark, "ndjson")
+    events.write.json(path)
+    return src.read_ndjson(spark, path, events.schema).groupBy("event_type").agg(F.count("*").alias("row_count"), F.max("event_id").alias("last_id"))
+
+
+@query
+def tabular_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as a sheet whose headers have other names; rows without a code go."""
+    path = work_path(spark, "tabular")
+    orders = src.read_table(spark, sf_dir, "orders")
+    code = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey"))
+    orders.select(code.alias("goods no"), F.concat(F.lit(" a,\"b\" "), "o_orderstatus").alias("Name"), F.round("o_totalprice").cast("bigint").alias("price")).write.option("header", True).option("escape", '"').csv(path)
+    return src.read_tabular(spark, path, {"product_code": ["code", "goods no"], "product_name": ["name", "Name"], "price": ["price"], "brand": ["brand"]})
+
+
+@query
+def report_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets of a run, written and read back."""
+    p, path = _products(spark, sf_dir), work_path(spark, "report")
+    summary = A.run_summary(p, {"rows": F.count("*"), "codes": F.count_distinct("product_code"), "dearest": F.max("price_krw")})
+    sinks.write_report(path, summary=summary, categories=A.category_counts(p), rows=p.select("product_code", F.array("brand", "seller").alias("names")))
+    sheet = lambda name: spark.read.option("header", True).csv(f"{path}/{name}")
+    rows = sheet("rows").agg(F.count("*").cast("string").alias("value"), F.max("names").alias("names"))
+    out = sheet("summary").unionByName(sheet("categories").select(F.concat(F.lit("category "), "category").alias("fact"), F.col("row_count").alias("value")))
+    return out.unionByName(rows.select(F.lit("sheet rows").alias("fact"), "value")).unionByName(rows.select(F.lit("last names").alias("fact"), F.col("names").alias("value")))
+
+
+@query
+def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs appended to the history, and its newest rows."""
+    p, path = _products(spark, sf_dir), work_path(spark, "history")
+    for run in (1, 2):
+        rows = p.where(F.col("order_count") >= run).select("provider", "product_code", (F.col("price_krw") + run).alias("price_krw"), F.concat(F.substring("collected_at", 1, 4), F.lit("-01-01 00:00:00")).alias("collected_at"), F.lit(run).alias("version"), F.lpad(F.col("price_krw").cast("string"), 12, "0").alias("uuid"))
+        sinks.write_events(rows, mode="table", path=path)
+    newest = I.latest_products(spark.read.parquet(path))
+    return newest.groupBy("provider", "version").agg(F.count("*").alias("row_count"), F.sum("price_krw").alias("price_sum")).withColumn("version", F.col("version").cast("long"))
+
+
+@query
+def retried_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose payload cannot be read are tried a second time from their own text."""
+    events = src.read_table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+
+    def attempt(rows: DataFrame, number: int) -> DataFrame:
+        text = F.when((F.col("event_id") % 11 == 0) & (F.lit(number) == 1) | (F.col("event_id") % 33 == 0), "{broken").otherwise(F.col("props"))
+        return rows.select("event_id", "event_type", X.valid_json(text).alias("success"), F.lit(number).cast("long").alias("attempt"))
+
+    done = I.retry_failed(events, attempt, "event_id")
+    return done.groupBy("attempt", "success").agg(F.count("*").alias("row_count"))
+
+
 def _standard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products over the ten standard categories, by part."""
     names = F.array(*(F.lit(c) for c in CATEGORIES))
@@ -384,10 +540,10 @@ def verification(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream of files."""
+    """The events as a stream of files, in order of time, so that a watermark finds no row late."""
     table = src.read_table(spark, sf_dir, "events")
     path = work_path(spark, "stream-in")
-    table.repartition(4).write.parquet(path)
+    table.repartitionByRange(4, "ts").write.parquet(path)
     return ST.read_stream(spark, path, table.schema, files_a_batch=2)
 
 
@@ -411,13 +567,24 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("event_type").agg(F.count("*").alias("row_count"))
 
 
+@query
+def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished lines with their order, a stream and static join, published in micro-batches."""
+    line = src.read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), "l_linenumber")
+    orders = src.read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), "o_orderstatus")
+    path, out = work_path(spark, "stream-in"), work_path(spark, "stream-out")
+    line.repartition(4).write.parquet(path)
+    stream = ST.enrich(ST.read_stream(spark, path, line.schema, files_a_batch=2), orders, "key")
+    ST.publish(stream, lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"), f"{out}-checkpoint").awaitTermination()
+    return spark.read.parquet(out).groupBy("o_orderstatus").agg(F.count("*").alias("row_count"))
+
+
 @query
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _stream_source(spark, sf_dir).select("user_id", "event_id", "ts", "event_type", "value")
     out = work_path(spark, "stream-out")
-    done = ST.publish(stream, ST.running_latest(out, ["user_id"], ["ts", "event_id"]), f"{out}-checkpoint")
-    done.awaitTermination()
-    return spark.read.parquet(f"{out}/v{done.lastProgress['batchId']}").select("user_id", "event_id", "event_type", "value")
+    ST.publish(stream, ST.running_latest(out, ["user_id"], ["ts", "event_id"], buckets=8), f"{out}-checkpoint").awaitTermination()
+    return ST.read_latest(spark, out).select("user_id", "event_id", "event_type", "value")
 
 
 @query

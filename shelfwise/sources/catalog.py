@@ -23,7 +23,7 @@ def read_tabular(spark: SparkSession, path: str, aliases: dict[str, list[str]],
 
     ``aliases`` maps a target column to the headers it may have, in order of preference.
     """
-    raw = spark.read.option("header", True).option("multiLine", True).csv(path)
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     found = {name: [a for a in names if a in raw.columns] for name, names in aliases.items()}
     cols = [(first_non_empty(*(F.col(f"`{a}`") for a in names)) if names else F.lit("")).alias(name) for name, names in found.items()]
     rows = raw.select(*cols)

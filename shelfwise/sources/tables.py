@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_path(spark: SparkSession, tag: str) -> str:
-    """A new path in ``spark.checkpoint.dir``; a session that names none gets a temporary folder."""
+    """A new path in ``spark.checkpoint.dir``.
+
+    A session on one machine that names none (tests) gets a temporary folder; on a cluster, where
+    executors would each write to their own disk, that is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='spark-work-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

@@ -4,6 +4,7 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from shelfwise.functions import keywords as K
@@ -18,6 +19,7 @@ from shelfwise.operators import pages as P
 from shelfwise.operators import ranking as R
 from shelfwise.plans import refresh as RF
 from shelfwise.sources import sinks
+from shelfwise.sources.tables import work_path
 from shelfwise.streaming import events as ST
 
 PRODUCT = "provider string, product_code string, product_name string, source_category string, search_keyword string, seller string, brand string, price_krw long, original_price_krw long, review_count long, order_count long, collected_at string"
@@ -72,7 +74,9 @@ def test_keywords(spark):
     rows = [("무료배송 Fresh Apples 국산 사과를 500g", "식품", "", "brand"), ("dogs dogs running shoes", "", "shoes", ""), ("강아지사료 전용", "", "", ""), ("", "", "", "")]
     df = spark.createDataFrame(rows, "product_name string, source_category string, search_keyword string, brand string")
     got = [r.keywords for r in K.add_keywords(df).collect()]
-    assert "apple" in got[0] and "사과" in got[0]
+    again = df.unionByName(df).selectExpr("*", "nullif(brand, '') as category_path")
+    assert sorted(r.keywords for r in K.add_keywords(again, repeated=True).collect()) == sorted(got + got)
+    assert "appl" in got[0] and "사과" in got[0]  # over 5 letters, so the ending es goes
     assert "강아지" in got[1] and not any("shoe" in k or "신발" in k for k in got[1])
     assert got[2] == ["강아지"] and got[3] == []
     assert all(len(k) <= 8 for k in got)
@@ -143,8 +147,8 @@ def test_search_json(spark):
 
 
 def test_pages(spark):
-    html = "<html><head><title>T &amp; t</title><meta property='og:title' content='Name'></head><body>" + "x" * 900 + "\nSeller\nopen\nShop A\nItem 1 red\n5 left\nItem 2\nshop\n$3 / ₩4,000\n<table><tr><th>원산지</th><td>한국</td></tr></table><img src='/p/detail.jpg'><a href='/item/123'>Good thing</a></body></html>"
-    df = spark.createDataFrame([(1, "http://h.example/item/77", html), (2, "http://h.example/", "short"), (3, "http://h.example/", "Access Denied " + html)], "page_id long, url string, html string")
+    html = "<html><head><title>T &amp; t</title><meta property='og:title' content='Name'></head><body>" + "x" * 900 + "\nSeller\nopen\nShop A\nItem 1 red\n5 left\nItem 2\nshop\n$3 / ₩4,000\n<table><tr><th>원산지</th><td>한국</td></tr></table><img src='/p/detail.jpg'><a href='/item?goodscode=123'>Good thing</a></body></html>"
+    df = spark.createDataFrame([(1, "http://h.example/item?goodscode=77", html), (2, "http://h.example/", "short"), (3, "http://h.example/", "Access Denied " + html)], "page_id long, url string, html string")
     got = {r.page_id: r for r in P.detail_records(df, "global").collect()}
     assert got[1].success and got[1].product_name == "Name" and got[1].seller == "Shop A" and got[1].product_code == "77" and got[1].price_krw == 4000
     assert not got[2].success and got[2].error.startswith("too_short") and got[2].product_name is None
@@ -154,6 +158,79 @@ def test_pages(spark):
     assert [x.product_code for x in P.list_rows(df.where("page_id = 1")).collect()] == ["123"]
 
 
+def test_prices_and_numbers_of_texts(spark):
+    cases = {"판매가 1,200원": 1200, "₩99 krw 150": 150, "쿠폰적용가 2,000": 2000, "￦ 3,000": 3000, "12 KRW": None, "1,234 and 5,678": 5678, "0,050": 50, "무료": None, "": None, "판매가: 90원 (₩ 700)": 700}
+    df = spark.createDataFrame(list(cases.items()), "t string, want long")
+    assert all(r.got == r.want for r in df.withColumn("got", X.price_krw(F.col("t"))).collect())
+    v = lambda s: F.lit(s)
+    assert [one(spark, X.first_number(v(s))) for s in ("a 12,34", "1,234,567 x", "none")] == [12, 1234567, None]
+    assert [one(spark, X.price_usd(v(s))) for s in ("US$ 1,234.5", "5 dollars")] == [1234.5, None]
+    assert [one(spark, X.product_code(v(s))) for s in ("?goodsCode=7", "Item No. : 88", "/x/12345678", "/x/1234567", "goodsNo=9")] == ["7", "88", "12345678", "", "9"]
+    assert one(spark, X.absolute_url(v("%2Fa%3Fb"), v("https://h.example/p"))) == "https://h.example/a?b"
+
+
+def test_json_of_any_depth(spark):
+    body = {"no": 7, "name": "deep", "price": 5}
+    for _ in range(10):
+        body = {"x": [body]}
+    df = spark.createDataFrame([(1, json.dumps(body)), (2, "[]"), (3, None), (4, "[[[{}]]]")], "id int, body string")
+    assert [(r.id, r.product_code) for r in J.product_rows(df, "id", "body").collect()] == [(1, "7")]
+    levels = J.json_objects(df, "id", "body").groupBy("id").agg(F.max("level").alias("m")).collect()
+    assert {r.id: r.m for r in levels} == {1: 20, 4: 3}
+    assert J.json_objects(df.where("false"), "id", "body").count() == 0
+
+
+def test_second_gate_reads_the_beginning_alone(spark):
+    head = "<html><head><title>t</title></head><body><p>" + "xy " * 400 + "</p>"
+    pages = [(1, "u", head + "판매가 1,000원</body></html>"), (2, "u", head.replace("<p>", "<p>판매가 1,000원 ") + "</body></html>")]
+    got = {r.page_id: (r.success, r.error) for r in P.detail_records(spark.createDataFrame(pages, "page_id long, url string, html string"), "korean").collect()}
+    assert got == {1: (False, "korean_product_signal_missing"), 2: (True, "")}
+
+
+def test_rankings_and_retries(spark):
+    rows = spark.range(100).selectExpr("id", "id % 3 as g")
+    a, b = (sorted(r.id for r in R.seeded_sample(rows.repartition(n), 5, "id", 10).collect()) for n in (1, 7))
+    assert a == b and len(set(a)) == 10 and a != sorted(r.id for r in R.seeded_sample(rows, 6, "id", 10).collect())
+    assert [r.id for r in R.first_rows(rows, [F.desc("id")], 2).collect()] == [99, 98]
+    assert R.capped_per_group(rows, "g", [F.asc("id")], 4, 6).count() == 6
+    tries = []
+
+    def attempt(df, n):
+        tries.append(n)
+        return df.select("id", (F.col("id") % 10 != 0).alias("success") if n == 1 else (F.col("id") % 20 != 0).alias("success"))
+
+    done = I.retry_failed(rows, attempt, "id")
+    assert tries == [1, 2] and done.count() == 100 and done.where("not success").count() == 5
+
+
+def test_dropped_products_are_counted(spark):
+    seen = Observation("seen")
+    rows = spark.createDataFrame([("식품", "", "사과"), ("기타", "", "무엇")], "source_category string, search_keyword string, product_name string")
+    assert RF.classify(rows, dropped=seen).count() == 1
+    assert seen.get == {"rows": 2, "dropped": 1}
+
+
+def test_running_latest_and_appends_do_not_depend_on_replays(spark, tmp_path):
+    keep = ST.running_latest(f"{tmp_path}/latest", ["k"], ["v"], buckets=4)
+    batches = [spark.createDataFrame([(k, n * 10 + k, f"{n}") for k in keys], "k long, v long, t string") for n, keys in enumerate(([1, 2, 3], [2, 3, 9], [3], []))]
+    for n in (0, 1, 1, 2, 2, 3):
+        keep(batches[n], n)
+    assert {r.k: r.t for r in ST.read_latest(spark, f"{tmp_path}/latest").collect()} == {1: "0", 2: "1", 3: "2", 9: "1"}
+    add = ST.append_once(f"{tmp_path}/once", "t", "t")
+    for n in (0, 0, 1, 0):
+        add(batches[n], n)
+    assert sorted(r.t for r in spark.read.parquet(f"{tmp_path}/once").select(F.col("t").cast("string")).collect()) == ["0", "1"]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default))
+
+    with pytest.raises(ValueError):
+        work_path(Session, "x")
+
+
 def test_refresh_publishes_only_what_holds(spark, tmp_path):
     to = RF.Targets(*(f"{tmp_path}/{n}" for n in ("s", "m", "p")))
     at = datetime(2026, 8, 6, 2, 54, 24, 934000)
