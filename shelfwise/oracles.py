@@ -252,9 +252,9 @@ SELECT page_id, error = '' AS success, error, CASE WHEN error = '' THEN coalesce
 SELECT product_code, CASE WHEN order_count % 2 = 0 THEN product_name || ' x' ELSE product_name END AS product_name, price_krw AS list_price_krw,
   CASE WHEN review_count <= 40 THEN original_price_krw END AS list_original_price_krw, review_count, CAST(order_count > 3 AS BIGINT) AS korean_collect_success,
   CAST(2 AS BIGINT) AS n_images, 'gmarket' AS provider FROM products""",
-    "collected_rows": f"""WITH {PRODUCTS}, c AS (SELECT *, array_to_string(string_split(product_code, '-')[1:2], '-') AS code FROM products),
-f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY code ORDER BY product_code) = 1),
-l AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY code ORDER BY product_code DESC) = 1)
+    "collected_rows": f"""WITH {PRODUCTS}, c AS (SELECT *, product_code || '|' || lpad(CAST(price_krw AS VARCHAR), 12, '0') AS seq, array_to_string(string_split(product_code, '-')[1:2], '-') AS code FROM products),
+f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY code ORDER BY seq) = 1),
+l AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY code ORDER BY seq DESC) = 1)
 SELECT f.code AS product_code, f.source_category, f.original_price_krw AS list_price_krw, CAST(NULL AS BIGINT) AS list_original_price_krw, l.price_krw AS detail_price_krw, l.seller FROM f JOIN l USING (code)""",
     "search_text": f"""WITH {PRODUCTS}, r AS (SELECT source_category, product_name || ' ' || brand AS t, row_number() OVER (PARTITION BY source_category ORDER BY provider, product_code) AS n FROM products)
 SELECT source_category, substring(lower(string_agg(t, ' ' ORDER BY n)), 1, 12000) AS search_text FROM r WHERE n <= 160 GROUP BY 1""",

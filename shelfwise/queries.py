@@ -293,11 +293,11 @@ def raw_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def collected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two list sources unioned, each code once, balanced over categories, merged with details."""
-    p = _products(spark, sf_dir).withColumn("code", F.substring_index("product_code", "-", 2))
+    p = _products(spark, sf_dir).withColumn("code", F.substring_index("product_code", "-", 2)).withColumn("seq", F.concat_ws("|", "product_code", F.lpad(F.col("price_krw").cast("string"), 12, "0")))
     row = _mapped({"상품코드": F.col("code"), "수집카테고리": F.col("source_category"), "상품명": F.col("product_name"), "판매가_목록": F.col("original_price_krw")})
-    lists = p.select(row.alias("row"), F.col("product_code").alias("seq"))
+    lists = p.select(row.alias("row"), "seq")
     chosen = C.select_list_rows([lists.where("seq < '2'"), lists.where("seq >= '2'")], total=0, shards=4)
-    detail = p.select(_mapped({"상품코드": F.col("code"), "상세_가격_KRW": F.col("price_krw"), "상세_판매자": F.col("seller")}).alias("row"), F.col("product_code").alias("seq"))
+    detail = p.select(_mapped({"상품코드": F.col("code"), "상세_가격_KRW": F.col("price_krw"), "상세_판매자": F.col("seller")}).alias("row"), "seq")
     raw = C.build_raw_rows(chosen.select("row", "seq", "no", "shard_index"), detail, provider="kurly", run_uuid="run", at=F.timestamp_seconds(F.lit(1785952464)), source="collector")
     return raw.select("product_code", "source_category", "list_price_krw", "list_original_price_krw", "detail_price_krw", "seller")
 
