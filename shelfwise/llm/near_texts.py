@@ -147,7 +147,7 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
     near_heads = near_heads.join(next(ends), "a").join(next(ends), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     same = marks.join(heads, "fp").where(F.col("node") != F.col("head")).select(F.col("node").alias("a"), F.col("head").alias("b"))
     sketched = materialise(near_heads.unionByName(same).distinct(), "sketched")
-    tokens = rows.select(F.explode("prefix").alias("token"), "node", "n")
+    tokens = rows.select(F.posexplode("prefix").alias("pos", "token"), "node", "n")
     shared = tokens.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     shared = shared.where("least < most").select("token")
     members = materialise(tokens.join(shared, "token").distinct(), "members")
@@ -167,16 +167,20 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
         return verified(left, materialise(texts, "candidates"), **how)
 
     def near(x: DataFrame, y: DataFrame) -> DataFrame:
-        """Pairs of one bucket whose sizes allow the similarity."""
+        """Pairs of one bucket whose sizes allow the similarity, and what follows the shingle in both sets.
+
+        The first shingle that two similar sets share is followed by the rest of what they share.
+        """
         x = x.select("token", *(F.col(c).alias(f"x_{c}") for c in x.columns if c != "token"))
         y = y.select("token", *(F.col(c).alias(f"y_{c}") for c in y.columns if c != "token"))
         fits = F.least("x_n", "y_n") >= t * F.greatest("x_n", "y_n") - 1e-6
-        return x.join(y, "token").where(fits)
+        follows = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos")) >= t / (1 + t) * (F.col("x_n") + F.col("y_n")) - 1e-6
+        return x.join(y, "token").where(fits & follows)
 
-    few = members.where(F.col("size") <= PAIRED_BUCKET).select("token", "node", "n")
+    few = members.where(F.col("size") <= PAIRED_BUCKET).select("token", "node", "n", "pos")
     pairs = near(few, few).where("x_node < y_node").select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
     links = materialise(checked(sketched.unionByName(pairs)), "similar")
-    many = members.where(F.col("size") > PAIRED_BUCKET).select("token", "node", "n")
+    many = members.where(F.col("size") > PAIRED_BUCKET).select("token", "node", "n", "pos")
     if many.isEmpty():
         return links
     for k in range(ROUNDS + 1):
@@ -192,7 +196,7 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
             stars = open_.where(F.col("component") != F.col("leader.component"))
             pairs = stars.select(F.col("node").alias("a"), F.col("leader.node").alias("b"))
         else:  # what is still apart
-            each = open_.select("token", "node", "n", "component")
+            each = open_.select("token", "node", "n", "pos", "component")
             pairs = near(each, each).where("x_component < y_component").select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
         links = materialise(links.unionByName(checked(pairs)), "similar")
     return links
