@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+def materialise(df: DataFrame, tag: str, **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     This cuts the lineage like a checkpoint does, but the copy is compressed, columnar and
@@ -42,7 +42,7 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

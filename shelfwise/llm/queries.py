@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, embedding_dedup, language_id, licenses, line_dedup, packing, pii, simhash, url_filter
+from . import alignment, chat, decontamination, embedding_dedup, language_id, licenses, line_dedup, packing, pii, simhash, url_filter
 from .common import read
 
 
@@ -18,6 +18,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def pair_paths() -> tuple[str, str]:
+    """The two vocabularies that operator 11 aligns."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -107,7 +114,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(every))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), *pair_paths())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op4_language_id, op5_pii, op6_line_dedup, op7_embedding_dedup, op8_licenses, op9_url_filter, op10_chat)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op4_language_id, op5_pii, op6_line_dedup, op7_embedding_dedup, op8_licenses, op9_url_filter, op10_chat, op11_alignment)
 }
 ORACLE_SQL: dict[str, str] = {"op9_url_filter": OP9_SQL}
