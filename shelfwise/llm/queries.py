@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, decontamination, embedding_dedup, language_id, licenses, line_dedup, packing, pii, simhash, url_filter
+from . import alignment, chat, conversation_repair, decontamination, embedding_dedup, language_id, licenses, line_dedup, packing, pii, simhash, url_filter
 from .common import read
 
 
@@ -118,7 +118,11 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(read(spark, sf_dir, "documents"), *pair_paths())
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op4_language_id, op5_pii, op6_line_dedup, op7_embedding_dedup, op8_licenses, op9_url_filter, op10_chat, op11_alignment)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op4_language_id, op5_pii, op6_line_dedup, op7_embedding_dedup, op8_licenses, op9_url_filter, op10_chat, op11_alignment, op12_conversation_repair)
 }
 ORACLE_SQL: dict[str, str] = {"op9_url_filter": OP9_SQL}
