@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, conversation_repair, decontamination, embedding_dedup, language_id, licenses, line_dedup, packing, pii, simhash, url_filter
+from . import alignment, chat, conversation_repair, decontamination, embedding_dedup, fingerprints, language_id, licenses, line_dedup, packing, pii, simhash, url_filter
 from .common import read
 
 
@@ -122,7 +122,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.damage_and_repair(read(spark, sf_dir, "conversations"))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op4_language_id, op5_pii, op6_line_dedup, op7_embedding_dedup, op8_licenses, op9_url_filter, op10_chat, op11_alignment, op12_conversation_repair)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_decontamination, op4_language_id, op5_pii, op6_line_dedup, op7_embedding_dedup, op8_licenses, op9_url_filter, op10_chat, op11_alignment, op12_conversation_repair, op13_fingerprints)
 }
 ORACLE_SQL: dict[str, str] = {"op9_url_filter": OP9_SQL}
