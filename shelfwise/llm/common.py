@@ -78,11 +78,12 @@ def give_back() -> None:
 
 
 def arrow_rows(
-    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[str, list] | None]], schema: T.StructType
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[str, list] | Iterator[dict[str, list]] | None]], schema: T.StructType
 ) -> DataFrame:
     """``mapInArrow`` with one state object per task.
 
-    ``make()`` runs once in each task and returns a function from a batch to output columns.
+    ``make()`` runs once in each task and returns a function from a batch to output columns, or to several
+    of them that go out one after the other.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -92,8 +93,9 @@ def arrow_rows(
         work = make()
         for batch in batches:
             out = work(batch)
-            if out is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)
+            for part in () if out is None else (out,) if isinstance(out, dict) else out:
+                yield pa.RecordBatch.from_arrays([pa.array(part[f.name], type=f.type) for f in target], schema=target)
+                del part
             del batch, out
             give_back()
 

@@ -17,6 +17,7 @@ rows without hits; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -99,7 +100,7 @@ def build_index(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), *, gap: int
 
         task, made = TaskContext.get().partitionId(), 0
 
-        def segment(rows: list, counts: list, term: list, terms: list) -> dict:
+        def segment(rows: list, counts: list, term: list, terms: list) -> dict[str, list]:
             nonlocal made
             starts = np.cumsum(np.array([0, *counts], dtype=np.int64) + gap) - gap
             term = np.concatenate(term)
@@ -107,16 +108,15 @@ def build_index(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), *, gap: int
             order = np.argsort(term, kind="stable")
             made += 1
             return {
-                "segment": f"{task}-{made}",
-                "docs": rows,
-                "n_words": counts,
-                "terms": terms,
-                "ends": np.cumsum(np.bincount(term, minlength=len(terms))).astype(np.int32),
-                "postings": at[order].astype("<i4").tobytes(),
+                "segment": [f"{task}-{made}"],
+                "docs": [rows],
+                "n_words": [counts],
+                "terms": [terms],
+                "ends": [np.cumsum(np.bincount(term, minlength=len(terms))).astype(np.int32)],
+                "postings": [at[order].astype("<i4").tobytes()],
             }
 
-        def work(batch: pa.RecordBatch) -> dict[str, list]:
-            out: list[dict] = []
+        def work(batch: pa.RecordBatch) -> Iterator[dict[str, list]]:
             rows, counts, term, total = [], [], [], 0
             number: dict[bytes, int] = {}
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -129,11 +129,10 @@ def build_index(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), *, gap: int
                     term.append(np.fromiter((number.setdefault(x, len(number)) for x in w), dtype=np.int32, count=len(w)))
                 total += len(w)
                 if total >= segment_words:
-                    out.append(segment(rows, counts, term, list(number)))
+                    yield segment(rows, counts, term, list(number))
                     rows, counts, term, total, number = [], [], [], 0, {}
             if rows:
-                out.append(segment(rows, counts, term, list(number)))
-            return {f: [r[f] for r in out] for f in schema.names}
+                yield segment(rows, counts, term, list(number))
 
         return work
 
@@ -223,10 +222,13 @@ def _probe(index: DataFrame, queries, gap: int, slop: int | None) -> DataFrame:
 
         def work(batch: pa.RecordBatch) -> dict[str, list]:
             out: dict[str, list] = {f: [] for f in schema.names}
-            for r in batch.to_pylist():
+            for at in range(batch.num_rows):  # a segment at a time
+                terms, ends, postings = (batch.column(c)[at] for c in ("terms", "ends", "postings"))
+                r = {c: batch.column(c)[at].as_py() for c in ("segment", "docs", "n_words")}
                 counts = np.array(r["n_words"], dtype=np.int64)
                 starts = np.cumsum(counts + gap) - counts - gap
-                (w, p), (nw, np_) = _matches(q, r["terms"], np.array(r["ends"], dtype=np.int64), np.frombuffer(r["postings"], "<i4"), slop)
+                ends = ends.values.to_numpy(zero_copy_only=False).astype(np.int64)
+                (w, p), (nw, np_) = _matches(q, terms.as_py(), ends, np.frombuffer(postings.as_buffer(), "<i4"), slop)
                 order = np.argsort(p, kind="stable")
                 w, p = w[order], p[order]
                 doc = np.searchsorted(starts, p, side="right") - 1
