@@ -43,9 +43,9 @@ MEMO_CELLS, GROUP_CELLS = 1_000_000, 1_200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def held_out() -> Column:
+def held_out(doc_id: Column | None = None) -> Column:
     """Documents that are never learned from."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = F.coalesce((F.col("doc_id") if doc_id is None else doc_id).cast("string"), F.lit(""))
     return F.pmod(F.crc32(key.cast("binary")), F.lit(4)) == 2
 
 

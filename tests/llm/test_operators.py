@@ -325,8 +325,36 @@ def without(text, gone):
     return None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
 
 
-@pytest.mark.parametrize("one_in", [1, 3])
-def test_line_dedup_against_brute_force(spark, one_in):
+def chunk_lines_gone(rows, target):
+    """The same for content-defined chunks: windows that occurred before, grown as far as the chunks agree."""
+    first, gone = {}, {}
+    for row in rows:
+        lines, gone[row] = (row[1] or "").encode().split(b"\n"), set()
+        begins = line_dedup.boundaries(lines, target)
+        windows = [(b, b + 2, begins[k - 1] + 1 if k else 0, begins[k + 1] + 1 if k + 1 < len(begins) else len(lines)) for k, b in enumerate(begins)]
+        windows += [(k, k + 1, k, k + 1) for k, x in enumerate(lines) if len(x.split()) > 50]
+        for low, high, before, after in windows:
+            whole = b"\n".join(lines[low:high])
+            if not whole.strip():
+                continue
+            if whole not in first:
+                first[whole] = (lines[max(before, low - line_dedup.MOST) : low], lines[high : min(after, high + line_dedup.MOST)])
+                continue
+            x, y = low, high
+            for line in reversed(first[whole][0]):
+                if not x or lines[x - 1] != line:
+                    break
+                x -= 1
+            for line in first[whole][1]:
+                if y == len(lines) or lines[y] != line:
+                    break
+                y += 1
+            gone[row] |= set(range(x, y))
+    return gone
+
+
+@pytest.mark.parametrize("target", [1, line_dedup.TARGET, 1000])
+def test_line_dedup_against_brute_force(spark, target):
     rng = random.Random(6)
     line = lambda n=5: " ".join(rng.choice(WORDS) for _ in range(n))
     passage, long = [line() for _ in range(12)], line(51)
@@ -338,18 +366,14 @@ def test_line_dedup_against_brute_force(spark, one_in):
     rows += [(60, None), (61, ""), (62, "\n\n\n\n"), (63, rows[3][1]), (None, rows[6][1]), (5, rows[5][1]), (64, f"{line(50)}\nx"), (64, " ".join(long.split()[:50]))]
     table = docs_of(spark, rows).selectExpr("*", "77 as n_lines", "'t' as _text", "3 as _runs", "4 as `a.b`", "5 as high")
 
-    def units(lines):
-        found = [(begin, begin + len(c)) for begin, c in line_dedup.chunks_of("\n".join(lines).encode(), one_in)]
-        return found + [(k, k + 1) for k, x in enumerate(lines) if len(x.split()) > 50]
-
-    gone = lines_gone(sorted(dict.fromkeys(rows), key=lambda r: (r[0] is not None, r[0])), units)
+    gone = chunk_lines_gone(sorted(dict.fromkeys(rows), key=lambda r: (r[0] is not None, r[0])), target)
     want = collections.Counter((i, without(t, gone[i, t]), len(gone[i, t])) for i, t in rows)
-    got = line_dedup.deduplicate(table, one_in=one_in)
+    got = line_dedup.deduplicate(table, target=target)
     found = got.collect()
     assert collections.Counter((r.doc_id, r.text, r.n_removed_lines) for r in found) == want
     assert got.columns == [c for c in table.columns if c != "n_lines"] + ["n_lines", "n_removed_lines", "n_removed_chunks"]
     assert all((r.uid, r.chunk, r._text, r._runs, r["a.b"], r.high) == ("u", 1, "t", 3, 4, 5) for r in found)
-    plain = line_dedup.deduplicate(table, one_in=one_in, counts=False)
+    plain = line_dedup.deduplicate(table, target=target, counts=False)
     assert plain.columns == table.columns and {r.n_lines for r in plain.collect()} == {77}
     assert sum(r.n_removed_lines for r in found) > 100 and all(long in r.text for r in found if r.doc_id == 1)
     assert line_dedup.deduplicate(docs_of(spark, [])).count() == 0
@@ -387,9 +411,29 @@ def test_many_equal_rows_cost_no_more_than_others(spark):
 def test_line_chunks_find_themselves_again():
     rng = random.Random(1)
     lines = [str(rng.random()).encode() for _ in range(200)]
-    a = [b"\n".join(c) for _, c in line_dedup.chunks_of(b"\n".join(lines), 3)]
-    b = [b"\n".join(c) for _, c in line_dedup.chunks_of(b"\n".join([b"new", *lines]), 3)]
-    assert len(set(a) & set(b)) > 0.9 * len(a) and len(a) < 100
+    a = [u.whole for u in line_dedup.units(lines, 400)]
+    b = [u.whole for u in line_dedup.units([b"new", *lines], 400)]
+    assert len(set(a) & set(b)) > 0.95 * len(a) and len(a) < 120
+    assert len(line_dedup.boundaries([b"same"] * 50, 10**9)) == 49  # lines without a difference are boundaries all
+
+
+def test_recall_of_line_runs_between_foreign_neighbours():
+    """Runs of short and long lines: nothing goes that is no repeated run, and at least nine lines in ten go."""
+    rng = random.Random(9)
+    line = lambda: " ".join(f"{rng.choice(WORDS)}{rng.randrange(10**4)}" for _ in range(rng.randint(3, 40)))
+    runs = {n: [[line() for _ in range(n)] for _ in range(60)] for n in (2, 3, 4, 5, 9)}
+    rows, of = [], {}
+    for again in range(2):
+        for n, some in runs.items():
+            for run in some:
+                of[len(rows)] = n
+                rows.append((len(rows), "\n".join([line() for _ in range(rng.randint(1, 4))] + run + [line() for _ in range(rng.randint(1, 4))])))
+    gone = chunk_lines_gone(rows, line_dedup.TARGET)
+    every = lines_gone(rows, lambda lines: [(k, k + 2) for k in range(len(lines) - 1)])
+    assert all(gone[r] - {k for k, x in enumerate(r[1].split("\n")) if len(x.split()) > 50} <= every[r] for r in rows)
+    for n in runs:
+        found, whole = (sum(len(g[r]) for r in rows if of[r[0]] == n) for g in (gone, every))
+        assert whole == 60 * n and found >= 0.9 * whole
 
 
 @pytest.mark.parametrize(("tile", "band"), [(2048, 16384), (8, 16), (8, 8)])
