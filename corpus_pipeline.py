@@ -4,7 +4,7 @@ Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
 columns of ``documents``, and pass columns that are not theirs through.
 
 Defined results of every stage: an empty table gives an empty one.  Language: a null text, or one without
-a letter, has no language and goes.  Lines: null and empty texts stay as they are; a text whose every line is
+a letter, has no language and goes, and so does one with less of a language than labelled texts have.  Lines: null and empty texts stay as they are; a text whose every line is
 a repeat becomes empty; ``n_chars`` is counted anew.  Near copies: of rows that are equal, or whose texts have
 no word, one stays, that of the least doc_id (nulls last).  Leaks: null and empty texts stay; equal rows stay
 or go together.  Packing: a null text is empty.  Very long texts are read whole.
@@ -19,8 +19,10 @@ from shelfwise.llm import decontamination, language_id, line_dedup, near_texts,
 from shelfwise.llm.common import materialise, read, row_key
 from shelfwise.llm.queries import tokenizer_path
 
-#: Least share of a text's words that its language must hold; with less there is no language of the text.
-MAJORITY = 0.5
+#: Share of the rightly labelled documents whose scores lie above the floor of the language stage, and how exactly
+#: the floor is found; without any labelled document a majority of the words is asked for.
+STAYS, EXACTNESS, MAJORITY = 0.999, 100_000, 0.5
+
 
 def _with_text(docs: DataFrame) -> DataFrame:
     """Characters counted anew after a stage that changes texts."""
@@ -30,15 +32,19 @@ def _with_text(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: documents go in which no language holds ``MAJORITY`` of the words, by the posteriors of
-    the random field, and so do those without a letter (``und``, score 0).
+    """Operator 4: documents go without a letter (``und``), and those that the random field is less sure of than
+    of ``STAYS`` of the documents whose label it finds, held-out ones left out: texts of several languages, or of none.
 
     A table without one labelled text has no languages to learn, and all its documents stay.
     """
     model = language_id.train(language_id.training_sample(docs))
     if not model.languages:
         return docs
-    return language_id.predict(docs, model, with_row=True).where(F.col("score") >= MAJORITY).select("row.*")
+    found = language_id.predict(docs, model, with_row=True).select("row", "lang_pred", "score")
+    found = materialise(found.withColumn("held_out", language_id.held_out(F.col("row.doc_id"))), "languages")
+    right = found.where(~F.col("held_out") & (F.col("lang_pred") == F.col("row.lang")))
+    floor = right.agg(F.percentile_approx("score", 1 - STAYS, EXACTNESS)).first()[0]
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= F.lit(MAJORITY if floor is None else floor))).select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
