@@ -285,7 +285,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     # equal rows are told apart by a number, so that they may lie in several ranges
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("_hash"), F.monotonically_increasing_id().alias("_tie"))
     ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select(F.spark_partition_id().cast("long").alias("part"), "doc_id", "text")
-    found = materialise(ranged.mapInArrow(run, schema), "neighbours")
+    found = materialise(ranged.mapInArrow(run, schema), "neighbours", compression="zstd")
     edges = found.where("part is not null")
     firsts = edges.where("first").select("part", F.col("text").alias("next_text"))
     # numbers of ranges that have rows: one for each task
