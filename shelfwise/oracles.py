@@ -307,5 +307,9 @@ SELECT scope_slug, keyword, keyword AS keyword_key, count(*) AS product_count, c
     "stream_append": "SELECT event_type, count(*) AS row_count FROM events GROUP BY 1",
     "stream_dedupe": "SELECT event_type, count(*) AS row_count FROM (SELECT DISTINCT event_id, event_type FROM events) GROUP BY 1",
     "stream_latest": "SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
+    "stream_details": """WITH e AS (SELECT event_id // 2 AS code, event_id, ts, value FROM events)
+SELECT coalesce(a.code, b.code) AS code, a.event_id AS domestic_id, a.value AS domestic_value, b.event_id AS abroad_id, b.value AS abroad_value
+FROM (SELECT * FROM e WHERE event_id % 2 = 0) a FULL JOIN (SELECT * FROM e WHERE event_id % 2 = 1) b
+ON a.code = b.code AND b.ts >= a.ts - INTERVAL 6 HOUR AND b.ts <= a.ts + INTERVAL 6 HOUR""",
     "stream_decode": "SELECT event_id % 11 <> 0 AS ok, count(*) AS row_count, CAST(sum(CASE WHEN event_id % 11 <> 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END) AS BIGINT) AS k_sum FROM events WHERE event_type = 'click' GROUP BY 1",
 }

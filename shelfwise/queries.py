@@ -27,6 +27,8 @@ from .sources import catalog as src
 from .sources import sinks
 from .sources.tables import materialise, work_path
 from .streaming import events as ST
+from .streaming import latest as LS
+from .streaming import token_index as TI
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 AT = datetime(2026, 8, 6, 2, 54, 24, 934000)
@@ -553,8 +555,8 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _stream_source(spark, sf_dir).withColumn("payload", F.to_json(F.struct("event_id", "props")))
     out = work_path(spark, "stream-out")
     for k in range(2):
-        ST.publish(stream, ST.append_once(out, "events"), f"{out}-checkpoint{k}").awaitTermination()
-    return spark.read.parquet(out).groupBy("event_type").agg(F.count("*").alias("row_count"))
+        ST.publish(stream, TI.append_once(out, "events", every=2), f"{out}-checkpoint{k}").awaitTermination()
+    return TI.read_appended(spark, out).groupBy("event_type").agg(F.count("*").alias("row_count"))
 
 
 @query
@@ -581,10 +583,30 @@ def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = _stream_source(spark, sf_dir).select("user_id", "event_id", "ts", "event_type", "value")
-    out = work_path(spark, "stream-out")
-    ST.publish(stream, ST.running_latest(out, ["user_id"], ["ts", "event_id"], buckets=8), f"{out}-checkpoint").awaitTermination()
-    return ST.read_latest(spark, out).select("user_id", "event_id", "event_type", "value")
+    """Half of the files in one run of the query, the others after a restart from its checkpoint."""
+    table, path = src.read_table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value"), work_path(spark, "stream-in")
+    for half in range(2):
+        table.where(F.col("event_id") % 2 == half).repartition(2).write.mode("append").parquet(path)
+        LS.keep_latest(ST.read_stream(spark, path, table.schema), ["user_id"], ["ts", "event_id"], f"{path}-checkpoint").awaitTermination()
+    return LS.read_latest(spark, f"{path}-checkpoint").select("user_id", "event_id", "event_type", "value")
+
+
+@query
+def stream_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events 2n and 2n+1 as the two detail pages of product n: two streams, joined where their times lie within six
+    hours.  A last row far in the future tells either stream that nothing older will come."""
+    events = src.read_table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 2).alias("code"), F.col("ts").cast("timestamp").alias("ts"), "event_id", "value")
+    last = spark.range(1).select(F.lit(-1).cast("long").alias("code"), F.lit("2100-01-01").cast("timestamp").alias("ts"), F.lit(-1).cast("long").alias("event_id"), F.lit(0.0).alias("value"))
+    streams = []
+    for side, name in enumerate(("domestic", "abroad")):
+        path = work_path(spark, name)
+        rows = events.where(F.col("event_id") % 2 == side).unionByName(last).withColumnsRenamed({"event_id": f"{name}_id", "value": f"{name}_value"})
+        rows.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(path)
+        streams.append(ST.read_stream(spark, path, rows.schema, files_a_batch=2))
+    out = work_path(spark, "details")
+    both = ST.join_details(*streams, "code", "ts", "6 hours", "1 day")
+    ST.publish(both, lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"), f"{out}-checkpoint").awaitTermination()
+    return spark.read.parquet(out).where("code >= 0").select("code", "domestic_id", "domestic_value", "abroad_id", "abroad_value")
 
 
 @query

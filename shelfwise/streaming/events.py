@@ -1,4 +1,4 @@
-"""Structured Streaming: micro-batch publishing, idempotent appends, decoding and running state."""
+"""Structured Streaming: micro-batch publishing, enrichment, joins of streams, decoding and repeats."""
 
 from __future__ import annotations
 
@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.text import batch_token
-from ..operators.ranking import latest_version
 from ..sources.sinks import event_messages
 
 
@@ -25,36 +23,6 @@ def publish(stream: DataFrame, publisher: Callable[[DataFrame, int], None], chec
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-#: Hexadecimal digits of a token that name its bucket.
-BUCKET_DIGITS = 2
-
-
-def append_once(path: str, table: str, payload: str = "payload") -> Callable[[DataFrame, int], None]:
-    """A publisher that skips rows whose content token is already in the table.
-
-    The table is cut into buckets by token; of those that a batch touches, only the tokens are read.  A batch
-    that is handed over again, under its number, finds its own tokens there and adds what is missing.
-    """
-
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        token = batch_token(table, F.col(payload))
-        rows = batch.withColumn("token", token).withColumn("bucket", F.substring("token", 1, BUCKET_DIGITS)).dropDuplicates(["token"]).withColumn("batch_id", F.lit(number))
-        if _exists(spark, path):
-            touched = [r[0] for r in rows.select("bucket").distinct().collect()]  # 16 ** BUCKET_DIGITS at most
-            seen = spark.read.option("basePath", path).schema(rows.schema).parquet(path).where(F.col("bucket").isin(touched)).select("bucket", "token")
-            rows = rows.join(seen, ["bucket", "token"], "left_anti")
-        rows.write.mode("append").partitionBy("bucket").parquet(path)
-
-    return write
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = _file_system(spark, path)
-    return fs.exists(p) and len(fs.listStatus(p)) > 0
-
-
 def enrich(stream: DataFrame, lists: DataFrame, key: str) -> DataFrame:
     """Finished detail rows with their list row: a stream and static left join."""
     return stream.join(lists, key, "left")
@@ -81,56 +49,16 @@ def drop_repeats(stream: DataFrame, id_col: str, time_col: str, within: str = "1
     return stream.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, within).dropDuplicatesWithinWatermark([id_col])
 
 
-BUCKET, VERSION = "state_bucket", "state_version"
-
+def join_details(domestic: DataFrame, abroad: DataFrame, key: str, time_col: str, within: str, late: str) -> DataFrame:
+    """Details of a product from two sites as they arrive, each once: together if their times lie ``within`` each
+    other, alone once no partner can come any more.
 
-def running_latest(path: str, keys: list[str], version: list[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
-    """A publisher that keeps the newest row of every key, in buckets of keys.
-
-    A batch rewrites the buckets that it touches, each as a version of its number; other buckets stay.  A
-    batch that is handed over again merges with the versions before its own and writes the same again.
-    Versions that no reader needs any more, all but the last two of a bucket, are deleted.
+    Watermarks on both sides bound the state: a row waits no longer than ``late`` and ``within``.  Columns of the two
+    sides but the key and the time have different names.
     """
-
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).withColumn(VERSION, F.lit(number))
-        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # ``buckets`` at most
-        if not touched:
-            return
-        before = {b: max((v for v in found if v < number), default=None) for b, found in _versions(spark, path).items()}
-        old = [f"{path}/{BUCKET}={b}/{VERSION}={before[b]}" for b in touched if before.get(b) is not None]
-        merged = rows.drop(VERSION)
-        if old:
-            merged = merged.unionByName(spark.read.option("basePath", path).schema(rows.schema).parquet(*old).drop(VERSION))
-        newest = latest_version(merged, [*keys, BUCKET], version).withColumn(VERSION, F.lit(number))
-        newest.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, VERSION).parquet(path)
-        for b in touched:
-            for v in sorted(v for v in _versions(spark, path, b) if v <= number)[:-2]:
-                _file_system(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}={b}/{VERSION}={v}"), True)
-
-    return merge
-
-
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """What ``running_latest`` holds: the last version of every bucket."""
-    last = [f"{path}/{BUCKET}={b}/{VERSION}={max(found)}" for b, found in _versions(spark, path).items() if found]
-    return spark.read.option("basePath", path).parquet(*last).drop(BUCKET, VERSION)
-
-
-def _file_system(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = _file_system(spark, path)
-    names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
-    return [int(n.partition("=")[2]) for n in names if n.startswith(f"{name}=")]
-
-
-def _versions(spark: SparkSession, path: str, bucket: int | None = None):
-    """Versions of each bucket, or of one."""
-    if bucket is not None:
-        return _numbers(spark, f"{path}/{BUCKET}={bucket}", VERSION)
-    return {b: _numbers(spark, f"{path}/{BUCKET}={b}", VERSION) for b in _numbers(spark, path, BUCKET)}
+    a = domestic.withColumnRenamed(time_col, "_a").withWatermark("_a", late)
+    b = abroad.withColumnsRenamed({key: "_key", time_col: "_b"}).withWatermark("_b", late)
+    near = F.expr(f"_key = `{key}` AND _b >= _a - INTERVAL {within} AND _b <= _a + INTERVAL {within}")
+    both = a.join(b, near, "full_outer")
+    rest = [c for c in both.columns if c not in (key, "_key", "_a", "_b")]
+    return both.select(F.coalesce(key, "_key").alias(key), F.coalesce("_a", "_b").alias(time_col), *rest)

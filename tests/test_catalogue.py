@@ -21,6 +21,7 @@ from shelfwise.plans import refresh as RF
 from shelfwise.sources import sinks
 from shelfwise.sources.tables import work_path
 from shelfwise.streaming import events as ST
+from shelfwise.streaming import token_index as TI
 
 PRODUCT = "provider string, product_code string, product_name string, source_category string, search_keyword string, seller string, brand string, price_krw long, original_price_krw long, review_count long, order_count long, collected_at string"
 
@@ -210,18 +211,6 @@ def test_dropped_products_are_counted(spark):
     assert seen.get == {"rows": 2, "dropped": 1}
 
 
-def test_running_latest_and_appends_do_not_depend_on_replays(spark, tmp_path):
-    keep = ST.running_latest(f"{tmp_path}/latest", ["k"], ["v"], buckets=4)
-    batches = [spark.createDataFrame([(k, n * 10 + k, f"{n}") for k in keys], "k long, v long, t string") for n, keys in enumerate(([1, 2, 3], [2, 3, 9], [3], []))]
-    for n in (0, 1, 1, 2, 2, 3):
-        keep(batches[n], n)
-    assert {r.k: r.t for r in ST.read_latest(spark, f"{tmp_path}/latest").collect()} == {1: "0", 2: "1", 3: "2", 9: "1"}
-    add = ST.append_once(f"{tmp_path}/once", "t", "t")
-    for n in (0, 0, 1, 0):
-        add(batches[n], n)
-    assert sorted(r.t for r in spark.read.parquet(f"{tmp_path}/once").select(F.col("t").cast("string")).collect()) == ["0", "1"]
-
-
 def test_a_cluster_needs_a_shared_folder():
     class Session:
         class conf:
@@ -247,7 +236,7 @@ def test_refresh_publishes_only_what_holds(spark, tmp_path):
 def test_stream_replays_a_failed_batch(spark, tmp_path):
     spark.range(10).selectExpr("id", "cast(id as string) as payload").repartition(4).write.parquet(f"{tmp_path}/in")
     stream = ST.read_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
-    write, calls = ST.append_once(f"{tmp_path}/out", "t"), []
+    write, calls = TI.append_once(f"{tmp_path}/out", "t"), []
 
     def fail_once(batch, number):
         calls.append(number)
@@ -258,4 +247,4 @@ def test_stream_replays_a_failed_batch(spark, tmp_path):
     with pytest.raises(Exception):
         ST.publish(stream, fail_once, f"{tmp_path}/c").awaitTermination()
     ST.publish(stream, fail_once, f"{tmp_path}/c").awaitTermination()
-    assert calls.count(1) == 2 and sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == list(range(10))
+    assert calls.count(1) == 2 and sorted(r.id for r in TI.read_appended(spark, f"{tmp_path}/out").collect()) == list(range(10))
