@@ -226,11 +226,13 @@ def unique_keep_order(c: Column) -> Column:
 
 
 def fnv1a_32(c: Column) -> Column:
-    """FNV-1a of an ASCII text, as a non-negative long."""
+    """FNV-1a of the UTF-8 bytes of a text, as a non-negative long."""
+    digits = F.hex(F.encode(c, "UTF-8"))
+    pairs = F.filter(F.split(F.regexp_replace(digits, "(..)", "$1 "), " "), lambda x: x != "")
     return F.aggregate(
-        F.filter(F.split(c, ""), lambda x: x != ""),
+        pairs,
         F.lit(2166136261).cast("long"),
-        lambda h, ch: (h.bitwiseXOR(F.ascii(ch).cast("long")) * F.lit(16777619).cast("long")).bitwiseAND(F.lit(4294967295).cast("long")),
+        lambda h, byte: (h.bitwiseXOR(F.conv(byte, 16, 10).cast("long")) * F.lit(16777619).cast("long")).bitwiseAND(F.lit(4294967295).cast("long")),
     )
 
 

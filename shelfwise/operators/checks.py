@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import valid_json
+from ..sources import files
 
 
 class GateError(RuntimeError):
@@ -112,13 +113,13 @@ def require_verified(found: DataFrame, *, scopes: list[str], keyword_rows: int,
 
 def marker_figures(markers: DataFrame, refresh_uuid: str, version: int) -> DataFrame:
     mine = markers.where((F.col("refresh_uuid") == refresh_uuid) & (F.col("version") == version))
-    cols = ("generated_at", "source_max_collected_at", "source_product_count", "expected_scope_count", "snapshot_scope_count", "keyword_scope_count", "keyword_row_count", "published_at")
+    cols = ("attempt", "generated_at", "source_max_collected_at", "source_product_count", "expected_scope_count", "snapshot_scope_count", "keyword_scope_count", "keyword_row_count", "published_at")
     return mine.agg(F.count("*").alias("marker_rows"), *(F.max(c).alias(c) for c in cols), F.count_if(F.to_timestamp("published_at").isNull()).alias("invalid_published_at"))
 
 
 def require_marker(markers: DataFrame, marker: dict) -> None:
     """Exactly one marker row that says what was written."""
-    r = marker_figures(markers, marker["refresh_uuid"], marker["version"]).first()
+    r = marker_figures(markers.where(F.col("attempt") == marker["attempt"]), marker["refresh_uuid"], marker["version"]).first()
     wrong = [c for c, v in marker.items() if c not in ("refresh_uuid", "version") and r[c] != v]
     if r["marker_rows"] != 1 or r["invalid_published_at"] or wrong:
         raise GateError(f"marker differs: {r['marker_rows']} rows, {wrong}")
@@ -126,11 +127,9 @@ def require_marker(markers: DataFrame, marker: dict) -> None:
 
 def preflight(spark: SparkSession, *paths: str) -> None:
     """Targets must be readable, or new, and their folders writable, before the source is scanned."""
-    hadoop = spark._jsc.hadoopConfiguration()
-    for p in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(hadoop)
-        if fs.exists(path) and fs.listStatus(path):
-            spark.read.parquet(p).limit(0).count()
-        elif not fs.mkdirs(path):
-            raise GateError(f"{p} cannot be written")
+    for path in paths:
+        found = [n for n in files.names(spark, path) if n[0] not in "._"]
+        if found:
+            (spark.read.json(path) if all(n.endswith(".json") for n in found) else spark.read.parquet(path)).limit(0).count()
+        elif not files.make_folder(spark, path):
+            raise GateError(f"{path} cannot be written")

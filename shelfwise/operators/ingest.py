@@ -238,11 +238,6 @@ def map_columns(rows: DataFrame, row: str = "row") -> DataFrame:
     return rows.select(F.explode(F.map_keys(row)).alias("name")).distinct()
 
 
-def usable_name(c: Column, stop_names: tuple[str, ...] = ("image", "item", "product", "상품", "이미지", "상품이미지")) -> Column:
-    text = clean_text(c)
-    return ~F.lower(text).isin(*stop_names) & (F.length(text) >= 2)
-
-
 def latest_products(history: DataFrame) -> DataFrame:
     """The newest raw row of every (provider, product_code)."""
     return latest_version(history, ["provider", "product_code"], ["version", "uuid"])

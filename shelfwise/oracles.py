@@ -307,6 +307,20 @@ SELECT scope_slug, keyword, keyword AS keyword_key, count(*) AS product_count, c
     "stream_append": "SELECT event_type, count(*) AS row_count FROM events GROUP BY 1",
     "stream_dedupe": "SELECT event_type, count(*) AS row_count FROM (SELECT DISTINCT event_id, event_type FROM events) GROUP BY 1",
     "stream_latest": "SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
+    "published_marker": f"WITH {STANDARD} SELECT CAST(1 AS BIGINT) AS marker_rows, count(*) FILTER (order_count <> 1) AS source_product_count, CAST(11 AS BIGINT) AS expected_scope_count, max(collected_at) FILTER (order_count <> 1) AS source_max_collected_at, true AS whole, count(*) FILTER (order_count = 1) AS dropped_rows FROM standard",
+    "decorated_products": f"""WITH {PRODUCTS}, p AS (
+  SELECT *, CASE WHEN l_partkey % 3 = 1 THEN 'gmarket' ELSE provider END AS shown, CASE WHEN order_count > 2 THEN product_name ELSE '' END AS name FROM products)
+SELECT product_code, shown AS provider, CASE shown WHEN 'kurly' THEN 'Kurly' ELSE 'Gmarket' END AS provider_label, CASE WHEN name = '' THEN product_code ELSE name END AS product_label,
+  '수집 시점 관측가' AS price_basis, '/out/' || shown || '/' || product_code || '/' AS product_url FROM p""",
+    "event_envelopes": f"""WITH {PRODUCTS}, n AS (SELECT *, l_partkey % 5 AS n FROM products)
+SELECT product_code, provider, 'crawler' AS source, 'host-1' AS host, '10.0.0.1' AS ip, '' AS uuid_user, 'product' AS event_type,
+  CASE WHEN n IN (0, 4) OR provider = 'gmarket' AND n = 1 OR provider = 'kurly' AND n IN (2, 3) THEN 'https://x/' || n || '/' || product_code ELSE '' END AS url,
+  CASE WHEN n < 3 THEN product_code ELSE 'made' END AS event_uuid, CASE WHEN n < 2 THEN collected_at ELSE 'made' END AS created_at FROM n""",
+    "topic_messages": """WITH k AS (SELECT event_type || ':' || CASE WHEN event_id % 3 = 0 THEN 'https://x/사과-' || user_id ELSE event_id::VARCHAR END AS key FROM events),
+b AS (SELECT DISTINCT key, hex(encode(key)) AS h FROM k),
+p AS (SELECT key, CAST(list_reduce(list_concat([2166136261::HUGEINT], list_transform(range(1, len(h) + 1, 2), lambda i: CAST('0x' || h[i:i + 1] AS HUGEINT))),
+  lambda a, x: (xor(a, x) * 16777619) & 4294967295::HUGEINT) % 8 AS INTEGER) AS "partition" FROM b)
+SELECT "partition", count(*) AS row_count, count(DISTINCT key) AS key_count, count(*) AS offsets, count(*) - 1 AS last_offset, true AS in_order FROM k JOIN p USING (key) GROUP BY 1""",
     "stream_details": """WITH e AS (SELECT event_id // 2 AS code, event_id, ts, value FROM events)
 SELECT coalesce(a.code, b.code) AS code, a.event_id AS domestic_id, a.value AS domestic_value, b.event_id AS abroad_id, b.value AS abroad_value
 FROM (SELECT * FROM e WHERE event_id % 2 = 0) a FULL JOIN (SELECT * FROM e WHERE event_id % 2 = 1) b

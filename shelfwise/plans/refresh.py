@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from ..functions.text import slug, uuid_v7
 from ..operators import aggregates as A
 from ..operators import checks as G
 from ..operators import ranking as R
-from ..sources import sinks
+from ..sources import files, sinks
 from ..sources.tables import materialise
 
 SCOPE = ["scope_slug", "scope_category"]
@@ -57,9 +58,9 @@ def classify(rows: DataFrame, normalise: bool = True, dropped: Observation | Non
     return rows.where("source_category <> ''")
 
 
-def prepare(rows: DataFrame, normalise: bool = True) -> DataFrame:
+def prepare(rows: DataFrame, normalise: bool = True, dropped: Observation | None = None) -> DataFrame:
     """Classified and decorated products with keywords, written once: many grouped jobs read them."""
-    return materialise(K.add_keywords(decorate(classify(rows, normalise)), normalise), "products")
+    return materialise(K.add_keywords(decorate(classify(rows, normalise, dropped)), normalise), "products")
 
 
 def in_scopes(products: DataFrame) -> DataFrame:
@@ -188,12 +189,16 @@ def refresh(spark: SparkSession, rows: DataFrame, to: Targets, generated: dateti
     """Build, check, write, verify, and publish with a marker that is written last.
 
     ``rows`` come from ``sources.catalog.scan_latest``.  Nothing is written unless the build holds, and
-    nothing is visible to ``read_published`` before the marker.
+    nothing is visible to ``read_published`` before the marker.  Every call writes as an attempt of its own, so what
+    a failed one left is in no one's way; a refresh during which another one was published ends with
+    ``PublishConflict``, and what it wrote goes.  The figures it returns tell how many rows had no category.
     """
     G.preflight(spark, to.snapshots, to.mart, to.markers)
+    head, attempt = sinks.marker_head(spark, to.markers), uuid4().hex
     generated_at = generated.strftime("%Y-%m-%d %H:%M:%S.") + f"{generated.microsecond // 1000:03d}"
     version = spark.range(1).select(F.unix_millis(F.to_timestamp(F.lit(generated_at)))).first()[0]
-    products = prepare(rows, normalise)
+    seen = Observation("classified")
+    products = prepare(rows, normalise, seen)
     snaps = materialise(snapshots(products, version, generated_at), "snapshots")
     mart = materialise(keyword_mart(products, version, generated_at, normalise), "mart")
     names = spark.createDataFrame([(c,) for c in categories], "category string")
@@ -201,13 +206,10 @@ def refresh(spark: SparkSession, rows: DataFrame, to: Targets, generated: dateti
     scopes = spark.createDataFrame([(s,) for s in slugs], "scope_slug string")
     G.require(G.build_checks(products, snaps, mart, names, scopes, version))
     keyword_rows = mart.count()
-    sinks.write_mart(mart, to.mart)
-    sinks.write_snapshots(snaps, to.snapshots)
     facts = products.agg(F.count("*"), F.max("collected_at")).first()
-    found = G.verification(spark.read.parquet(to.snapshots), spark.read.parquet(to.mart), version)
-    G.require_verified(found, scopes=slugs, keyword_rows=keyword_rows, products=facts[0], latest=facts[1])
     marker = {
         "refresh_uuid": refresh_uuid,
+        "attempt": attempt,
         "version": version,
         "generated_at": generated_at,
         "source_max_collected_at": facts[1],
@@ -218,7 +220,16 @@ def refresh(spark: SparkSession, rows: DataFrame, to: Targets, generated: dateti
         "keyword_row_count": keyword_rows,
         "published_at": generated_at,
     }
-    schema = ", ".join(f"{k} {'long' if isinstance(v, int) else 'string'}" for k, v in marker.items())
-    sinks.write_marker(spark.createDataFrame([tuple(marker.values())], schema), to.markers)
-    G.require_marker(spark.read.parquet(to.markers), marker)
-    return marker
+    try:
+        sinks.write_mart(mart.withColumn("attempt", F.lit(attempt)), to.mart)
+        sinks.write_snapshots(snaps.withColumn("attempt", F.lit(attempt)), to.snapshots)
+        mine = [spark.read.parquet(path).where(F.col("attempt") == attempt) for path in (to.snapshots, to.mart)]
+        found = G.verification(*mine, version)
+        G.require_verified(found, scopes=slugs, keyword_rows=keyword_rows, products=facts[0], latest=facts[1])
+        sinks.write_marker(spark, marker, to.markers, head)
+    except Exception:
+        for path in (to.snapshots, to.mart):
+            files.delete(spark, f"{path}/version={version}/attempt={attempt}")
+        raise
+    G.require_marker(sinks.read_markers(spark, to.markers), marker)
+    return marker | {"dropped_rows": seen.get["dropped"]}

@@ -25,6 +25,7 @@ from .plans import collection as C
 from .plans import refresh as RF
 from .sources import catalog as src
 from .sources import sinks
+from .sources import topic as TP
 from .sources.tables import materialise, work_path
 from .streaming import events as ST
 from .streaming import latest as LS
@@ -528,6 +529,63 @@ def refresh_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.select("scope_slug", "scope_category", "source_product_count", "source_max_collected_at", X.valid_json(F.col("payload_json")).alias("valid"))
 
 
+@query
+def published_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh after another one's marker, and rows of an attempt that broke off beside it: figures of the last
+    marker, rows that readers see, and rows that had no category."""
+    base, rows = work_path(spark, "refresh"), _standard(spark, sf_dir)
+    to = RF.Targets(f"{base}/snapshots", f"{base}/mart", f"{base}/markers")
+    raw = rows.withColumn("source_category", F.when(F.col("order_count") == 1, "기타").otherwise(F.col("source_category")))
+    sinks.write_marker(spark, {"refresh_uuid": "first", "attempt": "left over", "version": 1}, to.markers, 0)
+    done = RF.refresh(spark, raw, to, AT, "second", normalise=False)
+    sinks.write_mart(spark.read.parquet(to.mart).withColumn("attempt", F.lit("left over")), to.mart)
+    found = G.marker_figures(sinks.read_markers(spark, to.markers), "second", done["version"])
+    seen = sinks.read_published(spark, to.mart, to.markers).agg(F.count("*").alias("rows_seen"))
+    return found.join(F.broadcast(seen), F.lit(True)).select(
+        "marker_rows", "source_product_count", "expected_scope_count", "source_max_collected_at", (F.col("rows_seen") == F.col("keyword_row_count")).alias("whole"), F.lit(done["dropped_rows"]).alias("dropped_rows")
+    )
+
+
+@query
+def decorated_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Providers in any spelling, products without a name."""
+    p = _products(spark, sf_dir).withColumn("provider", F.when(F.col("l_partkey") % 3 == 0, F.upper(F.concat(F.lit(" "), "provider"))).when(F.col("l_partkey") % 3 == 1, "other").otherwise(F.col("provider")))
+    p = p.withColumn("product_name", F.when(F.col("order_count") > 2, F.col("product_name")).otherwise(""))
+    return RF.decorate(p).select("product_code", "provider", "provider_label", "product_label", "price_basis", "product_url")
+
+
+@query
+def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes of payloads of both providers, with and without identifiers, times and addresses."""
+    p, n = _products(spark, sf_dir), F.col("l_partkey") % 5
+    link = lambda k: F.when(n == k, F.concat(F.lit(f" https://x/{k}/"), "product_code")).when(n == k + 1, "")
+    payload = p.select("provider", "product_code", "collected_at", *(link(k).alias(c) for k, c in enumerate(("domestic_url", "global_url", "detail_url", "product_url", "source_url"))), F.when(n < 3, F.col("product_code")).otherwise(" ").alias("uuid"), F.when(n < 2, F.col("collected_at")).alias("created_at"))
+    e = I.envelope(payload, "product", "crawler", "host-1", "10.0.0.1")
+    j = lambda c: F.get_json_object("payload", f"$.{c}")
+    made = F.col("event_uuid").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-7[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+    stamp = F.col("created_at").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9:]{8}[.][0-9]{3}$")
+    return e.select(
+        j("product_code").alias("product_code"), j("provider").alias("provider"), "url", "source", "host", "ip", "uuid_user", "event_type",
+        F.when(made, "made").otherwise(F.col("event_uuid")).alias("event_uuid"), F.when(stamp & (j("created_at").isNull()), "made").otherwise(F.col("created_at")).alias("created_at"),
+    )
+
+
+@query
+def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events published in two parts; messages of every partition, and whether its order is that of the parts."""
+    TP.register(spark)
+    path = work_path(spark, "topic")
+    events = src.read_table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("event_uuid"), "event_type", F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("https://x/사과-"), "user_id")).otherwise(" ").alias("url"), F.col("props").alias("payload"))
+    for part in range(2):
+        sinks.write_topic(events.where(F.col("event_uuid").cast("long") % 2 == part), TP.FORMAT, path=path, partitions="8")
+    got = spark.read.format(TP.FORMAT).option("path", path).load().withColumn("odd", F.get_json_object("value", "$.event_uuid").cast("long") % 2)
+    figures = got.groupBy("partition").agg(
+        F.count("*").alias("row_count"), F.count_distinct("key").alias("key_count"), F.count_distinct("offset").alias("offsets"), F.max("offset").alias("last_offset"),
+        F.max(F.when(F.col("odd") == 0, F.col("offset"))).alias("_even"), F.min(F.when(F.col("odd") == 1, F.col("offset"))).alias("_odd"),
+    )
+    return figures.select("partition", "row_count", "key_count", "offsets", "last_offset", F.coalesce(F.col("_even") < F.col("_odd"), F.lit(True)).alias("in_order"))
+
+
 @query
 def verification(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures that a refresh checks in storage, from tables with a broken payload and a wrong version."""

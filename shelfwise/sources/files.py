@@ -24,6 +24,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def make_folder(spark: SparkSession, path: str) -> bool:
+    fs, at = _at(spark, path)
+    return fs.mkdirs(at)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, at = _at(spark, path)
     fs.delete(at, True)

@@ -1,14 +1,18 @@
 """Sinks: raw history, events, snapshots, keyword mart, publication marker and report bundle.
 
-Tables are Parquet folders.  Rows of a refresh go to version folders, which readers see only
-through the marker that is written last (``read_published``).
+Tables are Parquet folders.  Rows of a refresh go to a folder of its version and attempt, which readers see only
+through the numbered marker that is written last (``read_published``).
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import files
+
 MART_ROWS_A_FILE = 1_000_000
 
 
@@ -31,21 +35,47 @@ def write_topic(events: DataFrame, fmt: str = "kafka", **options: str) -> None:
 
 
 def write_snapshots(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").partitionBy("version").parquet(path)
+    """Rows of one attempt of a refresh, which no other attempt shares."""
+    rows.write.mode("append").partitionBy("version", "attempt").parquet(path)
 
 
 def write_mart(rows: DataFrame, path: str, rows_a_file: int = MART_ROWS_A_FILE) -> None:
-    rows.write.mode("append").partitionBy("version").option("maxRecordsPerFile", rows_a_file).parquet(path)
+    rows.write.mode("append").partitionBy("version", "attempt").option("maxRecordsPerFile", rows_a_file).parquet(path)
+
+
+class PublishConflict(RuntimeError):
+    """Another refresh was published since this one began."""
+
+
+def marker_head(spark: SparkSession, path: str) -> int:
+    """The number of the last marker; 0 if there is none."""
+    return max((int(n.partition(".")[0]) for n in files.names(spark, path) if n.endswith(".json") and n[0] != "."), default=0)
+
+
+def write_marker(spark: SparkSession, marker: dict, path: str, head: int) -> int:
+    """Publish by making the marker after ``head``, which the refresh saw when it began.
+
+    The file is made whole and by one writer alone: of two refreshes that began at one marker, one is published,
+    and the other one is told so.
+    """
+    number = head + 1
+    text = json.dumps(marker | {"number": number}, ensure_ascii=False)
+    if marker_head(spark, path) != head or not files.create_once(spark, f"{path}/{number:012d}.json", text):
+        raise PublishConflict(f"marker {number} was made by another refresh")
+    return number
 
 
-def write_marker(row: DataFrame, path: str) -> None:
-    row.coalesce(1).write.mode("append").parquet(path)
+def read_markers(spark: SparkSession, path: str) -> DataFrame:
+    fields = ("refresh_uuid", "attempt", "generated_at", "source_max_collected_at", "published_at")
+    counts = ("number", "version", "source_product_count", "expected_scope_count", "snapshot_scope_count", "keyword_scope_count", "keyword_row_count")
+    schema = ", ".join([*(f"{c} string" for c in fields), *(f"{c} long" for c in counts)])
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("pathGlobFilter", "[0-9]*.json").json(path)
 
 
 def read_published(spark: SparkSession, table: str, markers: str) -> DataFrame:
-    """The rows of the batch that the latest marker names; no marker, no rows."""
-    last = spark.read.parquet(markers).groupBy().agg(F.max_by("version", F.struct("published_at", "version")).alias("version"))
-    return spark.read.parquet(table).join(F.broadcast(last.where("version is not null")), "version", "left_semi")
+    """The rows of the attempt that the latest marker names; no marker, no rows."""
+    last = read_markers(spark, markers).groupBy().agg(F.max_by(F.struct("version", "attempt"), "number").alias("m")).select("m.*").where("version is not null")
+    return spark.read.parquet(table).join(F.broadcast(last), ["version", "attempt"], "left_semi")  # one row
 
 
 def write_report(path: str, **sheets: DataFrame) -> None:

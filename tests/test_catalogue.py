@@ -1,6 +1,7 @@
 """Golden cases of the catalogue operators, and invariants."""
 
 import json
+from pathlib import Path
 from datetime import datetime
 
 import pytest
@@ -233,6 +234,29 @@ def test_refresh_publishes_only_what_holds(spark, tmp_path):
     assert {r.version for r in sinks.read_published(spark, to.snapshots, to.markers).collect()} == {r.version for r in seen}
 
 
+def test_of_two_refreshes_one_is_published_and_a_retry_is_not_doubled(spark, tmp_path, monkeypatch):
+    to = RF.Targets(*(f"{tmp_path}/{n}" for n in ("s", "m", "p")))
+    at = datetime(2026, 8, 6, 2, 54, 24, 934000)
+    run = lambda name: RF.refresh(spark, ten_products(spark), to, at, name, normalise=False)
+    plain = sinks.write_snapshots
+
+    def overtaken(rows, path):
+        plain(rows, path)
+        sinks.write_marker(spark, {"refresh_uuid": "other", "attempt": "a", "version": 1}, to.markers, 0)  # while the first is under way
+
+    monkeypatch.setattr(sinks, "write_snapshots", overtaken)
+    with pytest.raises(sinks.PublishConflict):
+        run("first")
+    assert [(r.number, r.refresh_uuid) for r in sinks.read_markers(spark, to.markers).collect()] == [(1, "other")]
+    assert not [f for d in (to.snapshots, to.mart) for f in Path(d).rglob("*.parquet")]  # what it wrote is gone
+    monkeypatch.setattr(sinks, "write_snapshots", plain)
+    marker = run("first")
+    assert sinks.marker_head(spark, to.markers) == 2
+    sinks.write_snapshots(spark.read.parquet(to.snapshots).withColumn("attempt", F.lit("broken off")), to.snapshots)
+    seen = sinks.read_published(spark, to.snapshots, to.markers).collect()
+    assert len(seen) == 11 and {r.attempt for r in seen} == {marker["attempt"]}
+
+
 def test_stream_replays_a_failed_batch(spark, tmp_path):
     spark.range(10).selectExpr("id", "cast(id as string) as payload").repartition(4).write.parquet(f"{tmp_path}/in")
     stream = ST.read_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
