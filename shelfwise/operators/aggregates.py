@@ -218,11 +218,6 @@ def run_summary(rows: DataFrame, facts: dict[str, Column]) -> DataFrame:
     return one.unpivot([], list(facts), "fact", "value")
 
 
-def first_values(pairs: DataFrame, keys: list[str], value: str, position: str) -> DataFrame:
-    """The value with the lowest position for every key."""
-    return pairs.groupBy(*keys).agg(F.min_by(value, position).alias(value))
-
-
 def keyword_search_text(exploded: DataFrame, keys: list[str], most: int = 160, chars: int = 12_000) -> DataFrame:
     """Texts of a key's first products in order, in lower case, spaces squeezed, cut to ``chars``."""
     w = W.partitionBy(*keys).orderBy("provider", "product_code")

@@ -78,6 +78,15 @@ PAYLOAD_B: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("detail_collect_error", "raw", ("상세_수집오류",)),
     ("detail_next_data_available", "flag", ("상세_NEXT_DATA_존재",)),
 )
+# Columns of the merged sheet that come first, in this order.
+MERGED_COLUMNS = [
+    *("순번", "수집카테고리", "groupCode", "검색어", "페이지", "상품코드", "상품명", "상품명_목록", "상품URL_국내", "상품URL_글로벌", "상품URL_raw"),
+    *("목록_이미지URL", "목록_가격_raw", "목록_판매가_KRW", "목록_정가_KRW", "목록_할인율_계산"),
+    *("국내_상품명", "국내_가격_KRW", "국내_브랜드", "국내_카테고리", "국내_판매자", "국내_모델명", "국내_제조국", "국내_원산지", "국내_배송비", "국내_리뷰수", "국내_주문수"),
+    *("국내_상세설명_텍스트", "국내_상세설명_이미지개수", "국내_상세설명_이미지URL목록", "국내_수집방식", "국내_수집성공", "국내_수집오류", "국내_파싱오류"),
+    *("글로벌_상품명", "글로벌_가격_KRW", "글로벌_가격_USD", "글로벌_브랜드", "글로벌_카테고리", "글로벌_판매자", "글로벌_모델명", "글로벌_제조국", "글로벌_배송비", "글로벌_상품중량", "글로벌_리뷰수", "글로벌_주문수"),
+    *("글로벌_상세설명_텍스트", "글로벌_상세설명_이미지개수", "글로벌_상세설명_이미지URL목록", "글로벌_수집방식", "글로벌_수집성공", "글로벌_수집오류", "글로벌_파싱오류"),
+]
 CODE_KEYS = ("상품코드",)
 NUMBERED_IMAGES = 10
 
@@ -227,15 +236,15 @@ def shard(rows: DataFrame, code: str, count: int, index: int | None = None) -> D
     return out if index is None else out.where(F.col("shard_index") == index)
 
 
-def ordered_columns(rows: DataFrame, preferred: list[str]) -> DataFrame:
-    """Preferred columns that exist, then the others by name."""
-    first = [c for c in preferred if c in rows.columns]
-    return rows.select(*(F.col(f"`{c}`") for c in first + sorted(set(rows.columns) - set(first))))
+def sheet(rows: DataFrame, preferred: list[str] = (), row: str = "row") -> DataFrame:
+    """Map rows as a table: a column for every key that any row has, preferred ones first, the others by name; a row
+    without a key has an empty text there.
 
-
-def map_columns(rows: DataFrame, row: str = "row") -> DataFrame:
-    """The distinct keys of all maps."""
-    return rows.select(F.explode(F.map_keys(row)).alias("name")).distinct()
+    Keys are found in one pass that keeps those of each task once; a sheet has no more columns than can be shown.
+    """
+    found = {r["name"] for r in rows.select(F.explode(F.map_keys(row)).alias("name")).distinct().collect()}
+    names = [c for c in dict.fromkeys(preferred) if c in found]
+    return rows.select(*(value(F.col(row), c).alias(c) for c in names + sorted(found - set(names))))
 
 
 def latest_products(history: DataFrame) -> DataFrame:

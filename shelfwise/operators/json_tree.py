@@ -1,15 +1,21 @@
 """Search responses: objects at any depth of a JSON text, found level by level.
 
-``variant_explode`` opens one level at a time, down to the deepest; every level is written once and
-read by the next, so a response spreads over rows instead of a recursive function in one of them.
+A response is parsed once.  ``variant_explode`` opens one level of its values at a time, down to the deepest; every
+level is written once, as variants, and read by the next, so a response spreads over rows instead of a recursive
+function in one of them.  Keys of an object are in the order of their names.
 """
 
 from __future__ import annotations
 
+import html
+import json
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.tables import materialise
 
@@ -20,22 +26,34 @@ PRICE_KEYS = ("discountedPrice", "salesPrice", "salePrice", "price", "sellingPri
 IMAGE_KEYS = ("thumbnail_image_url", "thumbnailImageUrl", "thumbnailUrl", "imageUrl", "listImageUrl", "mainImageUrl", "image")
 SIGNAL_KEYS = (*PRICE_KEYS, *IMAGE_KEYS, "isSoldOut", "soldOut", "deliveryTypeNames", "deliveryTypes", "discountRate")
 CATEGORY_NAME_KEYS = ("name", "title", "label", "displayName", "categoryName", "groupName", "mainCategoryName", "subCategoryName")
+NESTED_NAME_KEYS = ("name", "title", "label", "text")
 CATEGORY_BAD_WORDS = ("전체", "홈", "Home", "Market", "마켓", "컬리", "Kurly", "더보기", "추천", "베스트", "이벤트", "기획전")
 
 
-def json_objects(responses: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """``id, level, place, object`` of all JSON objects at any depth; broken texts give none."""
-    tvf, found, depth = responses.sparkSession.tvf, [], 0
-    level = responses.select(id_col, F.lit("").alias("place"), F.to_json(F.try_parse_json(json_col)).alias("value")).where("value is not null")
+def _is(v: Column, kind: str) -> Column:
+    return F.try_variant_get(v, "$", kind).isNotNull()
+
+
+def json_values(responses: DataFrame, id_col: str, json_col: str) -> list[DataFrame]:
+    """A table ``id, place, key, v`` for each level of nesting: every value there, with its key if it stands in an
+    object; broken texts give none.  ``place`` sorts as the values stand."""
+    tvf, found = responses.sparkSession.tvf, []
+    level = responses.select(id_col, F.lit("").alias("place"), F.lit(None).cast("string").alias("key"), F.try_parse_json(json_col).alias("v")).where("v is not null")
     while True:
-        level = materialise(level.where(F.col("value").rlike("^[{\\[]")), "json-level")
+        level = materialise(level, "json-level")
         if found and level.isEmpty():
-            return reduce(DataFrame.unionByName, found)
-        found.append(level.where(F.col("value").startswith("{")).select(id_col, F.lit(depth).alias("level"), "place", F.col("value").alias("object")))
-        opened = level.select(id_col, "place", F.parse_json("value").alias("v"))
-        inner = opened.lateralJoin(tvf.variant_explode(F.col("v").outer()))
-        level = inner.select(id_col, F.concat("place", F.lit("/"), F.lpad(F.col("pos").cast("string"), 6, "0")).alias("place"), F.to_json("value").alias("value"))
-        depth += 1
+            return found
+        found.append(level)
+        inner = level.withColumnsRenamed({"key": "_key", "v": "_v"}).lateralJoin(tvf.variant_explode(F.col("_v").outer()))
+        place = F.concat("place", F.lit("/"), F.lpad(F.col("pos").cast("string"), 6, "0"))
+        level = inner.select(id_col, place.alias("place"), "key", F.col("value").alias("v"))
+
+
+def json_objects(responses: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """``id, level, place, object`` of all JSON objects at any depth."""
+    levels = enumerate(json_values(responses, id_col, json_col))
+    objects = (rows.where(_is(F.col("v"), "map<string,variant>")).select(id_col, F.lit(k).alias("level"), "place", F.to_json("v").alias("object")) for k, rows in levels)
+    return reduce(DataFrame.unionByName, objects)
 
 
 def text_of(j: Column) -> Column:
@@ -78,9 +96,36 @@ def product_rows(responses: DataFrame, id_col: str, json_col: str, item_url: str
     )
 
 
+def _plain_text(v: object) -> str:
+    """A value as text: lists joined by bars, an object by its name, else as JSON."""
+    if v is None:
+        return ""
+    if isinstance(v, str):
+        return " ".join(html.unescape(v).split())
+    if isinstance(v, list):
+        return " | ".join(filter(None, map(_plain_text, v)))
+    if isinstance(v, dict):
+        return _name_in(v) or json.dumps(v, ensure_ascii=False, separators=(",", ":"))
+    return json.dumps(v)
+
+
+def _name_in(v: dict) -> str:
+    return next(filter(None, (_plain_text(v[k]) for k in NESTED_NAME_KEYS if k in v)), "")
+
+
+@F.pandas_udf(T.StringType())
+def nested_name(values: pd.Series) -> pd.Series:
+    """Names under keys that hold names, from JSON: texts, and objects by the first of their own name keys that has
+    one, at any depth; lists, numbers and others are no names."""
+    found = (None if v is None else json.loads(v) for v in values)
+    return pd.Series([" ".join(v.split()) if isinstance(v, str) else _name_in(v) if isinstance(v, dict) else "" for v in found], dtype=object)
+
+
 def category_keywords(responses: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """Distinct usable category names: 2 to 20 characters, no brackets, no general words."""
-    objects = json_objects(responses, id_col, json_col)
-    names = objects.select(id_col, F.explode(F.array(*(text_of(F.get_json_object("object", f"$.{k}")) for k in CATEGORY_NAME_KEYS))).alias("keyword"))
-    names = names.withColumn("keyword", F.trim("keyword"))
-    return names.where(F.length("keyword").between(2, 20) & ~F.col("keyword").rlike("[\\[\\]{}()<>]") & ~F.col("keyword").isin(*CATEGORY_BAD_WORDS)).distinct()
+    """``id, position, keyword``: usable category names of each response, once each, numbered as they stand: 2 to 20
+    characters, no braces, square or angle brackets, no general words."""
+    named = [rows.where(F.col("key").isin(*CATEGORY_NAME_KEYS)).select(id_col, "place", F.to_json("v").alias("j")) for rows in json_values(responses, id_col, json_col)]
+    names = reduce(DataFrame.unionByName, named).select(id_col, "place", nested_name("j").alias("keyword"))
+    usable = names.where(F.length("keyword").between(2, 20) & ~F.col("keyword").rlike("[{}\\[\\]<>]") & ~F.col("keyword").isin(*CATEGORY_BAD_WORDS))
+    once = usable.groupBy(id_col, "keyword").agg(F.min("place").alias("place"))
+    return once.select(id_col, F.row_number().over(W.partitionBy(id_col).orderBy("place")).alias("position"), "keyword")

@@ -67,13 +67,47 @@ def deal_candidates(products: DataFrame, scope: list[str], limit: int = DEAL_LIM
     return interleave_by_provider(score_deals(products, scope), scope, deal_order(), limit)
 
 
+#: Fixed value: the group of rows without one.
+NO_GROUP = "기타"
+
+
+def quotas(sizes: DataFrame, total: int) -> tuple[int, DataFrame]:
+    """How many rows each group gives to ``total`` if they give one in turn: all groups up to a level, and one more
+    from the first of the larger ones by name.  ``sizes``: ``name, size``.
+
+    The level comes from how many groups have each size, of which there are few whatever the groups are.
+    """
+    histogram = sorted((r["size"], r["count"]) for r in sizes.groupBy("size").count().collect())  # distinct sizes: below the root of twice the rows
+    level, left, groups = 0, total, sum(n for _, n in histogram)
+    for size, n in histogram:
+        if (size - level) * groups > left:
+            break
+        left -= (size - level) * groups
+        level, groups = size, groups - n
+    if groups:
+        level, left = level + left // groups, left % groups
+    # at most as many names as there are groups, of which the first are kept before a shuffle
+    more = sizes.where(F.col("size") > level).orderBy("name").limit(left if groups else 0).select("name", F.lit(1).alias("_more"))
+    return level, sizes.join(more, "name", "left").select("name", F.least("size", level + F.coalesce("_more", F.lit(0))).alias("quota"))
+
+
+def places_in_groups(rows: DataFrame, group: str, order: list[Column], name: str) -> DataFrame:
+    """1..n inside every group, by a sort of the whole table: a group may lie in any number of tasks."""
+    numbered = materialise(sequence_numbers(rows, [F.col(group), *order], name), "numbered")
+    starts = numbered.groupBy(group).agg((F.min(name) - 1).alias("_start"))
+    return numbered.join(starts, group).withColumn(name, F.col(name) - F.col("_start")).drop("_start")
+
+
 def balanced_limit(rows: DataFrame, group: Column, order: list[Column], total: int) -> DataFrame:
-    """Up to ``total`` rows, one of each group in turn; all rows if ``total`` is not positive."""
+    """Up to ``total`` rows, one of each group in turn, groups by name and rows of a group by ``order``; all rows if
+    ``total`` is not positive, or no less than there are.  Blank groups are one."""
     if total <= 0:
         return rows
-    name = F.coalesce(F.nullif(F.trim(group), F.lit("")), F.lit("other"))
-    turn = rows.withColumn("_group", name).withColumn("_turn", F.row_number().over(W.partitionBy("_group").orderBy(*order)))
-    return turn.where(F.col("_turn") <= total).orderBy("_turn", "_group", *order).limit(total).drop("_group", "_turn")
+    named = rows.withColumn("_group", F.coalesce(F.nullif(group, F.lit("")), F.lit(NO_GROUP)))
+    sizes = materialise(named.groupBy(F.col("_group").alias("name")).agg(F.count("*").alias("size")), "group-sizes")
+    _, quota = quotas(sizes, total)
+    placed = places_in_groups(named, "_group", order, "_place")
+    return placed.join(quota.withColumnRenamed("name", "_group"), "_group").where(F.col("_place") <= F.col("quota")).drop("_group", "_place", "quota")
 
 
 def seeded_order(seed: int, *cols: str) -> list[Column]:
@@ -108,11 +142,38 @@ def latest_version(rows: DataFrame, keys: list[str], version: list[str]) -> Data
     return rows.groupBy(*keys).agg(best.alias("_r")).select(*keys, *(F.col(f"_r.{c}").alias(c) for c in rest))
 
 
-def capped_per_group(rows: DataFrame, group: str, order: list[Column], each: int, total: int | None = None) -> DataFrame:
-    """At most ``each`` rows of a group and ``total`` in all, groups by name."""
+def capped_per_group(rows: DataFrame, group: str, order: list[Column], each: int) -> DataFrame:
+    """At most ``each`` rows of a group."""
     w = W.partitionBy(group).orderBy(*order)
-    few = rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= each)
-    return (few.orderBy(group, "_n").limit(total) if total else few).drop("_n")
+    return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= each).drop("_n")
+
+
+def until_enough(rows: DataFrame, job: str, job_order: list[Column], order: list[Column], each: int, target: int) -> DataFrame:
+    """Rows of jobs in their order, at most ``each`` of a job, until there are twice as many as wanted: the job that
+    reaches that is taken whole, and those after it are not.  No target, no end."""
+    few = materialise(capped_per_group(rows, job, order, each), "capped")
+    if target <= 0:
+        return few
+    sizes = few.groupBy(job).agg(F.count("*").alias("_size"))
+    sums = running_sums(sizes, job_order, "_size", "_sum")
+    taken = sums.where(F.col("_sum") - F.col("_size") < 2 * target).select(job)
+    return few.join(taken, job, "left_semi")
+
+
+def running_sums(rows: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
+    """The sum of ``value`` up to every row of a total order: ranges are sorted and summed apart, and the sums of the
+    ranges before are added.
+
+    Places are written down with the rows before anything is summed, because a second run of the same
+    exchange may be cut into other partitions.
+    """
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    marked = materialise(ranged.withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id()), "ranged")
+    sums = marked.groupBy("_part").agg(F.sum(value).alias("_total"))
+    before = F.sum("_total").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))  # a row for each partition
+    starts = sums.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    own = F.sum(value).over(W.partitionBy("_part").orderBy("_id"))
+    return marked.withColumn("_own", own).join(F.broadcast(starts), "_part").withColumn(name, F.col("_own") + F.col("_before")).drop("_part", "_id", "_own", "_before")
 
 
 def sequence_numbers(rows: DataFrame, order: list[Column], name: str = "no") -> DataFrame:

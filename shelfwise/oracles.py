@@ -199,6 +199,22 @@ SELECT seller, product_count, median_price_krw, low_price_percent, discounted_pe
 SELECT {ladder(['v <= 0', 'v < 10000', 'v < 30000', 'v < 70000', 'v < 150000'], S.CLUSTER_TEXTS)} AS cluster_label, count(*) AS n_parts FROM m GROUP BY 1""",
     "balanced_limit": f"""WITH {PRODUCTS}, t AS (SELECT source_category, product_code, row_number() OVER (PARTITION BY source_category ORDER BY product_code) AS n FROM products)
 SELECT source_category, product_code FROM t ORDER BY n, source_category, product_code LIMIT 1000""",
+    "balanced_third": f"""WITH {PRODUCTS}, k AS (SELECT *, CASE WHEN l_partkey % 7 = 0 THEN '' WHEN l_partkey % 2 = 0 THEN 'large' ELSE seller END AS keyword FROM products),
+t AS (SELECT *, CASE WHEN keyword = '' THEN '기타' ELSE keyword END AS grp, row_number() OVER (PARTITION BY keyword ORDER BY price_krw, product_code) AS turn FROM k),
+n AS (SELECT *, row_number() OVER (ORDER BY turn, grp) AS place FROM t)
+SELECT keyword, count(*) AS row_count, max(price_krw) AS dearest FROM n WHERE place <= (SELECT count(*) // 3 FROM products) GROUP BY 1""",
+    "early_stop": f"""WITH {PRODUCTS}, c AS (SELECT l_partkey, product_code FROM products QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY price_krw, product_code) <= 3),
+j AS (SELECT l_partkey, count(*) AS size FROM c GROUP BY 1), s AS (SELECT l_partkey, sum(size) OVER (ORDER BY l_partkey DESC) - size AS before FROM j)
+SELECT l_partkey, product_code FROM c JOIN s USING (l_partkey) WHERE before < 2 * (SELECT count(*) // 7 FROM products)""",
+    "report_sheets": """WITH o AS (SELECT o_orderkey AS k, o_orderkey::VARCHAR AS code, o_orderpriority AS category FROM orders),
+d AS (SELECT code, CASE WHEN k % 5 = 0 THEN 'b' || code END AS brand, CASE WHEN k % 5 <> 0 THEN 'true' END AS good, CASE WHEN k % 5 <> 0 THEN code END AS added FROM o WHERE k % 3 = 0),
+m AS (SELECT o.code, category, brand, good, added FROM o LEFT JOIN d USING (code))
+SELECT sheet, place, name, filled, last FROM (
+  SELECT 'list' AS sheet, unnest([0::BIGINT, 1, 2]) AS place, unnest(['z', '상품코드', '수집카테고리']) AS name, unnest([count(*), count(*), count(category)]) AS filled, unnest(['a,"b"', max(code), max(category)]) AS last FROM o UNION ALL
+  SELECT 'detail', unnest([0::BIGINT, 1, 2, 3]), unnest(['국내_브랜드', '국내_수집성공', '상품코드', '추가']), unnest([count(brand), count(good), count(code), count(added)]), unnest([max(brand), max(good), max(code), max(added)]) FROM d UNION ALL
+  SELECT 'merged', unnest([0::BIGINT, 1, 2, 3, 4, 5]), unnest(['수집카테고리', '상품코드', '국내_브랜드', '국내_수집성공', 'z', '추가']), unnest([count(category), count(code), count(brand), count(good), count(*), count(added)]), unnest([max(category), max(code), max(brand), max(good), 'a,"b"', max(added)]) FROM m)""",
+    "category_names": """WITH n AS (SELECT p_partkey, unnest([1, 2, 3, 4]) AS place, unnest([p_brand || ' (제철)', p_name || '& co', '쌀 | n' || p_partkey, trim(p_type)]) AS keyword FROM part)
+SELECT p_partkey, row_number() OVER (PARTITION BY p_partkey ORDER BY place) AS position, keyword FROM n WHERE length(keyword) BETWEEN 2 AND 20""",
     "dedupe_keep_first": "SELECT concat_ws('-', l_orderkey, l_linenumber) AS code, l_partkey, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) = 1",
     "latest_version": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1",
     "shard_counts": f"""WITH {PRODUCTS}, h AS (

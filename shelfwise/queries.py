@@ -127,6 +127,42 @@ def balanced_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.balanced_limit(_products(spark, sf_dir), F.col("source_category"), [F.asc("product_code")], 1000).select("source_category", "product_code")
 
 
+@query
+def balanced_third(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the products, balanced over sellers of very different sizes, some of them blank, in a seeded order."""
+    p = _products(spark, sf_dir)
+    seller = F.when(F.col("l_partkey") % 7 == 0, "").when(F.col("l_partkey") % 2 == 0, "large").otherwise(F.col("seller"))
+    chosen = R.balanced_limit(p.withColumn("keyword", seller), F.col("keyword"), [F.col("price_krw"), F.col("product_code")], p.count() // 3)
+    return chosen.groupBy("keyword").agg(F.count("*").alias("row_count"), F.max("price_krw").alias("dearest"))
+
+
+@query
+def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as jobs, the last one first, at most three products of each, until there are twice the target."""
+    p = _products(spark, sf_dir)
+    taken = R.until_enough(p, "l_partkey", [F.desc("l_partkey")], [F.asc("price_krw"), F.asc("product_code")], 3, p.count() // 7)
+    return taken.select("l_partkey", "product_code")
+
+
+@query
+def report_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets of map rows, written and read back: where each column stands, how many rows fill it, its last value."""
+    o, path = src.read_table(spark, sf_dir, "orders"), work_path(spark, "sheets")
+    c, text = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    lists = o.select(text.alias("seq"), _mapped({"상품코드": text, "수집카테고리": F.col("o_orderpriority"), "z": F.lit("a,\"b\"")}).alias("row"))
+    some = F.when(c % 5 == 0, _mapped({"국내_브랜드": F.concat(F.lit("b"), text)})).otherwise(_mapped({"국내_수집성공": F.lit("true"), "추가": text}))
+    details = o.where(c % 3 == 0).select(text.alias("seq"), F.map_concat(_mapped({"상품코드": text}), some).alias("row"))
+    merged = I.merge_list_detail(lists, details, "seq")
+    sheets = {"merged": (merged, I.MERGED_COLUMNS), "list": (lists, []), "detail": (details, [])}
+    sinks.write_report(path, **{name: I.sheet(rows, preferred) for name, (rows, preferred) in sheets.items()})
+    out = []
+    for name in sheets:
+        read = spark.read.option("header", True).option("escape", '"').csv(f"{path}/{name}")
+        cells = F.explode(F.array(*(F.struct(F.lit(k).cast("long").alias("place"), F.lit(h).alias("name"), F.col(f"`{h}`").alias("value")) for k, h in enumerate(read.columns)))).alias("cell")
+        out.append(read.select(cells).select("cell.*").groupBy("place", "name").agg(F.count("value").alias("filled"), F.max("value").alias("last")).withColumn("sheet", F.lit(name)))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @query
 def dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = src.read_table(spark, sf_dir, "lineitem").withColumn("code", F.concat_ws("-", "l_orderkey", "l_linenumber"))
@@ -263,6 +299,25 @@ def search_json_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("l_orderkey").agg(F.count("*").alias("n_products"), F.min(F.col("product_code").cast("bigint")).alias("first_code"))
 
 
+@query
+def category_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category names in menus of any shape, one menu for each part: names with parentheses, in objects of objects, in
+    lists, repeated, too long or of no use."""
+    p = src.read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name")
+    text = lambda *cols: F.concat(*(c if isinstance(c, Column) else F.lit(c) for c in cols))
+    names = [
+        F.struct(F.struct(text(F.col("p_brand"), " (제철)").alias("title")).alias("name")),
+        F.struct(F.struct(F.struct(text(" ", F.col("p_name"), "&amp;  co ").alias("text")).alias("label")).alias("displayName")),
+        F.struct(F.struct(F.array(F.lit("쌀"), F.lit(""), text("n", F.col("p_partkey"))).alias("label")).alias("groupName")),
+        F.struct(F.array(F.lit("no name")).alias("title"), F.col("p_partkey").alias("label")),
+        F.struct(F.struct(F.struct(F.lit("x").alias("other")).alias("name")).alias("title")),
+        F.struct(F.lit("더보기").alias("name"), F.lit("a<b>").alias("label"), F.lit("과").alias("title"), F.lit("a much longer name than fits").alias("categoryName")),
+        F.struct(F.array(F.struct(text(F.col("p_brand"), " (제철)").alias("mainCategoryName"), text(" ", F.col("p_type"), "\n").alias("subCategoryName"))).alias("children")),
+    ]
+    menu = F.concat(F.lit('{"menu":['), F.concat_ws(",", *(F.to_json(n) for n in names)), F.lit("]}"))
+    return J.category_keywords(p.select("p_partkey", menu.alias("body")), "p_partkey", "body").withColumn("position", F.col("position").cast("long"))
+
+
 @query
 def event_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = src.read_table(spark, sf_dir, "events")

@@ -82,7 +82,7 @@ def write_report(path: str, **sheets: DataFrame) -> None:
     """Each sheet as a CSV folder of its name."""
     for name, rows in sheets.items():
         flat = [F.array_join(c, "|").alias(c) if t.startswith("array<string") else F.to_json(c).alias(c) if t.startswith(("map", "struct", "array")) else F.col(c) for c, t in rows.dtypes]
-        rows.select(*flat).write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+        rows.select(*flat).write.mode("overwrite").option("header", True).option("escape", "\"").csv(f"{path}/{name}")
 
 
 def write_events(rows: DataFrame, *, mode: str, path: str, allow_empty: bool = False, **options: str) -> None:

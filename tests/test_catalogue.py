@@ -182,6 +182,17 @@ def test_json_of_any_depth(spark):
     assert J.json_objects(df.where("false"), "id", "body").count() == 0
 
 
+def test_category_names_of_any_shape(spark):
+    deep = "채소"
+    for k in range(12):
+        deep = {"text" if k % 2 else "label": deep}
+    body = {"a": {"name": "과일(제철)"}, "b": [{"title": {"text": " 유기농   쌀 "}}, {"label": ["견과", "쌀"]}, {"displayName": {"productName": "생수"}}, {"groupName": {"name": None, "title": ["", "a &lt; b", 3]}}]}
+    body |= {"c": {"categoryName": deep}, "d": {"name": 12, "title": "과일(제철)", "label": "[x]"}, "e": {"name": {"name": "", "title": False}}}
+    df = spark.createDataFrame([(1, json.dumps(body)), (2, "{"), (3, json.dumps([{"name": "ab"}, {"name": "a"}]))], "id int, body string")
+    got = J.category_keywords(df, "id", "body").orderBy("id", "position").collect()
+    assert [(r.id, r.position, r.keyword) for r in got] == [(1, 1, "과일(제철)"), (1, 2, "유기농 쌀"), (1, 3, "채소"), (1, 4, "false"), (3, 1, "ab")]
+
+
 def test_second_gate_reads_the_beginning_alone(spark):
     head = "<html><head><title>t</title></head><body><p>" + "xy " * 400 + "</p>"
     pages = [(1, "u", head + "판매가 1,000원</body></html>"), (2, "u", head.replace("<p>", "<p>판매가 1,000원 ") + "</body></html>")]
@@ -194,7 +205,7 @@ def test_rankings_and_retries(spark):
     a, b = (sorted(r.id for r in R.seeded_sample(rows.repartition(n), 5, "id", 10).collect()) for n in (1, 7))
     assert a == b and len(set(a)) == 10 and a != sorted(r.id for r in R.seeded_sample(rows, 6, "id", 10).collect())
     assert [r.id for r in R.first_rows(rows, [F.desc("id")], 2).collect()] == [99, 98]
-    assert R.capped_per_group(rows, "g", [F.asc("id")], 4, 6).count() == 6
+    assert R.capped_per_group(rows, "g", [F.asc("id")], 4).count() == 4 * rows.select("g").distinct().count()
     tries = []
 
     def attempt(df, n):
@@ -205,6 +216,29 @@ def test_rankings_and_retries(spark):
     assert tries == [1, 2] and done.count() == 100 and done.where("not success").count() == 5
 
 
+@pytest.mark.parametrize("total", [1, 3, 7, 12, 20, 39, 40, 100])
+def test_balanced_limit_is_one_of_each_group_in_turn(spark, total):
+    data = [(["a", "b", "", None, "기타", "c"][min(k % 9, 5)], k) for k in range(40)]
+    groups = {}
+    for g, k in data:
+        groups.setdefault(g or "기타", []).append(k)
+    want, left = [], {g: sorted(v) for g, v in sorted(groups.items())}
+    while len(want) < total and any(left.values()):
+        for g in left:
+            if left[g] and len(want) < total:
+                want.append(left[g].pop(0))
+    got = R.balanced_limit(spark.createDataFrame(data, "g string, k long"), F.col("g"), [F.col("k")], total)
+    assert got.columns == ["g", "k"] and sorted(r.k for r in got.collect()) == sorted(want)
+
+
+def test_jobs_are_taken_whole_until_there_are_enough(spark):
+    rows = spark.createDataFrame([(j, k) for j, n in (("z", 4), ("m", 9), ("a", 4), ("b", 1)) for k in range(n)], "job string, k long")
+    order = [F.desc("job")]
+    for target, jobs in ((2, {"z"}), (3, {"z", "m"}), (5, {"z", "m", "b"}), (6, {"z", "m", "b", "a"}), (0, {"z", "m", "b", "a"})):
+        got = R.until_enough(rows, "job", order, [F.asc("k")], 5, target).collect()
+        assert {r.job for r in got} == jobs and sum(r.job == "m" for r in got) == (5 if "m" in jobs else 0)
+
+
 def test_dropped_products_are_counted(spark):
     seen = Observation("seen")
     rows = spark.createDataFrame([("식품", "", "사과"), ("기타", "", "무엇")], "source_category string, search_keyword string, product_name string")
