@@ -40,11 +40,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.train(language_id.training_sample(docs))
     if not model.languages:
         return docs
-    found = language_id.predict(docs, model, with_row=True).select("row", "lang_pred", "score")
-    found = materialise(found.withColumn("held_out", language_id.held_out(F.col("row.doc_id"))), "languages")
-    right = found.where(~F.col("held_out") & (F.col("lang_pred") == F.col("row.lang")))
-    floor = right.agg(F.percentile_approx("score", 1 - STAYS, EXACTNESS)).first()[0]
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= F.lit(MAJORITY if floor is None else floor))).select("row.*")
+    keyed = docs.select(row_key().alias("__key"), "doc_id", "lang", "text")
+    found = language_id.predict(keyed, model, with_row=True)
+    right = ~language_id.held_out(F.col("row.doc_id")) & (F.col("lang_pred") == F.col("row.lang"))
+    found = materialise(found.select("row.__key", "lang_pred", "score", right.alias("right")), "languages")
+    floor = found.where("right").agg(F.percentile_approx("score", 1 - STAYS, EXACTNESS)).first()[0]
+    rejected = found.where((F.col("lang_pred") == "und") | (F.col("score") < F.lit(MAJORITY if floor is None else floor)))
+    return docs.join(rejected.select("__key").distinct(), row_key() == F.col("__key"), "left_anti")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
