@@ -2,6 +2,9 @@
 
 Every aggregate is partial before its shuffle.  Percentiles come from a histogram by price, so a
 group that holds every row (scope ``all``) costs one task its distinct prices and not its rows.
+
+All of them take products or ``cells``, a pre-aggregate that can be grouped on in any way: a plan that asks for many
+groupings of the same products makes the cells once.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions.text import range_key, range_label
+from ..sources.tables import materialise
 
 LOW_PRICE = 10_000
 QUARTILES = {"p25_price_krw": 0.25, "median_price_krw": 0.5, "p75_price_krw": 0.75}
@@ -20,9 +24,33 @@ BANDS = (("<=10k", 0, 10000), ("10k-30k", 10001, 30000), ("30k-50k", 30001, 5000
 CATEGORY_LIMIT, KEYWORD_LIMIT, PAIR_LIMIT, PAIRS_A_CATEGORY = 40, 240, 800, 40
 
 
+MEASURES = ("cell_count", "review_count", "order_count", "discounted_count", "first_collected_at", "collected_at")
+
+
+def cells(products: DataFrame, dims: list[str]) -> DataFrame:
+    """Counts, sums and bounds by ``dims``, price, seller and brand."""
+    return as_cells(products).groupBy(*dims, "price_krw", "seller", "brand").agg(
+        *(F.sum(c).alias(c) for c in MEASURES[:4]), F.min("first_collected_at").alias("first_collected_at"), F.max("collected_at").alias("collected_at")
+    )
+
+
+def as_cells(rows: DataFrame) -> DataFrame:
+    """Products as cells of one product each; cells as they are."""
+    if "cell_count" in rows.columns:
+        return rows
+    return rows.withColumns(
+        {
+            "cell_count": F.lit(1).cast("long"),
+            "discounted_count": F.coalesce((F.col("original_price_krw") > F.col("price_krw")).cast("long"), F.lit(0)),
+            "first_collected_at": F.nullif(F.col("collected_at"), F.lit("")),
+        }
+    )
+
+
 def nearest_rank(df: DataFrame, keys: list[str], value: str, ranks: dict[str, float]) -> DataFrame:
     """``keys`` and the values at index ``round(p * (n - 1))`` of each group's sorted values."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    n = F.sum("cell_count") if "cell_count" in df.columns else F.count("*")
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("_n"))
     group = W.partitionBy(*keys)
     running = counts.withColumn("_cum", F.sum("_n").over(group.orderBy(value))).withColumn("_all", F.sum("_n").over(group))
     index = lambda p: F.floor(F.lit(p) * (F.col("_all") - 1) + 0.5)
@@ -32,13 +60,13 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, ranks: dict[str, fl
 def basic_stats() -> list[Column]:
     """Counts, sums and bounds that every benchmark has, beside distinct values."""
     return [
-        F.count("*").alias("product_count"),
+        F.sum("cell_count").alias("product_count"),
         F.sum("review_count").alias("review_sum"),
         F.sum("order_count").alias("order_sum"),
         F.min("price_krw").alias("min_price_krw"),
         F.max("price_krw").alias("max_price_krw"),
-        F.count_if(F.col("original_price_krw") > F.col("price_krw")).alias("discounted_count"),
-        F.count_if(F.col("price_krw") <= LOW_PRICE).alias("low_price_count"),
+        F.sum("discounted_count").alias("discounted_count"),
+        F.sum(F.when(F.col("price_krw") <= LOW_PRICE, F.col("cell_count")).otherwise(0)).alias("low_price_count"),
         F.max("collected_at").alias("latest_collected_at"),
     ]
 
@@ -58,6 +86,7 @@ def distinct_counts(rows: DataFrame, keys: list[str], columns: dict[str, str]) -
 def benchmarks(products: DataFrame, keys: list[str], distinct: dict[str, str] | None = None) -> DataFrame:
     """Statistics, quartiles, and the scores that all benchmarks share, by ``keys``."""
     columns = {"seller": "seller_count", "brand": "brand_count"} | (distinct or {})
+    products = as_cells(products)
     stats = products.groupBy(*keys).agg(*basic_stats())
     n = F.col("product_count")
     return (
@@ -81,6 +110,9 @@ def _top(df: DataFrame, within: list[str], order: list[Column], limit: int | Non
 def category_benchmarks(products: DataFrame, scope: list[str] | None = None, by: list[str] | None = None, limit: int | None = CATEGORY_LIMIT) -> DataFrame:
     """Benchmarks of each category, ranked by low-price, discounted and product counts."""
     scope, by = scope or [], by or ["source_category"]
+    if "cell_count" not in products.columns:
+        # three groupings follow: products are made once, without what none of them reads
+        products = materialise(as_cells(products).select(*dict.fromkeys([*scope, *by, "price_krw", "seller", "brand", *MEASURES])), "benchmark-rows")
     out = benchmarks(products, [*scope, *by])
     opportunity = S.category_opportunity(F.col("demand_score"), F.col("competition_score"), F.col("low_price_percent"), F.col("discounted_percent"))
     out = out.withColumn("opportunity_score", opportunity).withColumn(
@@ -90,11 +122,14 @@ def category_benchmarks(products: DataFrame, scope: list[str] | None = None, by:
     return _top(out, scope, order, limit)
 
 
+def _by_keyword(rows: DataFrame) -> DataFrame:
+    return rows if "keyword" in rows.columns else rows.withColumn("keyword", F.explode("keywords"))
+
+
 def keyword_benchmarks(products: DataFrame, scope: list[str] | None = None, limit: int | None = KEYWORD_LIMIT) -> DataFrame:
     """Benchmarks of each keyword of ``keywords``, ranked by reaction."""
     scope = scope or []
-    exploded = products.withColumn("keyword", F.explode("keywords"))
-    out = benchmarks(exploded, [*scope, "keyword"], {"source_category": "category_count"})
+    out = benchmarks(_by_keyword(products), [*scope, "keyword"], {"source_category": "category_count"})
     dem, comp, cats = F.col("demand_score"), F.col("competition_score"), F.col("category_count")
     out = (
         out.withColumn("saturation_score", S.keyword_saturation(dem, comp, cats))
@@ -108,8 +143,7 @@ def keyword_benchmarks(products: DataFrame, scope: list[str] | None = None, limi
 def category_keywords(products: DataFrame, scope: list[str] | None = None, each: int = PAIRS_A_CATEGORY, limit: int = PAIR_LIMIT) -> DataFrame:
     """Benchmarks of category and keyword pairs: the best of every category, up to ``limit`` in all."""
     scope = scope or []
-    exploded = products.withColumn("keyword", F.explode("keywords"))
-    out = benchmarks(exploded, [*scope, "source_category", "keyword"])
+    out = benchmarks(_by_keyword(products), [*scope, "source_category", "keyword"])
     dem, comp = F.col("demand_score"), F.col("competition_score")
     out = (
         out.withColumn("cluster_label", S.price_cluster(F.col("median_price_krw")))
@@ -125,15 +159,15 @@ def category_keywords(products: DataFrame, scope: list[str] | None = None, each:
 
 def scope_summary(products: DataFrame, scope: list[str]) -> DataFrame:
     """Counts, shares, price bounds and first and last collection time of each scope."""
-    n = F.col("product_count")
+    n, products = F.col("product_count"), as_cells(products)
     stats = products.groupBy(*scope).agg(
-        F.count("*").alias("product_count"),
+        F.sum("cell_count").alias("product_count"),
         F.count_distinct("source_category").alias("category_count"),
-        F.count_if(F.col("original_price_krw") > F.col("price_krw")).alias("discounted_count"),
-        F.count_if(F.col("price_krw") <= LOW_PRICE).alias("low_price_count"),
+        F.sum("discounted_count").alias("discounted_count"),
+        F.sum(F.when(F.col("price_krw") <= LOW_PRICE, F.col("cell_count")).otherwise(0)).alias("low_price_count"),
         F.min("price_krw").alias("min_price_krw"),
         F.max("price_krw").alias("max_price_krw"),
-        F.min(F.nullif(F.col("collected_at"), F.lit(""))).alias("first_collected_at"),
+        F.min("first_collected_at").alias("first_collected_at"),
         F.max("collected_at").alias("latest_collected_at"),
     )
     return (
@@ -149,7 +183,7 @@ def price_bands(products: DataFrame, scope: list[str], bands=BANDS) -> DataFrame
     for label, low, high in bands:
         inside = (F.col("price_krw") >= low) & (F.lit(True) if high is None else F.col("price_krw") <= high)
         band = F.when(inside, label) if band is None else band.when(inside, label)
-    counted = products.groupBy(*scope, band.alias("label")).agg(F.count("*").alias("c"), F.sum("review_count").alias("r"), F.sum("order_count").alias("o"))
+    counted = as_cells(products).groupBy(*scope, band.alias("label")).agg(F.sum("cell_count").alias("c"), F.sum("review_count").alias("r"), F.sum("order_count").alias("o"))
     # one row a scope: totals, and a map from band to its counts
     totals = counted.groupBy(*scope).agg(
         F.sum("c").alias("all_products"),

@@ -46,10 +46,11 @@ def top_products(products: DataFrame, scope: list[str], limit: int = EVIDENCE_LI
     return interleave_by_provider(products, scope, evidence_order(), limit)
 
 
-def score_deals(products: DataFrame, scope: list[str]) -> DataFrame:
-    """Discount, distance from the category median, score and reason of all eligible products."""
+def score_deals(products: DataFrame, scope: list[str], cells: DataFrame | None = None) -> DataFrame:
+    """Discount, distance from the category median, score and reason of all eligible products; medians come from
+    ``cells`` of the same products if there are any."""
     keys = [*scope, "source_category"]
-    medians = nearest_rank(products, keys, "price_krw", {"category_median_price_krw": 0.5})
+    medians = nearest_rank(products if cells is None else cells, keys, "price_krw", {"category_median_price_krw": 0.5})
     price, median = F.col("price_krw"), F.col("category_median_price_krw")
     discount, below = F.col("discount_percent"), F.col("below_category_median_percent")
     # one row a category: Spark broadcasts it if it is small and splits a frequent category if not
@@ -63,8 +64,8 @@ def score_deals(products: DataFrame, scope: list[str]) -> DataFrame:
     )
 
 
-def deal_candidates(products: DataFrame, scope: list[str], limit: int = DEAL_LIMIT) -> DataFrame:
-    return interleave_by_provider(score_deals(products, scope), scope, deal_order(), limit)
+def deal_candidates(products: DataFrame, scope: list[str], limit: int = DEAL_LIMIT, cells: DataFrame | None = None) -> DataFrame:
+    return interleave_by_provider(score_deals(products, scope, cells), scope, deal_order(), limit)
 
 
 #: Fixed value: the group of rows without one.

@@ -81,36 +81,64 @@ PRODUCT_COLUMNS = ("provider", "provider_label", "product_code", "product_label"
 DEAL_COLUMNS = ("discount_percent", "category_median_price_krw", "below_category_median_percent", "radar_score", "reason")
 
 
-def _sections(scoped: DataFrame, keys: list[str], evidence: int, deals: int) -> DataFrame:
-    """All parts of a payload that whole scopes and price slices have in common, one row per key."""
-    have = [c for c in PRODUCT_COLUMNS if c in scoped.columns]
-    categories = A.seller_insights(A.category_benchmarks(scoped, keys))
+def price_cube(products: DataFrame) -> DataFrame:
+    """Cells of products by category, and of products by category and keyword, from one pass: those of whole products
+    have no keyword.  Scopes, slices, benchmarks, bands and percentiles are all groupings of it."""
+    nothing = F.array(F.lit(None).cast("string"))
+    each = products.withColumn("keyword", F.explode(F.concat(nothing, F.coalesce("keywords", F.array().cast("array<string>")))))
+    return materialise(A.cells(each, ["source_category", "keyword"]), "price-cube")
+
+
+def _whole(cube: DataFrame) -> DataFrame:
+    return cube.where("keyword is null").drop("keyword")
+
+
+def _words(cube: DataFrame) -> DataFrame:
+    return cube.where("keyword is not null")
+
+
+def _sections(products: DataFrame, cube: DataFrame, keyed, keys: list[str]) -> DataFrame:
+    """All parts of a payload that whole scopes (slice 0) and price slices have in common, one row per key."""
+    have = [c for c in PRODUCT_COLUMNS if c in products.columns]
+    whole, words, rows = keyed(_whole(cube)), keyed(_words(cube)), keyed(products)
+    categories = A.seller_insights(A.category_benchmarks(whole, keys))
     level = ("competition_level", "recommended_action")
     sellers = categories.select(*keys, "rank", "source_category", "product_count", "median_price_krw", "low_price_percent", "discounted_percent", *level)
-    summary = A.scope_summary(scoped, keys)
+    summary = A.scope_summary(whole, keys)
+    # the first of a longer list are those of a shorter one
+    listed = lambda few, of_slice: F.col("position") <= F.when(F.col("slice") == 0, few).otherwise(of_slice)
+    evidence = R.top_products(rows, keys, max(R.EVIDENCE_LIMIT, R.SLICE_EVIDENCE_LIMIT)).where(listed(R.EVIDENCE_LIMIT, R.SLICE_EVIDENCE_LIMIT))
+    deals = R.deal_candidates(rows, keys, max(R.DEAL_LIMIT, R.SLICE_DEAL_LIMIT), whole).where(listed(R.DEAL_LIMIT, R.SLICE_DEAL_LIMIT))
     parts = [
         summary.select(*keys, F.struct(*(c for c in summary.columns if c not in keys)).alias("summary")),
-        _nested(A.price_bands(scoped, keys), keys, "price_bands", "band"),
+        _nested(A.price_bands(whole, keys), keys, "price_bands", "band"),
         _nested(categories.drop(*level), keys, "categories", "rank"),
-        _nested(A.keyword_benchmarks(scoped, keys), keys, "keywords", "rank"),
-        _nested(A.category_keywords(scoped, keys), keys, "category_keywords", "rank", ("category_rank",)),
-        _nested(R.top_products(scoped, keys, evidence).select(*keys, "position", *have), keys, "products", "position"),
-        _nested(R.deal_candidates(scoped, keys, deals).select(*keys, "position", *have, *DEAL_COLUMNS), keys, "deal_candidates", "position"),
+        _nested(A.keyword_benchmarks(words, keys), keys, "keywords", "rank"),
+        _nested(A.category_keywords(words, keys), keys, "category_keywords", "rank", ("category_rank",)),
+        _nested(evidence.select(*keys, "position", *have), keys, "products", "position"),
+        _nested(deals.select(*keys, "position", *have, *DEAL_COLUMNS), keys, "deal_candidates", "position"),
         _nested(sellers, keys, "seller_insights", "rank"),
     ]
     out = parts[0]
     for p in parts[1:]:
         out = out.join(p, keys, "left")  # a row per key on either side
-    return out
+    return materialise(out, "sections")
 
 
-def radar(products: DataFrame, generated_at: str) -> DataFrame:
-    """One nested payload per scope."""
-    scoped = in_scopes(products)
+def radar(products: DataFrame, generated_at: str, cube: DataFrame | None = None) -> DataFrame:
+    """One nested payload per scope.
+
+    Products are read three times: for the cube, which answers all that is counted, for evidence and for deals.  A
+    whole scope is its slice 0, so each kind of result is one job over scopes and slices together.
+    """
+    cube = price_cube(products) if cube is None else cube
+    scoped = in_scopes(_whole(cube))
     slices = A.price_slices(scoped, SCOPE)
-    sliced_keys = [*SCOPE, "slice", "range_key", "range_label", "range_low", "range_high"]
-    sliced = _sections(A.in_slices(scoped, slices, SCOPE), sliced_keys, R.SLICE_EVIDENCE_LIMIT, R.SLICE_DEAL_LIMIT)
-    whole = _sections(scoped, SCOPE, R.EVIDENCE_LIMIT, R.DEAL_LIMIT).join(_nested(sliced, SCOPE, "price_range_slices", "slice"), SCOPE, "left")
+    every = scoped.select(*SCOPE).distinct().select(*SCOPE, F.lit(0).alias("slice"), F.lit(-(1 << 63)).alias("range_low"), F.lit((1 << 63) - 1).alias("range_high"), F.lit("").alias("range_key"), F.lit("").alias("range_label"))
+    slices = materialise(slices.unionByName(every), "slices")
+    ranges = ["range_key", "range_label", "range_low", "range_high"]
+    found = _sections(products, cube, lambda rows: A.in_slices(in_scopes(rows), slices, SCOPE), [*SCOPE, "slice", *ranges])
+    whole = found.where("slice = 0").drop("slice", *ranges).join(_nested(found.where("slice > 0"), SCOPE, "price_range_slices", "slice"), SCOPE, "left")
     options = whole.where("scope_slug = 'all'").select(F.col("categories").alias("category_options"))
     # one row; a category scope shows its benchmark as it stands among all categories
     whole = whole.join(F.broadcast(options), F.lit(True))
@@ -153,20 +181,21 @@ def scope_facts(products: DataFrame) -> DataFrame:
     return in_scopes(products).groupBy(*SCOPE).agg(F.max("collected_at").alias("source_max_collected_at"), F.count("*").alias("source_product_count"))
 
 
-def snapshots(products: DataFrame, version: int, generated_at: str) -> DataFrame:
-    rows = radar(products, generated_at).withColumn("payload_json", F.to_json("payload")).drop("payload")
+def snapshots(products: DataFrame, version: int, generated_at: str, cube: DataFrame | None = None) -> DataFrame:
+    rows = radar(products, generated_at, cube).withColumn("payload_json", F.to_json("payload")).drop("payload")
     return _stamped(rows, scope_facts(products), version, generated_at).withColumn("snapshot_uuid", uuid_v7(F.timestamp_millis("version")))
 
 
-def keyword_mart(products: DataFrame, version: int, generated_at: str, normalise: bool = True) -> DataFrame:
+def keyword_mart(products: DataFrame, version: int, generated_at: str, normalise: bool = True, cube: DataFrame | None = None) -> DataFrame:
     """Every keyword of every scope with its benchmark, search text and evidence products."""
+    words = in_scopes(_words(price_cube(products) if cube is None else cube))
     scoped = in_scopes(products)
     keys = [*SCOPE, "keyword"]
     col = lambda c: F.coalesce(F.col(c), F.lit("")) if c in products.columns else F.lit("")
     text = F.concat_ws(" ", *(col(c) for c in ("product_name", "product_label", "brand", "seller", "source_category", "category_path", "search_keyword", "product_code")))
     exploded = scoped.withColumn("keyword", F.explode("keywords")).withColumn("text", text)
-    bench = A.keyword_benchmarks(scoped, SCOPE, limit=None).withColumn("keyword_key", K.keyword_key(F.col("keyword"), normalise)).where("keyword_key <> ''")
-    categories = exploded.groupBy(*keys).agg(F.array_sort(F.collect_set(F.nullif(F.trim("source_category"), F.lit("")))).alias("categories"))
+    bench = A.keyword_benchmarks(words, SCOPE, limit=None).withColumn("keyword_key", K.keyword_key(F.col("keyword"), normalise)).where("keyword_key <> ''")
+    categories = words.groupBy(*keys).agg(F.array_sort(F.collect_set(F.nullif(F.trim("source_category"), F.lit("")))).alias("categories"))
     have = [c for c in PRODUCT_COLUMNS if c in scoped.columns]
     evidence = _nested(R.top_products(exploded, keys).select(*keys, "position", *have), keys, "evidence", "position")
     search = A.keyword_search_text(exploded, keys)
@@ -199,8 +228,9 @@ def refresh(spark: SparkSession, rows: DataFrame, to: Targets, generated: dateti
     version = spark.range(1).select(F.unix_millis(F.to_timestamp(F.lit(generated_at)))).first()[0]
     seen = Observation("classified")
     products = prepare(rows, normalise, seen)
-    snaps = materialise(snapshots(products, version, generated_at), "snapshots")
-    mart = materialise(keyword_mart(products, version, generated_at, normalise), "mart")
+    cube = price_cube(products)
+    snaps = materialise(snapshots(products, version, generated_at, cube), "snapshots")
+    mart = materialise(keyword_mart(products, version, generated_at, normalise, cube), "mart")
     names = spark.createDataFrame([(c,) for c in categories], "category string")
     slugs = ["all", *(CATEGORY_SLUGS[c] for c in categories)]
     scopes = spark.createDataFrame([(s,) for s in slugs], "scope_slug string")
