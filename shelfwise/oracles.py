@@ -146,6 +146,12 @@ H1 = clean(visible("regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1>', 1)", Fal
 B_MISSING = "WHEN NOT (" + " OR ".join(f"contains(low, '{s}')" for s in B_SIGNS) + ") AND contains(url, '/goods/') THEN 'product_signal_missing'"
 GLOBAL_MISSING = "WHEN NOT (" + " OR ".join(f"contains(low, '{s}')" for s in GLOBAL_SIGNS) + ") THEN 'global_product_signal_missing'"
 
+#: Fields of a domestic page that stand in its tables under labels of their own.
+TABLE_FIELDS = (
+    *("state", "origin", "country", "maker", "importer", "model", "item_name", "certificate", "voltage", "released", "size", "weight", "colour", "material", "parts"),
+    *("shipping_fee", "returns", "warranty", "service", "business_no", "mail_order_no", "seller_phone", "seller_address", "seller_email"),
+)
+
 ORACLE_SQL: dict[str, str] = {
     "catalog_scan": f"""WITH {PRODUCTS},
 a AS (SELECT *, coalesce(CASE WHEN order_count % 3 = 0 THEN price_krw - 1 END, CASE WHEN order_count <> 5 THEN price_krw END, price_krw + 7) AS price,
@@ -215,6 +221,17 @@ SELECT sheet, place, name, filled, last FROM (
   SELECT 'merged', unnest([0::BIGINT, 1, 2, 3, 4, 5]), unnest(['수집카테고리', '상품코드', '국내_브랜드', '국내_수집성공', 'z', '추가']), unnest([count(category), count(code), count(brand), count(good), count(*), count(added)]), unnest([max(category), max(code), max(brand), max(good), 'a,"b"', max(added)]) FROM m)""",
     "category_names": """WITH n AS (SELECT p_partkey, unnest([1, 2, 3, 4]) AS place, unnest([p_brand || ' (제철)', p_name || '& co', '쌀 | n' || p_partkey, trim(p_type)]) AS keyword FROM part)
 SELECT p_partkey, row_number() OVER (PARTITION BY p_partkey ORDER BY place) AS position, keyword FROM n WHERE length(keyword) BETWEEN 2 AND 20""",
+    "domestic_details": f"""SELECT p_partkey AS page_id, true AS success, p_name AS product_name, 'Tools > ' || p_brand AS category_path, {', '.join(f"'{f}-' || p_partkey AS {f}" for f in TABLE_FIELDS)},
+  CASE WHEN p_partkey % 5 < 2 THEN 'B' ELSE 'brand-' END || p_partkey AS brand, CASE WHEN p_partkey % 5 < 2 THEN 'S' ELSE 'seller-' END || p_partkey AS seller,
+  CASE WHEN p_partkey % 5 < 2 THEN CAST(p_partkey * 10 + 1000 AS VARCHAR) ELSE '판매가 ' || format('{{:,}}', p_partkey * 10 + 1000) || '원' END AS price_raw,
+  CASE WHEN p_partkey % 5 < 2 THEN 7777 ELSE p_partkey * 10 + 1000 END AS price_krw, CASE WHEN p_partkey % 5 < 2 THEN CAST(12 AS BIGINT) END AS review_count, CASE WHEN p_partkey % 5 < 2 THEN CAST(1203 AS BIGINT) END AS order_count,
+  CAST(6000 AS BIGINT) AS description_text_chars, CAST(7000 AS BIGINT) AS body_text_chars FROM part""",
+    "page_images": """WITH k AS (SELECT p_partkey AS page_id, (p_partkey + 90000000)::VARCHAR AS k, p_partkey % 5 = 0 AS many FROM part),
+i AS (SELECT page_id, many, ['https://img.example/' || k || '.jpg', 'https://item.example/a/still/300/b', 'https://item.example/a/still/600/b'] AS first,
+  ['https://item.example/bg.gif', 'https://item.example/desc/2.gif', 'https://gdimg.example/' || k || '/still/80', 'https://gdimg.example/' || k || '/still/600', 'https://gi.esmplus.com/q'] AS last,
+  CASE WHEN many THEN list_transform(range(1, 61), lambda n: 'https://item.example/detail/' || n || '.png') ELSE [] END AS tags FROM k)
+SELECT page_id, array_to_string(list_concat(first, tags, last)[:40], ' ') AS images,
+  array_to_string(list_concat([first[1], first[3]], tags, last[2:])[:30], ' ') AS described FROM i""",
     "dedupe_keep_first": "SELECT concat_ws('-', l_orderkey, l_linenumber) AS code, l_partkey, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) = 1",
     "latest_version": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1",
     "shard_counts": f"""WITH {PRODUCTS}, h AS (

@@ -450,6 +450,37 @@ def korean_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "product_code", "success", "error", "product_name", "origin", "model", "price_krw", "review_count", "description_text")
 
 
+@query
+def domestic_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every labelled field of pages of provider A, and prices, brands, sellers and counts that stand in scripts alone;
+    texts are longer than is kept."""
+    p, key = _item_pages(spark, sf_dir), F.col("p_partkey").cast("string")
+    scripted = F.col("n") < 2
+    rows = [F.when(scripted & F.lit(f in ("brand", "seller")), "").otherwise(F.concat(F.lit(f"<tr><th>{names[0]}</th><td>{f}-"), key, F.lit("</td></tr>"))) for f, names in P.KOREAN_FIELDS.items()]
+    script = F.concat(F.lit('<script>{"brandName": "B'), key, F.lit('", "shopName":"S'), key, F.lit('", "sellPrice": "'), F.col("price"), F.lit('", "reviewCount": 12, "orderCount":"1,203"}</script>'))
+    links = F.concat(F.lit('<a href="/category/1">홈</a><a href="/Category/2">Tools</a><a href="/category/3">'), "p_brand", F.lit('</a><a href="/category/4">Tools</a><a href="/x">Other</a>'))
+    text = F.concat(F.lit("<h2>상품상세정보</h2><p>"), F.repeat(F.lit("가나다라마 "), 1500), F.lit("</p><h2>배송</h2>"))
+    shown = F.when(scripted, "<p>판매가 7,777원</p>").otherwise(F.concat(F.lit('<b class="box price-now">판매가 '), X.thousands(F.col("price")), F.lit("원</b>")))
+    html = F.concat(F.lit("<html><head><title>T</title>"), F.when(scripted, script).otherwise(""), F.lit("</head><body><h1>"), "p_name", F.lit("</h1>"), shown, links, F.lit("<table>"), F.concat(*rows), F.lit("</table>"), text, F.lit("</body></html>"))
+    found = P.detail_records(p.select("page_id", F.concat(F.lit("https://item.gmarket.co.kr/Item?goodscode="), key).alias("url"), html.alias("html")), "korean")
+    sizes = [F.length(c).cast("long").alias(f"{c}_chars") for c in ("description_text", "body_text")]
+    return found.select("page_id", "success", "product_name", "category_path", "price_raw", "price_krw", "review_count", "order_count", *P.KOREAN_FIELDS, *sizes)
+
+
+@query
+def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images of every place they stand in, thumbnails with their larger forms, noise left out, scores, and limits."""
+    p, key = _item_pages(spark, sf_dir), (F.col("p_partkey") + 90_000_000).cast("string")
+    many = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.concat(F.lit('<img src="/detail/'), k.cast("string"), F.lit('.png">'))), "")
+    html = F.concat(
+        F.lit('<head><meta property="og:image" content="//img.example/'), key, F.lit('.jpg"></head><body><img alt="x" data-src="/a/still/300/b" src="/a/logo.png"><p style="x:url( \'/bg.gif\' ); y:url(/desc/2.gif)"></p>'),
+        F.lit('<script>"\\/\\/gdimg.example\\/'), key, F.lit('\\/still\\/80" "https:\\/\\/gi.esmplus.com\\/q"</script>'), F.when(F.col("n") == 0, many).otherwise(""), F.lit("</body>"),
+    )
+    url = F.concat(F.lit("https://item.example/p?goodscode="), key)
+    found = p.select("page_id", P.image_candidates(html, url, key).alias("i"))
+    return found.select("page_id", F.array_join("i.all", " ").alias("images"), F.array_join("i.description", " ").alias("described"))
+
+
 @query
 def global_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of provider A abroad: labels with values on the next lines, prices and options."""
