@@ -260,6 +260,8 @@ def refresh(spark: SparkSession, rows: DataFrame, to: Targets, generated: dateti
     except Exception:
         for path in (to.snapshots, to.mart):
             files.delete(spark, f"{path}/version={version}/attempt={attempt}")
+            if not files.names(spark, f"{path}/version={version}"):
+                files.delete(spark, f"{path}/version={version}")
         raise
     G.require_marker(sinks.read_markers(spark, to.markers), marker)
     return marker | {"dropped_rows": seen.get["dropped"]}
