@@ -400,12 +400,12 @@ def test_repeated_line_runs_are_all_found(spark):
 
 def test_many_equal_rows_cost_no_more_than_others(spark):
     """Equal rows are one occurrence; their marks do not grow with their number."""
-    text = "\n".join(f"line {k} of the text" for k in range(12))
+    text = "\n".join(f"line {k} of the text, which is long enough" for k in range(12))
     rows = spark.range(20_000).selectExpr("7L as doc_id", "if(id % 2 = 0, 'a\nb', NULL) as other").withColumn("text", F.lit(text))
-    rows = rows.unionByName(spark.createDataFrame([(9, None, text), (1, None, "line 3 of the text\nline 4 of the text")], "doc_id long, other string, text string"))
+    rows = rows.unionByName(spark.createDataFrame([(9, None, text), (1, None, "line 3 of the text, which is long enough\nline 4 of the text, which is long enough")], "doc_id long, other string, text string"))
     got = line_dedup.deduplicate(rows).groupBy("doc_id", "text", "n_removed_lines").count().collect()
     short = without(text, {3, 4})
-    assert {tuple(r) for r in got} == {(7, short, 2, 20_000), (9, "", 12, 1), (1, "line 3 of the text\nline 4 of the text", 0, 1)}
+    assert {tuple(r) for r in got} == {(7, short, 2, 20_000), (9, "", 12, 1), (1, "line 3 of the text, which is long enough\nline 4 of the text, which is long enough", 0, 1)}
 
 
 def test_line_chunks_find_themselves_again():
