@@ -459,7 +459,7 @@ def domestic_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [F.when(scripted & F.lit(f in ("brand", "seller")), "").otherwise(F.concat(F.lit(f"<tr><th>{names[0]}</th><td>{f}-"), key, F.lit("</td></tr>"))) for f, names in P.KOREAN_FIELDS.items()]
     script = F.concat(F.lit('<script>{"brandName": "B'), key, F.lit('", "shopName":"S'), key, F.lit('", "sellPrice": "'), F.col("price"), F.lit('", "reviewCount": 12, "orderCount":"1,203"}</script>'))
     links = F.concat(F.lit('<a href="/category/1">홈</a><a href="/Category/2">Tools</a><a href="/category/3">'), "p_brand", F.lit('</a><a href="/category/4">Tools</a><a href="/x">Other</a>'))
-    text = F.concat(F.lit("<h2>상품상세정보</h2><p>"), F.repeat(F.lit("가나다라마 "), 1500), F.lit("</p><h2>배송</h2>"))
+    text = F.concat(F.lit("<h2>상품상세정보</h2><p>"), F.repeat(F.lit("가나다라마 "), 1200), F.lit("</p><h2>배송</h2>"))
     shown = F.when(scripted, "<p>판매가 7,777원</p>").otherwise(F.concat(F.lit('<b class="box price-now">판매가 '), X.thousands(F.col("price")), F.lit("원</b>")))
     html = F.concat(F.lit("<html><head><title>T</title>"), F.when(scripted, script).otherwise(""), F.lit("</head><body><h1>"), "p_name", F.lit("</h1>"), shown, links, F.lit("<table>"), F.concat(*rows), F.lit("</table>"), text, F.lit("</body></html>"))
     found = P.detail_records(p.select("page_id", F.concat(F.lit("https://item.gmarket.co.kr/Item?goodscode="), key).alias("url"), html.alias("html")), "korean")
