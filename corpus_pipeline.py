@@ -46,7 +46,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = materialise(found.select("row.__key", "lang_pred", "score", right.alias("right")), "languages")
     floor = found.where("right").agg(F.percentile_approx("score", 1 - STAYS, EXACTNESS)).first()[0]
     rejected = found.where((F.col("lang_pred") == "und") | (F.col("score") < F.lit(MAJORITY if floor is None else floor)))
-    return docs.join(rejected.select("__key").distinct(), row_key() == F.col("__key"), "left_anti")
+    rejected = materialise(rejected.select("__key").distinct(), "rejected")  # of known size, so documents need no shuffle where it is small
+    return docs.join(rejected, row_key() == F.col("__key"), "left_anti")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
