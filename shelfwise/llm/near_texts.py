@@ -6,10 +6,14 @@ bits differ, where partitions of the bits are too narrow to leave few candidates
 prefix filter, which loses no pair.  Shingles have one order everywhere, frequent ones last.  Two sets of
 Jaccard t or more share a shingle among the first n - ceil(t * n) + 1 of each, so texts that share
 none are never compared.  Which shingles count as frequent is counted over all texts, batch by batch: the
-order only decides how many candidates there are, never which pairs are found.  Candidates are
-verified on the bytes of their shingles.  Texts with equal sets are one node from the start.  In a
-bucket of few nodes all pairs are candidates; in one of many (near copies gather there) nodes are
-first compared with one leader a round, and then only pairs that are not connected yet.
+order only decides how many candidates there are, never which pairs are found.  Texts with equal sets are
+one node from the start, and a bucket is the nodes that have one shingle in their prefixes.
+
+Buckets are emptied in rounds.  In each, the nodes of a bucket meet one leader, and buckets whose nodes are
+all connected are done: near copies, which gather in buckets, cost a pair a node.  Nodes that are
+still apart then meet inside their bucket and size class.  In both, a pair is a candidate only if its sizes,
+what follows the shingle in both sets and the sets' parity maps allow the similarity: two maps differ in
+no more bits than the sets in shingles, so this loses none.  Candidates are verified on the bytes of their shingles.
 
 Defined results: words stand between ASCII white space, A-Z count as lower case; a text of fewer
 words than a shingle is one shingle; texts without a word (null, empty, white space) are one group; a very
@@ -19,11 +23,12 @@ rows that are equal in doc_id and text one; other columns pass through; an empty
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
+from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,10 +41,8 @@ from .simhash import near_links as fingerprint_links
 SHINGLE, SIMILAR = 5, (4, 5)
 #: Texts of a batch that make a shingle frequent, and shingles that are put last (the most frequent ones).
 FREQUENT, PUT_LAST = 4, 100_000
-#: Nodes of candidates are broadcast up to so many bytes, so that other texts are not shuffled.
-BROADCAST_BYTES, NODE_BYTES = 32_000_000, 40
-#: Nodes of a bucket up to which all pairs are candidates, and rounds of leaders in larger ones.
-PAIRED_BUCKET, ROUNDS = 32, 3
+#: Rounds of leaders, 64-bit words of a parity map, and pairs that bring one copy of a node's text with them.
+ROUNDS, MAP_WORDS, PAIRS_A_COPY = 3, 4, 256
 
 PREFIXES = T.StructType(
     [
@@ -49,6 +52,7 @@ PREFIXES = T.StructType(
         T.StructField("key", T.BinaryType()),
         T.StructField("n", T.LongType()),
         T.StructField("fp", T.LongType()),
+        T.StructField("map", T.ArrayType(T.LongType())),
         T.StructField("prefix", T.ArrayType(T.LongType())),
     ]
 )
@@ -89,27 +93,29 @@ def frequent(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, last: np.ndarray, *, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """For every row the 128-bit key, size and fingerprint of its set of shingles and the set's prefix, in which
-    ``last`` come last; ``node`` is half of the key."""
+    """For every row the 128-bit key, size, fingerprint and parity map of its set of shingles and the set's prefix,
+    in which ``last`` come last; ``node`` is half of the key."""
 
     def make():
         from xxhash import xxh3_128_digest
 
         def work(batch: pa.RecordBatch) -> dict[str, object]:
-            keys, sizes, firsts, fps = [], [], [], [np.zeros(0, dtype=np.int64)]
+            keys, sizes, maps, firsts, fps = [], [], [], [], [np.zeros(0, dtype=np.int64)]
             for text in batch.column(2):
                 own = _hashes(text.as_py(), shingle)
                 n = len(own)
                 keys.append(xxh3_128_digest(own.tobytes()))
                 sizes.append(n)
                 fps.append(fold(own, [n]))
+                odd = np.bincount((own % np.uint64(64 * MAP_WORDS)).astype(np.int64), minlength=64 * MAP_WORDS) % 2
+                maps.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                 most = n + (-similar[0] * n) // similar[1] + 1 if n else 0  # n - ceil(t * n) + 1
                 late = last[np.searchsorted(last[:-1], own)] == own if len(last) else np.zeros(n, dtype=bool)
                 firsts.append(np.concatenate([own[~late], own[late]])[:most].view(np.int64))
             lengths = np.cumsum([0, *map(len, firsts)])
             prefix = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(firsts) if firsts else [], pa.int64()))
             node = np.frombuffer(b"".join(keys), dtype="<i8")[::2]
-            return {"doc_id": batch.column(0), "row_key": batch.column(1), "node": node, "key": keys, "n": sizes, "fp": np.concatenate(fps), "prefix": prefix}
+            return {"doc_id": batch.column(0), "row_key": batch.column(1), "node": node, "key": keys, "n": sizes, "fp": np.concatenate(fps), "map": maps, "prefix": prefix}
 
         return work
 
@@ -117,7 +123,11 @@ def prefixes(docs: DataFrame, last: np.ndarray, *, shingle: int = SHINGLE, simil
 
 
 def verified(pairs: DataFrame, texts: DataFrame, *, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """Those of ``pairs (a, b)`` that are similar; ``texts (node, text)`` has a row for each node."""
+    """Those of ``pairs (a, b)`` that are similar; ``texts (node, text)`` has a row for each node.
+
+    The text of ``b`` goes to its pair, and that of ``a`` once to each group of its pairs, so a node with very
+    many pairs is no burden for one task.
+    """
 
     def make():
         of = lru_cache(16)(lambda text: frozenset(shingles(text, shingle)))
@@ -132,8 +142,12 @@ def verified(pairs: DataFrame, texts: DataFrame, *, shingle: int = SHINGLE, simi
 
         return work
 
+    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_A_COPY).alias("groups"))
+    pairs = pairs.join(groups, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).alias("group"))
     x, y = (texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    return arrow_rows(pairs.join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b"), make, LINKS)
+    heads = pairs.select("a", "group").distinct().join(x, "a")
+    both = pairs.join(y, "b").join(heads, ["a", "group"])
+    return arrow_rows(both.select("a", "b", "text_a", "text_b"), make, LINKS)
 
 
 def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
@@ -145,61 +159,57 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
     near_heads = fingerprint_links(heads, MAX_BITS)
     ends = (heads.select(F.col("fp").alias(c), F.col("head").alias(f"node_{c}")) for c in "ab")
     near_heads = near_heads.join(next(ends), "a").join(next(ends), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    same = marks.join(heads, "fp").where(F.col("node") != F.col("head")).select(F.col("node").alias("a"), F.col("head").alias("b"))
+    same = marks.join(heads, "fp").where(F.col("node") != F.col("head")).select(F.col("head").alias("a"), F.col("node").alias("b"))
     sketched = materialise(near_heads.unionByName(same).distinct(), "sketched")
-    tokens = rows.select(F.posexplode("prefix").alias("pos", "token"), "node", "n")
-    shared = tokens.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    shared = shared.where("least < most").select("token")
-    members = materialise(tokens.join(shared, "token").distinct(), "members")
-    sizes = members.groupBy("token").agg(F.count("*").alias("size"))
-    members = materialise(members.join(sizes, "token"), "members")
-    first = rows.groupBy("node").agg(F.min("row_key").alias("row_key"))
+    some = (F.any_value(c).alias(c) for c in ("n", "map", "prefix"))
+    nodes = materialise(rows.groupBy("node").agg(F.min("row_key").alias("row_key"), *some), "nodes")
+    size_class = F.floor(F.log("n") / max(-log(t), 0.001))  # sizes of similar sets are of one class or two adjoining ones
+    facts = nodes.select("node", "n", size_class.alias("class"), "map")
+    tokens = nodes.select(F.posexplode("prefix").alias("pos", "token"), "node")
+    shared = materialise(tokens.groupBy("token").agg(F.count("*").alias("size")).where("size > 1").select("token"), "shared")
+    members = tokens.join(shared, "token").join(facts, "node")
 
     def checked(pairs: DataFrame) -> DataFrame:
         """Similar ones of candidate pairs."""
-        left = materialise(pairs.distinct(), "pairs")
-        wanted = left.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(first, "node")
-        wanted = materialise(wanted, "wanted")
-        texts = _texts(docs).select("row_key", "text")
-        if wanted.count() * NODE_BYTES <= BROADCAST_BYTES:
-            texts = texts.join(F.broadcast(wanted.select("row_key")), "row_key", "left_semi")
-        texts = texts.join(wanted, "row_key").dropDuplicates(["node"]).select("node", "text")
-        return verified(left, materialise(texts, "candidates"), **how)
-
-    def near(x: DataFrame, y: DataFrame) -> DataFrame:
-        """Pairs of one bucket whose sizes allow the similarity, and what follows the shingle in both sets.
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "row_key"), "node")
+        texts = _texts(docs).select("row_key", "text").join(materialise(wanted, "wanted"), "row_key")
+        return verified(pairs, texts.dropDuplicates(["node"]).select("node", "text"), **how)
+
+    def alike(x: str, y: str) -> Column:
+        """What the facts of two nodes of one bucket allow.
 
         The first shingle that two similar sets share is followed by the rest of what they share.
         """
-        x = x.select("token", *(F.col(c).alias(f"x_{c}") for c in x.columns if c != "token"))
-        y = y.select("token", *(F.col(c).alias(f"y_{c}") for c in y.columns if c != "token"))
-        fits = F.least("x_n", "y_n") >= t * F.greatest("x_n", "y_n") - 1e-6
-        follows = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos")) >= t / (1 + t) * (F.col("x_n") + F.col("y_n")) - 1e-6
-        return x.join(y, "token").where(fits & follows)
-
-    few = members.where(F.col("size") <= PAIRED_BUCKET).select("token", "node", "n", "pos")
-    pairs = near(few, few).where("x_node < y_node").select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
-    links = materialise(checked(sketched.unionByName(pairs)), "similar")
-    many = members.where(F.col("size") > PAIRED_BUCKET).select("token", "node", "n", "pos")
-    if many.isEmpty():
-        return links
-    for k in range(ROUNDS + 1):
-        component = connected_components(links)
-        joined = many.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        apart = joined.groupBy("token").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(k))).alias("leader")
-        ).where("low < high")
-        open_ = materialise(joined.join(apart.select("token", "leader"), "token"), "open")
-        if open_.isEmpty():
-            return links
-        if k < ROUNDS:  # one leader a bucket
-            stars = open_.where(F.col("component") != F.col("leader.component"))
-            pairs = stars.select(F.col("node").alias("a"), F.col("leader.node").alias("b"))
-        else:  # what is still apart
-            each = open_.select("token", "node", "n", "pos", "component")
-            pairs = near(each, each).where("x_component < y_component").select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
-        links = materialise(links.unionByName(checked(pairs)), "similar")
-    return links
+        (x_n, y_n), (x_pos, y_pos), (x_map, y_map) = ((F.col(f"{x}.{c}"), F.col(f"{y}.{c}")) for c in ("n", "pos", "map"))
+        fits = F.least(x_n, y_n) >= t * F.greatest(x_n, y_n) - 1e-6
+        follows = F.least(x_n - x_pos, y_n - y_pos) >= t / (1 + t) * (x_n + y_n) - 1e-6
+        differ = reduce(Column.__add__, (F.bit_count(x_map[i].bitwiseXOR(y_map[i])) for i in range(MAP_WORDS)))
+        return fits & follows & (differ <= (1 - t) / (1 + t) * (x_n + y_n) + 1e-6)
+
+    def apart(k: int) -> DataFrame:
+        """Members of the buckets whose nodes are not all connected yet, with their component and a leader."""
+        joined = members.join(connected_components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        leader = F.min_by(F.struct("node", "n", "pos", "map", "component"), F.xxhash64("node", F.lit(k))).alias("leader")
+        ends = joined.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), leader)
+        return materialise(joined.join(ends.where("low < high").select("token", "leader"), "token"), "apart")
+
+    links = materialise(checked(sketched), "similar")
+    for k in range(ROUNDS):
+        met = apart(k)
+        members = met.drop("component", "leader")
+        stars = met.withColumn("own", F.struct("node", "n", "pos", "map", "component")).where(F.col("own.component") != F.col("leader.component"))
+        stars = stars.where(alike("own", "leader")).select(F.col("leader.node").alias("a"), F.col("own.node").alias("b"))
+        stars = materialise(stars.distinct(), "pairs")
+        if stars.isEmpty():
+            break
+        links = materialise(links.unionByName(checked(stars)), "similar")
+    met = apart(ROUNDS).select("token", "class", F.struct("node", "n", "pos", "map", "component").alias("x"))
+    y = met.withColumnRenamed("x", "y")
+    x = met.select("token", F.explode(F.array("class", F.col("class") + 1)).alias("class"), F.col("class").alias("own"), "x")
+    once = (F.col("own") < F.col("class")) | (F.col("x.node") < F.col("y.node"))
+    pairs = x.join(y, ["token", "class"]).where((F.col("x.component") != F.col("y.component")) & once & alike("x", "y"))
+    pairs = materialise(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
+    return materialise(links.unionByName(checked(pairs)), "similar")
 
 
 def keep_one_each(docs: DataFrame, *, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
