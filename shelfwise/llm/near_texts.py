@@ -11,7 +11,8 @@ one node from the start, and a bucket is the nodes that have one shingle in thei
 
 Buckets are emptied in rounds.  In each, the nodes of a bucket meet one leader, and buckets whose nodes are
 all connected are done: near copies, which gather in buckets, cost a pair a node.  Nodes that are
-still apart then meet inside their bucket and size class.  In both, a pair is a candidate only if its sizes,
+still apart then meet inside their bucket and size class; a few candidates of each are verified first, and of
+the others those that are not connected by then.  In both, a pair is a candidate only if its sizes,
 what follows the shingle in both sets and the sets' parity maps allow the similarity: two maps differ in
 no more bits than the sets in shingles, so this loses none.  Candidates are verified on the bytes of their shingles.
 
@@ -28,7 +29,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,8 +42,9 @@ from .simhash import near_links as fingerprint_links
 SHINGLE, SIMILAR = 5, (4, 5)
 #: Texts of a batch that make a shingle frequent, and shingles that are put last (the most frequent ones).
 FREQUENT, PUT_LAST = 4, 100_000
-#: Rounds of leaders, 64-bit words of a parity map, and pairs that bring one copy of a node's text with them.
-ROUNDS, MAP_WORDS, PAIRS_A_COPY = 3, 4, 256
+#: Rounds of leaders, candidates of a node that are verified before its others, 64-bit words of a parity map, and
+#: pairs that bring one copy of a node's text with them.
+ROUNDS, FIRST_PAIRS, MAP_WORDS, PAIRS_A_COPY = 1, 8, 4, 256
 
 PREFIXES = T.StructType(
     [
@@ -193,6 +195,12 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
         ends = joined.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), leader)
         return materialise(joined.join(ends.where("low < high").select("token", "leader"), "token"), "apart")
 
+    def still_apart(pairs: DataFrame) -> DataFrame:
+        of = connected_components(links)
+        ends = (of.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
+        joined = pairs.join(next(ends), "a", "left").join(next(ends), "b", "left")
+        return joined.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
     links = materialise(checked(sketched), "similar")
     for k in range(ROUNDS):
         met = apart(k)
@@ -209,7 +217,11 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
     once = (F.col("own") < F.col("class")) | (F.col("x.node") < F.col("y.node"))
     pairs = x.join(y, ["token", "class"]).where((F.col("x.component") != F.col("y.component")) & once & alike("x", "y"))
     pairs = materialise(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
-    return materialise(links.unionByName(checked(pairs)), "similar")
+    order = Window.partitionBy("a").orderBy(F.xxhash64("b"), "b")
+    firsts = materialise(pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= FIRST_PAIRS).select("a", "b"), "firsts")
+    links = materialise(links.unionByName(checked(firsts)), "similar")
+    others = materialise(still_apart(pairs.join(firsts, ["a", "b"], "left_anti")), "others")
+    return links if others.isEmpty() else materialise(links.unionByName(checked(others)), "similar")
 
 
 def keep_one_each(docs: DataFrame, *, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR) -> DataFrame:
