@@ -45,6 +45,8 @@ FREQUENT, PUT_LAST = 4, 100_000
 #: Rounds of leaders, candidates of a node that are verified before its others, 64-bit words of a parity map, and
 #: pairs that bring one copy of a node's text with them.
 ROUNDS, FIRST_PAIRS, MAP_WORDS, PAIRS_A_COPY = 1, 8, 4, 256
+#: Nodes of candidates are broadcast up to so many bytes, so that other texts are not shuffled.
+BROADCAST_BYTES, NODE_BYTES = 32_000_000, 40
 
 PREFIXES = T.StructType(
     [
@@ -174,7 +176,10 @@ def near_links(docs: DataFrame, rows: DataFrame, *, shingle: int = SHINGLE, simi
     def checked(pairs: DataFrame) -> DataFrame:
         """Similar ones of candidate pairs."""
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "row_key"), "node")
-        texts = _texts(docs).select("row_key", "text").join(materialise(wanted, "wanted"), "row_key")
+        wanted = materialise(wanted, "wanted")
+        if wanted.count() * NODE_BYTES <= BROADCAST_BYTES:
+            wanted = F.broadcast(wanted)
+        texts = _texts(docs).select("row_key", "text").join(wanted, "row_key")
         return verified(pairs, texts.dropDuplicates(["node"]).select("node", "text"), **how)
 
     def alike(x: str, y: str) -> Column:
