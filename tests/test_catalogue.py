@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from shelfwise import queries
 from shelfwise.functions import keywords as K
 from shelfwise.functions import scores as S
 from shelfwise.functions import text as X
@@ -20,7 +21,7 @@ from shelfwise.operators import pages as P
 from shelfwise.operators import ranking as R
 from shelfwise.plans import refresh as RF
 from shelfwise.sources import sinks
-from shelfwise.sources.tables import work_path
+from shelfwise.sources.tables import spread, work_path
 from shelfwise.streaming import events as ST
 from shelfwise.streaming import token_index as TI
 
@@ -306,3 +307,29 @@ def test_stream_replays_a_failed_batch(spark, tmp_path):
         ST.publish(stream, fail_once, f"{tmp_path}/c").awaitTermination()
     ST.publish(stream, fail_once, f"{tmp_path}/c").awaitTermination()
     assert calls.count(1) == 2 and sorted(r.id for r in TI.read_appended(spark, f"{tmp_path}/out").collect()) == list(range(10))
+
+
+def test_work_on_rows_of_a_narrow_table_is_spread(spark, tmp_path):
+    spark.range(0, 1000, 1, 1).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand").write.parquet(f"{tmp_path}/part.parquet")
+    assert spark.read.parquet(f"{tmp_path}/part.parquet").rdd.getNumPartitions() == 1
+    pages = queries._item_pages(spark, str(tmp_path))
+    assert pages.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and pages.count() == 1000
+    assert spread(spark.range(100), "id", 10).rdd.getNumPartitions() == 10
+
+
+def test_parsing_of_a_page_stands_once_in_the_plan(spark):
+    pages = spark.createDataFrame([(1, "https://item.gmarket.co.kr/Item?goodscode=1", "<h1>x</h1>")], "page_id long, url string, html string")
+    plan = P.detail_records(pages, "korean")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("*price[") == 1 and plan.count("<h1") == 1 and "json" not in plan
+
+
+def test_a_section_may_be_longer_than_a_description(spark):
+    ls = F.array(F.lit("that"), F.repeat(F.lit("x"), 20_000))
+    assert len(one(spark, P.section_text(ls, ("that",), ("with",), most=12_000))) == 12_000
+    assert len(one(spark, P.section_text(ls, ("that",), ("with",)))) == P.TEXT_CHARS
+
+
+def test_clean_text_takes_all_white_space(spark):
+    for text in (" a  b ", "a b", "　 a\t\tb\x85", "a \n\r b\x0b", "\x0b x　y ", "", " \n "):
+        old = one(spark, F.regexp_replace(F.regexp_replace(F.lit(text), "[\\t\\n\\f\\r ]+", " "), "^[\\s\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\u0085]+|[\\s\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\u0085]+$", ""))
+        assert one(spark, X.clean_text(F.lit(text))) == old
