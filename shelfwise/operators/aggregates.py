@@ -21,6 +21,7 @@ LOW_PRICE = 10_000
 QUARTILES = {"p25_price_krw": 0.25, "median_price_krw": 0.5, "p75_price_krw": 0.75}
 #: Label, least and most price of the bands (no most: open).
 BANDS = (("<=10k", 0, 10000), ("10k-30k", 10001, 30000), ("30k-50k", 30001, 50000), ("50k-100k", 50001, 100000), ("100k+", 100001, None))
+CODE_BEGINS = 3
 CATEGORY_LIMIT, KEYWORD_LIMIT, PAIR_LIMIT, PAIRS_A_CATEGORY = 40, 240, 800, 40
 
 
@@ -254,6 +255,11 @@ def run_summary(rows: DataFrame, facts: dict[str, Column]) -> DataFrame:
 
 def keyword_search_text(exploded: DataFrame, keys: list[str], most: int = 160, chars: int = 12_000) -> DataFrame:
     """Texts of a key's first products in order, in lower case, spaces squeezed, cut to ``chars``."""
+    from .ranking import may_be_first
+
+    # the order by provider and the beginning of the code, of which there are few, is the order by provider and code
+    begins = F.struct(F.col("provider").alias("p"), F.substring("product_code", 1, CODE_BEGINS).alias("c"))
+    exploded = may_be_first(exploded, keys, begins, most, descending=False)
     w = W.partitionBy(*keys).orderBy("provider", "product_code")
     first = exploded.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= most)
     parts = F.array_sort(F.collect_list(F.struct("_rank", "text")))  # at most ``most`` of them
