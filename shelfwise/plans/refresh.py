@@ -58,9 +58,14 @@ def classify(rows: DataFrame, normalise: bool = True, dropped: Observation | Non
     return rows.where("source_category <> ''")
 
 
-def prepare(rows: DataFrame, normalise: bool = True, dropped: Observation | None = None) -> DataFrame:
-    """Classified and decorated products with keywords, written once: many grouped jobs read them."""
-    return materialise(K.add_keywords(decorate(classify(rows, normalise, dropped)), normalise), "products")
+def prepare(rows: DataFrame, normalise: bool = True, dropped: Observation | None = None, repeated: bool = False) -> DataFrame:
+    """Classified and decorated products with keywords, written once: many grouped jobs read them.
+
+    ``repeated``: many products share names; they are classified once before that, as names are read twice.
+    """
+    known = classify(rows, normalise, dropped)
+    known = materialise(known, "classified") if repeated else known
+    return materialise(decorate(K.add_keywords(known, normalise, repeated=repeated)), "products")
 
 
 def in_scopes(products: DataFrame) -> DataFrame:
@@ -214,7 +219,7 @@ class Targets:
     markers: str
 
 
-def refresh(spark: SparkSession, rows: DataFrame, to: Targets, generated: datetime, refresh_uuid: str, normalise: bool = True, categories: tuple[str, ...] = CATEGORIES) -> dict:
+def refresh(spark: SparkSession, rows: DataFrame, to: Targets, generated: datetime, refresh_uuid: str, normalise: bool = True, categories: tuple[str, ...] = CATEGORIES, repeated: bool = False) -> dict:
     """Build, check, write, verify, and publish with a marker that is written last.
 
     ``rows`` come from ``sources.catalog.scan_latest``.  Nothing is written unless the build holds, and
@@ -227,7 +232,7 @@ def refresh(spark: SparkSession, rows: DataFrame, to: Targets, generated: dateti
     generated_at = generated.strftime("%Y-%m-%d %H:%M:%S.") + f"{generated.microsecond // 1000:03d}"
     version = spark.range(1).select(F.unix_millis(F.to_timestamp(F.lit(generated_at)))).first()[0]
     seen = Observation("classified")
-    products = prepare(rows, normalise, seen)
+    products = prepare(rows, normalise, seen, repeated)
     cube = price_cube(products)
     snaps = materialise(snapshots(products, version, generated_at, cube), "snapshots")
     mart = materialise(keyword_mart(products, version, generated_at, normalise, cube), "mart")
