@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import let, or_null
 from ..sources.tables import materialise
 
 # Keys of product objects, in order of preference.
@@ -34,9 +35,10 @@ def _is(v: Column, kind: str) -> Column:
     return F.try_variant_get(v, "$", kind).isNotNull()
 
 
-def json_values(responses: DataFrame, id_col: str, json_col: str) -> list[DataFrame]:
+def json_values(responses: DataFrame, id_col: str, json_col: str, scalars: bool = True) -> list[DataFrame]:
     """A table ``id, place, key, v`` for each level of nesting: every value there, with its key if it stands in an
-    object; broken texts give none.  ``place`` sorts as the values stand."""
+    object; broken texts give none.  ``place`` sorts as the values stand.  Without ``scalars`` objects and lists alone,
+    in which all others stand, are written."""
     tvf, found = responses.sparkSession.tvf, []
     level = responses.select(id_col, F.lit("").alias("place"), F.lit(None).cast("string").alias("key"), F.try_parse_json(json_col).alias("v")).where("v is not null")
     while True:
@@ -47,25 +49,29 @@ def json_values(responses: DataFrame, id_col: str, json_col: str) -> list[DataFr
         inner = level.withColumnsRenamed({"key": "_key", "v": "_v"}).lateralJoin(tvf.variant_explode(F.col("_v").outer()))
         place = F.concat("place", F.lit("/"), F.lpad(F.col("pos").cast("string"), 6, "0"))
         level = inner.select(id_col, place.alias("place"), "key", F.col("value").alias("v"))
+        if not scalars:
+            level = level.where(_is(F.col("v"), "map<string,variant>") | _is(F.col("v"), "array<variant>"))
 
 
-def json_objects(responses: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """``id, level, place, object`` of all JSON objects at any depth."""
-    levels = enumerate(json_values(responses, id_col, json_col))
-    objects = (rows.where(_is(F.col("v"), "map<string,variant>")).select(id_col, F.lit(k).alias("level"), "place", F.to_json("v").alias("object")) for k, rows in levels)
+def json_objects(responses: DataFrame, id_col: str, json_col: str, having: tuple[tuple[str, ...], ...] = ()) -> DataFrame:
+    """``id, level, place, object`` of all JSON objects at any depth that have one key at least of each of ``having``."""
+    levels = enumerate(json_values(responses, id_col, json_col, scalars=False))
+    keys = F.map_keys(F.try_variant_get("v", "$", "map<string,variant>"))
+    fit = let(keys, lambda k: reduce(Column.__and__, (F.arrays_overlap(k, F.array(*map(F.lit, some))) for some in having), k.isNotNull()))
+    objects = (rows.where(fit).select(id_col, F.lit(k).alias("level"), "place", F.to_json("v").alias("object")) for k, rows in levels)
     return reduce(DataFrame.unionByName, objects)
 
 
 def text_of(j: Column) -> Column:
     """A JSON value as text: lists joined by bars, objects by their name or as JSON."""
-    inner = F.from_json(j, "array<string>")
-    name = F.coalesce(*(F.get_json_object(j, f"$.{k}") for k in NAME_KEYS))
-    return F.coalesce(F.when(j.startswith("["), F.array_join(inner, " | ")).when(j.startswith("{"), F.coalesce(name, j)).otherwise(j), F.lit(""))
+    inner = lambda x: F.array_join(F.from_json(x, "array<string>"), " | ")
+    name = lambda x: F.coalesce(*(F.get_json_object(x, f"$.{k}") for k in NAME_KEYS), x)
+    return F.coalesce(let(j, lambda x: F.when(x.startswith("["), inner(x)).when(x.startswith("{"), name(x)).otherwise(x)), F.lit(""))
 
 
 def first_key(obj: Column, keys: tuple[str, ...]) -> Column:
     """The first key with a value that is not null or empty."""
-    return F.coalesce(*(F.nullif(text_of(F.get_json_object(obj, f"$.{k}")), F.lit("")) for k in keys), F.lit(""))
+    return F.coalesce(*(or_null(text_of(F.get_json_object(obj, f"$.{k}"))) for k in keys), F.lit(""))
 
 
 def digits_of(c: Column) -> Column:
@@ -75,9 +81,9 @@ def digits_of(c: Column) -> Column:
 def product_rows(responses: DataFrame, id_col: str, json_col: str, item_url: str = "/goods/") -> DataFrame:
     """One row for each product object (numeric id, a name, a signal key): the first of each id."""
     o = F.col("object")
-    objects = json_objects(responses, id_col, json_col).withColumn("product_code", first_key(o, NUMBER_KEYS)).withColumn("product_name", first_key(o, NAME_KEYS))
-    signs = F.arrays_overlap(F.json_object_keys(o), F.array(*(F.lit(k) for k in SIGNAL_KEYS)))
-    objects = objects.where(F.col("product_code").rlike("^[0-9]+$") & (F.col("product_name") != "") & signs)
+    # keys are looked at first: texts are made of objects alone that have all kinds
+    objects = json_objects(responses, id_col, json_col, (NUMBER_KEYS, NAME_KEYS, SIGNAL_KEYS)).withColumn("product_code", first_key(o, NUMBER_KEYS)).withColumn("product_name", first_key(o, NAME_KEYS))
+    objects = objects.where(F.col("product_code").rlike("^[0-9]+$") & (F.col("product_name") != ""))
     one = objects.groupBy(id_col, "product_code").agg(F.min_by(F.struct("product_name", "object"), "place").alias("r"))
     o = F.col("r.object")
     reduced, full = digits_of(first_key(o, ("discountedPrice", "salePrice", "sellingPrice"))), digits_of(first_key(o, ("salesPrice", "originalPrice", "price")))
