@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .taxonomy_tables import ALIASES, CATEGORIES, NAME_WORDS, RULES
-from .text import clean_text, contains_any, nfkc_lower, slug, unescape_entities
+from .text import any_of, clean_text, let, nfkc_lower, or_null, slug, unescape_entities
 
 
 def _slug(text: str) -> str:
@@ -27,24 +27,31 @@ def standard_category(c: Column) -> Column:
         for a in aliases:
             known.setdefault(a, cat)
     table = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
-    by_words = None
-    for cat, words in NAME_WORDS:
-        hit = contains_any(F.lower(name), tuple(words))
-        by_words = F.when(hit, cat) if by_words is None else by_words.when(hit, cat)
-    return F.when(name == "", F.lit("")).otherwise(F.coalesce(F.try_element_at(table, slug(name)), by_words, F.lit("")))
+
+    def by_words(lower: Column) -> Column:
+        out = None
+        for cat, words in NAME_WORDS:
+            hit = any_of([lower.contains(w) for w in words])
+            out = F.when(hit, cat) if out is None else out.when(hit, cat)
+        return out
+
+    found = lambda n: F.coalesce(F.try_element_at(table, slug(n)), let(F.lower(n), by_words), F.lit(""))
+    return let(name, lambda n: F.when(n == "", F.lit("")).otherwise(found(n)))
 
 
 def normalise_category(raw: Column, path: Column, keyword: Column, name: Column, normalise: bool = True) -> Column:
     """The first rule that fits the product decides, else the standard category of name or keyword."""
     around = nfkc_lower(F.concat_ws(" ", clean_text(unescape_entities(raw)), F.coalesce(path, F.lit("")), F.coalesce(keyword, F.lit(""))), normalise)
     product = nfkc_lower(F.coalesce(name, F.lit("")), normalise)
-    out = None
-    for cat, context_words, product_words in RULES:
-        hit = F.lit(False)
-        if context_words:
-            hit = hit | contains_any(around, tuple(context_words))
-        if product_words:
-            hit = hit | contains_any(product, tuple(product_words))
-        out = F.when(hit, cat) if out is None else out.when(hit, cat)
-    fallback = F.coalesce(F.nullif(standard_category(raw), F.lit("")), standard_category(keyword))
-    return out.otherwise(fallback)
+    fallback = F.coalesce(or_null(standard_category(raw)), standard_category(keyword))
+
+    def ruled(around: Column, product: Column) -> Column:
+        out = None
+        for cat, context_words, product_words in RULES:
+            hit = any_of([around.contains(w) for w in context_words] + [product.contains(w) for w in product_words] or [F.lit(False)])
+            out = F.when(hit, cat) if out is None else out.when(hit, cat)
+        return out
+
+    if normalise:  # Python runs over whole columns, and not inside expressions
+        return F.coalesce(ruled(around, product), fallback)
+    return F.coalesce(let(F.struct(around.alias("around"), product.alias("product")), lambda x: ruled(x["around"], x["product"])), fallback)

@@ -5,7 +5,7 @@ from pathlib import Path
 from datetime import datetime
 
 import pytest
-from pyspark.sql import Observation
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from shelfwise import queries
@@ -333,3 +333,37 @@ def test_clean_text_takes_all_white_space(spark):
     for text in (" a  b ", "a b", "　 a\t\tb\x85", "a \n\r b\x0b", "\x0b x　y ", "", " \n "):
         old = one(spark, F.regexp_replace(F.regexp_replace(F.lit(text), "[\\t\\n\\f\\r ]+", " "), "^[\\s\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\u0085]+|[\\s\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\u0085]+$", ""))
         assert one(spark, X.clean_text(F.lit(text))) == old
+
+
+def test_rows_beyond_the_limit_are_not_sorted(spark):
+    rows = spark.range(1000).selectExpr("IF(id % 10 = 0, NULL, id % 3) AS g", "IF(id % 7 = 0, NULL, id % 100) AS v", "id")
+    kept = R.may_be_first(rows, ["g"], F.col("v"), 5)
+    w = Window.partitionBy("g").orderBy(F.desc("v"), "id")
+    first = lambda df: df.withColumn("n", F.row_number().over(w)).where("n <= 5").select("g", "v", "id", "n")
+    assert kept.columns == rows.columns and kept.count() < 60 and first(kept).exceptAll(first(rows)).isEmpty() and first(rows).exceptAll(first(kept)).isEmpty()
+    assert R.may_be_first(rows, ["g"], F.col("v"), 5000).count() == 1000
+    assert R.may_be_first(rows, [], F.col("v"), 5, descending=False).agg(F.max("v")).first()[0] == 0
+
+
+def test_a_price_on_a_card_is_read_once(spark):
+    pages = spark.createDataFrame([(1, "https://h.example/", "<a href='/?goodscode=1'>Good</a>")], "page_id long, url string, html string")
+    plan = P.list_rows(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(original|o-price|coupon)") == 1 and plan.count("(?is)^<a\\b[^>]*>,") <= 3  # two filters and the row
+
+
+def test_values_that_hold_nothing_are_not_written(spark):
+    df = spark.createDataFrame([(1, '{"a":[1,{"b":"x"}],"c":2}')], "id int, body string")
+    assert [t.count() for t in J.json_values(df, "id", "body", scalars=False)] == [1, 1, 1]
+    assert J.json_objects(df, "id", "body", (("b",),)).select("object").first()[0] == '{"b":"x"}'
+
+
+def test_a_key_that_a_row_lacks_is_not_cleaned(spark):
+    row = F.create_map(F.lit("b"), F.lit("  x  y "), F.lit("c"), F.lit(" "))
+    assert one(spark, I._typed(row, "text", ("a", "c", "b"))) == "x y" and one(spark, I._typed(row, "uint0", ("a",))) == 0
+    assert one(spark, I._typed(row, "list", ("a", "b", "c"))) == ["x y"]
+
+
+def test_keywords_of_repeated_names_are_the_same(spark):
+    rows = ten_products(spark).unionByName(ten_products(spark).withColumn("product_code", F.concat("product_code", F.lit("-2"))))
+    a, b = (RF.prepare(rows, normalise=False, repeated=r).select("product_code", "source_category", "keywords", "product_url") for r in (False, True))
+    assert a.count() == 20 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
