@@ -380,3 +380,16 @@ def test_numbers_are_read_without_casts_that_fail(spark):
     # a cast of an empty text fails inside: without it, texts without a number cost no more than those with one
     plan = df.select(X.first_number(F.col("t")).alias("n"), X.price_usd(F.col("t")).alias("d"))._jdf.queryExecution().optimizedPlan().toString()
     assert "try_cast(replace(" not in plan.lower() and "regexp_replace" not in plan.lower()
+
+
+def test_tokens_and_slugs_of_every_character(spark):
+    """Each code point between letters, and classes by ranges instead of negated ones."""
+    points = [i for i in range(0x11000) if not 0xD800 <= i < 0xE000] + [0x1F600, 0x10FFFF]
+    texts = [(i, f"a{chr(i)}b") for i in points] + [(-1, ""), (-2, None), (-3, " -- !"), (-4, "--A_b 가 -")]
+    df = spark.createDataFrame(texts, "i int, t string")
+    old_tokens = F.array_remove(F.split("t", "[^0-9a-zA-Z가-힣]+"), "")
+    old_slug = F.trim(F.regexp_replace(F.lower(F.trim("t")), "[^a-z0-9가-힣_-]+", "-"), F.lit("-"))
+    new = df.select("t", X.tokens(F.col("t")).alias("w"), X.slug(F.col("t")).alias("s"))
+    assert new.where(~F.col("w").eqNullSafe(old_tokens) | ~F.col("s").eqNullSafe(old_slug)).count() == 0
+    plan = new._jdf.queryExecution().optimizedPlan().toString()
+    assert "[^" not in plan
