@@ -393,3 +393,11 @@ def test_tokens_and_slugs_of_every_character(spark):
     assert new.where(~F.col("w").eqNullSafe(old_tokens) | ~F.col("s").eqNullSafe(old_slug)).count() == 0
     plan = new._jdf.queryExecution().optimizedPlan().toString()
     assert "[^" not in plan
+
+
+def test_a_text_without_a_price_is_not_cast(spark):
+    texts = [(None, None), ("", None), (",", None), ("sold out", None), ("₩ \n\t 1,200", 1200), ("krw\f\r7", None), ("1,200  \n원", 1200), ("판매가\t,", None), ("(\n￦  500 )", 500), ("99 원 and 3,000 to 12,000", 12000), ("₩" + "9" * 30, None)]
+    rows = spark.createDataFrame([(i, t, w) for i, (t, w) in enumerate(texts)], "i int, t string, w long").select("*", X.price_krw(F.col("t")).alias("p")).orderBy("i")
+    assert [r.p for r in rows.collect()] == [w for _, w in texts]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "try_cast(replace(" not in plan and "regexp_replace" not in plan
