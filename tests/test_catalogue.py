@@ -401,3 +401,11 @@ def test_a_text_without_a_price_is_not_cast(spark):
     assert [r.p for r in rows.collect()] == [w for _, w in texts]
     plan = rows._jdf.queryExecution().optimizedPlan().toString().lower()
     assert "try_cast(replace(" not in plan and "regexp_replace" not in plan
+
+
+def test_aliases_after_the_first_with_text_are_not_cleaned(spark):
+    rows = spark.createDataFrame([(None, " ", " a\tb ", "c"), ("", None, None, None), (None, " x", "y", "z")], "a string, b string, c string, d string")
+    found = rows.select(X.first_non_empty(*(F.col(c) for c in "abcd")).alias("x"))
+    assert [r.x for r in found.collect()] == ["a b", "", "x"]
+    seen = X.first_non_empty(F.lit(" first "), F.raise_error(F.lit("a later alias was read")).cast("string"))
+    assert one(spark, seen) == "first"
