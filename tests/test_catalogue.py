@@ -409,3 +409,12 @@ def test_aliases_after_the_first_with_text_are_not_cleaned(spark):
     assert [r.x for r in found.collect()] == ["a b", "", "x"]
     seen = X.first_non_empty(F.lit(" first "), F.raise_error(F.lit("a later alias was read")).cast("string"))
     assert one(spark, seen) == "first"
+
+
+def test_products_are_not_dealt_out_by_category(spark, tmp_path):
+    """Medians are known to be few, so their join leaves the products where they are."""
+    ten_products(spark).write.parquet(f"{tmp_path}/p")
+    scored = R.score_deals(spark.read.parquet(f"{tmp_path}/p"), [])
+    assert scored.count() == 10
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
