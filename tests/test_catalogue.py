@@ -418,3 +418,8 @@ def test_products_are_not_dealt_out_by_category(spark, tmp_path):
     assert scored.count() == 10
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_newest_rows_of_the_history_are_made_of_what_is_asked_for(spark):
+    made = queries.raw_history(spark, "/root/testdata/sf0.001")
+    assert "collected_at" not in made._jdf.queryExecution().executedPlan().toString()
