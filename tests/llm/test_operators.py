@@ -204,6 +204,21 @@ def test_decontamination_against_brute_force(spark, texts, block, pairs, monkeyp
     assert decontamination.contamination(docs_of(spark, []), bench).count() == 0
 
 
+def test_segments_are_stored_and_probed_one_at_a_time(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    docs = docs_of(spark, [(i, f"a b {i}") for i in range(300)]).coalesce(1)
+    index, before = decontamination.store_index(docs, segment_words=9), spark.conf.get(decontamination.BATCH_ROWS)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    assert [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)] == [1] * 100
+    rows_at_once = []
+    probe = decontamination._probe
+    monkeypatch.setattr(decontamination, "_probe", lambda *a: rows_at_once.append(spark.conf.get(decontamination.BATCH_ROWS)) or probe(*a))
+    bench = spark.createDataFrame([(1, "a b 7")], "item_id long, text string")
+    assert [r.doc_id for r in decontamination.contamination(docs, bench).where("contaminated").collect()] == [7]
+    assert rows_at_once == ["1"] and spark.conf.get(decontamination.BATCH_ROWS) == before
+
+
 def test_decontamination_of_items_without_id(spark):
     docs = docs_of(spark, [(1, "a b c d"), (2, "c d"), (3, "e")])
     bench = spark.createDataFrame([(None, "a b"), (7, "a b"), (8, "b c"), (None, "c d")], "item_id long, text string")
