@@ -62,10 +62,26 @@ def below_percent(price: Column, reference: Column) -> Column:
     return F.when(known, round2((_d(reference - price) * 100) / F.nullif(_d(reference), F.lit(0.0)))).otherwise(0.0)
 
 
+def rough_below(price: Column, reference: Column) -> Column:
+    """``below_percent`` without rounding, which costs most of it."""
+    return F.when((reference > price) & (reference > 0), (_d(reference - price) * 100) / F.nullif(_d(reference), F.lit(0.0))).otherwise(0.0)
+
+
+def _deal_bonus(price: Column) -> Column:
+    return F.when(price <= 10000, 20.0).when(price <= 30000, 10.0).otherwise(0.0)
+
+
+def _deal_part(c: Column, w: float, most: float) -> Column:
+    return F.least(F.lit(most), F.greatest(F.lit(0.0), c * w))
+
+
+def rough_deal_score(below: Column, discount: Column, price: Column) -> Column:
+    """``deal_score`` without rounding: it needs no bounds, because its parts add up to 100 at most."""
+    return _deal_part(below, 0.45, 45.0) + _deal_part(discount, 0.35, 35.0) + _deal_bonus(price)
+
+
 def deal_score(below: Column, discount: Column, price: Column) -> Column:
-    bonus = F.when(price <= 10000, 20.0).when(price <= 30000, 10.0).otherwise(0.0)
-    part = lambda c, w, most: F.least(F.lit(most), F.greatest(F.lit(0.0), c * w))
-    return clamp(part(below, 0.45, 45.0) + part(discount, 0.35, 35.0) + bonus)
+    return clamp(rough_deal_score(below, discount, price))
 
 
 def discount_rate(price: Column, original: Column) -> Column:

@@ -9,6 +9,8 @@ groupings of the same products makes the cells once.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,7 +23,8 @@ LOW_PRICE = 10_000
 QUARTILES = {"p25_price_krw": 0.25, "median_price_krw": 0.5, "p75_price_krw": 0.75}
 #: Label, least and most price of the bands (no most: open).
 BANDS = (("<=10k", 0, 10000), ("10k-30k", 10001, 30000), ("30k-50k", 30001, 50000), ("50k-100k", 50001, 100000), ("100k+", 100001, None))
-CODE_BEGINS = 3
+#: Characters at the beginning of a code that tell which rows are certainly beyond a list, few values first.
+CODE_BEGINS, SEARCH_ROWS = (1, 3), 160
 CATEGORY_LIMIT, KEYWORD_LIMIT, PAIR_LIMIT, PAIRS_A_CATEGORY = 40, 240, 800, 40
 
 
@@ -48,6 +51,46 @@ def as_cells(rows: DataFrame) -> DataFrame:
     )
 
 
+@dataclass
+class Known:
+    """What was counted before for the same keys: distinct values and ranks."""
+
+    distinct: DataFrame
+    ranks: DataFrame
+
+
+def band_label(bands=BANDS) -> Column:
+    """The label of the band of a price; null outside of all."""
+    band = None
+    for label, low, high in bands:
+        inside = (F.col("price_krw") >= low) & (F.lit(True) if high is None else F.col("price_krw") <= high)
+        band = F.when(inside, label) if band is None else band.when(inside, label)
+    return band
+
+
+def summed_cells(products: DataFrame, dims: list[str]) -> DataFrame:
+    """All that is added up by ``dims`` and price band, with no price: ``basic_stats`` of it are those of the products."""
+    return as_cells(products).groupBy(*dims, band_label().alias("label")).agg(
+        *(F.sum(c).alias(c) for c in MEASURES[:4]),
+        F.sum(_low()).alias("low_price_count"),
+        F.min("price_krw").alias("min_price_krw"),
+        F.max("price_krw").alias("max_price_krw"),
+        F.min("first_collected_at").alias("first_collected_at"),
+        F.max("collected_at").alias("collected_at"),
+    )
+
+
+def _low() -> Column:
+    return F.when(F.col("price_krw") <= LOW_PRICE, F.col("cell_count")).otherwise(0)
+
+
+def _bounds(rows: DataFrame) -> list[Column]:
+    """Products of low price, least and most price."""
+    summed = "low_price_count" in rows.columns
+    low, least, most = (F.col("low_price_count"), "min_price_krw", "max_price_krw") if summed else (_low(), "price_krw", "price_krw")
+    return [F.sum(low).alias("low_price_count"), F.min(least).alias("min_price_krw"), F.max(most).alias("max_price_krw")]
+
+
 def nearest_rank(df: DataFrame, keys: list[str], value: str, ranks: dict[str, float]) -> DataFrame:
     """``keys`` and the values at index ``round(p * (n - 1))`` of each group's sorted values."""
     n = F.sum("cell_count") if "cell_count" in df.columns else F.count("*")
@@ -58,16 +101,17 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, ranks: dict[str, fl
     return running.groupBy(*keys).agg(*(F.min(F.when(F.col("_cum") > index(p), F.col(value))).alias(name) for name, p in ranks.items()))
 
 
-def basic_stats() -> list[Column]:
+def basic_stats(rows: DataFrame) -> list[Column]:
     """Counts, sums and bounds that every benchmark has, beside distinct values."""
+    low, least, most = _bounds(rows)
     return [
         F.sum("cell_count").alias("product_count"),
         F.sum("review_count").alias("review_sum"),
         F.sum("order_count").alias("order_sum"),
-        F.min("price_krw").alias("min_price_krw"),
-        F.max("price_krw").alias("max_price_krw"),
+        least,
+        most,
         F.sum("discounted_count").alias("discounted_count"),
-        F.sum(F.when(F.col("price_krw") <= LOW_PRICE, F.col("cell_count")).otherwise(0)).alias("low_price_count"),
+        low,
         F.max("collected_at").alias("latest_collected_at"),
     ]
 
@@ -84,16 +128,22 @@ def distinct_counts(rows: DataFrame, keys: list[str], columns: dict[str, str]) -
     return counted.groupBy(*keys).agg(*(F.coalesce(F.max(F.when(F.col("_what") == name, F.col("_n"))), F.lit(0)).alias(name) for name in columns.values()))
 
 
-def benchmarks(products: DataFrame, keys: list[str], distinct: dict[str, str] | None = None) -> DataFrame:
+def benchmarks(products: DataFrame, keys: list[str], distinct: dict[str, str] | None = None, known: Known | None = None) -> DataFrame:
     """Statistics, quartiles, and the scores that all benchmarks share, by ``keys``."""
     columns = {"seller": "seller_count", "brand": "brand_count"} | (distinct or {})
     products = as_cells(products)
-    stats = products.groupBy(*keys).agg(*basic_stats())
     n = F.col("product_count")
+    if known:  # others are counted among few sums
+        more = {name: F.count_distinct(F.nullif(F.col(c).cast("string"), F.lit(""))) for c, name in (distinct or {}).items()}
+        stats = products.groupBy(*keys).agg(*basic_stats(products), *(c.alias(name) for name, c in more.items()))
+        counted, ranks = stats.join(known.distinct, keys, "left"), known.ranks
+        counted = counted.select(*(c for c in counted.columns if c not in more), *more)
+    else:
+        stats = products.groupBy(*keys).agg(*basic_stats(products))
+        counted, ranks = stats.join(distinct_counts(products, keys, columns), keys, "left"), nearest_rank(products, keys, "price_krw", QUARTILES)
     return (
-        stats.join(distinct_counts(products, keys, columns), keys, "left")
-        .fillna(0, list(columns.values()))
-        .join(nearest_rank(products, keys, "price_krw", QUARTILES), keys)
+        counted.fillna(0, list(columns.values()))
+        .join(ranks, keys)
         .withColumn("iqr_price_krw", F.col("p75_price_krw") - F.col("p25_price_krw"))
         .withColumn("discounted_percent", S.percent(F.col("discounted_count"), n))
         .withColumn("low_price_percent", S.percent(F.col("low_price_count"), n))
@@ -108,13 +158,13 @@ def _top(df: DataFrame, within: list[str], order: list[Column], limit: int | Non
     return ranked.where(F.col(rank) <= limit) if limit else ranked
 
 
-def category_benchmarks(products: DataFrame, scope: list[str] | None = None, by: list[str] | None = None, limit: int | None = CATEGORY_LIMIT) -> DataFrame:
+def category_benchmarks(products: DataFrame, scope: list[str] | None = None, by: list[str] | None = None, limit: int | None = CATEGORY_LIMIT, known: Known | None = None) -> DataFrame:
     """Benchmarks of each category, ranked by low-price, discounted and product counts."""
     scope, by = scope or [], by or ["source_category"]
     if "cell_count" not in products.columns:
         # three groupings follow: products are made once, without what none of them reads
         products = materialise(as_cells(products).select(*dict.fromkeys([*scope, *by, "price_krw", "seller", "brand", *MEASURES])), "benchmark-rows")
-    out = benchmarks(products, [*scope, *by])
+    out = benchmarks(products, [*scope, *by], known=known)
     opportunity = S.category_opportunity(F.col("demand_score"), F.col("competition_score"), F.col("low_price_percent"), F.col("discounted_percent"))
     out = out.withColumn("opportunity_score", opportunity).withColumn(
         "interpretation", S.category_text(F.col("opportunity_score"), F.col("competition_score"), F.col("iqr_price_krw"), F.col("median_price_krw"))
@@ -127,10 +177,10 @@ def _by_keyword(rows: DataFrame) -> DataFrame:
     return rows if "keyword" in rows.columns else rows.withColumn("keyword", F.explode("keywords"))
 
 
-def keyword_benchmarks(products: DataFrame, scope: list[str] | None = None, limit: int | None = KEYWORD_LIMIT) -> DataFrame:
+def keyword_benchmarks(products: DataFrame, scope: list[str] | None = None, limit: int | None = KEYWORD_LIMIT, known: Known | None = None) -> DataFrame:
     """Benchmarks of each keyword of ``keywords``, ranked by reaction."""
     scope = scope or []
-    out = benchmarks(_by_keyword(products), [*scope, "keyword"], {"source_category": "category_count"})
+    out = benchmarks(_by_keyword(products), [*scope, "keyword"], {"source_category": "category_count"}, known)
     dem, comp, cats = F.col("demand_score"), F.col("competition_score"), F.col("category_count")
     out = (
         out.withColumn("saturation_score", S.keyword_saturation(dem, comp, cats))
@@ -141,10 +191,10 @@ def keyword_benchmarks(products: DataFrame, scope: list[str] | None = None, limi
     return _top(out, scope, order, limit)
 
 
-def category_keywords(products: DataFrame, scope: list[str] | None = None, each: int = PAIRS_A_CATEGORY, limit: int = PAIR_LIMIT) -> DataFrame:
+def category_keywords(products: DataFrame, scope: list[str] | None = None, each: int = PAIRS_A_CATEGORY, limit: int = PAIR_LIMIT, known: Known | None = None) -> DataFrame:
     """Benchmarks of category and keyword pairs: the best of every category, up to ``limit`` in all."""
     scope = scope or []
-    out = benchmarks(_by_keyword(products), [*scope, "source_category", "keyword"])
+    out = benchmarks(_by_keyword(products), [*scope, "source_category", "keyword"], known=known)
     dem, comp = F.col("demand_score"), F.col("competition_score")
     out = (
         out.withColumn("cluster_label", S.price_cluster(F.col("median_price_krw")))
@@ -158,21 +208,19 @@ def category_keywords(products: DataFrame, scope: list[str] | None = None, each:
     return _top(best, scope, [F.asc("source_category"), F.asc("category_rank")], limit)
 
 
-def scope_summary(products: DataFrame, scope: list[str]) -> DataFrame:
+def scope_summary(products: DataFrame, scope: list[str], ranks: DataFrame | None = None) -> DataFrame:
     """Counts, shares, price bounds and first and last collection time of each scope."""
     n, products = F.col("product_count"), as_cells(products)
     stats = products.groupBy(*scope).agg(
         F.sum("cell_count").alias("product_count"),
         F.count_distinct("source_category").alias("category_count"),
         F.sum("discounted_count").alias("discounted_count"),
-        F.sum(F.when(F.col("price_krw") <= LOW_PRICE, F.col("cell_count")).otherwise(0)).alias("low_price_count"),
-        F.min("price_krw").alias("min_price_krw"),
-        F.max("price_krw").alias("max_price_krw"),
+        *_bounds(products),
         F.min("first_collected_at").alias("first_collected_at"),
         F.max("collected_at").alias("latest_collected_at"),
     )
     return (
-        stats.join(nearest_rank(products, scope, "price_krw", {"median_price_krw": 0.5}), scope)
+        stats.join(nearest_rank(products, scope, "price_krw", {"median_price_krw": 0.5}) if ranks is None else ranks, scope)
         .withColumn("discounted_percent", S.percent(F.col("discounted_count"), n))
         .withColumn("low_price_percent", S.percent(F.col("low_price_count"), n))
     )
@@ -180,10 +228,7 @@ def scope_summary(products: DataFrame, scope: list[str]) -> DataFrame:
 
 def price_bands(products: DataFrame, scope: list[str], bands=BANDS) -> DataFrame:
     """Every band of every scope with its share of products and of reactions; empty bands stay."""
-    band = None
-    for label, low, high in bands:
-        inside = (F.col("price_krw") >= low) & (F.lit(True) if high is None else F.col("price_krw") <= high)
-        band = F.when(inside, label) if band is None else band.when(inside, label)
+    band = F.col("label") if "low_price_count" in products.columns else band_label(bands)  # summed by the same bands
     counted = as_cells(products).groupBy(*scope, band.alias("label")).agg(F.sum("cell_count").alias("c"), F.sum("review_count").alias("r"), F.sum("order_count").alias("o"))
     # one row a scope: totals, and a map from band to its counts
     totals = counted.groupBy(*scope).agg(
@@ -253,13 +298,16 @@ def run_summary(rows: DataFrame, facts: dict[str, Column]) -> DataFrame:
     return one.unpivot([], list(facts), "fact", "value")
 
 
-def keyword_search_text(exploded: DataFrame, keys: list[str], most: int = 160, chars: int = 12_000) -> DataFrame:
+def code_begins(n: int) -> Column:
+    """Provider and the beginning of the code, of which there are few: their order is the order by provider and code."""
+    return F.struct(F.col("provider").alias("p"), F.substring("product_code", 1, n).alias("c"))
+
+
+def keyword_search_text(exploded: DataFrame, keys: list[str], most: int = SEARCH_ROWS, chars: int = 12_000) -> DataFrame:
     """Texts of a key's first products in order, in lower case, spaces squeezed, cut to ``chars``."""
     from .ranking import may_be_first
 
-    # the order by provider and the beginning of the code, of which there are few, is the order by provider and code
-    begins = F.struct(F.col("provider").alias("p"), F.substring("product_code", 1, CODE_BEGINS).alias("c"))
-    exploded = may_be_first(exploded, keys, begins, most, descending=False)
+    exploded = may_be_first(exploded, keys, code_begins(CODE_BEGINS[-1]), most, descending=False)
     w = W.partitionBy(*keys).orderBy("provider", "product_code")
     first = exploded.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= most)
     parts = F.array_sort(F.collect_list(F.struct("_rank", "text")))  # at most ``most`` of them

@@ -1,7 +1,8 @@
 """The refresh: scopes, snapshots, keyword mart, gates and publication.
 
-Every scope and slice is a key.  Products are repeated once for ``all`` and once for their category,
-and each kind of result is one grouped job over all scopes, not a loop over them.
+Every scope and slice is a key, and each kind of result is one grouped job over all of them, not a loop.  What is
+counted comes from ``operators.cube``; lists come from products that may be in one, found before scopes, slices and
+keywords repeat them.
 """
 
 from __future__ import annotations
@@ -10,19 +11,21 @@ from dataclasses import dataclass
 from datetime import datetime
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keywords as K
+from ..functions import scores as S
 from ..functions.taxonomy import CATEGORIES, CATEGORY_SLUGS, normalise_category
-from ..functions.text import slug, uuid_v7
+from ..functions.text import uuid_v7
 from ..operators import aggregates as A
 from ..operators import checks as G
+from ..operators import cube as Q
 from ..operators import ranking as R
+from ..operators.cube import KIND, SCOPE, Cube, in_scopes, price_cube
 from ..sources import files, sinks
 from ..sources.tables import materialise
 
-SCOPE = ["scope_slug", "scope_category"]
 # Notes on how figures may be used.
 POLICY_NOTES = (
     ("derived_only", "파생 지표만 노출", "active", "기본 화면은 카테고리, 키워드, 가격군, 기회점수 같은 집계·파생 지표를 중심으로 제공합니다."),
@@ -34,11 +37,14 @@ PRICE_BASIS = "수집 시점 관측가"
 ALL_LABEL, CATEGORY_LABEL = "수집 기준 파생 가격/카테고리 인텔리전스", " 집중 가격/키워드 인텔리전스"
 
 
+def _provider() -> Column:
+    return F.when(F.lower(F.trim("provider")) == "kurly", "kurly").otherwise("gmarket")
+
+
 def decorate(products: DataFrame, out_path: str = "/out/") -> DataFrame:
     """Provider and its label, product label, price basis and outbound path."""
-    provider = F.when(F.lower(F.trim("provider")) == "kurly", "kurly").otherwise("gmarket")
     part = lambda c: F.replace(F.url_encode(F.col(c)), F.lit("+"), F.lit("%20"))
-    df = products.withColumn("provider", provider)
+    df = products.withColumn("provider", _provider())
     link = F.concat(F.lit(out_path), part("provider"), F.lit("/"), part("product_code"), F.lit("/"))
     return (
         df.withColumn("provider_label", F.initcap("provider"))
@@ -48,31 +54,46 @@ def decorate(products: DataFrame, out_path: str = "/out/") -> DataFrame:
     )
 
 
-def classify(rows: DataFrame, normalise: bool = True, dropped: Observation | None = None) -> DataFrame:
-    """Rows with their standard category; those without one are dropped, and counted in ``dropped``."""
+def classify(rows: DataFrame, normalise: bool = True, dropped: Observation | None = None, count: str | None = None) -> DataFrame:
+    """Rows with their standard category; those without one are dropped, and counted in ``dropped``, where a row
+    stands for ``count`` of them."""
     col = lambda c: F.col(c) if c in rows.columns else F.lit("")
     category = normalise_category(F.col("source_category"), col("category_path"), col("search_keyword"), F.col("product_name"), normalise)
     rows = rows.withColumn("source_category", category)
     if dropped is not None:
-        rows = rows.observe(dropped, F.count("*").alias("rows"), F.count_if(F.col("source_category") == "").alias("dropped"))
+        n = F.col(count) if count else F.lit(1)
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+        rows = rows.observe(dropped, total(n).alias("rows"), total(F.when(F.col("source_category") == "", n)).alias("dropped"))
     return rows.where("source_category <> ''")
 
 
 def prepare(rows: DataFrame, normalise: bool = True, dropped: Observation | None = None, repeated: bool = False) -> DataFrame:
     """Classified and decorated products with keywords, written once: many grouped jobs read them.
 
-    ``repeated``: many products share names; they are classified once before that, as names are read twice.
+    ``repeated``: many products share names; category and keywords of each distinct case are made once.
     """
-    known = classify(rows, normalise, dropped)
-    known = materialise(known, "classified") if repeated else known
-    return materialise(decorate(K.add_keywords(known, normalise, repeated=repeated)), "products")
-
-
-def in_scopes(products: DataFrame) -> DataFrame:
-    """Each product in scope ``all`` and in the scope of its category."""
-    own = F.struct(slug(F.col("source_category")).alias("scope_slug"), F.col("source_category").alias("scope_category"))
-    every = F.struct(F.lit("all").alias("scope_slug"), F.lit("").alias("scope_category"))
-    return products.withColumn("_scope", F.explode(F.array(every, own))).select("*", "_scope.*").drop("_scope")
+    return decorate(prepare_plain(rows, normalise, dropped, repeated))
+
+
+def prepare_plain(rows: DataFrame, normalise: bool = True, dropped: Observation | None = None, repeated: bool = False) -> DataFrame:
+    """``prepare`` without decoration, which lists put on the few products they show."""
+    rows = rows.withColumn("provider", _provider())
+    if not repeated:
+        found = K.add_keywords(classify(rows, normalise, dropped), normalise)
+        return materialise(found.withColumn(KIND, F.xxhash64("source_category", "keywords")), "products")
+    names = [c for c in K.SOURCES if c in rows.columns]
+    rows = materialise(rows.withColumn("_case", F.xxhash64(*names)), "rows")
+    # written, or Spark would look for rows without a category before it groups them
+    cases = materialise(rows.groupBy("_case", *names).agg(F.count("*").alias("_rows")), "case-names")
+    known = classify(cases.withColumn("_names", F.struct(*names)), normalise, dropped, "_rows")
+    known = K.add_keywords(known, normalise).withColumn(KIND, F.xxhash64("source_category", "keywords"))
+    known = Q.small(known.select(F.col("_case").alias("_of"), "_names", "source_category", "keywords", KIND), "cases")
+    same = F.col("_case") == F.col("_of")
+    if not known.groupBy("_of").count().where("count > 1").isEmpty():  # two cases with one hash
+        same = same & F.col("_names").eqNullSafe(F.struct(*(rows[c] for c in names)))
+    plain = rows.join(known.withColumnRenamed("source_category", "_category"), same).withColumn("source_category", F.col("_category"))
+    plain = plain.drop("_case", "_of", "_names", "_category")
+    return plain if known.count() <= Q.FEW else materialise(plain, "products")
 
 
 def _nested(rows: DataFrame, keys: list[str], name: str, order: str, drop: tuple[str, ...] = ()) -> DataFrame:
@@ -86,40 +107,36 @@ PRODUCT_COLUMNS = ("provider", "provider_label", "product_code", "product_label"
 DEAL_COLUMNS = ("discount_percent", "category_median_price_krw", "below_category_median_percent", "radar_score", "reason")
 
 
-def price_cube(products: DataFrame) -> DataFrame:
-    """Cells of products by category, and of products by category and keyword, from one pass: those of whole products
-    have no keyword.  Scopes, slices, benchmarks, bands and percentiles are all groupings of it."""
-    nothing = F.array(F.lit(None).cast("string"))
-    each = products.withColumn("keyword", F.explode(F.concat(nothing, F.coalesce("keywords", F.array().cast("array<string>")))))
-    return materialise(A.cells(each, ["source_category", "keyword"]), "price-cube")
-
-
-def _whole(cube: DataFrame) -> DataFrame:
-    return cube.where("keyword is null").drop("keyword")
+def _shown(rows: DataFrame) -> DataFrame:
+    """Listed products as they are shown: those of ``prepare_plain`` are decorated now."""
+    return decorate(rows) if KIND in rows.columns and "provider_label" not in rows.columns else rows
 
 
-def _words(cube: DataFrame) -> DataFrame:
-    return cube.where("keyword is not null")
-
-
-def _sections(products: DataFrame, cube: DataFrame, keyed, keys: list[str]) -> DataFrame:
+def _sections(cube: Cube, keys: list[str]) -> DataFrame:
     """All parts of a payload that whole scopes (slice 0) and price slices have in common, one row per key."""
-    have = [c for c in PRODUCT_COLUMNS if c in products.columns]
-    whole, words, rows = keyed(_whole(cube)), keyed(_words(cube)), keyed(products)
-    categories = A.seller_insights(A.category_benchmarks(whole, keys))
+    ranges = lambda of_all, of_own, *without: Q.in_ranges(of_all(cube), of_own(cube), cube, without)
+    whole, words = Q.sums_in_ranges(cube, words=False), Q.sums_in_ranges(cube, words=True)
+    whole, words = materialise(whole, "whole-sums"), materialise(words, "word-sums")
+    ranks = materialise(ranges(Q.category_ranks, Q.category_ranks), "category-ranks")
+    categories = A.seller_insights(A.category_benchmarks(whole, keys, known=A.Known(ranges(Q.category_values, Q.category_values), ranks)))
+    categories = materialise(categories, "categories")
+    of_keywords = A.Known(ranges(Q.keyword_values, Q.word_values, "source_category"), ranges(Q.keyword_ranks, Q.word_ranks, "source_category"))
+    of_pairs = A.Known(ranges(Q.word_values, Q.word_values), ranges(Q.word_ranks, Q.word_ranks))
     level = ("competition_level", "recommended_action")
     sellers = categories.select(*keys, "rank", "source_category", "product_count", "median_price_krw", "low_price_percent", "discounted_percent", *level)
-    summary = A.scope_summary(whole, keys)
+    medians = ranges(Q.all_ranks, Q.category_ranks, "source_category").select(*keys, "median_price_krw")
+    summary = A.scope_summary(whole, keys, medians)
     # the first of a longer list are those of a shorter one
     listed = lambda few, of_slice: F.col("position") <= F.when(F.col("slice") == 0, few).otherwise(of_slice)
-    evidence = R.top_products(rows, keys, max(R.EVIDENCE_LIMIT, R.SLICE_EVIDENCE_LIMIT)).where(listed(R.EVIDENCE_LIMIT, R.SLICE_EVIDENCE_LIMIT))
-    deals = R.deal_candidates(rows, keys, max(R.DEAL_LIMIT, R.SLICE_DEAL_LIMIT), whole).where(listed(R.DEAL_LIMIT, R.SLICE_DEAL_LIMIT))
+    evidence = R.top_products(_evidence_rows(cube), keys, max(R.EVIDENCE_LIMIT, R.SLICE_EVIDENCE_LIMIT)).where(listed(R.EVIDENCE_LIMIT, R.SLICE_EVIDENCE_LIMIT))
+    deals = R.best_deals(_deal_rows(cube), keys, max(R.DEAL_LIMIT, R.SLICE_DEAL_LIMIT)).where(listed(R.DEAL_LIMIT, R.SLICE_DEAL_LIMIT))
+    have = [c for c in PRODUCT_COLUMNS if c in evidence.columns]
     parts = [
         summary.select(*keys, F.struct(*(c for c in summary.columns if c not in keys)).alias("summary")),
         _nested(A.price_bands(whole, keys), keys, "price_bands", "band"),
         _nested(categories.drop(*level), keys, "categories", "rank"),
-        _nested(A.keyword_benchmarks(words, keys), keys, "keywords", "rank"),
-        _nested(A.category_keywords(words, keys), keys, "category_keywords", "rank", ("category_rank",)),
+        _nested(A.keyword_benchmarks(words, keys, known=of_keywords), keys, "keywords", "rank"),
+        _nested(A.category_keywords(words, keys, known=of_pairs), keys, "category_keywords", "rank", ("category_rank",)),
         _nested(evidence.select(*keys, "position", *have), keys, "products", "position"),
         _nested(deals.select(*keys, "position", *have, *DEAL_COLUMNS), keys, "deal_candidates", "position"),
         _nested(sellers, keys, "seller_insights", "rank"),
@@ -130,19 +147,49 @@ def _sections(products: DataFrame, cube: DataFrame, keyed, keys: list[str]) -> D
     return materialise(out, "sections")
 
 
-def radar(products: DataFrame, generated_at: str, cube: DataFrame | None = None) -> DataFrame:
+#: What tells in which lists a product may be, whatever scope and slice: all of one place are in the same ones.
+PLACE = ["source_category", Q.OF_ALL, Q.OF_OWN, "provider"]
+
+
+def _evidence_rows(cube: Cube, limit: int = max(R.EVIDENCE_LIMIT, R.SLICE_EVIDENCE_LIMIT)) -> DataFrame:
+    """Products that may be among the first of any scope or slice, in each of them: among the first of their place."""
+    rows = Q.placed(cube.products.where("price_krw is not null"), cube.edges)
+    lead = S.reaction(F.col("review_count"), F.col("order_count"))
+    first = materialise(R.may_be_first(rows, PLACE, lead, limit), "may-be-evidence")
+    return Q.each_range(_shown(first), cube)
+
+
+def _deal_rows(cube: Cube, limit: int = max(R.DEAL_LIMIT, R.SLICE_DEAL_LIMIT)) -> DataFrame:
+    """Eligible products that may be among the best deals of a scope or slice, scored against its category median.
+
+    A category has the same median in its own scope as in the whole of ``all``, so a product has three scores at most:
+    in whole scopes, in its slice of ``all`` and in its slice of its own scope."""
+    spans = (Q.WHOLE, Q.OF_ALL, Q.OF_OWN)
+    ranks = Q.category_ranks(cube).select("source_category", "span", "slice", F.col("median_price_krw").alias("_m"))
+    pieces = Q.by_category(cube.sums, cube).where(F.col(Q.OF_ALL) >= 0).select(*PLACE[:3]).distinct()
+    for s in spans:
+        mine = ranks.where(F.col("span") == s).select("source_category", F.col("slice").alias("_s"), F.col("_m").alias(f"_{s}"))
+        at = F.lit(0) if s == Q.WHOLE else F.col(s)
+        pieces = pieces.join(mine.withColumnRenamed("source_category", "_c"), (F.col("source_category") == F.col("_c")) & (F.col("_s") == at), "left").drop("_c", "_s")
+    medians = Q.small(pieces, "piece-medians")
+    rows = Q.placed(cube.products.where("price_krw is not null"), cube.edges).join(medians, PLACE[:3])
+    every = F.array(*(F.struct(F.lit(s).alias("span"), F.col(f"_{s}").alias("category_median_price_krw")) for s in spans))
+    rows = rows.withColumn("_f", F.explode(every)).select("*", "_f.*").drop("_f", *(f"_{s}" for s in spans)).where("category_median_price_krw is not null")
+    first = materialise(R.may_be_deals(rows, [*PLACE, "span"], limit), "may-be-deals")
+    first = R.scored(first)
+    shown = Q.each_range(_shown(first), cube)
+    whole, of_all = F.col("slice") == 0, (F.col("slice") > 0) & (F.col("scope_slug") == "all") & (F.col("scope_category") == "")
+    return shown.where(F.col("span") == F.when(whole, Q.WHOLE).when(of_all, Q.OF_ALL).otherwise(Q.OF_OWN))
+
+
+def radar(products: DataFrame, generated_at: str, cube: Cube | None = None) -> DataFrame:
     """One nested payload per scope.
 
-    Products are read three times: for the cube, which answers all that is counted, for evidence and for deals.  A
-    whole scope is its slice 0, so each kind of result is one job over scopes and slices together.
+    A whole scope is its slice 0, so each kind of result is one job over scopes and slices together.
     """
     cube = price_cube(products) if cube is None else cube
-    scoped = in_scopes(_whole(cube))
-    slices = A.price_slices(scoped, SCOPE)
-    every = scoped.select(*SCOPE).distinct().select(*SCOPE, F.lit(0).alias("slice"), F.lit(-(1 << 63)).alias("range_low"), F.lit((1 << 63) - 1).alias("range_high"), F.lit("").alias("range_key"), F.lit("").alias("range_label"))
-    slices = materialise(slices.unionByName(every), "slices")
-    ranges = ["range_key", "range_label", "range_low", "range_high"]
-    found = _sections(products, cube, lambda rows: A.in_slices(in_scopes(rows), slices, SCOPE), [*SCOPE, "slice", *ranges])
+    ranges = Q.RANGES
+    found = _sections(cube, [*SCOPE, "slice", *ranges])
     whole = found.where("slice = 0").drop("slice", *ranges).join(_nested(found.where("slice > 0"), SCOPE, "price_range_slices", "slice"), SCOPE, "left")
     options = whole.where("scope_slug = 'all'").select(F.col("categories").alias("category_options"))
     # one row; a category scope shows its benchmark as it stands among all categories
@@ -182,32 +229,49 @@ def _stamped(rows: DataFrame, facts: DataFrame, version: int, generated_at: str)
     )
 
 
-def scope_facts(products: DataFrame) -> DataFrame:
-    return in_scopes(products).groupBy(*SCOPE).agg(F.max("collected_at").alias("source_max_collected_at"), F.count("*").alias("source_product_count"))
+def scope_facts(cube: Cube) -> DataFrame:
+    return in_scopes(Q.by_category(cube.sums, cube)).groupBy(*SCOPE).agg(F.max("collected_at").alias("source_max_collected_at"), F.sum("cell_count").alias("source_product_count"))
 
 
-def snapshots(products: DataFrame, version: int, generated_at: str, cube: DataFrame | None = None) -> DataFrame:
+def snapshots(products: DataFrame, version: int, generated_at: str, cube: Cube | None = None) -> DataFrame:
+    cube = price_cube(products) if cube is None else cube
     rows = radar(products, generated_at, cube).withColumn("payload_json", F.to_json("payload")).drop("payload")
-    return _stamped(rows, scope_facts(products), version, generated_at).withColumn("snapshot_uuid", uuid_v7(F.timestamp_millis("version")))
+    return _stamped(rows, scope_facts(cube), version, generated_at).withColumn("snapshot_uuid", uuid_v7(F.timestamp_millis("version")))
+
 
+def _listed_rows(products: DataFrame, lead: Column, limit: int, group: list[str], descending: bool = True) -> DataFrame:
+    """Products that may be among the first ``limit`` of a keyword: those of their kind, before keywords repeat them."""
+    return R.may_be_first(products, [KIND, *group], lead, limit, descending)
 
-def keyword_mart(products: DataFrame, version: int, generated_at: str, normalise: bool = True, cube: DataFrame | None = None) -> DataFrame:
+
+def keyword_mart(products: DataFrame, version: int, generated_at: str, normalise: bool = True, cube: Cube | None = None) -> DataFrame:
     """Every keyword of every scope with its benchmark, search text and evidence products."""
-    words = in_scopes(_words(price_cube(products) if cube is None else cube))
-    scoped = in_scopes(products)
+    cube = price_cube(products, sliced=False) if cube is None else cube
     keys = [*SCOPE, "keyword"]
-    col = lambda c: F.coalesce(F.col(c), F.lit("")) if c in products.columns else F.lit("")
-    text = F.concat_ws(" ", *(col(c) for c in ("product_name", "product_label", "brand", "seller", "source_category", "category_path", "search_keyword", "product_code")))
-    exploded = scoped.withColumn("keyword", F.explode("keywords")).withColumn("text", text)
-    bench = A.keyword_benchmarks(words, SCOPE, limit=None).withColumn("keyword_key", K.keyword_key(F.col("keyword"), normalise)).where("keyword_key <> ''")
+    words = materialise(in_scopes(Q.by_words(cube.sums, cube)), "mart-sums")
+
+    def of(of_all, of_own, span: str) -> DataFrame:
+        return Q.in_all(of_all(cube), span).unionByName(Q.in_own(of_own(cube), span).drop("source_category")).drop("slice")
+
+    known = A.Known(of(Q.keyword_values, Q.word_values, Q.ANY), of(Q.keyword_ranks, Q.word_ranks, Q.WHOLE))
+    bench = A.keyword_benchmarks(words, SCOPE, limit=None, known=known).withColumn("keyword_key", K.keyword_key(F.col("keyword"), normalise)).where("keyword_key <> ''")
     categories = words.groupBy(*keys).agg(F.array_sort(F.collect_set(F.nullif(F.trim("source_category"), F.lit("")))).alias("categories"))
-    have = [c for c in PRODUCT_COLUMNS if c in scoped.columns]
-    evidence = _nested(R.top_products(exploded, keys).select(*keys, "position", *have), keys, "evidence", "position")
-    search = A.keyword_search_text(exploded, keys)
+    lead = S.reaction(F.col("review_count"), F.col("order_count"))
+    rows = materialise(_listed_rows(cube.products, lead, R.EVIDENCE_LIMIT, ["provider"]), "may-be-evidence")
+    rows = in_scopes(_shown(rows)).withColumn("keyword", F.explode("keywords"))
+    have = [c for c in PRODUCT_COLUMNS if c in rows.columns]
+    evidence = _nested(R.top_products(rows, keys).select(*keys, "position", *have), keys, "evidence", "position")
+    texts = cube.products
+    for n in A.CODE_BEGINS:  # few values first, then more among what is left
+        texts = materialise(_listed_rows(texts, A.code_begins(n), A.SEARCH_ROWS, [], descending=False), "may-be-text")
+    texts = _shown(texts)
+    col = lambda c: F.coalesce(F.col(c), F.lit("")) if c in texts.columns else F.lit("")
+    text = F.concat_ws(" ", *(col(c) for c in ("product_name", "product_label", "brand", "seller", "source_category", "category_path", "search_keyword", "product_code")))
+    search = A.keyword_search_text(in_scopes(texts).withColumn("keyword", F.explode("keywords")).withColumn("text", text), keys)
     rows = bench.join(categories, keys).join(evidence, keys).join(search, keys)
     squeezed = F.lower(F.concat_ws(" ", "keyword", F.array_join("categories", " "), "search_text"))
     rows = rows.withColumn("search_text", F.substring(squeezed, 1, 12_000)).withColumn("categories_json", F.to_json("categories")).withColumn("products_json", F.to_json("evidence"))
-    return _stamped(rows.drop("categories", "evidence", "rank", "interpretation"), scope_facts(products), version, generated_at).withColumn("keyword_uuid", uuid_v7(F.timestamp_millis("version")))
+    return _stamped(rows.drop("categories", "evidence", "rank", "interpretation"), scope_facts(cube), version, generated_at).withColumn("keyword_uuid", uuid_v7(F.timestamp_millis("version")))
 
 
 @dataclass
@@ -232,7 +296,7 @@ def refresh(spark: SparkSession, rows: DataFrame, to: Targets, generated: dateti
     generated_at = generated.strftime("%Y-%m-%d %H:%M:%S.") + f"{generated.microsecond // 1000:03d}"
     version = spark.range(1).select(F.unix_millis(F.to_timestamp(F.lit(generated_at)))).first()[0]
     seen = Observation("classified")
-    products = prepare(rows, normalise, seen, repeated)
+    products = prepare_plain(rows, normalise, seen, repeated)
     cube = price_cube(products)
     snaps = materialise(snapshots(products, version, generated_at, cube), "snapshots")
     mart = materialise(keyword_mart(products, version, generated_at, normalise, cube), "mart")

@@ -1,5 +1,6 @@
 """Golden cases of the catalogue operators, and invariants."""
 
+import collections
 import json
 from pathlib import Path
 from datetime import datetime
@@ -15,6 +16,7 @@ from shelfwise.functions import text as X
 from shelfwise.functions.taxonomy import CATEGORIES, CATEGORY_SLUGS, normalise_category, standard_category
 from shelfwise.operators import aggregates as A
 from shelfwise.operators import checks as G
+from shelfwise.operators import cube as Q
 from shelfwise.operators import ingest as I
 from shelfwise.operators import json_tree as J
 from shelfwise.operators import pages as P
@@ -423,3 +425,67 @@ def test_products_are_not_dealt_out_by_category(spark, tmp_path):
 def test_newest_rows_of_the_history_are_made_of_what_is_asked_for(spark):
     made = queries.raw_history(spark, "/root/testdata/sf0.001")
     assert "collected_at" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def many_products(spark, n=1500):
+    """Products of two categories with odd prices, sellers, brands and reviews; every seller and most prices are their own."""
+    k = F.col("id")
+    names = F.array(*(F.lit(x) for x in ("large ring", "hot bolt", "blue ring")))
+    return spark.range(n).select(
+        F.when(k % 3 == 0, "kurly").otherwise("gmarket").alias("provider"),
+        F.concat(F.lit("c"), k).alias("product_code"),
+        F.get(names, (k % 3).cast("int")).alias("product_name"),
+        F.when(k % 2 == 0, "식품").otherwise("패션").alias("source_category"),
+        F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("s"), k)).alias("seller"),
+        F.concat(F.lit("b"), k % 5).alias("brand"),
+        F.when(k % 53 == 0, None).when(k % 59 == 0, 0).otherwise((k * 7919) % 90001).cast("long").alias("price_krw"),
+        ((k * 7919) % 90001 * 2).alias("original_price_krw"),
+        F.when(k % 41 == 0, None).otherwise(k % 50).cast("long").alias("review_count"),
+        (k % 7).cast("long").alias("order_count"),
+        F.concat(F.lit("2026-01-0"), k % 9 + 1).alias("collected_at"),
+        F.array(F.get(F.split(F.get(names, (k % 3).cast("int")), " "), F.lit(1)), F.get(names, (k % 3).cast("int"))).alias("keywords"),
+    )
+
+
+def test_figures_of_slices_come_from_counts_of_kinds(spark, tmp_path):
+    many_products(spark).write.parquet(f"{tmp_path}/p")
+    products = spark.read.parquet(f"{tmp_path}/p")
+    cube = RF.price_cube(products)
+    # 1,500 products with sellers of their own are six kinds in two times at most 6 slices and 6 bands
+    assert cube.kinds.count() == 6 and cube.sums.count() < 6 * 36 and cube.values.where("what = 'brand'").count() == 30
+    keys = [*Q.SCOPE, "slice", *Q.RANGES]
+    rows = A.in_slices(RF.in_scopes(products), cube.slices, Q.SCOPE)
+    ranges = lambda of_all, of_own, *without: Q.in_ranges(of_all(cube), of_own(cube), cube, without)
+    whole, words = Q.sums_in_ranges(cube, words=False), Q.sums_in_ranges(cube, words=True)
+    by_keyword = A.Known(ranges(Q.keyword_values, Q.word_values, "source_category"), ranges(Q.keyword_ranks, Q.word_ranks, "source_category"))
+    pairs = [
+        (A.category_benchmarks(whole, keys, known=A.Known(ranges(Q.category_values, Q.category_values), ranges(Q.category_ranks, Q.category_ranks))), A.category_benchmarks(rows, keys)),
+        (A.keyword_benchmarks(words, keys, known=by_keyword), A.keyword_benchmarks(rows, keys)),
+        (A.category_keywords(words, keys, known=A.Known(ranges(Q.word_values, Q.word_values), ranges(Q.word_ranks, Q.word_ranks))), A.category_keywords(rows, keys)),
+        (A.scope_summary(whole, keys, ranges(Q.all_ranks, Q.category_ranks, "source_category").select(*keys, "median_price_krw")), A.scope_summary(rows, keys)),
+        (A.price_bands(whole, keys), A.price_bands(rows, keys)),
+    ]
+    for got, want in pairs:
+        cols = sorted(want.columns)
+        got, want = (collections.Counter(map(str, x.select(*cols).collect())) for x in (got, want))
+        assert got == want and len(got) > 10
+
+
+def test_listed_products_are_found_before_slices_repeat_them(spark, tmp_path):
+    many_products(spark, 6000).write.parquet(f"{tmp_path}/p")
+    cube = RF.price_cube(spark.read.parquet(f"{tmp_path}/p"))
+    keys = [*Q.SCOPE, "slice", *Q.RANGES]
+    rows = A.in_slices(RF.in_scopes(cube.products), cube.slices, Q.SCOPE)
+    cols = [*keys, "position", "product_code"]
+    few = RF._evidence_rows(cube, 3)
+    assert few.select("product_code").distinct().count() < 2000
+    for got, want in ((R.top_products(few, keys, 3), R.top_products(rows, keys, 3)), (R.best_deals(RF._deal_rows(cube, 3), keys, 3), R.deal_candidates(rows, keys, 3))):
+        got, want = (collections.Counter(map(str, x.select(*cols).collect())) for x in (got, want))
+        assert got == want and len(got) > 30
+
+
+def test_categories_of_cases_are_found_once(spark):
+    rows = ten_products(spark).unionByName(ten_products(spark).withColumn("product_code", F.concat("product_code", F.lit("-2"))))
+    plan = RF.prepare_plain(rows, normalise=False, repeated=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "BroadcastHint" in plan or "broadcast" in plan
+    assert plan.count("Relation") == 2 and "CASE WHEN" not in plan  # products and cases, joined as they are read
