@@ -489,3 +489,26 @@ def test_categories_of_cases_are_found_once(spark):
     plan = RF.prepare_plain(rows, normalise=False, repeated=True)._jdf.queryExecution().optimizedPlan().toString()
     assert "BroadcastHint" in plan or "broadcast" in plan
     assert plan.count("Relation") == 2 and "CASE WHEN" not in plan  # products and cases, joined as they are read
+
+
+def test_long_pages_are_not_searched_for_tags_they_lack(spark):
+    long = "가나다라마 " * 300
+    pages = [
+        "<TITLE>T</TITLE><h1>N &amp; M</h1><ScRipt>x</sCript><STYLE>y</STYLE><!-- z --><p>a <b>b</b></p>" + long + "<DT>k</DT><DD>v</DD><Li><span>p</span><span>q</span></li><meta name='x' content='m'>",
+        long + "Access DENIED" + long, long + "acce가ss denied", "ChecKing your browser" + long, long + "봇 확인", "<p>" + long, None,
+        "x" * 2_000 + "<h1></h1><h1>late</h1>",
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    h = F.col("html")
+    got = df.select("i", P.gate(h, F.lit("")).alias("g"), P.lines(h, True).alias("l"), P.key_values(h).alias("kv"), P.element_text(h, "h1").alias("h1"), P.meta_content(h, "x").alias("m"), P.ascii_runs(h).alias("r")).orderBy("i").collect()
+    assert [r.g.reason.partition(": ")[2] for r in got][:5] == ["", "Access Denied", "", "Checking your Browser", "봇 확인"] and got[6].g.reason == "too_short: 0"
+    assert got[0].l == ["T", "N & M", "a b", long.strip(), "k", "v", "pq"] and got[0].kv == {"k": "v", "p": "q"} and (got[0].h1, got[0].m) == ("N & M", "m")
+    assert got[6].kv is None and got[6].l is None and got[7].h1 == "" and len(got[1].r) < 20
+    assert one(spark, P.section_text(F.array(F.lit("상품평 x"), F.lit("상품상세정보"), F.lit("y z"), F.lit("판매자 정보"), F.lit("w")), ("상품상세정보", "Abc"), ("상품정보제공고시", "판매자 정보", "상품평"))) == "상품상세정보\ny z"
+    plan = df.select(P.key_values(h).alias("kv"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<td\\b[^>]*>(.*?)</td>, 0)") == 1  # one search of the page for all groups
+
+
+def test_patterns_whose_beginning_is_missing_are_not_tried(spark):
+    assert [X._always_in(p) for p in ("상품평\\s*([0-9]+)", '"brand"\\s*:', "(?i)abc", "가나*", "가|나", "/([0-9]{8,})")] == ["상품평", '"brand"', "", "", "", ""]
+    assert one(spark, X.first_group(F.lit("후기 12 상품평 7"), ["상품평\\s*([0-9]+)", "후기\\s*([0-9]+)"])) == "7" and one(spark, X.first_group(F.lit("후기 12"), ["상품평\\s*([0-9]+)", "후기\\s*([0-9]+)"])) == "12"
